@@ -146,9 +146,12 @@ def jones_det(a) -> Column:
     return c_sub(c_mul(j_get(a, "xx"), j_get(a, "yy")), c_mul(j_get(a, "xy"), j_get(a, "yx")))
 
 
-def jones_inv(a) -> Column:
-    """Closed-form inverse; a singular matrix yields null parts."""
-    det = jones_det(a)
+def jones_inv(a, det=None) -> Column:
+    """Closed-form inverse; a singular matrix yields null parts.
+
+    Pass ``det`` (a column holding ``jones_det(a)``) to avoid re-deriving it.
+    """
+    det = jones_det(a) if det is None else _c(det)
     return jones(
         c_div(j_get(a, "yy"), det),
         c_div(c_neg(j_get(a, "xy")), det),

@@ -61,3 +61,141 @@ def average_sql(src: str, timestep: int, freqstep: int, name: str) -> str:
         sel.append(f"count_if(NOT f{p}) = 0 AS f{p}")
     return (f"{name} AS (SELECT {', '.join(sel)} FROM {rel} "
             f"GROUP BY obs_id, {tbin}, ant1, ant2, {fbin})")
+
+
+def flag_cte(name: str, src: str, cond: str, mode: str = "set") -> str:
+    """CTE ``name`` = ``src`` with per-pol flags set (or cleared) where ``cond``."""
+    c = f"coalesce(({cond}), false)"
+    cols = [f"(f{p} OR {c}) AS f{p}" if mode == "set" else f"(f{p} AND NOT {c}) AS f{p}" for p in POLS]
+    return f"{name} AS (SELECT * EXCLUDE (fxx, fxy, fyx, fyy), {', '.join(cols)} FROM {src})"
+
+
+def amp_sql(p: str) -> str:
+    return f"sqrt({p}_re*{p}_re + {p}_im*{p}_im)"
+
+
+# ---------------------------------------------------------------- complex SQL
+
+def c_mul(a, b):
+    (ar, ai), (br, bi) = a, b
+    return (f"(({ar})*({br}) - ({ai})*({bi}))", f"(({ar})*({bi}) + ({ai})*({br}))")
+
+
+def c_conj(a):
+    return (a[0], f"(-({a[1]}))")
+
+
+def c_neg(a):
+    return (f"(-({a[0]}))", f"(-({a[1]}))")
+
+
+def c_sub(a, b):
+    return (f"(({a[0]}) - ({b[0]}))", f"(({a[1]}) - ({b[1]}))")
+
+
+def c_add(a, b):
+    return (f"(({a[0]}) + ({b[0]}))", f"(({a[1]}) + ({b[1]}))")
+
+
+def c_div(a, b):
+    (ar, ai), (br, bi) = a, b
+    d = f"(({br})*({br}) + ({bi})*({bi}))"
+    return (f"((({ar})*({br}) + ({ai})*({bi}))/{d})", f"((({ai})*({br}) - ({ar})*({bi}))/{d})")
+
+
+def col_c(prefix: str, p: str):
+    return (f"{prefix}{p}_re", f"{prefix}{p}_im")
+
+
+def c_cols(prefix: str, vals: dict) -> str:
+    return ", ".join(f"{vals[p][0]} AS {prefix}{p}_re, {vals[p][1]} AS {prefix}{p}_im" for p in POLS)
+
+
+def applycal_sql(kind: str, src: str = "vis4", sol: str = "sol", out: str = "ac",
+                 time_axis: bool = True, freq_axis: bool = False) -> list[str]:
+    """CTEs applying fixture solutions ``sol`` to ``src`` like ``applycal`` (nearest lookup)."""
+    ctes = [f"gc AS (SELECT time, freq, ant, pol, "
+            f"coalesce(max(CASE WHEN soltype='amplitude' THEN val END), 1e0) AS amp, "
+            f"coalesce(max(CASE WHEN soltype='phase' THEN val END), 0e0) AS ph, "
+            f"max(CASE WHEN soltype='tec' THEN val END) AS tec FROM {sol} GROUP BY time, freq, ant, pol)"]
+    pol_name = {"xx": "XX", "xy": "XY", "yx": "YX", "yy": "YY"}
+    piv = []
+    for p in POLS:
+        if kind == "scalar":
+            cond = "true"
+        elif kind == "diagonal" and p in ("xy", "yx"):
+            piv += [f"CAST(NULL AS DOUBLE) AS {p}_amp", f"CAST(NULL AS DOUBLE) AS {p}_ph", f"CAST(NULL AS DOUBLE) AS {p}_tec"]
+            continue
+        else:
+            cond = f"pol = '{pol_name[p]}'"
+        piv += [f"max(CASE WHEN {cond} THEN amp END) AS {p}_amp", f"max(CASE WHEN {cond} THEN ph END) AS {p}_ph",
+                f"max(CASE WHEN {cond} THEN tec END) AS {p}_tec"]
+    ctes.append(f"gp AS (SELECT time, freq, ant, {', '.join(piv)} FROM gc GROUP BY time, freq, ant)")
+    joins, lookup_cols = [], []
+    if time_axis:
+        ctes.append(f"nt AS (SELECT vt.time, arg_min(st.time, abs(st.time - vt.time)) AS st FROM "
+                    f"(SELECT DISTINCT time FROM {src}) vt, (SELECT DISTINCT time FROM {sol}) st GROUP BY vt.time)")
+        joins.append("JOIN nt USING (time)")
+        lookup_cols.append("nt.st")
+    if freq_axis:
+        ctes.append(f"nf AS (SELECT vf.freq, arg_min(sf.freq, abs(sf.freq - vf.freq)) AS sf FROM "
+                    f"(SELECT DISTINCT freq FROM {src}) vf, (SELECT DISTINCT freq FROM {sol}) sf GROUP BY vf.freq)")
+        joins.append("JOIN nf USING (freq)")
+        lookup_cols.append("nf.sf")
+    ctes.append(f"va AS (SELECT v.*{''.join(', ' + c for c in lookup_cols)} FROM {src} v {' '.join(joins)})")
+
+    def gjoin(alias, antcol):
+        on = [f"{alias}.ant = 'ant' || CAST(va.{antcol} AS VARCHAR)"]
+        if time_axis:
+            on.append(f"{alias}.time = va.st")
+        if freq_axis:
+            on.append(f"{alias}.freq = va.sf")
+        return f"LEFT JOIN gp {alias} ON {' AND '.join(on)}"
+
+    def gain(alias, p):
+        ph = f"({alias}.{p}_ph + coalesce(-8.4479745e9*{alias}.{p}_tec/va.freq, 0e0))"
+        return (f"({alias}.{p}_amp*cos({ph}))", f"({alias}.{p}_amp*sin({ph}))")
+
+    gcols = []
+    for alias, tag in (("g1", "a_"), ("g2", "b_")):
+        for p in POLS:
+            if kind != "fulljones" and p in ("xy", "yx"):
+                gcols.append(f"0e0 AS {tag}{p}_re, 0e0 AS {tag}{p}_im")
+            else:
+                re, im = gain(alias, p)
+                gcols.append(f"{re} AS {tag}{p}_re, {im} AS {tag}{p}_im")
+    ok = "(g1.xx_amp IS NOT NULL AND g2.xx_amp IS NOT NULL)"
+    ctes.append(f"vg AS (SELECT va.*, {', '.join(gcols)}, {ok} AS gok FROM va {gjoin('g1', 'ant1')} {gjoin('g2', 'ant2')})")
+    V = {p: col_c("", p) for p in POLS}
+    if kind != "fulljones":
+        g1 = {"x": col_c("a_", "xx"), "y": col_c("a_", "yy")}
+        g2 = {"x": col_c("b_", "xx"), "y": col_c("b_", "yy")}
+        res = {p: c_div(V[p], c_mul(g1[p[0]], c_conj(g2[p[1]]))) for p in POLS}
+        ctes.append(f"r AS (SELECT *, {c_cols('n_', res)} FROM vg)")
+    else:
+        def inv(tag):
+            a = {p: col_c(tag, p) for p in POLS}
+            det = c_sub(c_mul(a["xx"], a["yy"]), c_mul(a["xy"], a["yx"]))
+            return {"xx": c_div(a["yy"], det), "xy": c_div(c_neg(a["xy"]), det),
+                    "yx": c_div(c_neg(a["yx"]), det), "yy": c_div(a["xx"], det)}
+        ctes.append(f"i AS (SELECT *, {c_cols('i1_', inv('a_'))}, {c_cols('i2_', inv('b_'))} FROM vg)")
+        i1 = {p: col_c("i1_", p) for p in POLS}
+        i2 = {p: col_c("i2_", p) for p in POLS}
+        h = {"xx": c_conj(i2["xx"]), "xy": c_conj(i2["yx"]), "yx": c_conj(i2["xy"]), "yy": c_conj(i2["yy"])}
+
+        def mm(a, b):
+            return {"xx": c_add(c_mul(a["xx"], b["xx"]), c_mul(a["xy"], b["yx"])),
+                    "xy": c_add(c_mul(a["xx"], b["xy"]), c_mul(a["xy"], b["yy"])),
+                    "yx": c_add(c_mul(a["yx"], b["xx"]), c_mul(a["yy"], b["yx"])),
+                    "yy": c_add(c_mul(a["yx"], b["xy"]), c_mul(a["yy"], b["yy"]))}
+        ctes.append(f"m AS (SELECT *, {c_cols('m_', mm(i1, V))}, {c_cols('h_', h)} FROM i)")
+        m = {p: col_c("m_", p) for p in POLS}
+        hh = {p: col_c("h_", p) for p in POLS}
+        ctes.append(f"r AS (SELECT *, {c_cols('n_', mm(m, hh))} FROM m)")
+    fin = " AND ".join(f"isfinite(n_{p}_{x})" for p in POLS for x in ("re", "im"))
+    sel = ["obs_id", "slot", "time", "ant1", "ant2", "chan", "freq", "u", "v", "w", "weight"]
+    good = f"coalesce(gok AND {fin}, false)"
+    sel += [f"CASE WHEN {good} THEN n_{p}_{x} ELSE {p}_{x} END AS {p}_{x}" for p in POLS for x in ("re", "im")]
+    sel += [f"(f{p} OR NOT {good}) AS f{p}" for p in POLS]
+    ctes.append(f"{out} AS (SELECT {', '.join(sel)} FROM r)")
+    return ctes

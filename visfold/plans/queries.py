@@ -71,3 +71,102 @@ def q_average_time(spark, sf_dir):
 @register("average_freq", O.with_vis(O.average_sql("vis4", 1, 3, "a")) + f"SELECT {O.out_cols()} FROM a")
 def q_average_freq(spark, sf_dir):
     return TV.flatten(A.average_freq(_vis(spark, sf_dir), 3))
+
+
+RANGE_TABLE = [(9.595e8 + k * 2e6, 9.605e8 + k * 2e6) for k in range(40)]
+RANGE_VALUES_SQL = ", ".join(f"({O.dbl(a)}, {O.dbl(b)})" for a, b in RANGE_TABLE)
+
+
+@register("range_join_flags", O.with_vis(
+    f"r(lo, hi) AS (VALUES {RANGE_VALUES_SQL})",
+    O.flag_cte("f", "vis4", "EXISTS (SELECT 1 FROM r WHERE vis4.freq BETWEEN r.lo AND r.hi)"))
+    + f"SELECT {O.out_cols()} FROM f")
+def q_range_join_flags(spark, sf_dir):
+    ranges = spark.createDataFrame(RANGE_TABLE, "lo double, hi double")
+    return TV.flatten(FL.range_join_flags(_vis(spark, sf_dir), ranges))
+
+
+@register("flag_channels", O.with_vis(O.flag_cte("f", "vis4", "chan >= 2 OR chan = 0"))
+          + f"SELECT {O.out_cols()} FROM f")
+def q_flag_channels(spark, sf_dir):
+    return TV.flatten(FL.flag_channels(_vis(spark, sf_dir), "[0, 2..nchan]"))
+
+
+@register("clear_flags", O.with_vis(O.flag_cte("f", "vis4", "chan BETWEEN 0 AND 1", mode="clear"))
+          + f"SELECT {O.out_cols()} FROM f")
+def q_clear_flags(spark, sf_dir):
+    return TV.flatten(FL.clear_flags(_vis(spark, sf_dir), chan="[0..1]"))
+
+
+@register("flag_antennas", O.with_vis_ant(
+    "bad AS (SELECT obs_id, ant FROM antenna WHERE name IN ('ant2'))",
+    O.flag_cte("f", "vis4", "ant1 = ant2 OR EXISTS (SELECT 1 FROM bad WHERE bad.obs_id = vis4.obs_id "
+               "AND (bad.ant = vis4.ant1 OR bad.ant = vis4.ant2))"))
+    + f"SELECT {O.out_cols()} FROM f")
+def q_flag_antennas(spark, sf_dir):
+    vis = _vis(spark, sf_dir)
+    return TV.flatten(FL.flag_antennas(vis, ["ant2"], autocorr=True, antenna_table=TV.antenna_table(vis)))
+
+
+@register("flag_time_range", O.with_vis(O.flag_cte("f", "vis4", "time BETWEEN 1700000084e0 AND 1700000244e0"))
+          + f"SELECT {O.out_cols()} FROM f")
+def q_flag_time_range(spark, sf_dir):
+    return TV.flatten(FL.flag_time_range(_vis(spark, sf_dir), 1700000084.0, 1700000244.0))
+
+
+@register("flag_uv_range", O.with_vis(O.flag_cte("f", "vis4", "sqrt(u*u + v*v) BETWEEN 1.50005e2 AND 4.50005e2"))
+          + f"SELECT {O.out_cols()} FROM f")
+def q_flag_uv_range(spark, sf_dir):
+    return TV.flatten(FL.flag_uv_range(_vis(spark, sf_dir), 150.005, 450.005))
+
+
+_AMP_ANY = " OR ".join(f"{O.amp_sql(p)} > 3.00005e2 OR {O.amp_sql(p)} < 1.00005e0" for p in O.POLS)
+
+
+@register("flag_amplitude", O.with_vis(O.flag_cte("f", "vis4", _AMP_ANY)) + f"SELECT {O.out_cols()} FROM f")
+def q_flag_amplitude(spark, sf_dir):
+    return TV.flatten(FL.flag_amplitude(_vis(spark, sf_dir), amplmin=1.00005, amplmax=300.005))
+
+
+_MASK_COLS = ", ".join(f"CASE WHEN f{p} THEN 0e0 ELSE {p}_{x} END AS {p}_{x}" for p in O.POLS for x in ("re", "im"))
+
+
+@register("mask_flagged", O.with_vis(
+    f"m AS (SELECT * EXCLUDE ({', '.join(p + '_' + x for p in O.POLS for x in ('re', 'im'))}), {_MASK_COLS} FROM vis4)")
+    + f"SELECT {O.out_cols()} FROM m")
+def q_mask_flagged(spark, sf_dir):
+    return TV.flatten(FL.mask_flagged(_vis(spark, sf_dir)))
+
+
+_POW = " + ".join(f"CASE WHEN f{p} THEN 0e0 ELSE {p}_re*{p}_re + {p}_im*{p}_im END" for p in O.POLS)
+
+
+@register("rms_power", O.with_vis() + f"SELECT obs_id, {O.qr(f'sqrt(sum({_POW})/(count(*)*4e0))')} AS rms "
+          "FROM vis4 GROUP BY obs_id")
+def q_rms_power(spark, sf_dir):
+    from ..functions.compare import qround
+    from pyspark.sql import functions as F
+    return A.rms_power(_vis(spark, sf_dir)).select("obs_id", qround(F.col("rms")).alias("rms"))
+
+
+# ------------------------------------------------------------------ applycal
+
+from ..operators import applycal as AC  # noqa: E402
+
+
+def _applycal_query(kind: str, with_freq: bool = False, soltypes=("amplitude", "phase")):
+    def q(spark, sf_dir):
+        vis = _vis(spark, sf_dir)
+        sol = TV.solution_fixture(vis, kind, with_freq=with_freq, soltypes=soltypes)
+        return TV.flatten(AC.applycal(vis, sol, TV.antenna_table(vis)))
+    sql = (O.with_vis(TV.solution_fixture_sql(kind, with_freq=with_freq, soltypes=soltypes),
+                      *O.applycal_sql(kind, freq_axis=with_freq))
+           + f"SELECT {O.out_cols()} FROM ac")
+    return q, sql
+
+
+for _name, _args in {"applycal_scalar": ("scalar",), "applycal_diagonal": ("diagonal", True),
+                     "applycal_fulljones": ("fulljones",),
+                     "applycal_single": ("scalar", False, ("tec",))}.items():
+    _q, _sql = _applycal_query(*_args)
+    register(_name, _sql)(_q)

@@ -111,3 +111,104 @@ def antenna_table(vis: DataFrame) -> DataFrame:
 
 ANTENNA_SQL = """antenna AS (SELECT o.obs_id, a.ant, a.name FROM (SELECT DISTINCT obs_id FROM vis) o,
   (VALUES (0,'ant0'),(1,'ant1'),(2,'ant2'),(3,'ant3')) a(ant, name))"""
+
+
+# Fixed values of the solution fixtures: one solution every 25 slots.
+SOL_EVERY = 25
+SOL_FREQS = (960.25e6, 962.25e6)
+POLS_OF_KIND = {"scalar": (), "diagonal": ("XX", "YY"), "fulljones": ("XX", "XY", "YX", "YY")}
+
+
+def solution_fixture(vis: DataFrame, kind: str = "scalar", with_freq: bool = False,
+                     identity: bool = False, soltypes=("amplitude", "phase")) -> DataFrame:
+    """Long-form solution cells derived from the slots of ``vis``.
+
+    amplitude = (1 + 1e-2 ant + 1e-4 slot) [x 0.9 for YY, x (1 + 5e-2 f) with a freq axis],
+    1e-2 for XY/YX; phase = 1e-1 ant (0 for XY/YX); tec = 1e-2 ant.
+    ``identity``: no time axis, amplitude 1 (0 off-diagonal), phase 0.
+    """
+    pols = POLS_OF_KIND[kind]
+    names = F.array(*[F.lit(f"ant{k}") for k in range(N_ANT)])
+    if identity:
+        base = (vis.select("obs_id").distinct().select(F.posexplode(names).alias("aidx", "ant"))
+                .distinct().select("aidx", "ant", F.lit(None).cast("bigint").alias("slot")))
+        axes = ["ant"]
+    else:
+        base = (vis.select("slot").distinct().filter(F.col("slot") % SOL_EVERY == 0)
+                .select("slot", (F.lit(17e8) + F.lit(8e0) * F.col("slot")).alias("time"),
+                        F.floor(F.col("slot") / F.lit(float(SOL_EVERY))).cast("int").alias("tidx"),
+                        F.posexplode(names).alias("aidx", "ant")))
+        axes = ["time"]
+        if with_freq:
+            base = base.select("*", F.posexplode(F.array(*[F.lit(f) for f in SOL_FREQS])).alias("fidx", "freq"))
+            axes.append("freq")
+        axes.append("ant")
+    if pols:
+        base = base.select("*", F.posexplode(F.array(*[F.lit(p) for p in pols])).alias("pidx", "pol"))
+        axes.append("pol")
+    pol = F.col("pol") if pols else F.lit(None).cast("string")
+    off = pol.isin("XY", "YX") if pols else F.lit(False)
+    if identity:
+        amp = F.when(off, F.lit(0e0)).otherwise(F.lit(1e0))
+        ph = F.lit(0e0)
+        tec = F.lit(0e0)
+    else:
+        amp = F.lit(1e0) + F.lit(1e-2) * F.col("aidx") + F.lit(1e-4) * F.col("slot")
+        if with_freq:
+            amp = amp * (F.lit(1e0) + F.lit(5e-2) * F.col("fidx"))
+        amp = F.when(off, F.lit(1e-2)).when(pol == "YY", amp * F.lit(9e-1)).otherwise(amp)
+        ph = F.when(off, F.lit(0e0)).otherwise(F.lit(1e-1) * F.col("aidx"))
+        tec = F.lit(1e-2) * F.col("aidx")
+    vals = {"amplitude": amp, "phase": ph, "tec": tec}
+    parts = F.array(*[F.struct(F.lit(t).alias("soltype"), vals[t].cast("double").alias("val")) for t in soltypes])
+    idx_of = {"time": F.col("tidx"), "freq": F.col("fidx"), "ant": F.col("aidx"), "pol": F.col("pidx")}
+    e = base.select("*", F.explode(parts).alias("_s"))
+    return e.select(
+        F.lit("sol000").alias("solset"), F.concat(F.col("_s.soltype"), F.lit("000")).alias("soltab"),
+        F.col("_s.soltype").alias("soltype"), F.array(*[F.lit(a) for a in axes]).alias("axes"),
+        F.array(*[idx_of[a].cast("int") for a in axes]).alias("pos"),
+        (F.col("time") if "time" in axes else F.lit(None)).cast("double").alias("time"),
+        (F.col("freq") if "freq" in axes else F.lit(None)).cast("double").alias("freq"),
+        F.col("ant").cast("string").alias("ant"), pol.alias("pol"), F.lit(None).cast("string").alias("dir"),
+        F.col("_s.val").alias("val"), F.lit(1.0).cast("float").alias("weight"))
+
+
+def solution_fixture_sql(kind: str = "scalar", with_freq: bool = False, identity: bool = False,
+                         soltypes=("amplitude", "phase"), name: str = "sol") -> str:
+    """The same fixture as SQL text (CTE ``name``), for the oracle."""
+    pols = POLS_OF_KIND[kind]
+    ants = "(VALUES " + ", ".join(f"({k}, 'ant{k}')" for k in range(N_ANT)) + ") a(aidx, ant)"
+    src = [ants]
+    cols = ["a.aidx", "a.ant"]
+    if identity:
+        cols += ["CAST(NULL AS BIGINT) AS slot", "CAST(NULL AS DOUBLE) AS time"]
+    else:
+        src.insert(0, f"(SELECT DISTINCT slot FROM vis WHERE slot % {SOL_EVERY} = 0) s")
+        cols += ["s.slot", "17e8 + 8e0*s.slot AS time", f"CAST(floor(s.slot/{SOL_EVERY}e0) AS INT) AS tidx"]
+    if with_freq and not identity:
+        src.append("(VALUES " + ", ".join(f"({i}, {f!r})" for i, f in enumerate(SOL_FREQS)) + ") f(fidx, freq)")
+        cols += ["f.fidx", "f.freq"]
+    else:
+        cols += ["CAST(NULL AS DOUBLE) AS freq"]
+    if pols:
+        src.append("(VALUES " + ", ".join(f"({i}, '{p}')" for i, p in enumerate(pols)) + ") p(pidx, pol)")
+        cols += ["p.pidx", "p.pol"]
+    else:
+        cols += ["CAST(NULL AS VARCHAR) AS pol"]
+    types = "(VALUES " + ", ".join(f"('{t}')" for t in soltypes) + ") t(soltype)"
+    src.append(types)
+    cols.append("t.soltype")
+    base = f"(SELECT {', '.join(cols)} FROM {', '.join(src)})"
+    off = "pol IN ('XY','YX')" if pols else "false"
+    if identity:
+        amp, ph, tec = f"CASE WHEN {off} THEN 0e0 ELSE 1e0 END", "0e0", "0e0"
+    else:
+        a = "(1e0 + 1e-2*aidx + 1e-4*slot)"
+        if with_freq:
+            a = f"({a} * (1e0 + 5e-2*fidx))"
+        amp = f"CASE WHEN {off} THEN 1e-2 WHEN pol = 'YY' THEN {a} * 9e-1 ELSE {a} END"
+        ph = f"CASE WHEN {off} THEN 0e0 ELSE 1e-1*aidx END"
+        tec = "1e-2*aidx"
+    val = (f"CASE soltype WHEN 'amplitude' THEN {amp} WHEN 'phase' THEN {ph} ELSE {tec} END")
+    return (f"{name} AS (SELECT 'sol000' AS solset, soltype || '000' AS soltab, soltype, time, freq, ant, pol, "
+            f"CAST({val} AS DOUBLE) AS val, CAST(1 AS FLOAT) AS weight FROM {base} b)")
