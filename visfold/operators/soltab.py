@@ -13,13 +13,16 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..sources.solutions import axes_of
 
-VALID_AXES = F.array(*[F.lit(a) for a in S.VALID_AXIS_NAMES])
 VALID_SOLTYPES = list(S.VALID_SOLTYPES)
 POL2 = ",".join(S.VALID_POL_TUPLES[0])
 POL4 = ",".join(S.VALID_POL_TUPLES[1])
 _VIOLATION_COLS = ("solset", "soltab", "rule", "detail")
 
 
+def _valid_axes() -> Column:
+    return F.array(*[F.lit(a) for a in S.VALID_AXIS_NAMES])
+
+
 class InvalidSolutions(ValueError):
     """Raised when a solution set breaks one of the table rules."""
 
@@ -51,8 +54,8 @@ def pol_tuples(soltab_axis: DataFrame) -> DataFrame:
 def axis_subset_check(sol: DataFrame) -> DataFrame:
     """Per soltab: are all axis names in the valid set?"""
     return (sol.select("solset", "soltab", "axes").distinct()
-            .select("solset", "soltab", (F.size(F.array_except("axes", VALID_AXES)) == 0).alias("axes_valid"),
-                    F.array_join(F.array_sort(F.array_except("axes", VALID_AXES)), ",").alias("unknown_axes")))
+            .select("solset", "soltab", (F.size(F.array_except("axes", _valid_axes())) == 0).alias("axes_valid"),
+                    F.array_join(F.array_sort(F.array_except("axes", _valid_axes())), ",").alias("unknown_axes")))
 
 
 def soltab_violations(sol: DataFrame, soltab_axis: DataFrame | None = None) -> DataFrame:
@@ -78,7 +81,7 @@ def soltab_violations(sol: DataFrame, soltab_axis: DataFrame | None = None) -> D
     pols = pol_tuples(soltab_axis)
     t = (per_tab.join(dims, ["solset", "soltab"], "left").join(dup, ["solset", "soltab"], "left")
          .join(pols, ["solset", "soltab"], "left"))
-    unknown = F.array_except("axes", VALID_AXES)
+    unknown = F.array_except("axes", _valid_axes())
     soltype = F.array_join(F.array_sort("_types"), ",")
     checks = [
         ("unknown_soltype", F.size(F.array_except("_types", F.array(*[F.lit(x) for x in VALID_SOLTYPES]))) > 0,

@@ -170,3 +170,136 @@ for _name, _args in {"applycal_scalar": ("scalar",), "applycal_diagonal": ("diag
                      "applycal_single": ("scalar", False, ("tec",))}.items():
     _q, _sql = _applycal_query(*_args)
     register(_name, _sql)(_q)
+
+
+# ------------------------------------------------------------ solution model
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..functions.compare import qround  # noqa: E402
+from ..operators import lookup as LK  # noqa: E402
+from ..operators import soltab as ST  # noqa: E402
+from ..sources import solutions as SO  # noqa: E402
+
+
+def _catalog(spark, sf_dir):
+    return TV.solution_catalog(_vis(spark, sf_dir))
+
+
+def _cat_sql(*ctes):
+    return O.with_vis(TV.CATALOG_SQL, *ctes)
+
+
+_DIMS_SQL = "dims AS (SELECT solset, soltab, axis_pos, axis, count(*) AS length FROM sax GROUP BY ALL)"
+_POLS_SQL = ("pl AS (SELECT solset, soltab, string_agg(str_value, ',' ORDER BY pos) AS pols "
+             "FROM sax WHERE axis = 'pol' GROUP BY ALL)")
+
+
+@register("soltab_dimensions", _cat_sql(_DIMS_SQL) + "SELECT * FROM dims")
+def q_soltab_dimensions(spark, sf_dir):
+    return ST.soltab_dimensions(SO.axes_of(_catalog(spark, sf_dir)))
+
+
+_VALID_AXES_SQL = "['time', 'freq', 'ant', 'pol', 'dir']"
+_VIOL_SQL = _cat_sql(_DIMS_SQL, _POLS_SQL, f"""pt AS (SELECT solset, soltab, list_sort(list(DISTINCT soltype)) AS types,
+    first(axes) AS axes, count(*) AS cells, count(val) AS nval, count(weight) AS nweight,
+    sum(CASE WHEN len(pos) != len(axes) THEN 1 ELSE 0 END) AS badpos, count(DISTINCT pos) AS npos
+  FROM cat GROUP BY solset, soltab)""",
+    """dm AS (SELECT solset, soltab, product(length) AS prod,
+    string_agg(CAST(length AS VARCHAR), ',' ORDER BY axis_pos) AS shape FROM dims GROUP BY ALL)""",
+    """dp AS (SELECT solset, soltab, string_agg(DISTINCT axis, ',' ORDER BY axis) AS dup_axes
+  FROM (SELECT solset, soltab, axis, pos FROM sax GROUP BY ALL HAVING count(*) > 1) GROUP BY ALL)""",
+    f"""t AS (SELECT pt.*, dm.prod, dm.shape, dp.dup_axes, pl.pols,
+    list_sort(list_filter(axes, lambda x: NOT list_contains({_VALID_AXES_SQL}, x))) AS unknown
+  FROM pt LEFT JOIN dm USING (solset, soltab) LEFT JOIN dp USING (solset, soltab) LEFT JOIN pl USING (solset, soltab))""") + """
+SELECT solset, soltab, 'unknown_soltype' AS rule, array_to_string(types, ',') AS detail FROM t
+  WHERE len(list_filter(types, lambda x: x NOT IN ('amplitude', 'phase', 'tec'))) > 0
+UNION ALL SELECT solset, soltab, 'unknown_axis', array_to_string(unknown, ',') FROM t WHERE len(unknown) > 0
+UNION ALL SELECT solset, soltab, 'axis_not_1d', dup_axes FROM t WHERE dup_axes IS NOT NULL
+UNION ALL SELECT solset, soltab, 'invalid_pol', pols FROM t WHERE pols IS NOT NULL AND pols NOT IN ('XX,YY', 'XX,XY,YX,YY')
+UNION ALL SELECT solset, soltab, 'val_weight_shape', CAST(nval AS VARCHAR) || '/' || CAST(nweight AS VARCHAR)
+  FROM t WHERE nval != nweight
+UNION ALL SELECT solset, soltab, 'axes_shape', CAST(cells AS VARCHAR) || '/' || coalesce(shape, '')
+  FROM t WHERE badpos > 0 OR npos != cells OR coalesce(prod, 1) != cells"""
+
+
+@register("soltab_violations", _VIOL_SQL)
+def q_soltab_violations(spark, sf_dir):
+    return ST.soltab_violations(_catalog(spark, sf_dir))
+
+
+_SET_SQL = [_POLS_SQL, """tp AS (SELECT t.solset, t.soltab, t.soltype, coalesce(pl.pols, '') AS pols
+  FROM (SELECT DISTINCT solset, soltab, soltype FROM cat) t LEFT JOIN pl USING (solset, soltab))""",
+            """ss AS (SELECT solset, count(*) AS n, list(soltype ORDER BY soltype, soltab, pols) AS types,
+    list(pols ORDER BY soltype, soltab, pols) AS pols, list(soltab ORDER BY soltype, soltab, pols) AS tabs,
+    array_to_string(list_sort(list(soltype)), ',') AS typestr FROM tp GROUP BY solset)"""]
+
+
+@register("solset_violations", _cat_sql(*_SET_SQL) + """
+SELECT solset, CAST(NULL AS VARCHAR) AS soltab, 'soltab_count' AS rule, CAST(n AS VARCHAR) AS detail FROM ss WHERE n NOT IN (1, 2)
+UNION ALL SELECT solset, NULL, 'two_soltab_types', typestr FROM ss WHERE n = 2 AND typestr != 'amplitude,phase'
+UNION ALL SELECT solset, NULL, 'pol_mismatch', array_to_string(pols, '|') FROM ss WHERE n = 2 AND pols[1] != pols[2]
+UNION ALL SELECT solset, NULL, 'incomplete_fulljones', types[1] FROM ss
+  WHERE n = 1 AND types[1] IN ('amplitude', 'phase') AND len(string_split(pols[1], ',')) = 4""")
+def q_solset_violations(spark, sf_dir):
+    return ST.solset_violations(_catalog(spark, sf_dir))
+
+
+@register("solset_correction", _cat_sql(*_SET_SQL) + """
+SELECT solset, CASE WHEN n = 2 AND typestr = 'amplitude,phase' AND list_bool_and(list_transform(pols, lambda x: x = 'XX,XY,YX,YY'))
+    THEN 'fulljones' WHEN n = 1 THEN tabs[1] WHEN n = 2 AND typestr = 'amplitude,phase' THEN 'amplitude_phase' END AS correction,
+  array_to_string(tabs, ',') AS soltabs FROM ss""")
+def q_solset_correction(spark, sf_dir):
+    return ST.solset_correction(_catalog(spark, sf_dir))
+
+
+@register("order_soltabs", _cat_sql(*_SET_SQL) + "SELECT solset, array_to_string(tabs, ',') AS soltabs FROM ss")
+def q_order_soltabs(spark, sf_dir):
+    return ST.solset_correction(_catalog(spark, sf_dir)).select("solset", "soltabs")
+
+
+@register("axis_subset_check", _cat_sql() + f"""SELECT solset, soltab,
+  len(list_filter(axes, lambda x: NOT list_contains({_VALID_AXES_SQL}, x))) = 0 AS axes_valid,
+  array_to_string(list_sort(list_filter(axes, lambda x: NOT list_contains({_VALID_AXES_SQL}, x))), ',') AS unknown_axes
+  FROM (SELECT DISTINCT solset, soltab, axes FROM cat)""")
+def q_axis_subset_check(spark, sf_dir):
+    return ST.axis_subset_check(_catalog(spark, sf_dir))
+
+
+@register("antenna_coverage", O.with_vis_ant(TV.solution_fixture_sql("scalar")) + """
+SELECT obs_id, ant, name FROM antenna WHERE name NOT IN (SELECT ant FROM sol WHERE ant != 'ant3')""")
+def q_antenna_coverage(spark, sf_dir):
+    vis = _vis(spark, sf_dir)
+    sol = TV.solution_fixture(vis, "scalar").filter(F.col("ant") != "ant3")
+    return AC.antenna_coverage(TV.antenna_table(vis), sol)
+
+
+@register("solution_nearest", O.with_vis(TV.solution_fixture_sql("scalar", with_freq=True)) + """
+SELECT p.obs_id, p.slot, p.chan, nt.st AS sol_time, nf.sf AS sol_freq
+FROM (SELECT DISTINCT obs_id, slot, chan, time, freq FROM vis) p
+JOIN (SELECT vt.time, arg_min(st.time, abs(st.time - vt.time)) AS st FROM (SELECT DISTINCT time FROM vis) vt,
+      (SELECT DISTINCT time FROM sol) st GROUP BY vt.time) nt USING (time)
+JOIN (SELECT vf.freq, arg_min(sf.freq, abs(sf.freq - vf.freq)) AS sf FROM (SELECT DISTINCT freq FROM vis) vf,
+      (SELECT DISTINCT freq FROM sol) sf GROUP BY vf.freq) nf USING (freq)""")
+def q_solution_nearest(spark, sf_dir):
+    vis = _vis(spark, sf_dir)
+    sol = TV.solution_fixture(vis, "scalar", with_freq=True)
+    pts = vis.select("obs_id", "slot", "chan", "time", "freq").distinct()
+    pts = LK.lookup_axis(pts, "time", LK.solution_axis(sol, "time"), "sol_time")
+    pts = LK.lookup_axis(pts, "freq", LK.solution_axis(sol, "freq"), "sol_freq")
+    return pts.select("obs_id", "slot", "chan", "sol_time", "sol_freq")
+
+
+@register("solution_linear", O.with_vis(TV.solution_fixture_sql("scalar")).rstrip() + f"""
+, st AS (SELECT DISTINCT time FROM sol), b AS (SELECT min(time) AS first, max(time) AS last FROM st),
+p AS (SELECT DISTINCT obs_id, slot, least(greatest(time, b.first), b.last) AS xc, b.last FROM vis, b),
+q AS (SELECT p.obs_id, p.slot, p.xc,
+  CASE WHEN p.xc = p.last THEN (SELECT max(time) FROM st WHERE time < p.xc) ELSE (SELECT max(time) FROM st WHERE time <= p.xc) END AS lo,
+  CASE WHEN p.xc = p.last THEN p.xc ELSE (SELECT min(time) FROM st WHERE time > p.xc) END AS hi FROM p)
+SELECT obs_id, slot, lo AS t_lo, hi AS t_hi, {O.qr('(xc - lo)/(hi - lo)', 9)} AS frac FROM q""")
+def q_solution_linear(spark, sf_dir):
+    vis = _vis(spark, sf_dir)
+    sol = TV.solution_fixture(vis, "scalar")
+    pts = vis.select("obs_id", "slot", "time").distinct()
+    pts = LK.lookup_axis(pts, "time", LK.solution_axis(sol, "time"), "t", mode="linear")
+    return pts.select("obs_id", "slot", "t_lo", "t_hi", qround(F.col("t_frac"), 9).alias("frac"))

@@ -186,7 +186,7 @@ def solution_fixture_sql(kind: str = "scalar", with_freq: bool = False, identity
         src.insert(0, f"(SELECT DISTINCT slot FROM vis WHERE slot % {SOL_EVERY} = 0) s")
         cols += ["s.slot", "17e8 + 8e0*s.slot AS time", f"CAST(floor(s.slot/{SOL_EVERY}e0) AS INT) AS tidx"]
     if with_freq and not identity:
-        src.append("(VALUES " + ", ".join(f"({i}, {f!r})" for i, f in enumerate(SOL_FREQS)) + ") f(fidx, freq)")
+        src.append("(VALUES " + ", ".join(f"({i}, CAST({f!r} AS DOUBLE))" for i, f in enumerate(SOL_FREQS)) + ") f(fidx, freq)")
         cols += ["f.fidx", "f.freq"]
     else:
         cols += ["CAST(NULL AS DOUBLE) AS freq"]
@@ -210,5 +210,71 @@ def solution_fixture_sql(kind: str = "scalar", with_freq: bool = False, identity
         ph = f"CASE WHEN {off} THEN 0e0 ELSE 1e-1*aidx END"
         tec = "1e-2*aidx"
     val = (f"CASE soltype WHEN 'amplitude' THEN {amp} WHEN 'phase' THEN {ph} ELSE {tec} END")
-    return (f"{name} AS (SELECT 'sol000' AS solset, soltype || '000' AS soltab, soltype, time, freq, ant, pol, "
+    axes = (["ant"] if identity else ["time"] + (["freq"] if with_freq else []) + ["ant"]) + (["pol"] if pols else [])
+    idx = {"time": "tidx", "freq": "fidx", "ant": "aidx", "pol": "pidx"}
+    axes_sql = "[" + ", ".join(f"'{a}'" for a in axes) + "]"
+    pos_sql = "[" + ", ".join(f"CAST({idx[a]} AS INTEGER)" for a in axes) + "]"
+    return (f"{name} AS (SELECT 'sol000' AS solset, soltype || '000' AS soltab, soltype, {axes_sql} AS axes, "
+            f"{pos_sql} AS pos, time, freq, ant, pol, CAST(NULL AS VARCHAR) AS dir, "
             f"CAST({val} AS DOUBLE) AS val, CAST(1 AS FLOAT) AS weight FROM {base} b)")
+
+
+def solution_catalog(vis: DataFrame) -> DataFrame:
+    """Many solution sets in one table: valid ones and one per broken rule."""
+    scalar = solution_fixture(vis, "scalar")
+    diag = solution_fixture(vis, "diagonal")
+    amp = F.col("soltype") == "amplitude"
+    t0, t1 = F.col("time") == F.lit(17e8), F.col("time") == F.lit(17e8 + 8e0 * SOL_EVERY)
+    a0, a3 = F.col("ant") == "ant0", F.col("ant") == "ant3"
+    parts = {
+        "scalar": scalar,
+        "diagonal": diag,
+        "fulljones": solution_fixture(vis, "fulljones"),
+        "tec": solution_fixture(vis, "scalar", soltypes=("tec",)),
+        "phase_full": solution_fixture(vis, "fulljones", soltypes=("phase",)),
+        "three": solution_fixture(vis, "scalar", soltypes=("amplitude", "phase", "tec")),
+        "bad_soltype": scalar.withColumn("soltype", F.when(amp, F.lit("zzz")).otherwise(F.col("soltype"))),
+        "bad_axis": scalar.withColumn("axes", F.array(F.lit("time"), F.lit("zzz"))),
+        "bad_pol": diag.withColumn("pol", F.when(F.col("pol") == "YY", F.lit("zzz")).otherwise(F.col("pol"))),
+        "bad_vw": scalar.withColumn("weight", F.when(amp & a0, F.lit(None).cast("float"))
+                                    .otherwise(F.col("weight"))),
+        "bad_cells": scalar.filter(~(amp & t1 & a3)),
+        "bad_1d": scalar.withColumn("time", F.when(amp & t0 & a0, F.col("time") + F.lit(1e0))
+                                    .otherwise(F.col("time"))),
+    }
+    out = None
+    for name, df in parts.items():
+        df = df.withColumn("solset", F.lit(name))
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+CATALOG_SQL = ",\n".join([
+    solution_fixture_sql("scalar", name="s_scalar"),
+    solution_fixture_sql("diagonal", name="s_diag"),
+    solution_fixture_sql("fulljones", name="s_full"),
+    solution_fixture_sql("scalar", soltypes=("tec",), name="s_tec"),
+    solution_fixture_sql("fulljones", soltypes=("phase",), name="s_phase_full"),
+    solution_fixture_sql("scalar", soltypes=("amplitude", "phase", "tec"), name="s_three"),
+    """cat AS (
+  SELECT * REPLACE ('scalar' AS solset) FROM s_scalar
+  UNION ALL BY NAME SELECT * REPLACE ('diagonal' AS solset) FROM s_diag
+  UNION ALL BY NAME SELECT * REPLACE ('fulljones' AS solset) FROM s_full
+  UNION ALL BY NAME SELECT * REPLACE ('tec' AS solset) FROM s_tec
+  UNION ALL BY NAME SELECT * REPLACE ('phase_full' AS solset) FROM s_phase_full
+  UNION ALL BY NAME SELECT * REPLACE ('three' AS solset) FROM s_three
+  UNION ALL BY NAME SELECT * REPLACE ('bad_soltype' AS solset,
+      CASE WHEN soltype = 'amplitude' THEN 'zzz' ELSE soltype END AS soltype) FROM s_scalar
+  UNION ALL BY NAME SELECT * REPLACE ('bad_axis' AS solset, ['time', 'zzz'] AS axes) FROM s_scalar
+  UNION ALL BY NAME SELECT * REPLACE ('bad_pol' AS solset, CASE WHEN pol = 'YY' THEN 'zzz' ELSE pol END AS pol) FROM s_diag
+  UNION ALL BY NAME SELECT * REPLACE ('bad_vw' AS solset,
+      CASE WHEN soltype = 'amplitude' AND ant = 'ant0' THEN CAST(NULL AS FLOAT) ELSE weight END AS weight) FROM s_scalar
+  UNION ALL BY NAME SELECT * REPLACE ('bad_cells' AS solset) FROM s_scalar
+      WHERE NOT (soltype = 'amplitude' AND time = 1700000200e0 AND ant = 'ant3')
+  UNION ALL BY NAME SELECT * REPLACE ('bad_1d' AS solset,
+      CASE WHEN soltype = 'amplitude' AND time = 17e8 AND ant = 'ant0' THEN time + 1e0 ELSE time END AS time) FROM s_scalar)""",
+    """sax AS (SELECT DISTINCT solset, soltab, axes[k] AS axis, CAST(k - 1 AS INTEGER) AS axis_pos, pos[k] AS pos,
+    CASE axes[k] WHEN 'time' THEN time WHEN 'freq' THEN freq END AS num_value,
+    CASE axes[k] WHEN 'ant' THEN ant WHEN 'pol' THEN pol WHEN 'dir' THEN dir END AS str_value
+  FROM cat, range(1, 6) r(k) WHERE k <= len(axes))""",
+])
