@@ -199,3 +199,57 @@ def applycal_sql(kind: str, src: str = "vis4", sol: str = "sol", out: str = "ac"
     sel += [f"(f{p} OR NOT {good}) AS f{p}" for p in POLS]
     ctes.append(f"{out} AS (SELECT {', '.join(sel)} FROM r)")
     return ctes
+
+
+# ---------------------------------------------------------- dynamic flagging
+
+TIME_PART = "PARTITION BY obs_id, ant1, ant2, chan ORDER BY slot"
+FREQ_PART = "PARTITION BY obs_id, ant1, ant2, slot ORDER BY chan"
+
+
+def dyn_prepare(src: str = "vis4", name: str = "d0") -> str:
+    pw = " + ".join(f"({p}_re*{p}_re + {p}_im*{p}_im)" for p in POLS)
+    return f"{name} AS (SELECT *, sqrt(({pw})/4e0) AS amp, (fxx OR fxy OR fyx OR fyy) AS fl FROM {src})"
+
+
+def dyn_residual(src: str, name: str, half_width: int = 2) -> str:
+    return (f"{name} AS (SELECT *, abs(amp - coalesce(avg(CASE WHEN NOT fl THEN amp END) OVER ({TIME_PART} "
+            f"ROWS BETWEEN {half_width} PRECEDING AND {half_width} FOLLOWING), amp)) AS resid FROM {src})")
+
+
+def dyn_noise(src: str, name: str) -> str:
+    return (f"{name} AS (SELECT *, median(CASE WHEN NOT fl THEN resid END) OVER "
+            f"(PARTITION BY obs_id, ant1, ant2, chan) AS noise FROM {src})")
+
+
+def dyn_sumthreshold(src: str, prefix: str, direction: str, sensitivity: float = 4.0,
+                     sizes=(1, 2, 4, 8, 16, 32, 64)) -> tuple[list[str], str]:
+    part = TIME_PART if direction == "time" else FREQ_PART
+    ctes, prev = [], src
+    for m in sizes:
+        k = m.bit_length() - 1
+        chi = f"(({dbl(sensitivity)}*noise)/{dbl(1.5 ** k)})"
+        x = f"CASE WHEN fl THEN {chi} ELSE resid END"
+        fwd = f"({part} ROWS BETWEEN CURRENT ROW AND {m - 1} FOLLOWING)"
+        a, b = f"{prefix}{m}a", f"{prefix}{m}b"
+        ctes.append(f"{a} AS (SELECT *, coalesce(count(*) OVER {fwd} = {m} AND sum({x}) OVER {fwd} > {m}e0*{chi}, false) "
+                    f"AS hit FROM {prev})")
+        ctes.append(f"{b} AS (SELECT * EXCLUDE (fl, hit), fl OR bool_or(hit) OVER ({part} ROWS BETWEEN {m - 1} PRECEDING "
+                    f"AND CURRENT ROW) AS fl FROM {a})")
+        prev = b
+    return ctes, prev
+
+
+def dyn_sir(src: str, prefix: str, direction: str, eta: float = 0.2) -> tuple[list[str], str]:
+    part = TIME_PART if direction == "time" else FREQ_PART
+    a, b = f"{prefix}a", f"{prefix}b"
+    return [f"{a} AS (SELECT *, sum(CASE WHEN fl THEN {dbl(eta)} ELSE {dbl(eta - 1.0)} END) OVER ({part} "
+            f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS p FROM {src})",
+            f"{b} AS (SELECT * EXCLUDE (fl, p), fl OR round(max(p) OVER ({part} ROWS BETWEEN CURRENT ROW AND UNBOUNDED "
+            f"FOLLOWING) - least(0e0, coalesce(min(p) OVER ({part} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), "
+            f"0e0)), 9) >= 0 AS fl FROM {a})"], b
+
+
+def dyn_merge(src: str, name: str) -> str:
+    return (f"{name} AS (SELECT * EXCLUDE (fxx, fxy, fyx, fyy, amp, fl, resid, noise), fxx OR fl AS fxx, "
+            f"fxy OR fl AS fxy, fyx OR fl AS fyx, fyy OR fl AS fyy FROM {src})")

@@ -303,3 +303,72 @@ def q_solution_linear(spark, sf_dir):
     pts = vis.select("obs_id", "slot", "time").distinct()
     pts = LK.lookup_axis(pts, "time", LK.solution_axis(sol, "time"), "t", mode="linear")
     return pts.select("obs_id", "slot", "t_lo", "t_hi", qround(F.col("t_frac"), 9).alias("frac"))
+
+
+# ---------------------------------------------------------- dynamic flagging
+
+from ..operators import dynamic_flagging as DF  # noqa: E402
+
+_KEYS = ["obs_id", "slot", "ant1", "ant2", "chan"]
+_DYN_BASE = [O.dyn_prepare(), O.dyn_residual("d0", "d1"), O.dyn_noise("d1", "d2")]
+
+
+def _dyn_base(spark, sf_dir):
+    df = DF.prepare(_vis(spark, sf_dir))
+    df = DF.background_residual(df)
+    return DF.noise_scale(df)
+
+
+@register("background_residual", O.with_vis(*_DYN_BASE[:2]) + f"SELECT {O.KEY}, {O.qr('resid')} AS resid FROM d1")
+def q_background_residual(spark, sf_dir):
+    df = DF.background_residual(DF.prepare(_vis(spark, sf_dir)))
+    return df.select(*_KEYS, qround(F.col("resid")).alias("resid"))
+
+
+@register("noise_scale", O.with_vis(*_DYN_BASE) + f"SELECT DISTINCT obs_id, ant1, ant2, chan, {O.qr('noise')} AS noise FROM d2")
+def q_noise_scale(spark, sf_dir):
+    return _dyn_base(spark, sf_dir).select("obs_id", "ant1", "ant2", "chan", qround(F.col("noise")).alias("noise")).distinct()
+
+
+def _st_sql(direction):
+    ctes, last = O.dyn_sumthreshold("d2", f"st{direction[0]}", direction)
+    return O.with_vis(*_DYN_BASE, *ctes) + f"SELECT {O.KEY}, fl AS flag FROM {last}"
+
+
+@register("sumthreshold_time", _st_sql("time"))
+def q_sumthreshold_time(spark, sf_dir):
+    return DF.sumthreshold(_dyn_base(spark, sf_dir), "time").select(*_KEYS, F.col("fl").alias("flag"))
+
+
+@register("sumthreshold_freq", _st_sql("freq"))
+def q_sumthreshold_freq(spark, sf_dir):
+    return DF.sumthreshold(_dyn_base(spark, sf_dir), "freq").select(*_KEYS, F.col("fl").alias("flag"))
+
+
+def _sir_sql(direction):
+    ctes, last = O.dyn_sir("d0", f"sir{direction[0]}", direction)
+    return O.with_vis(O.dyn_prepare(), *ctes) + f"SELECT {O.KEY}, fl AS flag FROM {last}"
+
+
+@register("sir_time", _sir_sql("time"))
+def q_sir_time(spark, sf_dir):
+    return DF.sir(DF.prepare(_vis(spark, sf_dir)), "time").select(*_KEYS, F.col("fl").alias("flag"))
+
+
+@register("sir_freq", _sir_sql("freq"))
+def q_sir_freq(spark, sf_dir):
+    return DF.sir(DF.prepare(_vis(spark, sf_dir)), "freq").select(*_KEYS, F.col("fl").alias("flag"))
+
+
+def _dyn_full_sql(src="vis4", out="dyn"):
+    c1, l1 = O.dyn_sumthreshold("d2", "stt", "time")
+    c2, l2 = O.dyn_sumthreshold(l1, "stf", "freq")
+    c3, l3 = O.dyn_sir(l2, "sit", "time")
+    c4, l4 = O.dyn_sir(l3, "sif", "freq")
+    base = [O.dyn_prepare(src), O.dyn_residual("d0", "d1"), O.dyn_noise("d1", "d2")]
+    return [*base, *c1, *c2, *c3, *c4, O.dyn_merge(l4, out)]
+
+
+@register("dynamic_flag", O.with_vis(*_dyn_full_sql()) + f"SELECT {O.out_cols()} FROM dyn")
+def q_dynamic_flag(spark, sf_dir):
+    return TV.flatten(DF.dynamic_flag(_vis(spark, sf_dir)))
