@@ -253,3 +253,20 @@ def dyn_sir(src: str, prefix: str, direction: str, eta: float = 0.2) -> tuple[li
 def dyn_merge(src: str, name: str) -> str:
     return (f"{name} AS (SELECT * EXCLUDE (fxx, fxy, fyx, fyy, amp, fl, resid, noise), fxx OR fl AS fxx, "
             f"fxy OR fl AS fxy, fyx OR fl AS fyx, fyy OR fl AS fyy FROM {src})")
+
+
+# ------------------------------------------------------------------- sky SQL
+
+TWO_PI = "6.283185307179586e0"
+C_LIGHT = "299792458e0"
+
+
+def comp_phase_sql(l_: float, m_: float, sign: str = "-") -> str:
+    import math
+    n_ = math.sqrt(1.0 - l_ * l_ - m_ * m_)
+    return (f"{sign}((({TWO_PI}*freq)/{C_LIGHT}) * (u*{dbl(l_)} + v*{dbl(m_)} + w*({dbl(n_)} - 1e0)))")
+
+
+def comp_term_sql(l_: float, m_: float, flux: float) -> tuple[str, str]:
+    ph = comp_phase_sql(l_, m_)
+    return (f"({dbl(flux)}*cos({ph}))", f"({dbl(flux)}*sin({ph}))")

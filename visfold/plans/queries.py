@@ -372,3 +372,142 @@ def _dyn_full_sql(src="vis4", out="dyn"):
 @register("dynamic_flag", O.with_vis(*_dyn_full_sql()) + f"SELECT {O.out_cols()} FROM dyn")
 def q_dynamic_flag(spark, sf_dir):
     return TV.flatten(DF.dynamic_flag(_vis(spark, sf_dir)))
+
+
+# -------------------------------------------------------- sky model, predict
+
+from ..functions import sky as SKF  # noqa: E402
+from ..operators import predict as PR  # noqa: E402
+from ..sources import skymodel as SM  # noqa: E402
+
+
+def _sky(spark, sf_dir):
+    return TV.sky_model_from_events(spark, sf_dir)
+
+
+def _r9(c):
+    return qround(F.col(c) if isinstance(c, str) else c, 9)
+
+
+@register("scan_sky_model", O.with_vis(TV.SKY_TEXT_SQL) + f"""SELECT name, type, patch, {O.qr('ra', 9)} AS ra,
+  {O.qr('dec', 9)} AS dec, {O.qr('flux_i')} AS flux_i, {O.qr('si_0')} AS si_0, {O.qr('si_1')} AS si_1, log_si,
+  ref_freq, major, minor, orientation FROM scomp""")
+def q_scan_sky_model(spark, sf_dir):
+    _, comps = _sky(spark, sf_dir)
+    return comps.select("name", "type", "patch", _r9("ra").alias("ra"), _r9("dec").alias("dec"),
+                        qround(F.col("flux_i")).alias("flux_i"), qround(F.element_at("si", 1)).alias("si_0"),
+                        qround(F.element_at("si", 2)).alias("si_1"), "log_si", "ref_freq", "major", "minor",
+                        "orientation")
+
+
+@register("parse_angle", O.with_vis(TV.SKY_TEXT_SQL) + f"SELECT patch, {O.qr('ra', 9)} AS ra, {O.qr('dec', 9)} AS dec FROM spatch")
+def q_parse_angle(spark, sf_dir):
+    patches, _ = _sky(spark, sf_dir)
+    return patches.select("patch", _r9("ra").alias("ra"), _r9("dec").alias("dec"))
+
+
+@register("select_patches", O.with_vis(TV.SKY_TEXT_SQL) + f"""SELECT patch, {O.qr('ra', 9)} AS ra, {O.qr('dec', 9)} AS dec
+  FROM spatch WHERE patch IN ('patch1', 'patch3', 'patch4')""")
+def q_select_patches(spark, sf_dir):
+    patches, _ = _sky(spark, sf_dir)
+    sel = SM.select_patches(patches, ["patch1", "patch3", "patch4"])
+    return sel.select("patch", _r9("ra").alias("ra"), _r9("dec").alias("dec"))
+
+
+@register("patch_components", O.with_vis(TV.SKY_TEXT_SQL) + f"""SELECT c.name, c.patch, {O.qr('p.ra', 9)} AS patch_ra,
+  {O.qr('p.dec', 9)} AS patch_dec FROM scomp c JOIN spatch p USING (patch)""")
+def q_patch_components(spark, sf_dir):
+    patches, comps = _sky(spark, sf_dir)
+    j = SM.patch_components(patches, comps)
+    return j.select("name", "patch", _r9("patch_ra").alias("patch_ra"), _r9("patch_dec").alias("patch_dec"))
+
+
+_RA0, _DEC0 = "radians(5.2e1)", "radians(-2.8e1)"
+
+
+@register("direction_cosines", O.with_vis(TV.SKY_TEXT_SQL, f"""dc AS (SELECT name, cos(dec)*sin(ra - {_RA0}) AS l,
+  sin(dec)*cos({_DEC0}) - cos(dec)*sin({_DEC0})*cos(ra - {_RA0}) AS m FROM scomp)""")
+    + f"SELECT name, {O.qr('l', 9)} AS l, {O.qr('m', 9)} AS m, {O.qr('sqrt(1e0 - l*l - m*m)', 9)} AS n FROM dc")
+def q_direction_cosines(spark, sf_dir):
+    _, comps = _sky(spark, sf_dir)
+    dc = SKF.direction_cosines("ra", "dec", F.radians(F.lit(5.2e1)), F.radians(F.lit(-2.8e1)))
+    return comps.select("name", dc.alias("d")).select(
+        "name", _r9("d.l").alias("l"), _r9("d.m").alias("m"), _r9("d.n").alias("n"))
+
+
+def _flux_sql(f: float) -> str:
+    x = f"({O.dbl(f)}/ref_freq)"
+    log = f"(flux_i*pow({x}, (0e0 + si_0*pow(log10({x}), 0e0)) + si_1*pow(log10({x}), 1e0)))"
+    lin = f"(flux_i + ((0e0 + si_0*pow({x} - 1e0, 1e0)) + si_1*pow({x} - 1e0, 2e0)))"
+    return f"CASE WHEN log_si THEN {log} ELSE {lin} END"
+
+
+@register("component_flux", O.with_vis(TV.SKY_TEXT_SQL) + f"""SELECT name, {O.qr(_flux_sql(1.5e8))} AS flux_lo,
+  {O.qr(_flux_sql(9.6e8))} AS flux_hi FROM scomp""")
+def q_component_flux(spark, sf_dir):
+    _, comps = _sky(spark, sf_dir)
+    fl = lambda f: SKF.component_flux("flux_i", "si", "log_si", "ref_freq", F.lit(f))
+    return comps.select("name", qround(fl(1.5e8)).alias("flux_lo"), qround(fl(9.6e8)).alias("flux_hi"))
+
+
+def _shape_sql():
+    import math
+    k = SKF.ARCSEC * SKF.FWHM_TO_SIGMA
+    smaj, smin = f"(6e1*{O.dbl(k)})", f"(3e1*{O.dbl(k)})"
+    ul, vl = f"(u*(freq/{C_SQL}))", f"(v*(freq/{C_SQL}))"
+    along = f"({ul}*sin(radians(3e1)) + {vl}*cos(radians(3e1)))"
+    across = f"({ul}*cos(radians(3e1)) - {vl}*sin(radians(3e1)))"
+    return f"exp({O.dbl(-2.0 * math.pi ** 2)}*({smaj}*{smaj}*{along}*{along} + {smin}*{smin}*{across}*{across}))"
+
+
+C_SQL = O.C_LIGHT
+
+
+@register("component_shape", O.with_vis() + f"SELECT {O.KEY}, {O.qr(_shape_sql(), 9)} AS shape FROM vis4")
+def q_component_shape(spark, sf_dir):
+    vis = _vis(spark, sf_dir)
+    sh = SKF.component_shape(F.lit("GAUSSIAN"), "u", "v", "freq", F.lit(6e1), F.lit(3e1), F.lit(3e1))
+    return vis.select(*_KEYS, _r9(sh).alias("shape"))
+
+
+def _rot_cols(l_, m_):
+    ph = O.comp_phase_sql(l_, m_, sign="")
+    cols = []
+    for p in O.POLS:
+        cols.append(f"{p}_re*cos({ph}) - {p}_im*sin({ph}) AS {p}_re")
+        cols.append(f"{p}_re*sin({ph}) + {p}_im*cos({ph}) AS {p}_im")
+    return ", ".join(cols)
+
+
+@register("phase_rotate", O.with_vis(
+    f"r AS (SELECT * REPLACE ({_rot_cols(1e-3, 2e-3)}) FROM vis4)") + f"SELECT {O.out_cols()} FROM r")
+def q_phase_rotate(spark, sf_dir):
+    return TV.flatten(PR.phase_rotate(_vis(spark, sf_dir), 1e-3, 2e-3))
+
+
+def _model_cols_sql():
+    (ar, ai), (br, bi) = [O.comp_term_sql(l_, m_, f) for (_, _, _, l_, m_, f) in TV.SKY_COMPONENTS]
+    return ar, ai, br, bi
+
+
+def _predict_sql():
+    ar, ai, br, bi = _model_cols_sql()
+    re, im = f"({ar} + {br})", f"({ai} + {bi})"
+    rep = (f"{re} AS xx_re, {im} AS xx_im, 0e0 AS xy_re, 0e0 AS xy_im, 0e0 AS yx_re, 0e0 AS yx_im, "
+           f"{re} AS yy_re, {im} AS yy_im")
+    return f"pv AS (SELECT * REPLACE ({rep}) FROM vis4)"
+
+
+@register("predict", O.with_vis(_predict_sql()) + f"SELECT {O.out_cols()} FROM pv")
+def q_predict(spark, sf_dir):
+    return TV.flatten(PR.predict(_vis(spark, sf_dir), TV.sky_components(spark)))
+
+
+@register("predict_per_patch", O.with_vis(f"""pp AS (
+  SELECT {O.KEY}, 'bright_a' AS patch, {_model_cols_sql()[0]} AS model_re, {_model_cols_sql()[1]} AS model_im FROM vis4
+  UNION ALL SELECT {O.KEY}, 'bright_b', {_model_cols_sql()[2]}, {_model_cols_sql()[3]} FROM vis4)""")
+    + f"SELECT {O.KEY}, patch, {O.qr('model_re')} AS model_re, {O.qr('model_im')} AS model_im FROM pp")
+def q_predict_per_patch(spark, sf_dir):
+    pp = PR.predict_per_patch(_vis(spark, sf_dir), TV.sky_components(spark))
+    return pp.select(*_KEYS, "patch", qround(F.col("model.re")).alias("model_re"),
+                     qround(F.col("model.im")).alias("model_im"))

@@ -278,3 +278,69 @@ CATALOG_SQL = ",\n".join([
     CASE axes[k] WHEN 'ant' THEN ant WHEN 'pol' THEN pol WHEN 'dir' THEN dir END AS str_value
   FROM cat, range(1, 6) r(k) WHERE k <= len(axes))""",
 ])
+
+
+# Fixed values of the sky fixture: two point sources, direction cosines given.
+SKY_COMPONENTS = (("point_a", "POINT", "bright_a", 1e-3, 2e-3, 1e0),
+                  ("point_b", "POINT", "bright_b", -2e-3, 1e-3, 5e-1))
+SKY_PATCHES = (("bright_a", 1e-3, 2e-3), ("bright_b", -2e-3, 1e-3))
+SKY_COMP_SQL = ("sky_comp AS (SELECT * FROM (VALUES ('point_a','POINT','bright_a',1e-3,2e-3,1e0),"
+                "('point_b','POINT','bright_b',-2e-3,1e-3,5e-1)) t(name, type, patch, l, m, flux_i))")
+
+
+def sky_components(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(SKY_COMPONENTS),
+                                 "name string, type string, patch string, l double, m double, flux_i double")
+
+
+SKY_HEADER = ("FORMAT = Name, Type, Patch, Ra, Dec, I, SpectralIndex, LogarithmicSI, ReferenceFrequency, "
+              "MajorAxis, MinorAxis, Orientation")
+
+
+def sky_text_lines(events: DataFrame) -> DataFrame:
+    """Sky-model text lines derived from ``events``: one component per user,
+    one patch per user_id % 10, angles in deg, rad, plain degrees and sexagesimal."""
+    u = events.groupBy("user_id").agg(F.avg("value").alias("v"))
+    uid = F.col("user_id")
+    ra_deg = F.lit(5.2e1) + F.lit(1e-3) * uid
+    dec_deg = F.lit(-2.8e1) - F.lit(5e-4) * uid
+    gauss = uid % 7 == 0
+    s = lambda c: c.cast("string")
+    ra_txt = F.when(uid % 5 == 0, F.concat(s(F.radians(ra_deg)), F.lit("rad"))).otherwise(F.concat(s(ra_deg), F.lit("deg")))
+    comp = u.select(F.concat_ws(
+        ", ", F.concat(F.lit("src"), s(uid)), F.when(gauss, "GAUSSIAN").otherwise("POINT"),
+        F.concat(F.lit("patch"), s(uid % 10)), ra_txt, F.concat(s(dec_deg), F.lit("deg")), s(F.col("v")),
+        F.concat(F.lit("[-0.7, "), s(F.lit(1e-1) * (uid % 3)), F.lit("]")),
+        F.when(uid % 2 == 0, "true").otherwise("false"), F.lit("1.4e8"),
+        F.when(gauss, "6e1").otherwise(""), F.when(gauss, "3e1").otherwise(""),
+        F.when(gauss, s(F.lit(1e1) * (uid % 18))).otherwise("")).alias("line"))
+    k = F.col("k")
+    pra = F.when(k % 2 == 0, F.concat(s(F.lit(5.2e1) + F.lit(1e-1) * k), F.lit("deg"))).otherwise(
+        F.concat(F.lit("03:"), F.lpad(s(F.lit(2) * k), 2, "0"), F.lit(":"), s(F.lit(10) + k), F.lit(".25")))
+    pdec = F.when(k % 3 == 0, F.concat(F.lit("-27."), F.lpad(s(F.lit(3) * k), 2, "0"), F.lit("."),
+                                       F.lpad(s(F.lit(5) * k), 2, "0"), F.lit(".5"))).otherwise(
+        s(F.lit(-2.8e1) + F.lit(1e-1) * k))
+    patch = (events.select((F.col("user_id") % 10).alias("k")).distinct()
+             .select(F.concat_ws(", ", F.lit(""), F.lit(""), F.concat(F.lit("patch"), s(k)), pra, pdec).alias("line")))
+    return comp.unionByName(patch)
+
+
+SKY_TEXT_SQL = """users AS (SELECT user_id AS uid, avg(value) AS v FROM events GROUP BY user_id),
+scomp AS (SELECT 'src' || CAST(uid AS VARCHAR) AS name, CASE WHEN uid % 7 = 0 THEN 'GAUSSIAN' ELSE 'POINT' END AS type,
+  'patch' || CAST(uid % 10 AS VARCHAR) AS patch, radians(5.2e1 + 1e-3*uid) AS ra, radians(-2.8e1 - 5e-4*uid) AS dec,
+  v AS flux_i, -0.7e0 AS si_0, 1e-1*(uid % 3) AS si_1, uid % 2 = 0 AS log_si, 1.4e8 AS ref_freq,
+  CASE WHEN uid % 7 = 0 THEN 6e1 END AS major, CASE WHEN uid % 7 = 0 THEN 3e1 END AS minor,
+  CASE WHEN uid % 7 = 0 THEN 1e1*(uid % 18) END AS orientation FROM users),
+spatch AS (SELECT 'patch' || CAST(k AS VARCHAR) AS patch,
+  CASE WHEN k % 2 = 0 THEN radians(5.2e1 + 1e-1*k) ELSE radians((3e0 + (2*k)/6e1 + (10 + k + 0.25e0)/3.6e3) * 1.5e1) END AS ra,
+  CASE WHEN k % 3 = 0 THEN -radians(27e0 + (3*k)/6e1 + (5*k + 0.5e0)/3.6e3) ELSE radians(-2.8e1 + 1e-1*k) END AS dec
+  FROM (SELECT DISTINCT user_id % 10 AS k FROM events))"""
+
+
+def sky_model_from_events(spark: SparkSession, sf_dir: str):
+    """Write the derived sky text under the checkpoint folder and parse it back."""
+    from ..session import scratch_path
+    from .skymodel import scan_sky_model, write_sky_model
+    path = scratch_path(spark, "sky")
+    write_sky_model(sky_text_lines(read_table(spark, sf_dir, "events")), path, SKY_HEADER)
+    return scan_sky_model(spark, path)
