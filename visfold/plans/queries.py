@@ -511,3 +511,125 @@ def q_predict_per_patch(spark, sf_dir):
     pp = PR.predict_per_patch(_vis(spark, sf_dir), TV.sky_components(spark))
     return pp.select(*_KEYS, "patch", qround(F.col("model.re")).alias("model_re"),
                      qround(F.col("model.im")).alias("model_im"))
+
+
+# -------------------------------------------------------------------- demix
+
+from ..operators import demix as DX  # noqa: E402
+
+_DX = dict(timestep=2, freqstep=2, solint_t=2, solint_f=2)
+
+
+def _demix_avg_sql():
+    ar, ai, br, bi = _model_cols_sql()
+    aggs = ["sum(wv) AS w"]
+    for name in ["vxx", "vyy", "m0", "m1"]:
+        src = {"vxx": "xx", "vyy": "yy", "m0": "m0", "m1": "m1"}[name]
+        for x in ("re", "im"):
+            aggs.append(f"sum(wv*{src}_{x})/sum(wv) AS {name}_{x}")
+    return [
+        f"pm AS (SELECT *, {ar} AS m0_re, {ai} AS m0_im, {br} AS m1_re, {bi} AS m1_im FROM vis4)",
+        "fs AS (SELECT obs_id, min(slot) AS first_slot FROM vis4 GROUP BY obs_id)",
+        "bb AS (SELECT pm.*, CAST(floor((slot - fs.first_slot)/2e0) AS BIGINT) AS tbin, CAST(floor(chan/2e0) AS INT) AS fbin, "
+        "CASE WHEN ant1 != ant2 AND NOT fxx AND NOT fyy THEN weight ELSE 0e0 END AS wv FROM pm JOIN fs USING (obs_id))",
+        "b2 AS (SELECT *, CAST(floor(tbin/2e0) AS BIGINT) AS tsol, CAST(floor(fbin/2e0) AS INT) AS fsol FROM bb)",
+        f"av AS (SELECT obs_id, tsol, fsol, tbin, fbin, ant1, ant2, {', '.join(aggs)} FROM b2 "
+        "GROUP BY obs_id, tsol, fsol, tbin, fbin, ant1, ant2 HAVING sum(wv) > 0)",
+    ]
+
+
+def _avg_cols():
+    return ["obs_id", "tsol", "fsol", "tbin", "fbin", "ant1", "ant2", "w"] + \
+        [f"{n}_{x}" for n in ("vxx", "vyy", "m0", "m1") for x in ("re", "im")]
+
+
+def _spark_demix_avg(spark, sf_dir):
+    vm, patches = PR.patch_models(_vis(spark, sf_dir), TV.sky_components(spark))
+    return vm, DX.demix_average(vm, len(patches), **_DX)
+
+
+@register("demix_average", O.with_vis(*_demix_avg_sql()) + "SELECT " + ", ".join(
+    c if c in ("obs_id", "tsol", "fsol", "tbin", "fbin", "ant1", "ant2") else f"{O.qr(c)} AS {c}" for c in _avg_cols())
+    + " FROM av")
+def q_demix_average(spark, sf_dir):
+    _, avg = _spark_demix_avg(spark, sf_dir)
+    return avg.select(*[c if c in ("obs_id", "tsol", "fsol", "tbin", "fbin", "ant1", "ant2") else qround(F.col(c)).alias(c)
+                        for c in _avg_cols()])
+
+
+def _scalar_fit_sql():
+    parts = []
+    for k in range(2):
+        nr, ni, dd = [], [], []
+        for p in ("xx", "yy"):
+            m_re, m_im, v_re, v_im = f"m{k}_re", f"m{k}_im", f"v{p}_re", f"v{p}_im"
+            nr.append(f"(({m_re}*{v_re} - (-{m_im})*{v_im})*w)")
+            ni.append(f"(({m_re}*{v_im} + (-{m_im})*{v_re})*w)")
+            dd.append(f"(({m_re}*{m_re} + {m_im}*{m_im})*w)")
+        parts += [f"sum({' + '.join(nr)}) AS nr{k}", f"sum({' + '.join(ni)}) AS ni{k}", f"sum({' + '.join(dd)}) AS d{k}"]
+    return (f"fg AS (SELECT obs_id, tsol, fsol, {', '.join(parts)} FROM av GROUP BY obs_id, tsol, fsol), "
+            "gains AS (SELECT obs_id, tsol, fsol, 0 AS patch_idx, nr0/d0 AS g_re, ni0/d0 AS g_im FROM fg "
+            "UNION ALL SELECT obs_id, tsol, fsol, 1, nr1/d1, ni1/d1 FROM fg)")
+
+
+@register("fit_direction_scalar", O.with_vis(*_demix_avg_sql(), _scalar_fit_sql())
+          + f"SELECT obs_id, tsol, fsol, patch_idx, {O.qr('g_re')} AS g_re, {O.qr('g_im')} AS g_im FROM gains")
+def q_fit_direction_scalar(spark, sf_dir):
+    _, avg = _spark_demix_avg(spark, sf_dir)
+    g = DX.fit_direction_scalar(avg, 2)
+    return g.select("obs_id", "tsol", "fsol", F.col("patch_idx").cast("int").alias("patch_idx"),
+                    qround(F.col("g_re")).alias("g_re"), qround(F.col("g_im")).alias("g_im"))
+
+
+def _subtract_sql():
+    ok = " AND ".join(f"g{k}_{x} IS NOT NULL AND isfinite(g{k}_{x})" for k in range(2) for x in ("re", "im"))
+    t_re = [f"(g{k}_re*m{k}_re - g{k}_im*m{k}_im)" for k in range(2)]
+    t_im = [f"(g{k}_re*m{k}_im + g{k}_im*m{k}_re)" for k in range(2)]
+    rep = []
+    for p in ("xx", "yy"):
+        rep.append(f"CASE WHEN ok THEN {p}_re - ((0e0 + {t_re[0]}) + {t_re[1]}) ELSE {p}_re END AS {p}_re")
+        rep.append(f"CASE WHEN ok THEN {p}_im - ((0e0 + {t_im[0]}) + {t_im[1]}) ELSE {p}_im END AS {p}_im")
+    flags = ", ".join(f"f{p} OR NOT ok AS f{p}" for p in O.POLS)
+    return [
+        "gw AS (SELECT obs_id, tsol, fsol, " + ", ".join(
+            f"max(CASE WHEN patch_idx = {k} THEN g_{x} END) AS g{k}_{x}" for k in range(2) for x in ("re", "im"))
+        + " FROM gains GROUP BY obs_id, tsol, fsol)",
+        f"sj AS (SELECT b2.*, gw.* EXCLUDE (obs_id, tsol, fsol), coalesce({ok}, false) AS ok FROM b2 "
+        "LEFT JOIN gw USING (obs_id, tsol, fsol))",
+        f"sub AS (SELECT * REPLACE ({', '.join(rep)}, {flags}) FROM sj)",
+    ]
+
+
+@register("subtract_sources", O.with_vis(*_demix_avg_sql(), _scalar_fit_sql(), *_subtract_sql())
+          + f"SELECT {O.out_cols()} FROM sub")
+def q_subtract_sources(spark, sf_dir):
+    vm, avg = _spark_demix_avg(spark, sf_dir)
+    g = DX.fit_direction_scalar(avg, 2)
+    out = DX.subtract_sources(vm, g, [0, 1], scalar=True, **_DX)
+    return TV.flatten(out)
+
+
+@register("write_demix_gains", O.with_vis(*_demix_avg_sql(), _scalar_fit_sql())
+          + f"""SELECT obs_id, tsol, fsol, patch_idx, CASE patch_idx WHEN 0 THEN 'bright_a' ELSE 'bright_b' END AS patch,
+  {O.qr('g_re')} AS g_re, {O.qr('g_im')} AS g_im FROM gains""")
+def q_write_demix_gains(spark, sf_dir):
+    from ..session import scratch_path
+    _, avg = _spark_demix_avg(spark, sf_dir)
+    path = scratch_path(spark, "demix-gains")
+    DX.write_demix_gains(DX.fit_direction_scalar(avg, 2), ["bright_a", "bright_b"], path)
+    back = spark.read.parquet(path)
+    return back.select(F.col("obs_id").cast("bigint").alias("obs_id"), "tsol", "fsol",
+                       F.col("patch_idx").cast("int").alias("patch_idx"), "patch",
+                       qround(F.col("g_re")).alias("g_re"), qround(F.col("g_im")).alias("g_im"))
+
+
+@register("fit_direction_gains")
+def q_fit_direction_gains(spark, sf_dir):
+    _, avg = _spark_demix_avg(spark, sf_dir)
+    return DX.fit_direction_gains(avg, 2)
+
+
+@register("demix")
+def q_demix(spark, sf_dir):
+    out, _ = DX.demix(_vis(spark, sf_dir), TV.sky_components(spark), subtract=["bright_a", "bright_b"], **_DX)
+    return TV.flatten(out)
