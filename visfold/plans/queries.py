@@ -633,3 +633,148 @@ def q_fit_direction_gains(spark, sf_dir):
 def q_demix(spark, sf_dir):
     out, _ = DX.demix(_vis(spark, sf_dir), TV.sky_components(spark), subtract=["bright_a", "bright_b"], **_DX)
     return TV.flatten(out)
+
+
+# ------------------------------------------------------------- scans, sinks
+
+from ..plans import preprocess as PP  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import visibilities as VI  # noqa: E402
+
+_VIS_OUT = O.with_vis() + f"SELECT {O.out_cols()} FROM vis4"
+
+
+def _written(spark, sf_dir, extra=None):
+    """Write the derived visibilities (rows layout, obs_id partitions); return the folder."""
+    vis = _vis(spark, sf_dir)
+    extra_cols = ()
+    if extra == "corrected":
+        vis = vis.withColumn("corrected_data", F.struct(*[C.c_scale(F.col("data").getField(p), 2.0).alias(p)
+                                                         for p in C.POLS]))
+        extra_cols = ("corrected_data",)
+    path = scratch_path(spark, "vis")
+    VI.write_visibilities(vis, path, overwrite=True, extra_data=extra_cols)
+    return path
+
+
+from ..functions import cplx as C  # noqa: E402
+
+
+@register("rows_to_channels", _VIS_OUT)
+def q_rows_to_channels(spark, sf_dir):
+    return TV.flatten(VI.rows_to_channels(VI.channels_to_rows(_vis(spark, sf_dir))))
+
+
+@register("channels_to_rows", O.with_vis() + f"""SELECT obs_id, slot, ant1, ant2, count(*) AS n_chan,
+  string_agg(CAST(chan AS VARCHAR), ',' ORDER BY chan) AS chans, {O.qr('sum(xx_re)')} AS xx_re_sum,
+  bool_or(flag) AS any_flag FROM vis GROUP BY obs_id, slot, ant1, ant2""")
+def q_channels_to_rows(spark, sf_dir):
+    r = VI.channels_to_rows(_vis(spark, sf_dir))
+    return r.select("obs_id", "slot", "ant1", "ant2", F.size("chan").cast("bigint").alias("n_chan"),
+                    F.array_join(F.transform("chan", lambda c: c.cast("string")), ",").alias("chans"),
+                    qround(F.aggregate(F.transform("data", lambda d: d["xx"]["re"]), F.lit(0.0),
+                                       lambda a, b: a + b)).alias("xx_re_sum"),
+                    F.exists("flag", lambda f: f["xx"]).alias("any_flag"))
+
+
+@register("write_visibilities", _VIS_OUT)
+def q_write_visibilities(spark, sf_dir):
+    return TV.flatten(VI.scan_visibilities(spark, _written(spark, sf_dir)))
+
+
+@register("scan_visibilities", _VIS_OUT)
+def q_scan_visibilities(spark, sf_dir):
+    root = _written(spark, sf_dir)
+    obs = [r["obs_id"] for r in spark.read.parquet(root).select("obs_id").distinct().collect()]
+    paths = [f"{root}/obs_id={k}" for k in obs]
+    manifest = spark.createDataFrame([(p, int(k)) for p, k in zip(paths, obs)], "path string, obs_id bigint")
+    return TV.flatten(VI.scan_visibilities(spark, paths, manifest=manifest))
+
+
+@register("select_data_column", O.with_vis(
+    "d AS (SELECT * REPLACE (" + ", ".join(f"2e0*{p}_{x} AS {p}_{x}" for p in O.POLS for x in ("re", "im"))
+    + ") FROM vis4)") + f"SELECT {O.out_cols()} FROM d")
+def q_select_data_column(spark, sf_dir):
+    return TV.flatten(VI.scan_visibilities(spark, _written(spark, sf_dir, "corrected"), data_column="CORRECTED_DATA"))
+
+
+@register("scan_flags", O.with_vis() + f"SELECT {O.KEY}, fxx AS flag_xx, fxy AS flag_xy, fyx AS flag_yx, fyy AS flag_yy FROM vis4")
+def q_scan_flags(spark, sf_dir):
+    f = VI.scan_flags(VI.scan_visibilities(spark, _written(spark, sf_dir)))
+    return f.select(*_KEYS, *[F.col("flag").getField(p).alias(f"flag_{p}") for p in C.POLS])
+
+
+@register("scan_antennas", O.with_vis_ant() + "SELECT obs_id, ant, name FROM antenna")
+def q_scan_antennas(spark, sf_dir):
+    path = scratch_path(spark, "antenna")
+    VI.write_antennas(TV.antenna_table(_vis(spark, sf_dir)), path)
+    return VI.scan_antennas(spark, path)
+
+
+@register("copy_through", _VIS_OUT)
+def q_copy_through(spark, sf_dir):
+    path = scratch_path(spark, "copy")
+    VI.write_visibilities(PP.copy_through(_vis(spark, sf_dir)), path)
+    return TV.flatten(VI.scan_visibilities(spark, path))
+
+
+@register("order_output", _VIS_OUT)
+def q_order_output(spark, sf_dir):
+    return TV.flatten(VI.order_output(_vis(spark, sf_dir), with_chan=True))
+
+
+@register("time_slots", O.with_vis() + """SELECT obs_id, time, CAST(dense_rank() OVER (PARTITION BY obs_id ORDER BY time) - 1 AS BIGINT)
+  AS rel_slot FROM (SELECT DISTINCT obs_id, time FROM vis)""")
+def q_time_slots(spark, sf_dir):
+    return VI.time_slots(_vis(spark, sf_dir)).select("obs_id", "time", "rel_slot").distinct()
+
+
+def _offset(vis, k=1000):
+    return vis.withColumn("obs_id", F.col("obs_id") + F.lit(k))
+
+
+@register("union_observations", O.with_vis(f"uo AS (SELECT * FROM vis4 UNION ALL SELECT * REPLACE (obs_id + 1000 AS obs_id) FROM vis4)")
+          + f"SELECT {O.out_cols()} FROM uo")
+def q_union_observations(spark, sf_dir):
+    vis = _vis(spark, sf_dir)
+    return TV.flatten(VI.union_observations(vis, _offset(vis)))
+
+
+@register("per_observation", ORACLE["average"])
+def q_per_observation(spark, sf_dir):
+    vis = FL.flag_freq_ranges(_vis(spark, sf_dir), FREQ_RANGES)
+    both = VI.union_observations(vis, _offset(vis))
+    avg = A.average(both, timestep=4, freqstep=2)
+    return TV.flatten(avg.filter(F.col("obs_id") >= 1000).withColumn("obs_id", F.col("obs_id") - F.lit(1000)))
+
+
+# ------------------------------------------------------------------ manifest
+
+def _manifest_paths(spark, sf_dir):
+    pages = TV.read_table(spark, sf_dir, "pages")
+    host = F.regexp_extract("url", r"^[a-z]+://([^/?#]+)", 1)
+    seg = F.regexp_extract("url", r"/([^/?#]+)(?:[?#].*)?$", 1)
+    ext = (F.when(F.col("page_id") % 11 == 0, F.lit(".tar")).otherwise(F.lit(""))
+           + F.lit("")).alias("e")
+    ext = F.concat(F.when(F.col("page_id") % 11 == 0, F.lit(".tar")).otherwise(F.lit("")),
+                   F.when(F.col("page_id") % 7 == 0, F.lit(".MS")).otherwise(F.lit(".ms")))
+    return pages.select(F.concat(F.lit("/data/"), host, F.lit("/"), seg, ext).alias("path"))
+
+
+_MANIFEST_SQL = r"""mp AS (SELECT '/data/' || regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) || '/' ||
+    regexp_extract(url, '/([^/?#]+)(?:[?#].*)?$', 1) || CASE WHEN page_id % 11 = 0 THEN '.tar' ELSE '' END ||
+    CASE WHEN page_id % 7 = 0 THEN '.MS' ELSE '.ms' END AS path FROM pages),
+mn AS (SELECT path, regexp_extract(path, '([^/]+)/*$', 1) AS name FROM mp),
+man AS (SELECT path, name, CASE WHEN regexp_matches(name, '^.+\.[^.]+$') THEN regexp_extract(name, '^(.+)\.[^.]+$', 1)
+    ELSE name END AS stem, '/out/' || name AS out_path FROM mn)"""
+
+
+@register("input_manifest", "WITH " + _MANIFEST_SQL + " SELECT path, name, stem, out_path FROM man")
+def q_input_manifest(spark, sf_dir):
+    return VI.input_manifest(_manifest_paths(spark, sf_dir), "/out").select("path", "name", "stem", "out_path")
+
+
+@register("duplicate_inputs", "WITH " + _MANIFEST_SQL + """ SELECT path, stem FROM man
+  WHERE stem IN (SELECT stem FROM man GROUP BY stem HAVING count(*) > 1)""")
+def q_duplicate_inputs(spark, sf_dir):
+    return VI.duplicate_inputs(VI.input_manifest(_manifest_paths(spark, sf_dir)))

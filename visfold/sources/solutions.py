@@ -109,6 +109,10 @@ def unpack_soltab(dense: DataFrame) -> DataFrame:
         F.col("cell.val").cast("double").alias("val"), F.col("cell.weight").cast("float").alias("weight"))
 
 
+def _value_of(field: str):
+    return lambda s: s.getField(field)
+
+
 def pack_soltab(sol: DataFrame, soltab_axis: DataFrame | None = None, chunk_cells: int = 1 << 20) -> DataFrame:
     """Long-form cells -> dense chunks in the order given by ``axes``.
 
@@ -133,7 +137,7 @@ def pack_soltab(sol: DataFrame, soltab_axis: DataFrame | None = None, chunk_cell
                    .agg(F.array_sort(F.collect_list(F.struct("pos", "num_value", "str_value"))).alias("_v"))
                    .groupBy("solset", "soltab")
                    .agg(*[F.max(F.when(F.col("axis") == a, F.transform(
-                       "_v", lambda s, a=a: s.getField("num_value" if a in ("time", "freq") else "str_value"))))
+                       "_v", _value_of("num_value" if a in ("time", "freq") else "str_value"))))
                        .alias(f"{a}_axis") for a in S.VALID_AXIS_NAMES]))
     out = cells.join(axis_arrays, ["solset", "soltab"], "left")
     return out.select(
