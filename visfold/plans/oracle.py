@@ -270,3 +270,27 @@ def comp_phase_sql(l_: float, m_: float, sign: str = "-") -> str:
 def comp_term_sql(l_: float, m_: float, flux: float) -> tuple[str, str]:
     ph = comp_phase_sql(l_, m_)
     return (f"({dbl(flux)}*cos({ph}))", f"({dbl(flux)}*sin({ph}))")
+
+
+def jones_cols(prefix: str):
+    return {p: col_c(prefix, p) for p in POLS}
+
+
+def j_mul(a, b):
+    return {"xx": c_add(c_mul(a["xx"], b["xx"]), c_mul(a["xy"], b["yx"])),
+            "xy": c_add(c_mul(a["xx"], b["xy"]), c_mul(a["xy"], b["yy"])),
+            "yx": c_add(c_mul(a["yx"], b["xx"]), c_mul(a["yy"], b["yx"])),
+            "yy": c_add(c_mul(a["yx"], b["xy"]), c_mul(a["yy"], b["yy"]))}
+
+
+def j_herm(a):
+    return {"xx": c_conj(a["xx"]), "xy": c_conj(a["yx"]), "yx": c_conj(a["xy"]), "yy": c_conj(a["yy"])}
+
+
+def j_inv_with_det(a, det):
+    return {"xx": c_div(a["yy"], det), "xy": c_div(c_neg(a["xy"]), det),
+            "yx": c_div(c_neg(a["yx"]), det), "yy": c_div(a["xx"], det)}
+
+
+def j_det(a):
+    return c_sub(c_mul(a["xx"], a["yy"]), c_mul(a["xy"], a["yx"]))

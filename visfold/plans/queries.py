@@ -778,3 +778,286 @@ def q_input_manifest(spark, sf_dir):
   WHERE stem IN (SELECT stem FROM man GROUP BY stem HAVING count(*) > 1)""")
 def q_duplicate_inputs(spark, sf_dir):
     return VI.duplicate_inputs(VI.input_manifest(_manifest_paths(spark, sf_dir)))
+
+
+# ------------------------------------------------------- solution I/O, model
+
+_VALID_SETS = ("scalar", "diagonal", "fulljones", "tec")
+_VALID_SQL = "('scalar', 'diagonal', 'fulljones', 'tec')"
+
+
+def _cells_out(df):
+    return df.select("solset", "soltab", "soltype", F.array_join("axes", ",").alias("axes"),
+                     F.array_join(F.transform("pos", lambda p: p.cast("string")), ",").alias("pos"),
+                     "time", "freq", "ant", "pol", qround(F.col("val")).alias("val"), "weight")
+
+
+_CELLS_SQL = (f"SELECT solset, soltab, soltype, array_to_string(axes, ',') AS axes, array_to_string(pos, ',') AS pos, "
+              f"time, freq, ant, pol, {O.qr('val')} AS val, weight FROM cat")
+
+
+@register("scan_solutions", _cat_sql() + _CELLS_SQL)
+def q_scan_solutions(spark, sf_dir):
+    cat = _catalog(spark, sf_dir)
+    reserved = cat.filter(F.col("solset") == "scalar").withColumn("soltab", F.lit("antenna"))
+    path = scratch_path(spark, "solutions")
+    SO.write_solutions(cat.unionByName(reserved), path)
+    return _cells_out(SO.scan_solutions(spark, path))
+
+
+@register("write_solutions", O.with_vis(TV.solution_fixture_sql("scalar", name="s_scalar")) + f"""SELECT 'sol000' AS solset,
+  soltype || '000' AS soltab, soltype, count(*) AS n, {O.qr('sum(val)')} AS val_sum FROM s_scalar GROUP BY soltype""")
+def q_write_solutions(spark, sf_dir):
+    sol = TV.solution_fixture(_vis(spark, sf_dir), "scalar")
+    sol = sol.withColumn("solset", F.lit(None).cast("string")).withColumn("soltab", F.lit(None).cast("string"))
+    path = scratch_path(spark, "solutions")
+    SO.write_solutions(sol, path)
+    back = SO.scan_solutions(spark, path)
+    return back.groupBy("solset", "soltab", "soltype").agg(F.count(F.lit(1)).alias("n"),
+                                                           qround(F.sum("val")).alias("val_sum"))
+
+
+@register("unpack_soltab", _cat_sql() + _CELLS_SQL + f" WHERE solset IN {_VALID_SQL}")
+def q_unpack_soltab(spark, sf_dir):
+    cat = _catalog(spark, sf_dir).filter(F.col("solset").isin(*_VALID_SETS))
+    return _cells_out(SO.unpack_soltab(SO.pack_soltab(cat)))
+
+
+_PACK_SQL = _cat_sql(
+    "dimsq AS (SELECT solset, soltab, axis_pos, count(*) AS n FROM sax GROUP BY ALL)",
+    "dw AS (SELECT solset, soltab, max(CASE WHEN axis_pos = 1 THEN n END) AS d2, "
+    "max(CASE WHEN axis_pos = 2 THEN n END) AS d3 FROM dimsq GROUP BY ALL)",
+    "fl AS (SELECT c.*, ((c.pos[1]*coalesce(dw.d2, 1) + coalesce(c.pos[2], 0))*coalesce(dw.d3, 1) "
+    "+ coalesce(c.pos[3], 0)) AS i FROM cat c JOIN dw USING (solset, soltab))") + f"""SELECT solset, soltab, soltype,
+  array_to_string(axes, ',') AS axes, CAST(0 AS BIGINT) AS offset, count(*) AS n_cells,
+  {O.qr('sum(val*(i + 1))')} AS checksum FROM fl WHERE solset IN {_VALID_SQL} GROUP BY solset, soltab, soltype, axes"""
+
+
+@register("pack_soltab", _PACK_SQL)
+def q_pack_soltab(spark, sf_dir):
+    cat = _catalog(spark, sf_dir).filter(F.col("solset").isin(*_VALID_SETS))
+    d = SO.pack_soltab(cat)
+    chk = F.aggregate(F.transform("val", lambda x, k: x * (F.col("offset") + k + 1).cast("double")),
+                      F.lit(0.0), lambda a, b: a + b)
+    return d.select("solset", "soltab", "soltype", F.array_join("axes", ",").alias("axes"), "offset",
+                    F.size("val").cast("bigint").alias("n_cells"), qround(chk).alias("checksum"))
+
+
+@register("split_axes", _cat_sql() + """SELECT DISTINCT solset, soltab, CAST(k - 1 AS INTEGER) AS axis_pos,
+  string_split(array_to_string(axes, ','), ',')[k] AS axis FROM cat, range(1, 6) r(k) WHERE k <= len(axes)""")
+def q_split_axes(spark, sf_dir):
+    cat = _catalog(spark, sf_dir)
+    e = cat.select("solset", "soltab", F.posexplode(SO.split_axes(F.array_join("axes", ","))).alias("axis_pos", "axis"))
+    return e.select("solset", "soltab", F.col("axis_pos").cast("int").alias("axis_pos"), "axis").distinct()
+
+
+@register("cast_solution_types", _cat_sql() + f"SELECT solset, soltab, soltype, time, {O.qr('val')} AS val, weight FROM cat")
+def q_cast_solution_types(spark, sf_dir):
+    c = SO.cast_solution_types(_catalog(spark, sf_dir))
+    return c.select("solset", "soltab", "soltype", "time", qround(F.col("val")).alias("val"), "weight")
+
+
+@register("axis_members", _cat_sql() + """SELECT DISTINCT solset, soltab, array_to_string(list_sort(list_distinct(axes)), ',')
+  AS axis_names FROM cat""")
+def q_axis_members(spark, sf_dir):
+    cat = _catalog(spark, sf_dir)
+    members = cat.select("solset", "soltab", F.explode(F.array_union("axes", F.array(F.lit("val"), F.lit("weight"))))
+                         .alias("member"))
+    reserved = cat.select("solset").distinct().select(
+        "solset", F.explode(F.array(F.lit("antenna"), F.lit("source"))).alias("soltab"), F.lit("name").alias("member"))
+    m = ST.axis_members(members.unionByName(reserved).distinct())
+    return m.select("solset", "soltab", F.array_join("axis_names", ",").alias("axis_names"))
+
+
+@register("soltab_axes_agree", _cat_sql() + f"""SELECT DISTINCT solset, soltab,
+  NOT (solset = 'diagonal' AND soltab = 'phase000') AS axes_agree FROM cat WHERE solset IN {_VALID_SQL}""")
+def q_soltab_axes_agree(spark, sf_dir):
+    cat = _catalog(spark, sf_dir).filter(F.col("solset").isin(*_VALID_SETS))
+    d = SO.pack_soltab(cat)
+    bad = (F.col("solset") == "diagonal") & (F.col("soltab") == "phase000")
+    d = d.withColumn("weight_axes", F.when(bad, F.reverse("axes")).otherwise(F.col("axes")))
+    return ST.soltab_axes_agree(d)
+
+
+def _eq_sql(pairs):
+    ctes, sels = [], []
+    for i, (name, other) in enumerate(pairs):
+        ctes.append(f"""ea{i} AS (SELECT soltype, array_to_string(pos, ',') AS pos, val, weight FROM cat WHERE solset = 'scalar'),
+eb{i} AS (SELECT soltype, array_to_string(pos, ',') AS pos, val, weight FROM cat WHERE solset = '{other}'),
+xa{i} AS (SELECT t.soltype, s.axis, s.pos, s.num_value, s.str_value FROM sax s JOIN (SELECT DISTINCT solset, soltab, soltype FROM cat) t
+  USING (solset, soltab) WHERE s.solset = 'scalar'),
+xb{i} AS (SELECT t.soltype, s.axis, s.pos, s.num_value, s.str_value FROM sax s JOIN (SELECT DISTINCT solset, soltab, soltype FROM cat) t
+  USING (solset, soltab) WHERE s.solset = '{other}'),
+cd{i} AS (SELECT CAST(coalesce(sum(CASE WHEN a.soltype IS NULL OR b.soltype IS NULL OR a.val IS DISTINCT FROM b.val
+  OR isnan(coalesce(a.val, 0e0)) OR isnan(coalesce(b.val, 0e0))
+  OR CAST(a.weight AS DOUBLE) IS DISTINCT FROM CAST(b.weight AS DOUBLE) THEN 1 ELSE 0 END), 0) AS BIGINT) AS n
+  FROM ea{i} a FULL OUTER JOIN eb{i} b ON a.soltype = b.soltype AND a.pos = b.pos),
+ad{i} AS (SELECT CAST(coalesce(sum(CASE WHEN a.axis IS NULL OR b.axis IS NULL OR a.num_value IS DISTINCT FROM b.num_value
+  OR isnan(coalesce(a.num_value, 0e0)) OR isnan(coalesce(b.num_value, 0e0))
+  OR a.str_value IS DISTINCT FROM b.str_value THEN 1 ELSE 0 END), 0) AS BIGINT) AS n
+  FROM xa{i} a FULL OUTER JOIN xb{i} b ON a.soltype = b.soltype AND a.axis = b.axis AND a.pos = b.pos)""")
+        sels.append(f"SELECT '{name}' AS pair, cd{i}.n AS cell_diffs, ad{i}.n AS axis_diffs, "
+                    f"cd{i}.n = 0 AND ad{i}.n = 0 AS equal FROM cd{i}, ad{i}")
+    return _cat_sql(*ctes) + " UNION ALL ".join(sels)
+
+
+_EQ_PAIRS = [("roundtrip", "scalar"), ("bad_1d", "bad_1d"), ("bad_vw", "bad_vw"), ("diagonal", "diagonal")]
+
+
+@register("solutions_equal", _eq_sql(_EQ_PAIRS))
+def q_solutions_equal(spark, sf_dir):
+    cat = _catalog(spark, sf_dir)
+    sc = cat.filter(F.col("solset") == "scalar")
+    others = {"roundtrip": SO.unpack_soltab(SO.pack_soltab(sc)).withColumn("solset", F.lit("scalar"))}
+    for name, other in _EQ_PAIRS[1:]:
+        others[name] = cat.filter(F.col("solset") == other)
+    out = None
+    for name, _ in _EQ_PAIRS:
+        r = ST.solutions_equal(sc, others[name]).withColumn("pair", F.lit(name))
+        out = r if out is None else out.unionByName(r)
+    return out.select("pair", "cell_diffs", "axis_diffs", "equal")
+
+
+_DIFF_COLS = "soltype, axes, pos, time, freq, ant, pol, dir, val, weight"
+
+
+@register("solutions_diff", _cat_sql(
+    f"l AS (SELECT {_DIFF_COLS} FROM cat WHERE solset = 'scalar' EXCEPT ALL SELECT {_DIFF_COLS} FROM cat WHERE solset = 'bad_vw')",
+    f"r AS (SELECT {_DIFF_COLS} FROM cat WHERE solset = 'bad_vw' EXCEPT ALL SELECT {_DIFF_COLS} FROM cat WHERE solset = 'scalar')",
+    "d AS (SELECT *, 'left_only' AS side FROM l UNION ALL SELECT *, 'right_only' FROM r)")
+    + f"""SELECT side, soltype, array_to_string(axes, ',') AS axes, array_to_string(pos, ',') AS pos, time, ant, pol,
+  {O.qr('val')} AS val, weight FROM d""")
+def q_solutions_diff(spark, sf_dir):
+    cat = _catalog(spark, sf_dir)
+    d = ST.solutions_diff(cat.filter(F.col("solset") == "scalar"), cat.filter(F.col("solset") == "bad_vw"))
+    return d.select("side", "soltype", F.array_join("axes", ",").alias("axes"),
+                    F.array_join(F.transform("pos", lambda p: p.cast("string")), ",").alias("pos"),
+                    "time", "ant", "pol", qround(F.col("val")).alias("val"), "weight")
+
+
+@register("split_complex_gains", O.with_vis(TV.solution_fixture_sql("diagonal")) + f"""SELECT soltab, soltype,
+  array_to_string(pos, ',') AS pos, time, ant, pol, {O.qr('val')} AS val, weight FROM sol""")
+def q_split_complex_gains(spark, sf_dir):
+    sol = TV.solution_fixture(_vis(spark, sf_dir), "diagonal")
+    g = sol.groupBy("axes", "pos", "time", "freq", "ant", "pol", "dir").agg(
+        F.max(F.when(F.col("soltype") == "amplitude", F.col("val"))).alias("amp"),
+        F.max(F.when(F.col("soltype") == "phase", F.col("val"))).alias("ph"),
+        F.first("weight").alias("weight"))
+    g = g.withColumn("g", AC.polar_to_complex(F.col("amp"), F.col("ph")))
+    s = AC.split_complex_gains(g)
+    return s.select("soltab", "soltype", F.array_join(F.transform("pos", lambda p: p.cast("string")), ",").alias("pos"),
+                    "time", "ant", "pol", qround(F.col("val")).alias("val"), "weight")
+
+
+# ------------------------------------------------------ complex and Jones
+
+def _pol_polar_sql():
+    return ", ".join(f"{O.qr(f'sqrt({p}_re*{p}_re + {p}_im*{p}_im)')} AS {p}_amp, {O.qr(f'atan2({p}_im, {p}_re)')} AS {p}_ph"
+                     for p in O.POLS)
+
+
+@register("complex_to_polar", O.with_vis() + f"SELECT {O.KEY}, {_pol_polar_sql()} FROM vis4")
+def q_complex_to_polar(spark, sf_dir):
+    vis = _vis(spark, sf_dir)
+    cols = []
+    for p in C.POLS:
+        pol = AC.complex_to_polar(F.col("data").getField(p))
+        cols += [qround(pol.getField("amplitude")).alias(f"{p}_amp"), qround(pol.getField("phase")).alias(f"{p}_ph")]
+    return vis.select(*_KEYS, *cols)
+
+
+@register("polar_to_complex", _VIS_OUT)
+def q_polar_to_complex(spark, sf_dir):
+    vis = _vis(spark, sf_dir)
+    back = []
+    for p in C.POLS:
+        pol = AC.complex_to_polar(F.col("data").getField(p))
+        back.append(AC.polar_to_complex(pol.getField("amplitude"), pol.getField("phase")).alias(p))
+    return TV.flatten(vis.withColumn("data", F.struct(*back)))
+
+
+def _cexpr_cols(prefix, vals):
+    return ", ".join(f"{O.qr(vals[k][0])} AS {prefix}{k}_re, {O.qr(vals[k][1])} AS {prefix}{k}_im" for k in vals)
+
+
+_V = O.jones_cols("")
+_C_MUL_VALS = {"prod": O.c_mul(_V["xx"], O.c_conj(_V["yy"])), "quot": O.c_div(_V["xx"], _V["xy"])}
+
+
+@register("c_mul", O.with_vis() + f"""SELECT {O.KEY}, {_cexpr_cols('', _C_MUL_VALS)},
+  {O.qr('xx_re*xx_re + xx_im*xx_im')} AS abs2 FROM vis4""")
+def q_c_mul(spark, sf_dir):
+    vis = _vis(spark, sf_dir)
+    d = lambda p: F.col("data").getField(p)
+    prod = C.c_mul(d("xx"), C.c_conj(d("yy")))
+    quot = C.c_div(d("xx"), d("xy"))
+    return vis.select(*_KEYS, qround(C.re_(prod)).alias("prod_re"), qround(C.im_(prod)).alias("prod_im"),
+                      qround(C.re_(quot)).alias("quot_re"), qround(C.im_(quot)).alias("quot_im"),
+                      qround(C.c_abs2(d("xx"))).alias("abs2"))
+
+
+def _jones_out(col):
+    return [qround(F.col(col).getField(p).getField(x)).alias(f"j{p}_{x}") for p in C.POLS for x in ("re", "im")]
+
+
+def _jsql(vals):
+    return ", ".join(f"{O.qr(vals[p][i])} AS j{p}_{x}" for p in O.POLS for i, x in enumerate(("re", "im")))
+
+
+@register("jones_mul", O.with_vis() + f"SELECT {O.KEY}, {_jsql(O.j_mul(_V, O.j_herm(_V)))} FROM vis4")
+def q_jones_mul(spark, sf_dir):
+    v = _vis(spark, sf_dir).withColumn("_h", C.jones_herm("data"))
+    v = v.withColumn("_m", C.jones_mul("data", "_h"))
+    return v.select(*_KEYS, *_jones_out("_m"))
+
+
+@register("jones_herm", O.with_vis() + f"SELECT {O.KEY}, {_jsql(O.j_herm(_V))} FROM vis4")
+def q_jones_herm(spark, sf_dir):
+    v = _vis(spark, sf_dir).withColumn("_h", C.jones_herm("data"))
+    return v.select(*_KEYS, *_jones_out("_h"))
+
+
+@register("jones_inv", O.with_vis(f"jd AS (SELECT *, {O.j_det(_V)[0]} AS det_re, {O.j_det(_V)[1]} AS det_im FROM vis4)")
+          + f"SELECT {O.KEY}, {_jsql(O.j_inv_with_det(_V, ('det_re', 'det_im')))} FROM jd")
+def q_jones_inv(spark, sf_dir):
+    v = _vis(spark, sf_dir).withColumn("_d", C.jones_det("data"))
+    v = v.withColumn("_i", C.jones_inv("data", det="_d"))
+    return v.select(*_KEYS, *_jones_out("_i"))
+
+
+# ------------------------------------------------------ invariants, pipeline
+
+@register("vis_allclose", O.with_vis() + "SELECT obs_id, true AS all_close, 0e0 AS max_abs_diff, count(*) AS n FROM vis GROUP BY obs_id")
+def q_vis_allclose(spark, sf_dir):
+    vis = _vis(spark, sf_dir)
+    ant = TV.antenna_table(vis)
+    out = vis
+    for kind in ("scalar", "diagonal", "fulljones"):
+        out = AC.applycal(out, TV.solution_fixture(vis, kind, identity=True), ant)
+    r = A.vis_allclose(vis, out)
+    return r.select("obs_id", "all_close", F.round(F.col("max_abs_diff"), 9).alias("max_abs_diff"), "n")
+
+
+PIPELINE_STEPS = [
+    {"MsIn": {}},
+    {"PreFlagger": {"freqrange": "[960.5..961.5 MHz]"}},
+    {"AOFlagger": {"memorymax": 8.0}},
+    {"ApplyCal": {"parmdb": "diagonal"}},
+    {"Averager": {"timestep": 4, "freqstep": 4}},
+    {"MsOut": {"overwrite": True}},
+]
+
+
+def _pipeline_sql():
+    pre = O.flag_cte("pf", "vis4", "freq BETWEEN 9.605e8 AND 9.615e8")
+    dyn = _dyn_full_sql(src="pf", out="dyn")
+    ac = O.applycal_sql("diagonal", src="dyn")
+    return O.with_vis(TV.solution_fixture_sql("diagonal"), pre, *dyn, *ac, O.average_sql("ac", 4, 4, "a")) \
+        + f"SELECT {O.out_cols()} FROM a"
+
+
+@register("preprocess", _pipeline_sql())
+def q_preprocess(spark, sf_dir):
+    vis = _vis(spark, sf_dir)
+    inputs = PP.Inputs(solutions={"diagonal": TV.solution_fixture(vis, "diagonal")}, antenna=TV.antenna_table(vis))
+    return TV.flatten(PP.preprocess(vis, PIPELINE_STEPS, inputs))
