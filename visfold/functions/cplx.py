@@ -179,3 +179,100 @@ def jones_add(a, b) -> Column:
 def jones_scale(a, g) -> Column:
     """Multiply every element by complex g."""
     return jones(*[c_mul(j_get(a, p), g) for p in POLS])
+
+
+# ------------------------------------------------------------------ staging
+# Catalyst inlines a struct-building projection into each field access that
+# follows it (so ``s.re`` of ``struct(expensive, ..)`` becomes ``expensive``),
+# which repeats every shared sub-expression of a nested complex formula.
+# Intermediates that are used more than once are therefore materialised as
+# flat double columns; a projection of a non-trivial double used several
+# times is kept, and evaluated once per row.
+
+def stage(df, name: str, c):
+    """Add ``name_re``/``name_im`` holding complex ``c``; return (df, column view of them)."""
+    c = _c(c)
+    df = df.select("*", re_(c).alias(f"{name}_re"), im_(c).alias(f"{name}_im"))
+    return df, cpx(F.col(f"{name}_re"), F.col(f"{name}_im"))
+
+
+def stage_jones(df, name: str, j):
+    """Materialise the four elements of Jones matrix ``j`` (one projection); return (df, matrix view)."""
+    j = _c(j)
+    cols = []
+    for p in POLS:
+        cols += [re_(j.getField(p)).alias(f"{name}_{p}_re"), im_(j.getField(p)).alias(f"{name}_{p}_im")]
+    df = df.select("*", *cols)
+    return df, jones(*[cpx(F.col(f"{name}_{p}_re"), F.col(f"{name}_{p}_im")) for p in POLS])
+
+
+def staged_columns(name: str, matrix: bool = False) -> list[str]:
+    if matrix:
+        return [f"{name}_{p}_{x}" for p in POLS for x in ("re", "im")]
+    return [f"{name}_re", f"{name}_im"]
+
+
+# --------------------------------------------------------- SQL-text algebra
+# The same algebra as SQL expression text over flat (re, im) columns: a
+# stage of many long expressions is then one ``selectExpr`` (one parse in the
+# JVM) instead of thousands of Column-building calls from Python.
+
+def s_col(name: str, p: str | None = None) -> tuple[str, str]:
+    base = name if p is None else f"{name}_{p}"
+    return (f"`{base}_re`", f"`{base}_im`")
+
+
+def s_add(a, b):
+    return (f"({a[0]} + {b[0]})", f"({a[1]} + {b[1]})")
+
+
+def s_sub(a, b):
+    return (f"({a[0]} - {b[0]})", f"({a[1]} - {b[1]})")
+
+
+def s_mul(a, b):
+    return (f"({a[0]} * {b[0]} - {a[1]} * {b[1]})", f"({a[0]} * {b[1]} + {a[1]} * {b[0]})")
+
+
+def s_conj(a):
+    return (a[0], f"(- {a[1]})")
+
+
+def s_neg(a):
+    return (f"(- {a[0]})", f"(- {a[1]})")
+
+
+def s_div(a, b):
+    d = f"({b[0]} * {b[0]} + {b[1]} * {b[1]})"
+    return (f"try_divide({a[0]} * {b[0]} + {a[1]} * {b[1]}, {d})", f"try_divide({a[1]} * {b[0]} - {a[0]} * {b[1]}, {d})")
+
+
+def s_jones(name: str) -> dict:
+    return {p: s_col(name, p) for p in POLS}
+
+
+def s_jones_mul(a: dict, b: dict) -> dict:
+    return {"xx": s_add(s_mul(a["xx"], b["xx"]), s_mul(a["xy"], b["yx"])),
+            "xy": s_add(s_mul(a["xx"], b["xy"]), s_mul(a["xy"], b["yy"])),
+            "yx": s_add(s_mul(a["yx"], b["xx"]), s_mul(a["yy"], b["yx"])),
+            "yy": s_add(s_mul(a["yx"], b["xy"]), s_mul(a["yy"], b["yy"]))}
+
+
+def s_jones_herm(a: dict) -> dict:
+    return {"xx": s_conj(a["xx"]), "xy": s_conj(a["yx"]), "yx": s_conj(a["xy"]), "yy": s_conj(a["yy"])}
+
+
+def s_jones_det(a: dict):
+    return s_sub(s_mul(a["xx"], a["yy"]), s_mul(a["xy"], a["yx"]))
+
+
+def s_jones_inv(a: dict, det) -> dict:
+    return {"xx": s_div(a["yy"], det), "xy": s_div(s_neg(a["xy"]), det),
+            "yx": s_div(s_neg(a["yx"]), det), "yy": s_div(a["xx"], det)}
+
+
+def s_exprs(name: str, value, matrix: bool = False) -> list[str]:
+    """``selectExpr`` items materialising a complex (or a Jones dict) as flat columns."""
+    if matrix:
+        return [f"{value[p][i]} AS `{name}_{p}_{x}`" for p in POLS for i, x in enumerate(("re", "im"))]
+    return [f"{value[0]} AS `{name}_re`", f"{value[1]} AS `{name}_im`"]

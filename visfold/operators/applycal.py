@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cplx as C
-from ..plans.joins import bounded_broadcast
+from ..plans.joins import per_observation
 from .lookup import lookup_axis, solution_axis
 
 POLS = C.POLS
@@ -27,14 +27,31 @@ TEC_COEFF = -8.4479745e9
 _POL_OF = {"XX": "xx", "XY": "xy", "YX": "yx", "YY": "yy"}
 
 
+MAX_SOLUTION_ROWS = 2_000_000
+
+
 def solution_layout(sol: DataFrame) -> dict:
-    """Axis names, soltypes and pol values of a solution set (a few strings to the driver)."""
+    """One small aggregation over the solution cells: axis names, soltypes, pols,
+    row count and the (first, last, n) of the time and frequency axes.
+
+    Its row count is the size check for every table derived from the
+    solutions (gain table, interval tables), which are then broadcast.
+    """
+    def axis_aggs(a: str):
+        idx = F.array_position("axes", a).cast("int")
+        pos = F.when(idx > 0, F.element_at("pos", idx))
+        val = F.when(idx > 0, F.col(a))
+        return [F.min(val).alias(f"{a}_first"), F.max(val).alias(f"{a}_last"),
+                F.count_distinct(pos).alias(f"{a}_n")]
     r = sol.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("axes")))).alias("axes"),
                 F.array_sort(F.collect_set("soltype")).alias("types"),
-                F.array_sort(F.collect_set("pol")).alias("pols")).first()
+                F.array_sort(F.collect_set("pol")).alias("pols"),
+                F.count(F.lit(1)).alias("rows"), *axis_aggs("time"), *axis_aggs("freq")).first()
     pols = [p for p in r["pols"] if p is not None]
     kind = "fulljones" if len(pols) == 4 else ("diagonal" if pols else "scalar")
-    return {"axes": list(r["axes"]), "types": list(r["types"]), "pols": pols, "kind": kind}
+    stats = {a: (r[f"{a}_first"], r[f"{a}_last"], int(r[f"{a}_n"])) for a in ("time", "freq")}
+    return {"axes": list(r["axes"]), "types": list(r["types"]), "pols": pols, "kind": kind,
+            "rows": int(r["rows"]), "stats": stats}
 
 
 def gain_cells(sol: DataFrame) -> DataFrame:
@@ -85,42 +102,56 @@ def _jones_at(prefix: str, kind: str, freq: Column) -> Column:
 def correct(df: DataFrame, data: str, j1: Column, j2: Column, kind: str, out: str) -> DataFrame:
     """Add column ``out`` = J1^-1 V J2^-H (diagonal and scalar: element-wise form).
 
-    Intermediate matrices are materialised as columns stage by stage, so the
-    expression tree stays linear in the number of stages (nesting the closed
-    forms directly would repeat every sub-expression).
+    Every intermediate used more than once is staged as flat columns, so it
+    is evaluated once per row; the stages are SQL expression text
+    (``cplx.s_*``), one ``selectExpr`` each.
     """
-    df = df.withColumn("_j1", j1).withColumn("_j2", j2)
+    df, _ = C.stage_jones(df, "_j1", j1)
+    df, _ = C.stage_jones(df, "_j2", j2)
+    a, b = C.s_jones("_j1"), C.s_jones("_j2")
+    tmp = C.staged_columns("_j1", True) + C.staged_columns("_j2", True)
+    v = {p: (f"`{data}`.{p}.re", f"`{data}`.{p}.im") for p in POLS}
     if kind == "fulljones":
-        df = df.withColumn("_d1", C.jones_det("_j1")).withColumn("_d2", C.jones_det("_j2"))
-        df = df.withColumn("_i1", C.jones_inv("_j1", det="_d1")).withColumn("_i2", C.jones_inv("_j2", det="_d2"))
-        df = df.withColumn("_h2", C.jones_herm("_i2"))
-        df = df.withColumn("_m", C.jones_mul("_i1", C.jones(*[F.col(data).getField(p) for p in POLS])))
-        df = df.withColumn(out, C.jones_mul("_m", "_h2"))
-        return df.drop("_j1", "_j2", "_d1", "_d2", "_i1", "_i2", "_h2", "_m")
-    g1 = {"x": C.j_get("_j1", "xx"), "y": C.j_get("_j1", "yy")}
-    g2 = {"x": C.j_get("_j2", "xx"), "y": C.j_get("_j2", "yy")}
-    df = df.withColumn("_b", F.struct(*[C.c_mul(g1[p[0]], C.c_conj(g2[p[1]])).alias(p) for p in POLS]))
-    df = df.withColumn(out, C.jones(*[C.c_div(F.col(data).getField(p), F.col("_b").getField(p)) for p in POLS]))
-    return df.drop("_j1", "_j2", "_b")
+        df = df.selectExpr("*", *C.s_exprs("_d1", C.s_jones_det(a)), *C.s_exprs("_d2", C.s_jones_det(b)))
+        df = df.selectExpr("*", *C.s_exprs("_i1", C.s_jones_inv(a, C.s_col("_d1")), True),
+                           *C.s_exprs("_i2", C.s_jones_inv(b, C.s_col("_d2")), True))
+        df = df.selectExpr("*", *C.s_exprs("_m", C.s_jones_mul(C.s_jones("_i1"), v), True),
+                           *C.s_exprs("_h", C.s_jones_herm(C.s_jones("_i2")), True))
+        res = C.s_jones_mul(C.s_jones("_m"), C.s_jones("_h"))
+        tmp += C.staged_columns("_d1") + C.staged_columns("_d2") + C.staged_columns("_i1", True)
+        tmp += C.staged_columns("_i2", True) + C.staged_columns("_m", True) + C.staged_columns("_h", True)
+    else:
+        g1 = {"x": C.s_col("_j1", "xx"), "y": C.s_col("_j1", "yy")}
+        g2 = {"x": C.s_col("_j2", "xx"), "y": C.s_col("_j2", "yy")}
+        df = df.selectExpr("*", *[e for p in POLS for e in C.s_exprs(f"_b{p}", C.s_mul(g1[p[0]], C.s_conj(g2[p[1]])))])
+        res = {p: C.s_div(v[p], C.s_col(f"_b{p}")) for p in POLS}
+        tmp += [c for p in POLS for c in C.staged_columns(f"_b{p}")]
+    df = df.selectExpr("*", *C.s_exprs("_o", res, True))
+    tmp += C.staged_columns("_o", True)
+    df = df.withColumn(out, C.jones(*[C.cpx(F.col(f"_o_{p}_re"), F.col(f"_o_{p}_im")) for p in POLS]))
+    return df.drop(*tmp)
 
 
 def applycal(vis: DataFrame, sol: DataFrame, antenna: DataFrame, mode: str = "nearest",
              layout: dict | None = None) -> DataFrame:
     """Apply one solution set (the ``solset_correction`` form is taken from its layout)."""
     layout = layout or solution_layout(sol)
+    if layout["rows"] > MAX_SOLUTION_ROWS:
+        raise ValueError(f"solution set has {layout['rows']} cells; more than {MAX_SOLUTION_ROWS} "
+                         "cannot be broadcast to every executor")
     kind = layout["kind"]
-    jt = jones_table(sol, layout)
-    names = bounded_broadcast(antenna.select("obs_id", "ant", "name"))
+    jt = F.broadcast(jones_table(sol, layout))  # at most layout['rows'] rows (checked above)
+    names = per_observation(antenna.select("obs_id", "ant", "name"))  # antennas x observations
     v = (vis.join(names.select("obs_id", F.col("ant").alias("ant1"), F.col("name").alias("_n1")), ["obs_id", "ant1"], "left")
          .join(names.select("obs_id", F.col("ant").alias("ant2"), F.col("name").alias("_n2")), ["obs_id", "ant2"], "left"))
     has_t, has_f = "time" in layout["axes"], "freq" in layout["axes"]
     tkeys = []
     if has_f:
-        v = lookup_axis(v, "freq", solution_axis(sol, "freq"), "_sf", mode="nearest")
+        v = lookup_axis(v, "freq", solution_axis(sol, "freq"), "_sf", mode="nearest",
+                        stats=layout["stats"]["freq"], bounded=True)
     if has_t:
-        v = lookup_axis(v, "time", solution_axis(sol, "time"), "_st", mode=mode)
-        tkeys = ["_st"] if mode == "nearest" else ["_st_lo", "_st_hi"]
-    jt = bounded_broadcast(jt)
+        v = lookup_axis(v, "time", solution_axis(sol, "time"), "_st", mode=mode,
+                        stats=layout["stats"]["time"], bounded=True)
 
     def side(name_col: str, tcol: str | None, tag: str) -> DataFrame:
         cols = [F.col("ant").alias(name_col)]
@@ -162,9 +193,9 @@ def applycal(vis: DataFrame, sol: DataFrame, antenna: DataFrame, mode: str = "ne
         j1, j2 = lerp("a_"), lerp("b_")
         ok = F.coalesce(F.col("a_0ok") & F.col("a_1ok") & F.col("b_0ok") & F.col("b_1ok"), F.lit(False))
     v = correct(v, "data", j1, j2, kind, "_new")
-    good = ok & C.jones_is_finite(F.col("_new"))
-    v = v.withColumn("_good", good)
-    data = F.struct(*[F.when(F.col("_good"), C.j_get("_new", p)).otherwise(F.col("data").getField(p)).alias(p)
+    v, new = C.stage_jones(v, "_n", F.col("_new"))
+    v = v.withColumn("_good", ok & C.jones_is_finite(new))
+    data = F.struct(*[F.when(F.col("_good"), C.j_get(new, p)).otherwise(F.col("data").getField(p)).alias(p)
                       for p in POLS])
     flag = F.struct(*[(F.col("flag").getField(p) | ~F.col("_good")).alias(p) for p in POLS])
     return v.withColumn("data", data).withColumn("flag", flag).select(vis.columns)

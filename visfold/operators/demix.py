@@ -98,63 +98,63 @@ def fit_direction_scalar(avg: DataFrame, n_patches: int) -> DataFrame:
 GAIN_SCHEMA = "obs_id long, tsol long, fsol int, patch_idx int, ant int, g_re double, g_im double, iterations int"
 
 
-def solve_group(pdf: pd.DataFrame, n_patches: int, max_iter: int = 500, tol: float = 1e-12) -> pd.DataFrame:
-    """Alternating least squares for V_pq = sum_d g_p,d M_pq,d conj(g_q,d) on one interval.
-
-    Directions are updated in turn (the others held fixed); within a
-    direction every antenna gets its least-squares gain from both baseline
-    orientations. Every second iteration old and new gains are averaged,
-    which keeps the iteration from oscillating.
+def solve_group(pdf: pd.DataFrame, n_patches: int, max_iter: int = 200, tol: float = 1e-10) -> pd.DataFrame:
+    """Least squares for V_pq = sum_d g_p,d M_pq,d conj(g_q,d) on one solution interval.
+
+    Each iteration solves, for every antenna p and all directions at once,
+    the D x D normal equations of its samples (both baseline orientations)
+    with the other antennas' gains from the previous iteration; new and old
+    gains are averaged on every second iteration (damped fixed point, as in
+    StEFCal). Non-finite or unconstrained results give null gains.
     """
     keys = pdf.iloc[0]
     ants = np.union1d(pdf["ant1"].to_numpy(), pdf["ant2"].to_numpy())
     idx = {a: i for i, a in enumerate(ants)}
-    p = np.array([idx[a] for a in pdf["ant1"]])
-    q = np.array([idx[a] for a in pdf["ant2"]])
-    w = pdf["w"].to_numpy()
+    p = np.array([idx[a] for a in pdf["ant1"]], dtype=int)
+    q = np.array([idx[a] for a in pdf["ant2"]], dtype=int)
+    w = pdf["w"].to_numpy(dtype=float)
     vs = [pdf[f"v{x}_re"].to_numpy() + 1j * pdf[f"v{x}_im"].to_numpy() for x in DIAG]
-    ms = [pdf[f"m{k}_re"].to_numpy() + 1j * pdf[f"m{k}_im"].to_numpy() for k in range(n_patches)]
+    ms = np.stack([pdf[f"m{k}_re"].to_numpy() + 1j * pdf[f"m{k}_im"].to_numpy() for k in range(n_patches)], axis=1)
     # both polarisations are independent samples of the same scalar model
     P, Q, W = np.concatenate([p, p]), np.concatenate([q, q]), np.concatenate([w, w])
     V = np.concatenate(vs)
-    M = [np.concatenate([m, m]) for m in ms]
-    na = len(ants)
-    g = np.ones((na, n_patches), dtype=complex)
-    enough = len(V) >= 2 * na * n_patches
+    M = np.concatenate([ms, ms])                       # (samples, directions)
+    na, D = len(ants), n_patches
+    ant = np.concatenate([P, Q])                       # antenna solved for, per equation row
+    y = np.concatenate([V, np.conj(V)])
+    wt = np.concatenate([W, W])
+    g = np.ones((na, D), dtype=complex)
+    enough = len(V) >= na * D
     it = 0
-    if enough:
-        for it in range(1, max_iter + 1):
-            old = g.copy()
-            for d in range(n_patches):
-                other = np.zeros_like(V)
-                for e in range(n_patches):
-                    if e != d:
-                        other += g[P, e] * M[e] * np.conj(g[Q, e])
-                R = V - other
-                z1 = M[d] * np.conj(g[Q, d])            # R_pq ~ g_p z1
-                z2 = np.conj(M[d]) * np.conj(g[P, d])   # conj(R_pq) ~ g_q z2
-                num = np.zeros(na, dtype=complex)
-                den = np.zeros(na)
-                np.add.at(num, P, W * np.conj(z1) * R)
-                np.add.at(den, P, W * np.abs(z1) ** 2)
-                np.add.at(num, Q, W * np.conj(z2) * np.conj(R))
-                np.add.at(den, Q, W * np.abs(z2) ** 2)
-                ok = den > 0
-                g[ok, d] = num[ok] / den[ok]
-            if it % 2 == 0:
-                g = 0.5 * (g + old)
-            if np.max(np.abs(g - old)) <= tol * max(1.0, float(np.max(np.abs(g)))):
-                break
+    eye = np.eye(D) * 1e-12
+    while enough and it < max_iter:
+        it += 1
+        old = g
+        z = np.concatenate([M * np.conj(g[Q]), np.conj(M) * np.conj(g[P])])   # row ~ g_ant . z
+        zc = np.conj(z)
+        A = np.zeros((na, D, D), dtype=complex)
+        b = np.zeros((na, D), dtype=complex)
+        np.add.at(A, ant, wt[:, None, None] * zc[:, :, None] * z[:, None, :])
+        np.add.at(b, ant, wt[:, None] * zc * y[:, None])
+        scale = np.maximum(np.abs(np.einsum("aii->a", A)).real, 1e-300)[:, None, None]
+        g = np.linalg.solve(A + eye * scale, b[:, :, None])[:, :, 0]
+        if it % 2 == 0:
+            g = 0.5 * (g + old)
+        if not np.all(np.isfinite(g)):
+            enough = False
+            break
+        if np.max(np.abs(g - old)) <= tol * max(1.0, float(np.max(np.abs(g)))):
+            break
     rows = []
     for a, i in idx.items():
-        for d in range(n_patches):
-            gv = g[i, d] if enough else complex(np.nan, np.nan)
+        for d in range(D):
+            gv = g[i, d]
             rows.append((int(keys["obs_id"]), int(keys["tsol"]), int(keys["fsol"]), d, int(a),
-                         None if not enough else float(gv.real), None if not enough else float(gv.imag), it))
+                         float(gv.real) if enough else None, float(gv.imag) if enough else None, it))
     return pd.DataFrame(rows, columns=["obs_id", "tsol", "fsol", "patch_idx", "ant", "g_re", "g_im", "iterations"])
 
 
-def fit_direction_gains(avg: DataFrame, n_patches: int, max_iter: int = 500, tol: float = 1e-12) -> DataFrame:
+def fit_direction_gains(avg: DataFrame, n_patches: int, max_iter: int = 200, tol: float = 1e-10) -> DataFrame:
     """Grouped map over (obs_id, tsol, fsol): gains per patch and antenna."""
     cols = ["obs_id", "tsol", "fsol", "ant1", "ant2", "w"] + [f"v{p}_{x}" for p in DIAG for x in ("re", "im")] \
         + [f"m{k}_{x}" for k in range(n_patches) for x in ("re", "im")]

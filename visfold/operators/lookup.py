@@ -24,13 +24,14 @@ def axis_stats(axis: DataFrame, value: str = "value") -> tuple[float | None, flo
     return r["a"], r["b"], int(r["n"])
 
 
-def interval_table(axis: DataFrame, idx: str = "idx", value: str = "value"):
+def interval_table(axis: DataFrame, idx: str = "idx", value: str = "value", stats=None):
     """Bucketed consecutive intervals of an ascending axis (idx, value).
 
     Returns None when the axis has fewer than two distinct values; otherwise
     (table, first, last, width) with table columns (lo, hi, is_last, _bucket).
+    ``stats`` = (first, last, n) when already known (saves one job).
     """
-    first, last, n = axis_stats(axis, value)
+    first, last, n = stats if stats is not None else axis_stats(axis, value)
     if n < 2 or first is None or last == first:
         return None
     width = (last - first) / (n - 1)
@@ -44,8 +45,8 @@ def interval_table(axis: DataFrame, idx: str = "idx", value: str = "value"):
 
 
 def lookup_axis(points: DataFrame, x: str, axis: DataFrame, out: str, mode: str = "nearest",
-                idx: str = "idx", value: str = "value") -> DataFrame:
-    """Attach the axis value(s) for each point.
+                idx: str = "idx", value: str = "value", stats=None, bounded: bool = False) -> DataFrame:
+    """Attach the axis value(s) for each point (``bounded``: axis size already checked).
 
     ``nearest``: column ``out`` = nearest axis value (tie -> earlier value).
     ``linear``: columns ``out``_lo, ``out``_hi, ``out``_frac with
@@ -53,9 +54,9 @@ def lookup_axis(points: DataFrame, x: str, axis: DataFrame, out: str, mode: str
     """
     if mode not in ("nearest", "linear"):
         raise ValueError(f"mode must be 'nearest' or 'linear', got {mode!r}")
-    found = interval_table(axis, idx, value)
+    found = interval_table(axis, idx, value, stats)
     if found is None:
-        first, _, n = axis_stats(axis, value)
+        first, _, n = stats if stats is not None else axis_stats(axis, value)
         v = F.lit(first).cast("double")
         if mode == "nearest":
             return points.withColumn(out, v)
@@ -65,7 +66,8 @@ def lookup_axis(points: DataFrame, x: str, axis: DataFrame, out: str, mode: str
     xc = F.least(F.greatest(F.col(x), F.lit(first)), F.lit(last))
     p = points.withColumn("_xc", xc).withColumn(
         "_bucket", F.floor((F.col("_xc") - F.lit(first)) / F.lit(width)).cast("bigint"))
-    ivb = bounded_broadcast(iv)
+    # about 3x the axis length; ``bounded``: the caller has checked the axis size
+    ivb = F.broadcast(iv) if bounded else bounded_broadcast(iv)
     inside = (F.col("_xc") >= F.col("lo")) & ((F.col("_xc") < F.col("hi")) | (F.col("is_last") & (F.col("_xc") == F.col("hi"))))
     # left join: a point is never dropped (a null coordinate keeps a null lookup)
     j = p.join(ivb, "_bucket", "left").filter(inside | F.col("lo").isNull())

@@ -29,6 +29,10 @@ def local_session(master: str | None = None, shuffle_partitions: int = 8) -> Spa
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        # HotSpot does not JIT-compile methods over 8000 bytes of bytecode; a fused
+        # stage whose generated method is larger runs interpreted and is slower than
+        # Spark's per-operator fallback (the complex/Jones algebra produces such stages).
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
