@@ -35,8 +35,8 @@ def parse_angle(text, kind: str = "ra") -> Column:
     sign = F.when(t.startswith("-"), F.lit(-1.0)).otherwise(F.lit(1.0))
 
     def dms(parts, scale):
-        a = F.abs(F.element_at(parts, 1).cast("double"))
-        b = F.element_at(parts, 2).cast("double")
+        a = F.abs(F.try_element_at(parts, F.lit(1)).cast("double"))
+        b = F.try_element_at(parts, F.lit(2)).cast("double")
         # seconds may carry a fraction after a further dot (dd.mm.ss.sss)
         c = F.concat_ws(".", F.slice(parts, 3, 2)).cast("double")
         return sign * F.radians((a + b / F.lit(60.0) + c / F.lit(3600.0)) * F.lit(scale))

@@ -41,7 +41,7 @@ def _field(fields: Column, header: dict, name: str) -> Column:
     if name not in header:
         return F.lit(None).cast("string")
     idx, default = header[name]
-    v = F.trim(F.element_at(fields, idx + 1))
+    v = F.trim(F.try_element_at(fields, F.lit(idx + 1)))  # short rows: missing trailing fields
     v = F.when(v == "", F.lit(None)).otherwise(v)
     return F.coalesce(v, F.lit(default)) if default is not None else v
 
