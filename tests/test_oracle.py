@@ -4,8 +4,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 
-from .compare import compare, duck
-from .conftest import SF_SMALL
+from tests.compare import compare, duck
+from tests.conftest import SF_SMALL
 
 ORACLE = oracle_sql()
 

@@ -292,11 +292,12 @@ def q_solution_nearest(spark, sf_dir):
 
 @register("solution_linear", O.with_vis(TV.solution_fixture_sql("scalar")).rstrip() + f"""
 , st AS (SELECT DISTINCT time FROM sol), b AS (SELECT min(time) AS first, max(time) AS last FROM st),
-p AS (SELECT DISTINCT obs_id, slot, least(greatest(time, b.first), b.last) AS xc, b.last FROM vis, b),
+p AS (SELECT DISTINCT obs_id, slot, least(greatest(time, b.first), b.last) AS xc, b.first, b.last FROM vis, b),
 q AS (SELECT p.obs_id, p.slot, p.xc,
-  CASE WHEN p.xc = p.last THEN (SELECT max(time) FROM st WHERE time < p.xc) ELSE (SELECT max(time) FROM st WHERE time <= p.xc) END AS lo,
-  CASE WHEN p.xc = p.last THEN p.xc ELSE (SELECT min(time) FROM st WHERE time > p.xc) END AS hi FROM p)
-SELECT obs_id, slot, lo AS t_lo, hi AS t_hi, {O.qr('(xc - lo)/(hi - lo)', 9)} AS frac FROM q""")
+  CASE WHEN p.first = p.last THEN p.first WHEN p.xc = p.last THEN (SELECT max(time) FROM st WHERE time < p.xc)
+    ELSE (SELECT max(time) FROM st WHERE time <= p.xc) END AS lo,
+  CASE WHEN p.first = p.last OR p.xc = p.last THEN p.xc ELSE (SELECT min(time) FROM st WHERE time > p.xc) END AS hi FROM p)
+SELECT obs_id, slot, lo AS t_lo, hi AS t_hi, {O.qr('CASE WHEN hi = lo THEN 0e0 ELSE (xc - lo)/(hi - lo) END', 9)} AS frac FROM q""")
 def q_solution_linear(spark, sf_dir):
     vis = _vis(spark, sf_dir)
     sol = TV.solution_fixture(vis, "scalar")
