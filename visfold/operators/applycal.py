@@ -39,7 +39,7 @@ def solution_layout(sol: DataFrame) -> dict:
     """
     def axis_aggs(a: str):
         idx = F.array_position("axes", a).cast("int")
-        pos = F.when(idx > 0, F.element_at("pos", idx))
+        pos = F.when(idx > 0, F.col("pos").getItem(idx - 1))
         val = F.when(idx > 0, F.col(a))
         return [F.min(val).alias(f"{a}_first"), F.max(val).alias(f"{a}_last"),
                 F.count_distinct(pos).alias(f"{a}_n")]

@@ -83,5 +83,5 @@ def solution_axis(sol: DataFrame, axis: str) -> DataFrame:
     """(idx, value) of a numeric solution axis, taken from the cells' positions."""
     pos_idx = F.array_position("axes", axis).cast("int")
     return (sol.filter(pos_idx > 0)
-            .select(F.element_at("pos", pos_idx).alias("idx"), F.col(axis).alias("value"))
+            .select(F.col("pos").getItem(pos_idx - 1).alias("idx"), F.col(axis).alias("value"))
             .distinct())

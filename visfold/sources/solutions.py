@@ -48,7 +48,7 @@ def axes_of(sol: DataFrame) -> DataFrame:
                    F.posexplode("axes").alias("axis_pos", "axis"))
     v = axis_value(F.col("axis"))
     return (e.select("solset", "soltab", "axis", F.col("axis_pos").cast("int").alias("axis_pos"),
-                     F.element_at("pos", F.col("axis_pos") + 1).alias("pos"),
+                     F.col("pos").getItem(F.col("axis_pos")).alias("pos"),
                      v.getField("num_value").alias("num_value"), v.getField("str_value").alias("str_value"))
             .distinct())
 
