@@ -98,6 +98,12 @@ def fit_direction_scalar(avg: DataFrame, n_patches: int) -> DataFrame:
 GAIN_SCHEMA = "obs_id long, tsol long, fsol int, patch_idx int, ant int, g_re double, g_im double, iterations int"
 
 
+def _per_antenna(ant: np.ndarray, vals: np.ndarray, na: int) -> np.ndarray:
+    """Sum complex ``vals`` per antenna index (bincount is far cheaper than ufunc.at)."""
+    return (np.bincount(ant, weights=vals.real, minlength=na)
+            + 1j * np.bincount(ant, weights=vals.imag, minlength=na))
+
+
 def solve_group(pdf: pd.DataFrame, n_patches: int, max_iter: int = 200, tol: float = 1e-10) -> pd.DataFrame:
     """Least squares for V_pq = sum_d g_p,d M_pq,d conj(g_q,d) on one solution interval.
 
@@ -131,11 +137,13 @@ def solve_group(pdf: pd.DataFrame, n_patches: int, max_iter: int = 200, tol: flo
         it += 1
         old = g
         z = np.concatenate([M * np.conj(g[Q]), np.conj(M) * np.conj(g[P])])   # row ~ g_ant . z
-        zc = np.conj(z)
-        A = np.zeros((na, D, D), dtype=complex)
-        b = np.zeros((na, D), dtype=complex)
-        np.add.at(A, ant, wt[:, None, None] * zc[:, :, None] * z[:, None, :])
-        np.add.at(b, ant, wt[:, None] * zc * y[:, None])
+        wzc = wt[:, None] * np.conj(z)
+        A = np.empty((na, D, D), dtype=complex)
+        b = np.empty((na, D), dtype=complex)
+        for i in range(D):
+            b[:, i] = _per_antenna(ant, wzc[:, i] * y, na)
+            for j in range(D):
+                A[:, i, j] = _per_antenna(ant, wzc[:, i] * z[:, j], na)
         scale = np.maximum(np.abs(np.einsum("aii->a", A)).real, 1e-300)[:, None, None]
         g = np.linalg.solve(A + eye * scale, b[:, :, None])[:, :, 0]
         if it % 2 == 0:
@@ -161,7 +169,13 @@ def fit_direction_gains(avg: DataFrame, n_patches: int, max_iter: int = 200, tol
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         return solve_group(pdf, n_patches, max_iter, tol)
-    return avg.select(*cols).groupBy("obs_id", "tsol", "fsol").applyInPandas(solve, GAIN_SCHEMA)
+    # The averaged input is small in bytes but costly to solve: an explicit
+    # repartition on the group key keeps AQE from coalescing every interval into
+    # one task (the group-by reuses this partitioning, no extra exchange).
+    spark = avg.sparkSession
+    n = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    keyed = avg.select(*cols).repartition(n, "obs_id", "tsol", "fsol")
+    return keyed.groupBy("obs_id", "tsol", "fsol").applyInPandas(solve, GAIN_SCHEMA)
 
 
 def subtract_sources(vis_models: DataFrame, gains: DataFrame, subtract_idx, solint_t: int, solint_f: int,
