@@ -239,3 +239,19 @@ def test_nearest_and_linear_lookup_match_brute_force(spark):
         lo, hi, f = lin[x]
         xc = min(max(x, axis_vals[0]), axis_vals[-1])
         assert math.isclose(lo + f * (hi - lo), xc, abs_tol=1e-12)
+
+
+def test_range_join_matches_literal_predicates(vis):
+    rng = np.random.default_rng(11)
+    ranges = []
+    for _ in range(50):
+        lo = 9.595e8 + rng.uniform(0, 5e6)
+        ranges.append((lo, lo + rng.choice([1e3, 2e5, 3e6])))
+    ranges.append((9.5e8, 9.7e8))  # one range covering everything
+    a = FL.range_join_flags(vis, ranges[:-1])
+    b = FL.flag_freq_ranges(vis, ranges[:-1], literal_limit=10_000)
+    key = ["obs_id", "slot", "ant1", "ant2", "chan"]
+    diff = (a.select(*key, F.col("flag.xx").alias("fa")).join(b.select(*key, F.col("flag.xx").alias("fb")), key)
+            .filter(F.col("fa") != F.col("fb")).count())
+    assert diff == 0
+    assert FL.range_join_flags(vis, ranges).filter(~F.col("flag.yy")).count() == 0

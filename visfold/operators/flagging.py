@@ -110,18 +110,32 @@ def flag_freq_ranges(vis: DataFrame, ranges, mode: str = "set", spw: DataFrame |
 def range_join_flags(vis: DataFrame, ranges, mode: str = "set", spw: DataFrame | None = None) -> DataFrame:
     """Non-equi channel-in-range match, resolved on the channel table.
 
-    The range join runs on the small channel table (``spw`` or the distinct
-    (obs_id, chan, freq) of ``vis``), never on the visibilities; the result
-    (flagged channels) comes back through an equi-join on (obs_id, chan).
+    The match runs on the small channel table (``spw`` or the distinct
+    (obs_id, chan, freq) of ``vis``), never on the visibilities, and as an
+    equi-join: each range is expanded over the fixed-width frequency buckets
+    it touches (width = span of all ranges / number of ranges) and a channel
+    meets the ranges of its own bucket, then ``between`` decides. The flagged
+    (obs_id, chan) pairs come back through an equi-join.
     """
     spark = vis.sparkSession
     if not isinstance(ranges, DataFrame):
         ranges = spark.createDataFrame([(float(a), float(b)) for a, b in ranges], "lo double, hi double")
+    r = ranges.select("lo", "hi")
+    st = r.agg(F.min("lo").alias("a"), F.max("hi").alias("b"), F.count(F.lit(1)).alias("n")).first()
     channels = spw.select("obs_id", "chan", "freq") if spw is not None else \
         vis.select("obs_id", "chan", "freq").distinct()
-    r = bounded_broadcast(ranges.select("lo", "hi"))
-    hit = (channels.join(r, (channels.freq >= r.lo) & (channels.freq <= r.hi), "left_semi")
-           .select("obs_id", "chan").distinct().withColumn("_hit", F.lit(True)))
+    if not st["n"]:
+        hit = channels.limit(0).select("obs_id", "chan")
+    else:
+        lo0, hi0 = float(st["a"]), float(st["b"])
+        width = (hi0 - lo0) / st["n"] if hi0 > lo0 else 1.0
+        bucket = lambda c: F.floor((c - F.lit(lo0)) / F.lit(width)).cast("bigint")
+        rb = bounded_broadcast(r.filter(F.col("hi") >= F.col("lo")).select(
+            "lo", "hi", F.explode(F.sequence(bucket(F.col("lo")), bucket(F.col("hi")))).alias("_b")))
+        ch = channels.filter(F.col("freq").between(F.lit(lo0), F.lit(hi0))).withColumn("_b", bucket(F.col("freq")))
+        hit = (ch.join(rb, "_b").filter(F.col("freq").between(F.col("lo"), F.col("hi")))
+               .select("obs_id", "chan").distinct())
+    hit = hit.withColumn("_hit", F.lit(True))
     out = vis.join(bounded_broadcast(hit), ["obs_id", "chan"], "left")
     return _apply(out, F.col("_hit"), mode).drop("_hit").select(vis.columns)
 
