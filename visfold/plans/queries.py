@@ -982,19 +982,42 @@ def _cexpr_cols(prefix, vals):
 
 
 _V = O.jones_cols("")
-_C_MUL_VALS = {"prod": O.c_mul(_V["xx"], O.c_conj(_V["yy"])), "quot": O.c_div(_V["xx"], _V["xy"])}
 
 
-@register("c_mul", O.with_vis() + f"""SELECT {O.KEY}, {_cexpr_cols('', _C_MUL_VALS)},
-  {O.qr('xx_re*xx_re + xx_im*xx_im')} AS abs2 FROM vis4""")
+def _c_out(vals):
+    return [qround(C.re_(v)).alias(f"{k}_re") for k, v in vals.items()] + \
+        [qround(C.im_(v)).alias(f"{k}_im") for k, v in vals.items()]
+
+
+def _c_sql(vals):
+    return ", ".join(f"{O.qr(v[0])} AS {k}_re, {O.qr(v[1])} AS {k}_im" for k, v in vals.items())
+
+
+def _d(p):
+    return F.col("data").getField(p)
+
+
+@register("c_mul", O.with_vis() + f"SELECT {O.KEY}, {_c_sql({'prod': O.c_mul(_V['xx'], _V['yy']), 'cross': O.c_mul(_V['xy'], _V['yx'])})} FROM vis4")
 def q_c_mul(spark, sf_dir):
-    vis = _vis(spark, sf_dir)
-    d = lambda p: F.col("data").getField(p)
-    prod = C.c_mul(d("xx"), C.c_conj(d("yy")))
-    quot = C.c_div(d("xx"), d("xy"))
-    return vis.select(*_KEYS, qround(C.re_(prod)).alias("prod_re"), qround(C.im_(prod)).alias("prod_im"),
-                      qround(C.re_(quot)).alias("quot_re"), qround(C.im_(quot)).alias("quot_im"),
-                      qround(C.c_abs2(d("xx"))).alias("abs2"))
+    vals = {"prod": C.c_mul(_d("xx"), _d("yy")), "cross": C.c_mul(_d("xy"), _d("yx"))}
+    return _vis(spark, sf_dir).select(*_KEYS, *_c_out(vals))
+
+
+@register("c_conj", O.with_vis() + f"SELECT {O.KEY}, {_c_sql({p: O.c_conj(_V[p]) for p in O.POLS})} FROM vis4")
+def q_c_conj(spark, sf_dir):
+    return _vis(spark, sf_dir).select(*_KEYS, *_c_out({p: C.c_conj(_d(p)) for p in C.POLS}))
+
+
+@register("c_div", O.with_vis() + f"SELECT {O.KEY}, {_c_sql({'q1': O.c_div(_V['xx'], _V['xy']), 'q2': O.c_div(_V['yy'], _V['yx'])})} FROM vis4")
+def q_c_div(spark, sf_dir):
+    vals = {"q1": C.c_div(_d("xx"), _d("xy")), "q2": C.c_div(_d("yy"), _d("yx"))}
+    return _vis(spark, sf_dir).select(*_KEYS, *_c_out(vals))
+
+
+@register("c_abs2", O.with_vis() + f"SELECT {O.KEY}, " + ", ".join(
+    f"{O.qr(f'{p}_re*{p}_re + {p}_im*{p}_im')} AS {p}_abs2" for p in O.POLS) + " FROM vis4")
+def q_c_abs2(spark, sf_dir):
+    return _vis(spark, sf_dir).select(*_KEYS, *[qround(C.c_abs2(_d(p))).alias(f"{p}_abs2") for p in C.POLS])
 
 
 def _jones_out(col):
