@@ -22,8 +22,11 @@ Gains are scalar per antenna and direction (both XX and YY constrain them).
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +38,10 @@ from .predict import patch_models
 POLS = C.POLS
 DIAG = ("xx", "yy")
 
+# The grouped solver runs in Python workers, which need not have this package
+# installed: ship this module's functions with the task (pickled by value).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _bins(v: DataFrame, timestep: int, freqstep: int, solint_t: int, solint_f: int) -> DataFrame:
     v = with_relative_slot(v)
