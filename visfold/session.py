@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -64,3 +66,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the workers, once per application.
+
+    Python functions that run in tasks are pickled by reference, so every worker
+    must be able to import them. The archive is handed to ``addPyFile``, which
+    serves it to executors that join later too.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_visfold_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="visfold-src-")) / "visfold.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(root.rglob("*.py")):
+            z.write(source, Path(root.name) / source.relative_to(root))
+    sc.addPyFile(str(archive))
+    sc._visfold_shipped = True
