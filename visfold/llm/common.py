@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, ship_package
 
 
 def doc_columns(docs: DataFrame) -> DataFrame:
@@ -39,6 +39,7 @@ def _mapped(batches: Iterator[pa.RecordBatch], make: Callable, schema: StructTyp
 def map_texts(docs: DataFrame, make: Callable, columns: str) -> DataFrame:
     """(doc_id, *columns) per document; ``make()`` runs once per task and returns a function
     from a list of texts (None: null) to one list or array per output column."""
+    ship_package(docs.sparkSession)
     schema = StructType.fromDDL(f"doc_id bigint, {columns}")
     return doc_columns(docs).mapInArrow(partial(_mapped, make=make, schema=schema), schema)
 
