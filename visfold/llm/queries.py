@@ -8,11 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read
 from .compression_bands import compression_quality
+from .rank_array_bpe import encode_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file (installed alike on every machine)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -22,6 +30,11 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op7_rank_array_bpe")
+def op7_rank_array_bpe(spark, sf_dir):
+    return encode_documents(read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 @register("op8_compression_bands")
 def op8_compression_bands(spark, sf_dir):
     return compression_quality(read(spark, sf_dir, "documents"))
