@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read
 from .compression_bands import compression_quality
+from .cost_packing import pack_documents
 from .rank_array_bpe import encode_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +22,14 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_vocabulary() -> dict[str, str]:
+    """The byte-level vocabulary, in its exact form and as ranks with their split pattern."""
+    import public_tokenizers
+
+    return {"path": vocabulary("byte_bpe_50k.json"), "ranks": vocabulary("byte_bpe_50k.tiktoken"),
+            "pattern": public_tokenizers.PATTERN}
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -38,3 +47,8 @@ def op7_rank_array_bpe(spark, sf_dir):
 @register("op8_compression_bands")
 def op8_compression_bands(spark, sf_dir):
     return compression_quality(read(spark, sf_dir, "documents"))
+
+
+@register("op6_cost_packing")
+def op6_cost_packing(spark, sf_dir):
+    return pack_documents(read(spark, sf_dir, "documents"), **byte_vocabulary())
