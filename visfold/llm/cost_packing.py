@@ -62,10 +62,14 @@ class DocumentIds:
             self.fast = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=load_tiktoken_bpe(ranks), special_tokens={})
 
     def __call__(self, text: str) -> np.ndarray:
-        if self.fast is None or any(s in text for s in self.special):
+        ids = None
+        if self.fast is not None and not any(s in text for s in self.special):
+            try:
+                ids = self.fast.encode_to_numpy(text, disallowed_special=())
+            except ValueError:  # its pattern gives up on very long runs of white space
+                pass
+        if ids is None:
             ids = self.exact.encode(text, add_special_tokens=False).ids
-        else:
-            ids = self.fast.encode_to_numpy(text, disallowed_special=())
         return np.append(np.asarray(ids, "<u4"), np.uint32(END)).astype("<u4")
 
 
