@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import read
+from .common import id_crc32, read
 from .compression_bands import compression_quality
 from .cost_packing import pack_documents
 from .rank_array_bpe import encode_documents
+from .rank_profiles import learn_profiles, predict_languages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -52,3 +54,11 @@ def op8_compression_bands(spark, sf_dir):
 @register("op6_cost_packing")
 def op6_cost_packing(spark, sf_dir):
     return pack_documents(read(spark, sf_dir, "documents"), **byte_vocabulary())
+
+
+@register("op10_rank_profiles")
+def op10_rank_profiles(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    held_out = id_crc32() % 4 == 2
+    found = predict_languages(docs, learn_profiles(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
