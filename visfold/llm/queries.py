@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import id_crc32, read
 from .compression_bands import compression_quality
 from .cost_packing import pack_documents
+from .pigeonring_simhash import near_duplicates
 from .rank_array_bpe import encode_documents
 from .rank_profiles import learn_profiles, predict_languages
 
@@ -62,3 +63,9 @@ def op10_rank_profiles(spark, sf_dir):
     held_out = id_crc32() % 4 == 2
     found = predict_languages(docs, learn_profiles(docs, ~held_out))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@register("op9_pigeonring_simhash")
+def op9_pigeonring_simhash(spark, sf_dir):
+    found = near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
