@@ -13,6 +13,8 @@ from .cost_packing import pack_documents
 from .pigeonring_simhash import near_duplicates
 from .rank_array_bpe import encode_documents
 from .rank_profiles import learn_profiles, predict_languages
+from .trie_tokens import count_tokens
+from .url_aliases import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -52,6 +54,65 @@ def op8_compression_bands(spark, sf_dir):
     return compression_quality(read(spark, sf_dir, "documents"))
 
 
+#: Rules of the url query: (host, path, allow).
+URL_RULES = [("org", "/", True), ("example.org", "/es/", False), ("example.org", "/en/1", False),
+             ("com", "/fr/", True), ("com", "/de/", False)]
+
+
+def _url_oracle() -> str:
+    rules = ", ".join(f"('{h}', '{p}', {str(a).lower()})" for h, p, a in URL_RULES)
+    after = "CASE WHEN strpos({u}, '://') > 0 THEN substr({u}, strpos({u}, '://') + 3) ELSE '' END"
+
+    def host(u):
+        return f"coalesce(translate(regexp_extract({after.format(u=u)}, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '')"
+
+    def path(u):
+        return f"coalesce(regexp_extract({after.format(u=u)}, '^[^/?#]*([^?#]*)', 1), '')"
+
+    def key(u):
+        query = f"regexp_extract({after.format(u=u)}, '^[^?#]*[?]([^#]*)', 1)"
+        query = f"regexp_replace(regexp_replace({query}, '(^|&)utm_[^&]*', '', 'g'), '^&', '')"
+        return (f"CASE WHEN regexp_replace({host(u)}, '^www[.]', '') <> '' THEN regexp_replace({host(u)}, '^www[.]', '') || "
+                f"regexp_replace({path(u)}, '/+$', '') || CASE WHEN {query} <> '' THEN '?' || {query} ELSE '' END END")
+
+    def targets(tag, kind, value):
+        return (f"list_transform(list_filter(regexp_extract_all(html, '(?i)<{tag}\\b[^>]*>'), lambda t: regexp_matches(t, '{kind}')), "
+                f"lambda t: regexp_extract(t, '{value}', 1))")
+    quoted = """\\s*=\\s*["'']?([^"''\\s>]+)"""
+    found = (f"list_concat({targets('link', '(?i)\\brel\\s*=\\s*["\'\']?canonical\\b', '(?i)\\bhref' + quoted)}, "
+             f"{targets('meta', '(?i)\\bhttp-equiv\\s*=\\s*["\'\']?refresh\\b', '(?i)\\burl' + quoted)})")
+    return f"""
+WITH RECURSIVE rules(rhost, rpath, ok) AS (VALUES {rules}),
+named AS (SELECT url, replace(unnest({found}), '&amp;', '&') AS t FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
+edges AS (SELECT DISTINCT url, CASE WHEN strpos(t, '://') > 0 THEN t WHEN starts_with(t, '//') THEN 'http:' || t
+    WHEN starts_with(t, '/') THEN 'http://' || {host('url')} || t END AS target FROM named),
+urls AS (SELECT DISTINCT url FROM (SELECT url FROM pages UNION ALL SELECT url FROM edges UNION ALL SELECT target FROM edges) WHERE url IS NOT NULL),
+parsed AS (SELECT url, {host('url')} AS host, {path('url')} AS path, {key('url')} AS key FROM urls),
+best AS (SELECT url, max(struct_pack(n := length(rhost || rpath), h := length(rhost), ok := ok, rule := rhost || rpath)) AS b
+    FROM parsed, rules WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY url),
+judged AS (SELECT p.*, b.rule, b.ok FROM parsed p LEFT JOIN best USING (url)),
+links AS (SELECT {key('url')} AS a, {key('target')} AS b FROM edges WHERE target IS NOT NULL),
+both_ways AS (SELECT a, b FROM links WHERE a <> b UNION SELECT b, a FROM links WHERE a <> b),
+reach(a, b) AS (SELECT a, a FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a),
+classes AS (SELECT a AS key, min(b) AS component FROM reach GROUP BY a),
+placed AS (SELECT j.*, coalesce(c.component, j.key) AS component FROM judged j LEFT JOIN classes c ON j.key = c.key),
+shared AS (SELECT component, bool_or(ok) AS any_allow, NOT bool_and(ok) AS any_block FROM placed WHERE component IS NOT NULL GROUP BY component)
+SELECT g.page_id, coalesce(p.host, '') AS host, coalesce(p.path, '') AS path, p.rule,
+    CASE WHEN p.ok THEN 'allow' WHEN NOT p.ok THEN 'block' WHEN s.any_block AND NOT s.any_allow THEN 'block' ELSE 'allow' END AS verdict
+FROM pages g LEFT JOIN placed p ON g.url = p.url LEFT JOIN shared s ON p.component = s.component"""
+
+
+@register("op1_url_aliases", _url_oracle())
+def op1_url_aliases(spark, sf_dir):
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, allow boolean")
+    return judge_urls(read(spark, sf_dir, "pages"), rules)
+
+
+@register("op2_trie_tokens")
+def op2_trie_tokens(spark, sf_dir):
+    return count_tokens(read(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 @register("op6_cost_packing")
 def op6_cost_packing(spark, sf_dir):
     return pack_documents(read(spark, sf_dir, "documents"), **byte_vocabulary())
