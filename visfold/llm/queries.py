@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import id_crc32, read
 from .compression_bands import compression_quality
 from .cost_packing import pack_documents
+from .kd_sharding import shard_documents
 from .pigeonring_simhash import near_duplicates
 from .rank_array_bpe import encode_documents
 from .rank_profiles import learn_profiles, predict_languages
@@ -113,6 +114,11 @@ def op2_trie_tokens(spark, sf_dir):
     return count_tokens(read(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+@register("op4_kd_sharding")
+def op4_kd_sharding(spark, sf_dir):
+    return shard_documents(read(spark, sf_dir, "documents"), shards=40)
+
+
 @register("op6_cost_packing")
 def op6_cost_packing(spark, sf_dir):
     return pack_documents(read(spark, sf_dir, "documents"), **byte_vocabulary())
