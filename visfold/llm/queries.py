@@ -14,6 +14,7 @@ from .kd_sharding import shard_documents
 from .pigeonring_simhash import near_duplicates
 from .rank_array_bpe import encode_documents
 from .rank_profiles import learn_profiles, predict_languages
+from .string_kernel_svm import score_toxicity, train_toxicity
 from .trie_tokens import count_tokens
 from .url_aliases import judge_urls
 
@@ -119,6 +120,14 @@ def op4_kd_sharding(spark, sf_dir):
     return shard_documents(read(spark, sf_dir, "documents"), shards=40)
 
 
+@register("op5_string_kernel_svm")
+def op5_string_kernel_svm(spark, sf_dir):
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    held_out = id_crc32() % 3 == 1
+    model = train_toxicity(docs, labels.filter(~held_out))
+    return score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @register("op6_cost_packing")
 def op6_cost_packing(spark, sf_dir):
     return pack_documents(read(spark, sf_dir, "documents"), **byte_vocabulary())
