@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import heapq
 import json
-import unicodedata
 from array import array
 from functools import lru_cache, partial
 from hashlib import sha256
@@ -26,6 +25,7 @@ from hashlib import sha256
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from .common import map_texts
 
@@ -162,7 +162,10 @@ class WordBpe:
         vocab: dict[str, int] = model["vocab"]
         self.end = model["end_of_word_suffix"]
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.words = regex.compile(split)
+        self.ascii_words = regex.compile(split)
+        # beyond ASCII, which letters there are is a matter of the library's Unicode version
+        self.any_words = pre_tokenizers.Split(Regex(split), "removed", invert=True)
+        self.any_normal = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.at_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         # pieces without an id drop out of the ids, as there is no unknown token
@@ -177,10 +180,11 @@ class WordBpe:
         self.table = PairRanks(self.pairs)
         self.kept: dict[str, tuple[bytes, str]] = {}
 
-    def normal(self, chunk: str) -> str:
+    def words_of(self, chunk: str) -> list[str]:
+        """The normalised words of a chunk without white space."""
         if chunk.isascii():
-            return chunk.lower()
-        return "".join(c.lower() for c in unicodedata.normalize("NFC", chunk))  # each letter by itself
+            return self.ascii_words.findall(chunk.lower())
+        return [w for w, _ in self.any_words.pre_tokenize_str(self.any_normal.normalize_str(chunk))]
 
     def encode_words(self, words: list[str]) -> dict[str, tuple[bytes, str]]:
         """(ids as little-endian unsigned 32-bit integers, decoded text) of each distinct word."""
@@ -209,7 +213,7 @@ class WordBpe:
 
     def learn(self, chunks: list[str]) -> None:
         """Encode chunks that the table lacks: chunk -> (ids as bytes, decoded text)."""
-        split = {c: self.words.findall(self.normal(c)) for c in chunks}
+        split = {c: self.words_of(c) for c in chunks}
         known = self.encode_words(list({w for words in split.values() for w in words}))
         for chunk, words in split.items():
             if len(words) == 1:
