@@ -11,6 +11,7 @@ from .common import id_crc32, read
 from .compression_bands import compression_quality
 from .cost_packing import pack_documents
 from .kd_sharding import shard_documents
+from .nn_descent import nearest_neighbours
 from .pigeonring_simhash import near_duplicates
 from .rank_array_bpe import encode_documents
 from .rank_profiles import learn_profiles, predict_languages
@@ -115,6 +116,11 @@ def op2_trie_tokens(spark, sf_dir):
     return count_tokens(read(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+@register("op3_nn_descent")
+def op3_nn_descent(spark, sf_dir):
+    return nearest_neighbours(read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 @register("op4_kd_sharding")
 def op4_kd_sharding(spark, sf_dir):
     return shard_documents(read(spark, sf_dir, "documents"), shards=40)
