@@ -44,6 +44,23 @@ def map_texts(docs: DataFrame, make: Callable, columns: str) -> DataFrame:
     return doc_columns(docs).mapInArrow(partial(_mapped, make=make, schema=schema), schema)
 
 
+def _kept(batches: Iterator[pa.RecordBatch], make: Callable, keep: Callable) -> Iterator[pa.RecordBatch]:
+    rows_of = make()
+    for batch in batches:
+        texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+        yield batch.filter(pa.array([bool(k) for k in keep(rows_of(texts))], pa.bool_()))
+
+
+def filter_texts(docs: DataFrame, make: Callable, keep: Callable) -> DataFrame:
+    """The rows of ``docs``, with all their columns, for which ``keep`` says yes.
+
+    ``make()`` runs once per task, as in ``map_texts``; ``keep`` gets its function's columns for a batch
+    and returns one truth value per row. Row-local: whole rows pass through, nothing is joined back.
+    """
+    ship_package(docs.sparkSession)
+    return docs.mapInArrow(partial(_kept, make=make, keep=keep), docs.schema)
+
+
 def id_crc32(column: str = "doc_id") -> Column:
     """crc32 of the id's decimal text (a null id counts as the empty text)."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))

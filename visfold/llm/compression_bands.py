@@ -12,13 +12,11 @@ of the rule set (words, symbols, repeated lines, repeated three-word windows).
 
 from __future__ import annotations
 
-from functools import partial
-
 import numpy as np
 import zstandard
 from pyspark.sql import DataFrame
 
-from .common import map_texts
+from .common import filter_texts, map_texts
 
 #: zstandard level of all ratios.
 LEVEL = 3
@@ -117,4 +115,13 @@ def compression_quality(docs: DataFrame) -> DataFrame:
     A null text counts as empty: no words, verdict ``empty``, not kept. A null doc_id stays null.
     Repeated rows each give a row; an empty table gives none; other columns are not read.
     """
-    return map_texts(docs, partial(_make), COLUMNS)
+    return map_texts(docs, _make, COLUMNS)
+
+
+def _verdicts(columns):
+    return list(columns)[6]
+
+
+def keep_quality(docs: DataFrame) -> DataFrame:
+    """The documents that all rules keep, with all their columns; texts that are null or empty go."""
+    return filter_texts(docs, _make, _verdicts)

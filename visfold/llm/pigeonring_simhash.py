@@ -255,3 +255,15 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, dis
     ids = members.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_fp = members.join(ids, "component").select(F.col("fp").alias("fingerprint"), "component_id")
     return sketch.join(by_fp, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def one_per_group(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
+    """The document with the smallest doc_id of every group of near duplicates, with all its columns.
+
+    Rows that repeat a doc_id are one document, of which one row stays. A row without a doc_id can't
+    be named as another's copy and stays.
+    """
+    groups = near_duplicates(docs, words_per_shingle, distance)
+    first = checkpointed(groups.filter("doc_id = component_id").select("doc_id").distinct())
+    named = docs.filter("doc_id IS NOT NULL").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(*docs.columns).union(docs.filter("doc_id IS NULL"))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import checkpointed, map_texts
+from .common import checkpointed, filter_texts, map_texts
 
 ORDER, DECAY, SPAN = 3, 0.6, 6
 LANDMARKS = 256
@@ -378,3 +378,12 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     repeated rows keep their rows; labels, lang, source and other columns are not read.
     """
     return map_texts(docs, partial(_make, model), "score double, predicted int")
+
+
+def _clean(columns):
+    return [not p for p in columns[1]]
+
+
+def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """The documents that are not predicted toxic, with all their columns; null and empty texts stay."""
+    return filter_texts(docs, partial(_make, model), _clean)
