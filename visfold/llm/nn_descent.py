@@ -4,10 +4,11 @@ Every distinct vector is a node. Nodes are dealt to blocks of about ``BLOCK`` by
 its block and its place there. An extra coordinate that gives all vectors one
 length turns the largest inner product into the nearest neighbour, so the graph suits both.
 
-Graph: nodes start with the ``NEIGHBOURS`` best of their own block, and iterate: every node takes up
-to ``REVERSE`` of the nodes that list it, the links so agreed on send their ends' vectors (in 8 bits) to one
-another, and each node compares its links pairwise and tells both ends of the pairs that beat
-their lists' last entries. A node has a bounded number of links, however many lists it stands in.
+Graph: nodes start with the best of their own block and some random ones of others, and iterate: every
+node takes up to ``REVERSE`` of the nodes that list it, the links so agreed on send their ends' vectors (in
+8 bits) to one another, and each node compares its links pairwise, where one of them is new, and tells both
+ends of the pairs that beat their lists' last entries. A node has a bounded number of links, however many
+lists it stands in.
 
 Search: all queries go at once, each with a pool of its ``POOL`` best nodes found so far. Each round expands
 the pool's unexpanded nodes: their blocks look up their links, and the linked nodes' blocks score them. It
@@ -31,22 +32,24 @@ from ..session import ship_package
 from .common import checkpointed
 
 BLOCK = 4096
-NEIGHBOURS, REVERSE = 32, 32
+NEIGHBOURS, REVERSE = 32, 48
+#: Entries of a list that start at random.
+RANDOM = 16
 #: Better pairs that a block tells a node of in one iteration, and per common neighbour.
-TOLD, TOLD_EACH = 24, 5
+TOLD, TOLD_EACH = 24, 8
 ITERATIONS = 5
 #: Iterations end when fewer than this share of all list entries has changed.
 CHANGED = 0.01
-POOL, ROUNDS = 256, 16
+POOL, ROUNDS = 192, 12
 #: Largest vectors that every query starts from besides its own neighbours.
 ENTRIES = 16
 #: Nodes per query that are scored exactly.
 EXACT = 96
 _SHIFT = 16  # bits of a node's place in its block
 
-_STATE = "block bigint, node bigint, vec binary, near binary, sim binary, changed bigint"
-_LINKS = "block bigint, node bigint, other bigint"
-_SENT = "block bigint, src bigint, vec binary, least float, dst binary"
+_STATE = "block bigint, node bigint, vec binary, near binary, sim binary, fresh binary, changed bigint"
+_LINKS = "block bigint, node bigint, other bigint, fresh bigint"
+_SENT = "block bigint, src bigint, vec binary, least float, dst binary, fresh binary"
 _TOLD = "block bigint, node bigint, near binary, sim binary"
 _ASKED = "block bigint, query bigint, vec binary, least float, places binary"
 _FOUND = "block bigint, query bigint, near binary, sim binary"
@@ -64,10 +67,14 @@ def _longs(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy()
 
 
-def _table(**columns) -> pa.Table:
+def _table(fresh=None, **columns) -> pa.Table:
+    """A table of long columns, but for those that hold arrays as bytes; ``fresh``: flags, bytes or longs."""
     kinds = {"vec": pa.binary(), "near": pa.binary(), "sim": pa.binary(), "dst": pa.binary(), "places": pa.binary(),
              "expanded": pa.binary(), "start": pa.binary(), "least": pa.float32()}
-    return pa.table({k: pa.array(v, kinds.get(k, pa.int64())) for k, v in columns.items()})
+    made = {k: pa.array(v, kinds.get(k, pa.int64())) for k, v in columns.items()}
+    if fresh is not None:
+        made["fresh"] = pa.array(fresh, pa.int64() if isinstance(fresh, np.ndarray) else pa.binary())
+    return pa.table(made)
 
 
 def _pack(vectors: np.ndarray) -> np.ndarray:
@@ -125,15 +132,15 @@ def _spread(table: pa.Table, name: str, dtype) -> tuple[np.ndarray, np.ndarray]:
 
 # ------------------------------------------------------------------------- graph
 
-def _starter(top: float):
-    """A grouped map that knows the largest length of a vector."""
+def _starter(top: float, blocks: int, smallest: int):
+    """A grouped map that knows the largest length of a vector, the number of blocks and the smallest one's size."""
     def start(table: pa.Table) -> pa.Table:
-        return _start_block(table, top)
+        return _start_block(table, top, blocks, smallest)
     return start
 
 
-def _start_block(table: pa.Table, top: float) -> pa.Table:
-    """Number the nodes of one block and link each with the best others in it."""
+def _start_block(table: pa.Table, top: float, blocks: int, smallest: int) -> pa.Table:
+    """Number the nodes of one block and link each with the best others in it, and with random nodes."""
     order = np.argsort(_longs(table, "id"), kind="stable")
     x = np.array(table.column("embedding").to_pylist(), np.float64).reshape(table.num_rows, -1)[order]
     x = np.hstack([x, np.sqrt(np.maximum(0, top * top - (x * x).sum(axis=1)))[:, None]]).astype(np.float32)
@@ -141,18 +148,25 @@ def _start_block(table: pa.Table, top: float) -> pa.Table:
     if len(x) >> _SHIFT:
         raise ValueError("a block holds too many nodes")
     near, sim = [], []
-    k = min(NEIGHBOURS, len(x) - 1)
+    k = min(NEIGHBOURS - (RANDOM if blocks > 1 else 0), len(x) - 1)
+    draw = np.random.default_rng(block)
     for at in range(0, len(x), 512):
         s = x[at:at + 512] @ x.T
         s[np.arange(len(s)), np.arange(at, at + len(s))] = -np.inf
         best = np.argpartition(-s, k - 1, axis=1)[:, :k] if k else np.zeros((len(s), 0), int)
         value = np.take_along_axis(s, best, 1)
         by = np.argsort(-value, axis=1, kind="stable")
-        near += [(r.astype(np.int64) + (block << _SHIFT)).tobytes() for r in np.take_along_axis(best, by, 1)]
-        sim += [r.tobytes() for r in np.take_along_axis(value, by, 1).astype(np.float32)]
+        nodes, value = np.take_along_axis(best, by, 1).astype(np.int64) + (block << _SHIFT), np.take_along_axis(value, by, 1)
+        if blocks > 1:  # no sim is known of the random ones, so anything beats them
+            far = (block + draw.integers(1, blocks, (len(s), RANDOM))) % blocks
+            nodes = np.hstack([nodes, (far << _SHIFT) + draw.integers(0, smallest, far.shape)])
+            value = np.hstack([value, np.full(far.shape, -np.inf)])
+        near += [r.tobytes() for r in nodes]
+        sim += [r.tobytes() for r in value.astype(np.float32)]
     n = len(x)
+    fresh = np.concatenate([np.zeros(k, np.int8), np.ones(RANDOM if blocks > 1 else 0, np.int8)]).tobytes()
     return _table(block=[block] * n, node=np.arange(n) + (block << _SHIFT), vec=[r.tobytes() for r in x], near=near, sim=sim,
-                  changed=[len(r) // 8 for r in near]).append_column("id", pa.array(_longs(table, "id")[order], pa.int64()))
+                  fresh=[fresh] * n, changed=[len(r) // 8 for r in near]).append_column("id", pa.array(_longs(table, "id")[order], pa.int64()))
 
 
 def _listed(batches):
@@ -160,38 +174,50 @@ def _listed(batches):
     for batch in batches:
         table = pa.Table.from_batches([batch])
         row, near = _spread(table, "near", np.int64)
+        fresh = _spread(table, "fresh", np.int8)[1].astype(np.int64)
         keep = _first_per_key(near, REVERSE, len(near))
-        yield from _table(block=near[keep] >> _SHIFT, node=near[keep], other=_longs(table, "node")[row[keep]]).to_batches()
+        yield from _table(block=near[keep] >> _SHIFT, node=near[keep], other=_longs(table, "node")[row[keep]], fresh=fresh[keep]).to_batches()
+
+
+def _own_lists(batches):
+    """The links of each node to the nodes of its list."""
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        row, near = _spread(table, "near", np.int64)
+        node = _longs(table, "node")[row]
+        yield from _table(block=node >> _SHIFT, node=node, other=near, fresh=np.zeros(len(near), np.int64)).to_batches()
 
 
 def _agree(table: pa.Table) -> pa.Table:
     """Each node takes at most ``REVERSE`` of those that list it; both ends learn of the link."""
-    node, other = _longs(table, "node"), _longs(table, "other")
+    node, other, fresh = _longs(table, "node"), _longs(table, "other"), _longs(table, "fresh")
     order = np.lexsort((other, node))
-    node, other = node[order], other[order]
-    keep = _first_per_key(node, REVERSE, len(node))
-    node, other = node[keep], other[keep]
+    keep = order[_first_per_key(node[order], REVERSE, len(node))]
+    node, other, fresh = node[keep], other[keep], fresh[keep]
     a, b = np.concatenate([node, other]), np.concatenate([other, node])
-    return _table(block=a >> _SHIFT, node=a, other=b)
+    return _table(block=a >> _SHIFT, node=a, other=b, fresh=np.concatenate([fresh, fresh]))
 
 
 def _send(key: tuple[pa.Scalar, ...], state: pa.Table, links: pa.Table) -> pa.Table:
     """One row per node and block with linked nodes: its vector, its list's last sim, those nodes."""
     if not state.num_rows or not links.num_rows:
-        return _table(block=[], src=[], vec=[], least=[], dst=[])
+        return _table(block=[], src=[], vec=[], least=[], dst=[], fresh=[])
     nodes = _longs(state, "node")
     packed = _pack(_join(state.column("vec"), np.float32, len(state.column("vec")[0].as_py()) // 4))
     least = np.array([np.frombuffer(s, np.float32)[-1] if len(s) == 4 * NEIGHBOURS else -np.inf for s in state.column("sim").to_pylist()], np.float32)
     place = {n: i for i, n in enumerate(nodes.tolist())}
-    pairs = np.unique(np.stack([_longs(links, "node"), _longs(links, "other")], 1), axis=0)
-    src, dst = pairs[:, 0], pairs[:, 1]
+    src, dst, fresh = _longs(links, "node"), _longs(links, "other"), _longs(links, "fresh")
+    order = np.lexsort((-fresh, dst, src))
+    src, dst, fresh = src[order], dst[order], fresh[order].astype(np.int8)
+    first = np.concatenate([[True], (src[1:] != src[:-1]) | (dst[1:] != dst[:-1])])
+    src, dst, fresh = src[first], dst[first], fresh[first]
     target = dst >> _SHIFT
     group = np.flatnonzero(np.concatenate([[True], (src[1:] != src[:-1]) | (target[1:] != target[:-1])]))
     ends = np.append(group[1:], len(src))
     at = [place[s] for s in src[group].tolist()]
     vec = [r.tobytes() for r in packed]
     return _table(block=target[group], src=src[group], vec=[vec[i] for i in at], least=least[at],
-                  dst=[dst[a:b].tobytes() for a, b in zip(group, ends)])
+                  dst=[dst[a:b].tobytes() for a, b in zip(group, ends)], fresh=[fresh[a:b].tobytes() for a, b in zip(group, ends)])
 
 
 def _local_join(table: pa.Table) -> pa.Table:
@@ -199,8 +225,9 @@ def _local_join(table: pa.Table) -> pa.Table:
     x = _unpack(_join(table.column("vec"), np.uint8, len(table.column("vec")[0].as_py())))
     src, least = _longs(table, "src"), _longs(table, "least")
     row, dst = _spread(table, "dst", np.int64)
+    fresh = _spread(table, "fresh", np.int8)[1]
     order = np.argsort(dst, kind="stable")
-    row, dst = row[order], dst[order]
+    row, dst, fresh = row[order], dst[order], fresh[order] > 0
     starts = np.flatnonzero(np.concatenate([[True], dst[1:] != dst[:-1]]))
     sizes = np.diff(np.append(starts, len(dst)))
     told: list[tuple[np.ndarray, ...]] = []
@@ -210,10 +237,15 @@ def _local_join(table: pa.Table) -> pa.Table:
         if width < 2:
             continue
         inside = np.arange(width) < n[:, None]
-        member = np.where(inside, row[np.minimum(s[:, None] + np.arange(width), len(row) - 1)], 0)
+        at_row = np.minimum(s[:, None] + np.arange(width), len(row) - 1)
+        member, new = np.where(inside, row[at_row], 0), inside & fresh[at_row]
+        some = new.any(axis=1)
+        if not some.any():
+            continue
+        inside, member, new = inside[some], member[some], new[some]
         v = x[member]
         sim = v @ v.transpose(0, 2, 1)
-        sim[~(inside[:, :, None] & inside[:, None, :])] = -np.inf
+        sim[~(inside[:, :, None] & inside[:, None, :] & (new[:, :, None] | new[:, None, :]))] = -np.inf
         sim[:, np.arange(width), np.arange(width)] = -np.inf
         k = min(TOLD_EACH, width - 1)
         best = np.argpartition(-sim, k - 1, axis=2)[:, :, :k]
@@ -230,28 +262,28 @@ def _local_join(table: pa.Table) -> pa.Table:
 def _merge(key: tuple[pa.Scalar, ...], state: pa.Table, told: pa.Table) -> pa.Table:
     """The best of each node's list and what it was told."""
     if not state.num_rows:
-        return _table(block=[], node=[], vec=[], near=[], sim=[], changed=[])
+        return _table(block=[], node=[], vec=[], near=[], sim=[], fresh=[], changed=[])
     nodes = _longs(state, "node")
     parts = []
-    for table, fresh in ((state, 0), (told, 1)):
+    for table in (state, told):
         row, near = _spread(table, "near", np.int64)
-        parts.append((_longs(table, "node")[row], near, _spread(table, "sim", np.float32)[1], np.full(len(near), fresh)))
+        parts.append((_longs(table, "node")[row], near, _spread(table, "sim", np.float32)[1]))
     owner, other, sim = (np.concatenate([p[i] for p in parts]) for i in range(3))
     known = set(zip(parts[0][0].tolist(), parts[0][1].tolist()))
     owner, other, sim = _best(owner, other, sim, NEIGHBOURS)
-    new = np.array([p not in known for p in zip(owner.tolist(), other.tolist())])
-    listed, (near, sims) = _lists(owner, other, sim.astype(np.float32))
+    new = np.array([p not in known for p in zip(owner.tolist(), other.tolist())], bool)
+    listed, (near, sims, fresh) = _lists(owner, other, sim.astype(np.float32), new.astype(np.int8))
     changed = np.bincount(np.searchsorted(listed, owner), new, len(listed)) if len(listed) else np.zeros(0)
     at = {n: i for i, n in enumerate(listed.tolist())}
     own = [at.get(n) for n in nodes.tolist()]
     return _table(block=nodes >> _SHIFT, node=nodes, vec=state.column("vec").to_pylist(),
                   near=[b"" if i is None else near[i] for i in own], sim=[b"" if i is None else sims[i] for i in own],
-                  changed=[0 if i is None else int(changed[i]) for i in own])
+                  fresh=[b"" if i is None else fresh[i] for i in own], changed=[0 if i is None else int(changed[i]) for i in own])
 
 
 def agreed_links(state: DataFrame) -> DataFrame:
     """(block, node, other), both ways: at most ``REVERSE`` + ``NEIGHBOURS`` others of each node."""
-    listed = state.select("node", "near").mapInArrow(_listed, _LINKS)
+    listed = state.select("node", "near", "fresh").mapInArrow(_listed, _LINKS)
     return listed.groupBy("block").applyInArrow(_agree, _LINKS)
 
 
@@ -376,7 +408,8 @@ def _open_pools(batches, entries: np.ndarray):
 
 def greedy_search(state: DataFrame, queries: DataFrame, entries: list[int], rounds: int = ROUNDS) -> DataFrame:
     """Pools (rows of ``_POOL``) of the nodes in ``queries`` (column node)."""
-    adjacency = checkpointed(agreed_links(state).distinct())
+    own = state.select("node", "near").mapInArrow(_own_lists, _LINKS)
+    adjacency = checkpointed(own.union(agreed_links(state)))
     chosen = state.join(queries.select("node").distinct(), "node", "left_semi").select("node", "vec", "near")
     pool = checkpointed(chosen.mapInArrow(partial(_open_pools, entries=np.array(entries, np.int64)), _POOL))
     vectors = state.select("block", "vec", "node")
@@ -434,7 +467,8 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, vec_id
         return vectors.sparkSession.createDataFrame([], schema)
     blocks = -(-size["n"] // BLOCK)
     dealt = nodes.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-    started = checkpointed(dealt.groupBy("block").applyInArrow(_starter(size["top"]), f"{_STATE}, id bigint"))
+    smallest = dealt.groupBy("block").count().agg(F.min("count")).first()[0]
+    started = checkpointed(dealt.groupBy("block").applyInArrow(_starter(size["top"], blocks, smallest), f"{_STATE}, id bigint"))
     numbers = started.select("id", "node")
     state = neighbour_graph(started.drop("id"), iterations) if blocks > 1 else started.drop("id")
     exact = nodes.join(numbers, "id").select("node", "embedding")
