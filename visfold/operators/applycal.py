@@ -1,12 +1,13 @@
 """Apply calibration solutions to visibilities (scalar, diagonal, full Jones, single).
 
-Plan: the solution set is fused into one complex gain per cell (amplitude
-and phase soltabs combined in one small aggregation), pivoted into one
-Jones struct per (time, freq, antenna), and joined to the visibilities twice
-(ant1, ant2) after the nearest/linear axis lookup. Every join against the
-visibilities is with a small, size-checked table, so the visibilities are
-streamed once with no shuffle; the correction itself is closed-form column
-algebra V' = J1^-1 V J2^-H inside whole-stage codegen.
+Plan: soltabs with the same axes are fused into one complex gain per cell; soltabs
+with axes of their own (amplitude and phase on different time grids) keep them and
+their gains are multiplied after the lookup. Each such group is pivoted into
+one Jones struct per (time, freq, antenna) and joined to the visibilities twice
+(ant1, ant2) after the nearest/linear axis lookup. Joins against the visibilities
+are with small, size-checked tables, so the visibilities are streamed once with no
+shuffle; the correction itself is closed-form column algebra V' = J1^-1 V J2^-H inside
+whole-stage codegen. Every visibility comes out exactly once.
 
 Missing solution, zero solution weight or a non-finite result: the sample is
 flagged on all polarisations and its data is left unchanged (decision).
@@ -17,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas as S
 from ..functions import cplx as C
 from ..plans.joins import per_observation
 from .lookup import lookup_axis, solution_axis
@@ -27,39 +29,64 @@ TEC_COEFF = -8.4479745e9
 _POL_OF = {"XX": "xx", "XY": "xy", "YX": "yx", "YY": "yy"}
 
 
-MAX_SOLUTION_ROWS = 2_000_000
+#: Solution cells up to which the gain tables are broadcast; beyond, the joins shuffle.
+BROADCAST_CELLS = 2_000_000
+_FORMS = {(): "scalar", S.VALID_POL_TUPLES[0]: "diagonal", S.VALID_POL_TUPLES[1]: "fulljones"}
 
 
-def solution_layout(sol: DataFrame) -> dict:
-    """One small aggregation over the solution cells: axis names, soltypes, pols,
-    row count and the (first, last, n) of the time and frequency axes.
+def solution_layout(sol: DataFrame, direction: str | None = None) -> dict:
+    """How a solution set is applied, from one aggregation with a row per soltab.
 
-    Its row count is the size check for every table derived from the
-    solutions (gain table, interval tables), which are then broadcast.
+    ``kind`` follows ``solset_correction``: ``fulljones`` (amplitude and phase with four
+    polarisations), else ``diagonal`` or ``scalar``. ``groups``: soltabs with the same axes, to be
+    fused, each with the (first, last, n) of its time and frequency axes. Raises for sets
+    that can't be applied: more than one solset, other soltabs than one, or amplitude and phase,
+    polarisations that differ or are incomplete, several directions without a choice of one.
     """
     def axis_aggs(a: str):
-        idx = F.array_position("axes", a).cast("int")
-        pos = F.when(idx > 0, F.col("pos").getItem(idx - 1))
-        val = F.when(idx > 0, F.col(a))
-        return [F.min(val).alias(f"{a}_first"), F.max(val).alias(f"{a}_last"),
-                F.count_distinct(pos).alias(f"{a}_n")]
-    r = sol.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("axes")))).alias("axes"),
-                F.array_sort(F.collect_set("soltype")).alias("types"),
-                F.array_sort(F.collect_set("pol")).alias("pols"),
-                F.count(F.lit(1)).alias("rows"), *axis_aggs("time"), *axis_aggs("freq")).first()
-    pols = [p for p in r["pols"] if p is not None]
-    kind = "fulljones" if len(pols) == 4 else ("diagonal" if pols else "scalar")
-    stats = {a: (r[f"{a}_first"], r[f"{a}_last"], int(r[f"{a}_n"])) for a in ("time", "freq")}
-    return {"axes": list(r["axes"]), "types": list(r["types"]), "pols": pols, "kind": kind,
-            "rows": int(r["rows"]), "stats": stats}
+        on = F.array_contains("axes", a)
+        value = F.when(on, F.col(a))
+        return [F.min(value).alias(f"{a}_first"), F.max(value).alias(f"{a}_last"), F.count_distinct(value).alias(f"{a}_n"),
+                F.sum_distinct(F.pmod(F.xxhash64(value), F.lit(1 << 40))).alias(f"{a}_sum")]
+    tabs = (sol.groupBy("solset", "soltab").agg(
+        F.min("soltype").alias("soltype"), F.first("axes").alias("axes"), F.array_sort(F.collect_set("pol")).alias("pols"),
+        F.count(F.lit(1)).alias("rows"), F.array_sort(F.collect_set("dir")).alias("dirs"), *axis_aggs("time"), *axis_aggs("freq"))
+        .orderBy("soltype", "solset", "soltab").limit(50).collect())
+    types = [t["soltype"] for t in tabs]
+    if len({t["solset"] for t in tabs}) != 1:
+        raise ValueError(f"expected one solution set, found {sorted({str(t['solset']) for t in tabs})}")
+    if len(tabs) != 1 and types != ["amplitude", "phase"]:
+        raise ValueError(f"a solution set holds one soltab, or amplitude and phase; found {types}")
+    if len({tuple(t["pols"]) for t in tabs}) != 1:
+        raise ValueError(f"soltabs differ in polarisations: {[t['pols'] for t in tabs]}")
+    pols = next((p for p in _FORMS if sorted(p) == list(tabs[0]["pols"])), None)
+    if pols is None:
+        raise ValueError(f"unknown polarisations {tabs[0]['pols']}")
+    kind = _FORMS[pols]
+    if kind == "fulljones" and len(tabs) == 1:
+        raise ValueError("four polarisations need amplitude and phase together")
+    for t in tabs:
+        if direction is None and len(t["dirs"]) > 1:
+            raise ValueError(f"soltab {t['soltab']} has directions {t['dirs']}; choose one")
+        if direction is not None and t["dirs"] and direction not in t["dirs"]:
+            raise ValueError(f"soltab {t['soltab']} has no direction {direction!r}, only {t['dirs']}")
+    groups: dict[tuple, dict] = {}
+    for t in tabs:
+        axes = [a for a in ("time", "freq") if a in t["axes"]]
+        grid = tuple((a, *(t[f"{a}_{x}"] for x in ("first", "last", "n", "sum"))) for a in axes)
+        g = groups.setdefault(grid, {"soltabs": [], "axes": axes, "stats": {a: (t[f"{a}_first"], t[f"{a}_last"], int(t[f"{a}_n"])) for a in axes}})
+        g["soltabs"].append(t["soltab"])
+    return {"kind": kind, "types": types, "pols": list(pols), "groups": list(groups.values()), "direction": direction,
+            "rows": sum(int(t["rows"]) for t in tabs), "axes": sorted({a for t in tabs for a in t["axes"]})}
 
 
 def gain_cells(sol: DataFrame) -> DataFrame:
-    """One row per (time, freq, ant, pol, dir) with fused amplitude, phase, tec and weight.
+    """One row per (time, freq, ant, pol) with fused amplitude, phase, tec and weight.
 
-    A missing amplitude counts as 1, a missing phase as 0 (single-soltab sets).
+    A missing amplitude counts as 1, a missing phase as 0 (soltabs that are applied alone). One
+    direction at most is left when this is called.
     """
-    keys = ["time", "freq", "ant", "pol", "dir"]
+    keys = ["time", "freq", "ant", "pol"]
     g = sol.groupBy(*keys).agg(
         F.max(F.when(F.col("soltype") == "amplitude", F.col("val"))).alias("amp"),
         F.max(F.when(F.col("soltype") == "phase", F.col("val"))).alias("phase"),
@@ -100,11 +127,13 @@ def _jones_at(prefix: str, kind: str, freq: Column) -> Column:
 
 
 def correct(df: DataFrame, data: str, j1: Column, j2: Column, kind: str, out: str) -> DataFrame:
-    """Add column ``out`` = J1^-1 V J2^-H (diagonal and scalar: element-wise form).
+    """Add flat columns ``out``_<pol>_re/im = J1^-1 V J2^-H (diagonal and scalar: element-wise form).
 
     Every intermediate used more than once is staged as flat columns, so it
     is evaluated once per row; the stages are SQL expression text
-    (``cplx.s_*``), one ``selectExpr`` each.
+    (``cplx.s_*``), one ``selectExpr`` each. The result comes out of ``inline`` over an
+    array of one struct: a later filter on it (unflagged data, say) is not pushed below, where
+    it would repeat the whole algebra at every use.
     """
     df, _ = C.stage_jones(df, "_j1", j1)
     df, _ = C.stage_jones(df, "_j2", j2)
@@ -126,77 +155,65 @@ def correct(df: DataFrame, data: str, j1: Column, j2: Column, kind: str, out: st
         df = df.selectExpr("*", *[e for p in POLS for e in C.s_exprs(f"_b{p}", C.s_mul(g1[p[0]], C.s_conj(g2[p[1]])))])
         res = {p: C.s_div(v[p], C.s_col(f"_b{p}")) for p in POLS}
         tmp += [c for p in POLS for c in C.staged_columns(f"_b{p}")]
-    df = df.selectExpr("*", *C.s_exprs("_o", res, True))
-    tmp += C.staged_columns("_o", True)
-    df = df.withColumn(out, C.jones(*[C.cpx(F.col(f"_o_{p}_re"), F.col(f"_o_{p}_im")) for p in POLS]))
+    df = df.selectExpr("*", f"inline(array(struct({', '.join(C.s_exprs(out, res, True))})))")
     return df.drop(*tmp)
 
 
 def applycal(vis: DataFrame, sol: DataFrame, antenna: DataFrame, mode: str = "nearest",
-             layout: dict | None = None) -> DataFrame:
-    """Apply one solution set (the ``solset_correction`` form is taken from its layout)."""
-    layout = layout or solution_layout(sol)
-    if layout["rows"] > MAX_SOLUTION_ROWS:
-        raise ValueError(f"solution set has {layout['rows']} cells; more than {MAX_SOLUTION_ROWS} "
-                         "cannot be broadcast to every executor")
+             layout: dict | None = None, direction: str | None = None) -> DataFrame:
+    """Apply one solution set in the form that ``solution_layout`` finds; one row out per row in.
+
+    Linear mode interpolates each soltab group's complex gains in time.
+    """
+    layout = layout or solution_layout(sol, direction)
     kind = layout["kind"]
-    jt = F.broadcast(jones_table(sol, layout))  # at most layout['rows'] rows (checked above)
-    names = per_observation(antenna.select("obs_id", "ant", "name"))  # antennas x observations
+    if layout["direction"] is not None:
+        sol = sol.filter(F.col("dir").isNull() | (F.col("dir") == F.lit(layout["direction"])))
+    hint = F.broadcast if layout["rows"] <= BROADCAST_CELLS else (lambda df: df)
+    names = per_observation(antenna.select("obs_id", "ant", "name"))
     v = (vis.join(names.select("obs_id", F.col("ant").alias("ant1"), F.col("name").alias("_n1")), ["obs_id", "ant1"], "left")
          .join(names.select("obs_id", F.col("ant").alias("ant2"), F.col("name").alias("_n2")), ["obs_id", "ant2"], "left"))
-    has_t, has_f = "time" in layout["axes"], "freq" in layout["axes"]
-    tkeys = []
-    if has_f:
-        v = lookup_axis(v, "freq", solution_axis(sol, "freq"), "_sf", mode="nearest",
-                        stats=layout["stats"]["freq"], bounded=True)
-    if has_t:
-        v = lookup_axis(v, "time", solution_axis(sol, "time"), "_st", mode=mode,
-                        stats=layout["stats"]["time"], bounded=True)
-
-    def side(name_col: str, tcol: str | None, tag: str) -> DataFrame:
-        cols = [F.col("ant").alias(name_col)]
-        on = [name_col]
+    gains, ok = {"a": [], "b": []}, F.lit(True)
+    for k, group in enumerate(layout["groups"]):
+        cells = sol.filter(F.col("soltab").isin(group["soltabs"]))
+        table = hint(jones_table(cells, layout))
+        has_t, has_f = "time" in group["axes"], "freq" in group["axes"]
+        small = layout["rows"] <= BROADCAST_CELLS
         if has_f:
-            cols.append(F.col("freq").alias("_sf"))
-            on.append("_sf")
-        if tcol is not None:
-            cols.append(F.col("time").alias(tcol))
-            on.append(tcol)
-        cols += [F.col(p).alias(f"{tag}{p}") for p in POLS] + [F.col("ok").alias(f"{tag}ok")]
-        return jt.select(*cols), on
-
-    combos = [("_n1", "a_"), ("_n2", "b_")]
-    if not has_t or mode == "nearest":
-        tcol = "_st" if has_t else None
-        for ncol, tag in combos:
-            t, on = side(ncol, tcol, tag)
-            v = v.join(t, on, "left")
-        freq = F.col("freq")
-        j1, j2 = _jones_at("a_", kind, freq), _jones_at("b_", kind, freq)
-        ok = F.coalesce(F.col("a_ok") & F.col("b_ok"), F.lit(False))
-    else:
-        for ncol, tag in combos:
-            for tcol, suffix in (("_st_lo", "0"), ("_st_hi", "1")):
-                t, on = side(ncol, tcol, f"{tag}{suffix}")
-                v = v.join(t, on, "left")
-        freq, frac = F.col("freq"), F.col("_st_frac")
-
-        def lerp(tag: str) -> Column:
-            g = {}
-            for p in POLS:
-                g0 = _gain(F.col(f"{tag}0{p}"), freq)
-                g1 = _gain(F.col(f"{tag}1{p}"), freq)
-                g[p] = C.c_add(C.c_scale(g0, F.lit(1.0) - frac), C.c_scale(g1, frac))
-            if kind == "fulljones":
-                return C.jones(g["xx"], g["xy"], g["yx"], g["yy"])
-            return C.jones_diag(g["xx"], g["yy"])
-        j1, j2 = lerp("a_"), lerp("b_")
-        ok = F.coalesce(F.col("a_0ok") & F.col("a_1ok") & F.col("b_0ok") & F.col("b_1ok"), F.lit(False))
-    v = correct(v, "data", j1, j2, kind, "_new")
-    v, new = C.stage_jones(v, "_n", F.col("_new"))
-    v = v.withColumn("_good", ok & C.jones_is_finite(new))
-    data = F.struct(*[F.when(F.col("_good"), C.j_get(new, p)).otherwise(F.col("data").getField(p)).alias(p)
-                      for p in POLS])
+            v = lookup_axis(v, "freq", solution_axis(cells, "freq"), f"_sf{k}", stats=group["stats"]["freq"], bounded=small)
+        if has_t:
+            v = lookup_axis(v, "time", solution_axis(cells, "time"), f"_st{k}", mode=mode, stats=group["stats"]["time"], bounded=small)
+        times = [f"_st{k}"] if has_t and mode == "nearest" else [f"_st{k}_lo", f"_st{k}_hi"] if has_t else [None]
+        for side, name in (("a", "_n1"), ("b", "_n2")):
+            found = []
+            for i, t in enumerate(times):
+                tag = f"{side}{k}{i}_"
+                keys = [F.col("ant").alias(name)] + ([F.col("freq").alias(f"_sf{k}")] if has_f else []) + ([F.col("time").alias(t)] if t else [])
+                on = [name] + ([f"_sf{k}"] if has_f else []) + ([t] if t else [])
+                v = v.join(table.select(*keys, *[F.col(p).alias(f"{tag}{p}") for p in POLS], F.col("ok").alias(f"{tag}ok")), on, "left")
+                ok = ok & F.coalesce(F.col(f"{tag}ok"), F.lit(False))
+                found.append({p: _gain(F.col(f"{tag}{p}"), F.col("freq")) for p in POLS})
+            if len(found) == 2:
+                frac = F.coalesce(F.col(f"_st{k}_frac"), F.lit(0.0))
+                found = [{p: C.c_add(C.c_scale(found[0][p], F.lit(1.0) - frac), C.c_scale(found[1][p], frac)) for p in POLS}]
+            gains[side].append(found[0])
+
+    def jones(parts: list[dict]) -> Column:
+        g = {p: parts[0][p] for p in POLS}
+        for more in parts[1:]:
+            g = {p: C.c_mul(g[p], more[p]) for p in POLS}
+        return C.jones(*(g[p] for p in POLS)) if kind == "fulljones" else C.jones_diag(g["xx"], g["yy"])
+
+    v = v.withColumn("_ok", ok)
+    v = correct(v, "data", jones(gains["a"]), jones(gains["b"]), kind, "_new")
+    good = F.col("_ok")
+    for p in POLS:
+        for x in ("re", "im"):
+            c = F.col(f"_new_{p}_{x}")
+            good = good & c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
+    new = {p: C.cpx(F.col(f"_new_{p}_re"), F.col(f"_new_{p}_im")) for p in POLS}
+    v = v.withColumn("_good", good)
+    data = F.struct(*[F.when(F.col("_good"), new[p]).otherwise(F.col("data").getField(p)).alias(p) for p in POLS])
     flag = F.struct(*[(F.col("flag").getField(p) | ~F.col("_good")).alias(p) for p in POLS])
     return v.withColumn("data", data).withColumn("flag", flag).select(vis.columns)
 

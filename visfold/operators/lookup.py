@@ -1,82 +1,94 @@
-"""Nearest / linear lookup on a sorted solution axis (as-of join without pairs).
+"""Nearest / linear lookup on a solution axis (as-of join without pairs).
 
 Spark has no as-of join, and pairing every point with every axis value is
-quadratic. Instead the axis is cut into consecutive intervals [lo, hi)
-(an equi-join of position k with k + 1), each interval is expanded over the
-fixed-width buckets it touches, and each point finds its interval through an
-equi-join on its bucket plus a range filter. With the bucket width equal to
-the mean axis spacing the expanded table has about 3x the axis length, so it
-is small and broadcast behind a size check; the points (e.g. every
-visibility row) are streamed, never shuffled.
+quadratic. Instead the distinct axis values, in order of value, are cut into
+consecutive intervals [lo, hi), each interval is expanded over the buckets it
+touches, and each point finds its interval through equi-joins on its bucket
+plus a range condition. Buckets are cut twice: the range into as many as there
+are intervals, and each of those into as many as it holds, so an axis with long
+gaps (solutions taken on several days) doesn't put all its intervals into
+one bucket. Both tables are about as long as the axis and are broadcast when its
+checked size allows; the points are then streamed and never shuffled.
+
+Every point comes out exactly once: intervals don't overlap, the joins are left
+joins with the whole condition in them, and a null coordinate gives null.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ..plans.joins import bounded_broadcast
+from ..plans.joins import DEFAULT_BROADCAST_ROWS
 
 
 def axis_stats(axis: DataFrame, value: str = "value") -> tuple[float | None, float | None, int]:
-    """(first, last, n) of an axis: three numbers reach the driver."""
-    r = axis.agg(F.min(value).alias("a"), F.max(value).alias("b"), F.count(value).alias("n")).first()
+    """(first, last, n) of an axis by value: three numbers reach the driver."""
+    r = axis.agg(F.min(value).alias("a"), F.max(value).alias("b"), F.count_distinct(value).alias("n")).first()
     return r["a"], r["b"], int(r["n"])
 
 
-def interval_table(axis: DataFrame, idx: str = "idx", value: str = "value", stats=None):
-    """Bucketed consecutive intervals of an ascending axis (idx, value).
+def _coarse(x: Column, first: float, width: float) -> Column:
+    return F.floor((x - F.lit(first)) / F.lit(width)).cast("bigint")
 
-    Returns None when the axis has fewer than two distinct values; otherwise
-    (table, first, last, width) with table columns (lo, hi, is_last, _bucket).
-    ``stats`` = (first, last, n) when already known (saves one job).
-    """
-    first, last, n = stats if stats is not None else axis_stats(axis, value)
-    if n < 2 or first is None or last == first:
-        return None
+
+def _fine(x: Column, first: float, width: float) -> Column:
+    """The place of x among the ``_cuts`` parts of its bucket."""
+    within = (x - F.lit(first)) / F.lit(width) - F.col("_bucket")
+    return F.least(F.greatest(F.floor(within * F.col("_cuts")).cast("bigint"), F.lit(0).cast("bigint")), F.col("_cuts") - 1)
+
+
+def interval_tables(axis: DataFrame, value: str, first: float, last: float, n: int) -> tuple[DataFrame, DataFrame, float]:
+    """(bucket, cuts), (bucket, part, lo, hi) and the bucket width of an axis with two values or more."""
     width = (last - first) / (n - 1)
-    a = axis.select(F.col(idx).alias("_k"), F.col(value).alias("lo"))
-    b = axis.select((F.col(idx) - 1).alias("_k"), F.col(value).alias("hi"))
-    iv = a.join(b, "_k").drop("_k")
-    bucket = lambda c: F.floor((c - F.lit(first)) / F.lit(width)).cast("bigint")
-    iv = iv.select("lo", "hi", (F.col("hi") == F.lit(last)).alias("is_last"),
-                   F.explode(F.sequence(bucket(F.col("lo")), bucket(F.col("hi")))).alias("_bucket"))
-    return iv, first, last, width
+    values = axis.filter(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("lo")).distinct()
+    ordered = values.withColumn("hi", F.lead("lo").over(Window.orderBy("lo")))  # as long as one solution axis
+    iv = ordered.filter(F.col("hi").isNotNull())
+    iv = iv.withColumn("_a", _coarse(F.col("lo"), first, width)).withColumn("_b", _coarse(F.col("hi"), first, width))
+    spread = iv.withColumn("_bucket", F.explode(F.sequence("_a", "_b")))
+    cuts = spread.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cuts"))
+    parts = spread.join(cuts, "_bucket")
+    start = F.when(F.col("_bucket") == F.col("_a"), _fine(F.col("lo"), first, width)).otherwise(F.lit(0).cast("bigint"))
+    stop = F.when(F.col("_bucket") == F.col("_b"), _fine(F.col("hi"), first, width)).otherwise(F.col("_cuts") - 1)
+    parts = parts.select("_bucket", F.explode(F.sequence(start, stop)).alias("_part"), "lo", "hi")
+    return cuts, parts, width
 
 
 def lookup_axis(points: DataFrame, x: str, axis: DataFrame, out: str, mode: str = "nearest",
                 idx: str = "idx", value: str = "value", stats=None, bounded: bool = False) -> DataFrame:
-    """Attach the axis value(s) for each point (``bounded``: axis size already checked).
+    """Attach the axis value(s) for each point; one row out per row in.
 
     ``nearest``: column ``out`` = nearest axis value (tie -> earlier value).
     ``linear``: columns ``out``_lo, ``out``_hi, ``out``_frac with
     x = lo + frac (hi - lo); points outside the axis take the end value.
+    The order of the axis' rows and gaps in its index play no part.
+    ``stats`` = (first, last, n) when already known (saves one job).
     """
     if mode not in ("nearest", "linear"):
         raise ValueError(f"mode must be 'nearest' or 'linear', got {mode!r}")
-    found = interval_table(axis, idx, value, stats)
-    if found is None:
-        first, _, n = stats if stats is not None else axis_stats(axis, value)
-        v = F.lit(first).cast("double")
+    first, last, n = stats if stats is not None else axis_stats(axis, value)
+    if n < 2 or first is None or last == first:
+        v = F.when(F.col(x).isNotNull(), F.lit(first)).cast("double")
         if mode == "nearest":
             return points.withColumn(out, v)
         return (points.withColumn(f"{out}_lo", v).withColumn(f"{out}_hi", v)
-                .withColumn(f"{out}_frac", F.lit(0.0)))
-    iv, first, last, width = found
-    xc = F.least(F.greatest(F.col(x), F.lit(first)), F.lit(last))
-    p = points.withColumn("_xc", xc).withColumn(
-        "_bucket", F.floor((F.col("_xc") - F.lit(first)) / F.lit(width)).cast("bigint"))
-    # about 3x the axis length; ``bounded``: the caller has checked the axis size
-    ivb = F.broadcast(iv) if bounded else bounded_broadcast(iv)
-    inside = (F.col("_xc") >= F.col("lo")) & ((F.col("_xc") < F.col("hi")) | (F.col("is_last") & (F.col("_xc") == F.col("hi"))))
-    # left join: a point is never dropped (a null coordinate keeps a null lookup)
-    j = p.join(ivb, "_bucket", "left").filter(inside | F.col("lo").isNull())
+                .withColumn(f"{out}_frac", F.when(F.col(x).isNotNull(), F.lit(0.0))))
+    cuts, parts, width = interval_tables(axis, value, first, last, n)
+    if bounded or n <= DEFAULT_BROADCAST_ROWS:
+        cuts, parts = F.broadcast(cuts), F.broadcast(parts)
+    parts = parts.select(F.col("_bucket").alias("_pb"), F.col("_part").alias("_pp"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
+    p = points.withColumn("_xc", F.least(F.greatest(F.col(x), F.lit(first)), F.lit(last)))
+    p = p.withColumn("_xc", F.when(F.col(x).isNotNull() & ~F.isnan(x), F.col("_xc")))
+    p = p.withColumn("_bucket", _coarse(F.col("_xc"), first, width)).join(cuts, "_bucket", "left")
+    p = p.withColumn("_part", _fine(F.col("_xc"), first, width))
+    inside = (F.col("_xc") >= F.col("_lo")) & ((F.col("_xc") < F.col("_hi")) | ((F.col("_hi") == F.lit(last)) & (F.col("_xc") == F.lit(last))))
+    j = p.join(parts, (F.col("_bucket") == F.col("_pb")) & (F.col("_part") == F.col("_pp")) & inside, "left")
     if mode == "nearest":
-        pick = F.when(F.col("_xc") - F.col("lo") <= F.col("hi") - F.col("_xc"), F.col("lo")).otherwise(F.col("hi"))
-        return j.withColumn(out, pick).drop("_xc", "_bucket", "lo", "hi", "is_last")
-    frac = (F.col("_xc") - F.col("lo")) / (F.col("hi") - F.col("lo"))
-    return (j.withColumn(f"{out}_lo", F.col("lo")).withColumn(f"{out}_hi", F.col("hi"))
-            .withColumn(f"{out}_frac", frac).drop("_xc", "_bucket", "lo", "hi", "is_last"))
+        near = F.when(F.col("_xc") - F.col("_lo") <= F.col("_hi") - F.col("_xc"), F.col("_lo")).otherwise(F.col("_hi"))
+        return j.select(*points.columns, near.alias(out))
+    frac = (F.col("_xc") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
+    return j.select(*points.columns, F.col("_lo").alias(f"{out}_lo"), F.col("_hi").alias(f"{out}_hi"), frac.alias(f"{out}_frac"))
 
 
 def solution_axis(sol: DataFrame, axis: str) -> DataFrame:
