@@ -118,13 +118,38 @@ def test_point_source_at_phase_centre_predicts_constant(spark, vis):
     assert r.a < 1e-12 and r.b < 1e-12 and r.c == 0.0
 
 
-def test_many_components_path_matches_unrolled(spark, vis, monkeypatch):
-    rows = [(f"c{k}", "POINT", f"p{k % 3}", 1e-4 * k, -2e-4 * k, 1.0 + 0.1 * k) for k in range(10)]
-    comps = spark.createDataFrame(rows, "name string, type string, patch string, l double, m double, flux_i double")
-    a = PR.predict(vis, comps)
-    monkeypatch.setattr(PR, "UNROLL_LIMIT", 2)
-    b = PR.predict(vis, comps)
-    assert close_all(a, b, rtol=1e-10, atol=1e-10)
+def test_predict_of_many_components_equals_brute_force(spark, vis):
+    """Spectra (both kinds), Gaussians and plain points by (ra, dec), summed in numpy."""
+    from visfold.functions import sky as SK
+    rng = np.random.default_rng(3)
+    rows = [(f"c{k}", "GAUSSIAN" if k % 3 == 0 else "POINT", f"p{k % 3}", 0.9 + 1e-3 * rng.random(), -0.5 + 1e-3 * rng.random(),
+             1.0 + k, [-0.7, 0.1 * (k % 2)] if k % 4 else None, bool(k % 2), 1.4e8 if k % 5 else None, 60.0, 30.0, 10.0 * k) for k in range(150)]
+    comps = spark.createDataFrame(rows, "name string, type string, patch string, ra double, dec double, flux_i double, si array<double>, "
+                                        "log_si boolean, ref_freq double, major double, minor double, orientation double")
+    ra0, dec0 = 0.9, -0.5
+    meta = vis.select("obs_id").distinct().withColumn("ra0", F.lit(ra0)).withColumn("dec0", F.lit(dec0))
+    some = vis.filter("slot < 3")
+    got = PR.predict(some, comps, meta).select("u", "v", "w", "freq", "data.xx.re", "data.xx.im").toPandas()
+    want = np.zeros(len(got), complex)
+    f, c = got.freq.to_numpy(), SK.SPEED_OF_LIGHT
+    u, v, w = (got[k].to_numpy() * f / c for k in "uvw")
+    for _, kind, _, ra, dec, flux, si, log_si, ref, major, minor, pa in rows:
+        l_ = np.cos(dec) * np.sin(ra - ra0)
+        m_ = np.sin(dec) * np.cos(dec0) - np.cos(dec) * np.sin(dec0) * np.cos(ra - ra0)
+        n_ = np.sqrt(1 - l_ * l_ - m_ * m_)
+        x, si = (f / ref if ref else np.ones_like(f)), (si or []) if ref else []
+        amp = flux * x ** sum(s * np.log10(x) ** k for k, s in enumerate(si)) if log_si else flux + sum(s * (x - 1) ** (k + 1) for k, s in enumerate(si))
+        if kind == "GAUSSIAN":
+            p, sm, sn = np.radians(pa), major * SK.ARCSEC * SK.FWHM_TO_SIGMA, minor * SK.ARCSEC * SK.FWHM_TO_SIGMA
+            amp = amp * np.exp(-2 * np.pi ** 2 * ((sm * (u * np.sin(p) + v * np.cos(p))) ** 2 + (sn * (u * np.cos(p) - v * np.sin(p))) ** 2))
+        want += amp * np.exp(-2j * np.pi * (u * l_ + v * m_ + w * (n_ - 1)))
+    assert np.allclose(got.re + 1j * got.im, want, rtol=1e-9, atol=1e-6)
+
+
+def test_predict_by_ra_dec_needs_phase_centres(spark, vis):
+    comps = spark.createDataFrame([("c", "POINT", "p", 0.1, 0.2, 1.0)], "name string, type string, patch string, ra double, dec double, flux_i double")
+    with pytest.raises(ValueError, match="obs_meta"):
+        PR.predict(vis, comps)
 
 
 def test_demix_of_predicted_sky_leaves_noise_floor(spark, vis):

@@ -76,22 +76,6 @@ def component_flux(flux_i, si, log_si, ref_freq, freq) -> Column:
     return F.when(F.coalesce(log_si, F.lit(True)), flux_i * F.pow(x, expo)).otherwise(flux_i + lin)
 
 
-def flux_expr(flux_i: float, si, log_si: bool, ref_freq: float, freq: Column) -> Column:
-    """``component_flux`` for one known component, unrolled (no higher-order function)."""
-    si = list(si or [])
-    x = freq / F.lit(float(ref_freq))
-    if log_si:
-        lx = F.log10(x)
-        e = F.lit(0.0)
-        for k, c in enumerate(si):
-            e = e + F.lit(float(c)) * F.pow(lx, F.lit(float(k)))
-        return F.lit(float(flux_i)) * F.pow(x, e)
-    s = F.lit(float(flux_i))
-    for k, c in enumerate(si):
-        s = s + F.lit(float(c)) * F.pow(x - F.lit(1.0), F.lit(float(k + 1)))
-    return s
-
-
 def gaussian_shape(u, v, freq, major_arcsec, minor_arcsec, orientation_deg) -> Column:
     """Visibility taper of an elliptical Gaussian (FWHM axes in arcsec, position angle in deg).
 

@@ -1,13 +1,13 @@
 """Model visibilities from a sky model (Predict) and per-patch models (for demixing).
 
-The sky model is a configuration input: its size is checked (at most
-``MAX_COMPONENTS`` rows) before its components are read once, and the sum over
-components is then built as row-local column expressions on the
-visibilities. No join with the visibilities, no shuffle: every visibility row
-is computed where it is read, inside whole-stage codegen. Up to
-``UNROLL_LIMIT`` components the sum is unrolled into plain expressions;
-beyond that it is one higher-order ``aggregate`` over a literal component
-array (interpreted but still row-local).
+A sky model is a configuration input of checked size. Its components become one
+constant array; their direction cosines, which depend on an observation's phase
+centre, are worked out once per observation, and each observation's array is joined
+to its visibilities (a broadcast while the arrays are small, else a join on obs_id).
+The sum over components is then one ``aggregate`` over the row's own array: every
+visibility row is computed where it is read, with no shuffle and no pairs. The same path
+serves every model, from one flat point source to a sky file with spectra and
+Gaussians, given by (ra, dec) or by (l, m).
 
 Conventions (decisions): unpolarised sky, XX = YY = model, XY = YX = 0; model
 phase exp(-2 pi i f/c (u l + v m + w (n - 1))).
@@ -17,94 +17,81 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cplx as C
 from ..functions import sky as SK
-from ..plans.joins import per_observation, row_count_at_most
-
-MAX_COMPONENTS = 100_000
-UNROLL_LIMIT = 64
-_TWO_PI_OVER_C = 2.0 * math.pi / SK.SPEED_OF_LIGHT
-
-
-def collect_components(components: DataFrame, max_components: int = MAX_COMPONENTS) -> list[Row]:
-    """Size-checked read of a sky model, ordered by (patch, name)."""
-    if not row_count_at_most(components, max_components):
-        raise ValueError(f"sky model has more than {max_components} components")
-    return sorted(components.collect(), key=lambda r: (r["patch"] or "", r["name"] or ""))
-
-
-def _lmn(r: Row):
-    """(l, m, n) as Columns: given directly, or from (ra, dec) and the row's phase centre."""
-    d = r.asDict()
-    if d.get("l") is not None:
-        l_, m_ = float(d["l"]), float(d["m"])
-        return F.lit(l_), F.lit(m_), F.lit(math.sqrt(1.0 - l_ * l_ - m_ * m_))
-    dc = SK.direction_cosines(F.lit(float(d["ra"])), F.lit(float(d["dec"])), F.col("ra0"), F.col("dec0"))
-    return dc.getField("l"), dc.getField("m"), dc.getField("n")
-
-
-def _flux(r: Row, freq: Column) -> Column:
-    d = r.asDict()
-    if d.get("ref_freq") is None:
-        return F.lit(float(d["flux_i"]))
-    return SK.flux_expr(d["flux_i"], d.get("si"), d.get("log_si", True) is not False, d["ref_freq"], freq)
+from ..plans.joins import row_count_at_most
+
+#: Components that the driver holds as one constant (about 100 bytes each).
+MAX_COMPONENTS = 1_000_000
+#: Components x observations up to which the arrays are broadcast.
+BROADCAST_CELLS = 2_000_000
+
+_FIELDS = {"name": "string", "type": "string", "patch": "string", "l": "double", "m": "double", "ra": "double", "dec": "double",
+           "flux_i": "double", "si": "array<double>", "log_si": "boolean", "ref_freq": "double", "major": "double", "minor": "double",
+           "orientation": "double"}
+
+
+class Sky:
+    """A sky model as one constant array of components, in order of (patch, name)."""
+
+    def __init__(self, components: DataFrame, max_components: int = MAX_COMPONENTS):
+        if not row_count_at_most(components, max_components):
+            raise ValueError(f"sky model has more than {max_components} components")
+        have = set(components.columns)
+        cells = [F.col(k).cast(t).alias(k) if k in have else F.lit(None).cast(t).alias(k) for k, t in _FIELDS.items()]
+        rows = components.select(F.struct(*cells).alias("c")).orderBy(F.col("c.patch"), F.col("c.name"))
+        one = rows.agg(F.to_json(F.sort_array(F.collect_list(F.struct(F.col("c.patch").alias("p"), F.col("c.name").alias("n"), "c")))).alias("j"),
+                       F.count(F.lit(1)).alias("n"), F.max(F.col("c.l").isNull() | F.col("c.m").isNull()).alias("radec"),
+                       F.sort_array(F.collect_set("c.patch")).alias("patches")).first()
+        self.size, self.patches, self.needs_phase_centre = int(one["n"]), list(one["patches"]), bool(one["radec"])
+        kind = ", ".join(f"{k}: {t}" for k, t in _FIELDS.items())
+        self.components = F.transform(F.from_json(F.lit(one["j"]), f"array<struct<p: string, n: string, c: struct<{kind}>>>"), lambda x: x["c"])
+
+    def placed(self) -> Column:
+        """The components with their direction cosines; (ra, dec) ones need columns ra0 and dec0."""
+        def place(c: Column) -> Column:
+            l_, m_ = c["l"], c["m"]
+            n_ = F.sqrt(F.lit(1.0) - l_ * l_ - m_ * m_)
+            if self.needs_phase_centre:
+                dc = SK.direction_cosines(c["ra"], c["dec"], F.col("ra0"), F.col("dec0"))
+                own = l_.isNull() | m_.isNull()
+                l_, m_, n_ = (F.when(own, dc.getField(k)).otherwise(x) for k, x in (("l", l_), ("m", m_), ("n", n_)))
+            return F.struct(l_.alias("l"), m_.alias("m"), n_.alias("n"), c["patch"].alias("patch"), c["flux_i"].alias("flux_i"),
+                            c["si"].alias("si"), c["log_si"].alias("log_si"), c["ref_freq"].alias("ref_freq"),
+                            F.upper(F.coalesce(c["type"], F.lit("POINT"))).alias("type"), c["major"].alias("major"),
+                            c["minor"].alias("minor"), F.coalesce(c["orientation"], F.lit(0.0)).alias("orientation"))
+        return F.transform(self.components, place)
+
+
+def _with_sky(vis: DataFrame, sky: Sky, obs_meta: DataFrame | None) -> DataFrame:
+    """Add ``_sky``: the placed components of the row's observation."""
+    if not sky.needs_phase_centre:
+        return vis.withColumn("_sky", sky.placed())
+    if obs_meta is None:
+        raise ValueError("components given by (ra, dec) need obs_meta (obs_id, ra0, dec0)")
+    per_obs = obs_meta.select("obs_id", "ra0", "dec0").distinct().select("obs_id", sky.placed().alias("_sky"))
+    if row_count_at_most(obs_meta, BROADCAST_CELLS // max(1, sky.size)):
+        per_obs = F.broadcast(per_obs)
+    return vis.join(per_obs, "obs_id", "left")
 
 
-def component_term(r: Row) -> Column:
-    """Complex contribution of one component to a visibility row."""
+def component_term(c: Column) -> Column:
+    """Complex contribution of one placed component to a visibility row."""
     freq = F.col("freq")
-    l_, m_, n_ = _lmn(r)
-    ph = -SK.geometric_phase("u", "v", "w", freq, l_, m_, n_)
-    amp = _flux(r, freq)
-    d = r.asDict()
-    if (d.get("type") or "POINT").upper() == "GAUSSIAN":
-        amp = amp * SK.gaussian_shape("u", "v", freq, F.lit(float(d["major"])), F.lit(float(d["minor"])),
-                                      F.lit(float(d["orientation"] or 0.0)))
-    return C.c_from_polar(amp, ph)
-
-
-def _aggregate_terms(rows: list[Row]) -> Column:
-    """Sum over many components with one ``aggregate`` over a literal array."""
-    if any(r.asDict().get("l") is None for r in rows):
-        raise ValueError("large sky models need precomputed l, m per component")
-    arr = F.array(*[F.struct(
-        F.lit(float(r["l"])).alias("l"), F.lit(float(r["m"])).alias("m"),
-        F.lit(math.sqrt(1.0 - r["l"] ** 2 - r["m"] ** 2)).alias("n"),
-        F.lit(float(r["flux_i"])).alias("i")) for r in rows])
-    freq = F.col("freq")
-    k = F.lit(_TWO_PI_OVER_C) * freq
-
-    def add(acc, c):
-        ph = -(k * (F.col("u") * c["l"] + F.col("v") * c["m"] + F.col("w") * (c["n"] - F.lit(1.0))))
-        return F.struct((acc["re"] + c["i"] * F.cos(ph)).alias("re"), (acc["im"] + c["i"] * F.sin(ph)).alias("im"))
-    return F.aggregate(arr, C.c_zero(), add)
-
-
-def model_sum(rows: list[Row]) -> Column:
-    if not rows:
-        return C.c_zero()
-    if len(rows) > UNROLL_LIMIT:
-        return _aggregate_terms(rows)
-    out = None
-    for r in rows:
-        t = component_term(r)
-        out = t if out is None else C.c_add(out, t)
-    return out
+    flux = F.when(c["ref_freq"].isNull(), c["flux_i"]).otherwise(SK.component_flux(c["flux_i"], c["si"], c["log_si"], c["ref_freq"], freq))
+    amp = flux * SK.component_shape(c["type"], F.col("u"), F.col("v"), freq, c["major"], c["minor"], c["orientation"])
+    ph = -SK.geometric_phase(F.col("u"), F.col("v"), F.col("w"), freq, c["l"], c["m"], c["n"])
+    return C.cpx(amp * F.cos(ph), amp * F.sin(ph))
 
 
-def _needs_phase_centre(rows: list[Row]) -> bool:
-    return any(r.asDict().get("l") is None for r in rows)
-
-
-def _with_phase_centre(vis: DataFrame, rows: list[Row], obs_meta: DataFrame | None) -> DataFrame:
-    if not _needs_phase_centre(rows):
-        return vis
-    if obs_meta is None:
-        raise ValueError("components given by (ra, dec) need obs_meta (obs_id, ra0, dec0)")
-    return vis.join(per_observation(obs_meta.select("obs_id", "ra0", "dec0")), "obs_id", "left")
+def model_sum(sky: Column) -> Column:
+    """Sum over an array of placed components."""
+    def add(acc: Column, t: Column) -> Column:
+        return F.struct((acc["re"] + t["re"]).alias("re"), (acc["im"] + t["im"]).alias("im"))
+    return F.aggregate(F.transform(sky, component_term), C.c_zero(), add)
 
 
 def unpolarised(m: Column) -> Column:
@@ -113,20 +100,20 @@ def unpolarised(m: Column) -> Column:
 
 def predict(vis: DataFrame, components: DataFrame, obs_meta: DataFrame | None = None) -> DataFrame:
     """Replace ``data`` by the model visibilities of the whole sky model."""
-    rows = collect_components(components)
-    v = _with_phase_centre(vis, rows, obs_meta)
-    v = v.withColumn("_m", model_sum(rows))
+    v = _with_sky(vis, Sky(components), obs_meta).withColumn("_m", model_sum(F.col("_sky")))
     return v.withColumn("data", unpolarised(F.col("_m"))).select(vis.columns)
 
 
 def patch_models(vis: DataFrame, components: DataFrame, obs_meta: DataFrame | None = None):
     """Add one model column per patch (``model_<k>``, struct<re,im>); returns (df, patches)."""
-    rows = collect_components(components)
-    patches = sorted({r["patch"] for r in rows})
-    v = _with_phase_centre(vis, rows, obs_meta)
-    for k, p in enumerate(patches):
-        v = v.withColumn(f"model_{k}", model_sum([r for r in rows if r["patch"] == p]))
-    return v, patches
+    sky = Sky(components)
+    v = _with_sky(vis, sky, obs_meta)
+
+    def of(patch: str) -> Column:
+        return F.filter("_sky", lambda c: c["patch"] == F.lit(patch))
+    for k, p in enumerate(sky.patches):
+        v = v.withColumn(f"model_{k}", model_sum(of(p)))
+    return v.drop("_sky"), sky.patches
 
 
 def predict_per_patch(vis: DataFrame, components: DataFrame, obs_meta: DataFrame | None = None) -> DataFrame:
