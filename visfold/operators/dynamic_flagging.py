@@ -48,11 +48,10 @@ def any_flag(flag: Column | None = None) -> Column:
     return out
 
 
-def _series(direction: str):
-    if direction == "time":
-        return Window.partitionBy(*TIME_SERIES).orderBy("slot")
-    if direction == "freq":
-        return Window.partitionBy(*FREQ_SERIES).orderBy("chan")
+def _series(direction: str, reverse: bool = False):
+    if direction in ("time", "freq"):
+        keys, order = (TIME_SERIES, "slot") if direction == "time" else (FREQ_SERIES, "chan")
+        return Window.partitionBy(*keys).orderBy(F.desc(order) if reverse else F.asc(order))
     raise ValueError(f"direction must be 'time' or 'freq', got {direction!r}")
 
 
@@ -101,7 +100,8 @@ def sir(df: DataFrame, direction: str = "time", eta: float = 0.2) -> DataFrame:
     df = df.withColumn("_w", w)
     df = df.withColumn("_p", F.sum("_w").over(base.rowsBetween(Window.unboundedPreceding, 0)))
     lo = F.least(F.lit(0.0), F.coalesce(F.min("_p").over(base.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
-    hi = F.max("_p").over(base.rowsBetween(0, Window.unboundedFollowing))
+    # in reverse order, so that this frame grows by a row as well instead of being recomputed
+    hi = F.max("_p").over(_series(direction, reverse=True).rowsBetween(Window.unboundedPreceding, 0))
     df = df.withColumn("fl", F.col("fl") | (F.round(hi - lo, 9) >= 0))
     return df.drop("_w", "_p")
 
@@ -114,8 +114,12 @@ def merge_flags(df: DataFrame, columns) -> DataFrame:
 
 def dynamic_flag(vis: DataFrame, sensitivity: float = 4.0, half_width: int = 2, sizes=DEFAULT_SIZES,
                  eta: float = 0.2) -> DataFrame:
-    """AOFlagger-like step: residual -> noise -> SumThreshold time, freq -> SIR time, freq."""
-    df = prepare(vis)
+    """AOFlagger-like step: residual -> noise -> SumThreshold time, freq -> SIR time, freq.
+
+    The rows are dealt by baseline once: series in time and in frequency both lie within a
+    baseline, so every window of every step works on that one exchange.
+    """
+    df = prepare(vis.repartition("obs_id", "ant1", "ant2"))
     df = background_residual(df, half_width, "time")
     df = noise_scale(df, "time")
     df = sumthreshold(df, "time", sensitivity, sizes)
