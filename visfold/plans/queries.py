@@ -436,11 +436,12 @@ def q_direction_cosines(spark, sf_dir):
         "name", _r9("d.l").alias("l"), _r9("d.m").alias("m"), _r9("d.n").alias("n"))
 
 
-def _flux_sql(f: float) -> str:
-    x = f"({O.dbl(f)}/ref_freq)"
-    log = f"(flux_i*pow({x}, (0e0 + si_0*pow(log10({x}), 0e0)) + si_1*pow(log10({x}), 1e0)))"
-    lin = f"(flux_i + ((0e0 + si_0*pow({x} - 1e0, 1e0)) + si_1*pow({x} - 1e0, 2e0)))"
-    return f"CASE WHEN log_si THEN {log} ELSE {lin} END"
+def _flux_sql(f: float | str, t: str = "") -> str:
+    """Flux at a frequency (a number, or SQL) of components with column prefix ``t``."""
+    x = f"({f if isinstance(f, str) else O.dbl(f)}/{t}ref_freq)"
+    log = f"({t}flux_i*pow({x}, (0e0 + {t}si_0*pow(log10({x}), 0e0)) + {t}si_1*pow(log10({x}), 1e0)))"
+    lin = f"({t}flux_i + ((0e0 + {t}si_0*pow({x} - 1e0, 1e0)) + {t}si_1*pow({x} - 1e0, 2e0)))"
+    return f"CASE WHEN {t}log_si THEN {log} ELSE {lin} END"
 
 
 @register("component_flux", O.with_vis(TV.SKY_TEXT_SQL) + f"""SELECT name, {O.qr(_flux_sql(1.5e8))} AS flux_lo,
@@ -451,16 +452,22 @@ def q_component_flux(spark, sf_dir):
     return comps.select("name", qround(fl(1.5e8)).alias("flux_lo"), qround(fl(9.6e8)).alias("flux_hi"))
 
 
-def _shape_sql():
+def _shape_of_sql(v: str, c: str = "", major: str | None = None, minor: str | None = None, angle: str | None = None) -> str:
+    """Gaussian taper for visibility columns with prefix ``v`` and component columns with prefix ``c``."""
     import math
-    k = SKF.ARCSEC * SKF.FWHM_TO_SIGMA
-    smaj, smin = f"(6e1*{O.dbl(k)})", f"(3e1*{O.dbl(k)})"
-    ul, vl = f"(u*(freq/{C_SQL}))", f"(v*(freq/{C_SQL}))"
-    along = f"({ul}*sin(radians(3e1)) + {vl}*cos(radians(3e1)))"
-    across = f"({ul}*cos(radians(3e1)) - {vl}*sin(radians(3e1)))"
+    k = O.dbl(SKF.ARCSEC * SKF.FWHM_TO_SIGMA)
+    smaj, smin = f"({major or c + 'major'}*{k})", f"({minor or c + 'minor'}*{k})"
+    pa = f"radians({angle or c + 'orientation'})"
+    ul, vl = f"({v}u*({v}freq/{C_SQL}))", f"({v}v*({v}freq/{C_SQL}))"
+    along = f"({ul}*sin({pa}) + {vl}*cos({pa}))"
+    across = f"({ul}*cos({pa}) - {vl}*sin({pa}))"
     return f"exp({O.dbl(-2.0 * math.pi ** 2)}*({smaj}*{smaj}*{along}*{along} + {smin}*{smin}*{across}*{across}))"
 
 
+def _shape_sql():
+    return _shape_of_sql("", major="6e1", minor="3e1", angle="3e1")
+
+
 C_SQL = O.C_LIGHT
 
 
@@ -624,18 +631,6 @@ def q_write_demix_gains(spark, sf_dir):
                        qround(F.col("g_re")).alias("g_re"), qround(F.col("g_im")).alias("g_im"))
 
 
-@register("fit_direction_gains")
-def q_fit_direction_gains(spark, sf_dir):
-    _, avg = _spark_demix_avg(spark, sf_dir)
-    return DX.fit_direction_gains(avg, 2)
-
-
-@register("demix")
-def q_demix(spark, sf_dir):
-    out, _ = DX.demix(_vis(spark, sf_dir), TV.sky_components(spark), subtract=["bright_a", "bright_b"], **_DX)
-    return TV.flatten(out)
-
-
 # ------------------------------------------------------------- scans, sinks
 
 from ..plans import preprocess as PP  # noqa: E402
@@ -1085,3 +1080,6 @@ def q_preprocess(spark, sf_dir):
     vis = _vis(spark, sf_dir)
     inputs = PP.Inputs(solutions={"diagonal": TV.solution_fixture(vis, "diagonal")}, antenna=TV.antenna_table(vis))
     return TV.flatten(PP.preprocess(vis, PIPELINE_STEPS, inputs))
+
+
+from . import calibration_queries  # noqa: E402, F401  (registers its queries)
