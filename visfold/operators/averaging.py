@@ -27,7 +27,7 @@ def with_relative_slot(vis: DataFrame, obs_first: DataFrame | None = None) -> Da
     """Add ``rel_slot`` = slot - first slot of the observation.
 
     ``obs_first`` (obs_id, first_slot) may come from observation metadata;
-    otherwise it is a one-row-per-observation aggregate, broadcast back.
+    otherwise it is a one-row-per-observation aggregate over a scan of its own.
     """
     if obs_first is None:
         obs_first = vis.groupBy("obs_id").agg(F.min("slot").alias("first_slot"))

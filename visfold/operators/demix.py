@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cplx as C
 from ..session import ship_package
-from ..plans.joins import bounded_broadcast
+from ..plans.joins import per_observation
 from .averaging import with_relative_slot
 from .predict import patch_models
 
@@ -206,7 +206,7 @@ def subtract_sources(vis_models: DataFrame, gains: DataFrame, subtract_idx, soli
     piv = gains.groupBy(*wide_keys).agg(*[
         F.first(F.when(F.col("patch_idx") == k, C.cpx(F.col("g_re"), F.col("g_im"))), ignorenulls=True).alias(f"g{k}")
         for k in subtract_idx])
-    piv = bounded_broadcast(piv)
+    piv = per_observation(piv)
     if scalar:
         v = v.join(piv, ["obs_id", "tsol", "fsol"], "left")
         terms = [C.c_mul(F.col(f"g{k}"), F.col(f"model_{k}")) for k in subtract_idx]

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cplx as C
-from ..plans.joins import bounded_broadcast
+from ..plans.joins import bounded_broadcast, per_observation
 
 POLS = C.POLS
 
@@ -136,7 +136,7 @@ def range_join_flags(vis: DataFrame, ranges, mode: str = "set", spw: DataFrame |
         hit = (ch.join(rb, "_b").filter(F.col("freq").between(F.col("lo"), F.col("hi")))
                .select("obs_id", "chan").distinct())
     hit = hit.withColumn("_hit", F.lit(True))
-    out = vis.join(bounded_broadcast(hit), ["obs_id", "chan"], "left")
+    out = vis.join(per_observation(hit), ["obs_id", "chan"], "left")
     return _apply(out, F.col("_hit"), mode).drop("_hit").select(vis.columns)
 
 
@@ -176,26 +176,31 @@ def flag_amplitude(vis: DataFrame, amplmin: float | None = None, amplmax: float
     return _apply(vis, _any(hits), mode)
 
 
-def flag_antennas(vis: DataFrame, antennas: Sequence = (), autocorr: bool = False,
-                  antenna_table: DataFrame | None = None, mode: str = "set") -> DataFrame:
-    """Flag baselines touching the given antennas (indices or names), and/or autos."""
+def _antenna_match(vis: DataFrame, antennas: Sequence, antenna_table: DataFrame | None):
+    """(rows with what the match needs, match): baselines that touch the antennas (indices or names)."""
     conds = []
-    if autocorr:
-        conds.append(F.col("ant1") == F.col("ant2"))
     idx = [a for a in antennas if isinstance(a, int)]
     names = [a for a in antennas if isinstance(a, str)]
+    if len(idx) + len(names) != len(list(antennas)):
+        raise ValueError(f"antennas are indices or names, got {list(antennas)!r}")
     if idx:
         conds.append(F.col("ant1").isin(idx) | F.col("ant2").isin(idx))
-    out = vis
     if names:
         if antenna_table is None:
             raise ValueError("antenna names need an antenna table (obs_id, ant, name)")
-        bad = bounded_broadcast(antenna_table.filter(F.col("name").isin(names))
-                                .select("obs_id", "ant").distinct())
+        bad = per_observation(antenna_table.filter(F.col("name").isin(names)).select("obs_id", "ant").distinct())
         b1 = bad.select("obs_id", F.col("ant").alias("ant1"), F.lit(True).alias("_b1"))
         b2 = bad.select("obs_id", F.col("ant").alias("ant2"), F.lit(True).alias("_b2"))
-        out = out.join(b1, ["obs_id", "ant1"], "left").join(b2, ["obs_id", "ant2"], "left")
+        vis = vis.join(b1, ["obs_id", "ant1"], "left").join(b2, ["obs_id", "ant2"], "left")
         conds.append(F.col("_b1").isNotNull() | F.col("_b2").isNotNull())
+    return vis, _any(conds) if conds else None
+
+
+def flag_antennas(vis: DataFrame, antennas: Sequence = (), autocorr: bool = False,
+                  antenna_table: DataFrame | None = None, mode: str = "set") -> DataFrame:
+    """Flag baselines touching the given antennas (indices or names), and/or autos."""
+    out, touched = _antenna_match(vis, antennas, antenna_table)
+    conds = ([F.col("ant1") == F.col("ant2")] if autocorr else []) + ([touched] if touched is not None else [])
     if not conds:
         return vis
     return _apply(out, _any(conds), mode).select(vis.columns)
@@ -228,10 +233,10 @@ def preflag(vis: DataFrame, mode: str = "set", chan=None, freqrange=None, timera
         conds.append(_any(amp_hits))
     if autocorr:
         conds.append(F.col("ant1") == F.col("ant2"))
-    if antennas:
-        idx = [a for a in antennas if isinstance(a, int)]
-        if idx:
-            conds.append(F.col("ant1").isin(idx) | F.col("ant2").isin(idx))
+    columns = vis.columns
+    vis, touched = _antenna_match(vis, antennas, antenna_table)
+    if touched is not None:
+        conds.append(touched)
     if not conds:
         if mode not in ("set", "clear"):
             raise ValueError(f"mode must be 'set' or 'clear', got {mode!r}")
@@ -239,7 +244,7 @@ def preflag(vis: DataFrame, mode: str = "set", chan=None, freqrange=None, timera
     m = conds[0]
     for c in conds[1:]:
         m = m & c
-    return _apply(vis, m, mode)
+    return _apply(vis, m, mode).select(columns)
 
 
 def clear_flags(vis: DataFrame, **criteria) -> DataFrame:

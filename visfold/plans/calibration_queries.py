@@ -186,3 +186,35 @@ def q_fit_direction_gains(spark, sf_dir):
     counts = sim.groupBy("obs_id").agg(F.count(F.lit(1)).alias("n"))
     return (counts.join(A.rms_power(sim), "obs_id").join(left, "obs_id")
             .select("obs_id", "n", qround(F.col("rms")).alias("rms_in"), (F.col("after") < 1e-3 * F.col("rms")).alias("fits")))
+
+
+# ------------------------------------------------------------- whole pipeline
+
+#: The step list with Demixer and sink. (No AOFlagger: what Demixer leaves of a predicted sky has
+#: no noise, and thresholds on rounding errors compare nothing; ``preprocess`` covers that step.)
+DEMIX_STEPS = [{"MsIn": {"datacolumn": "DATA"}}, {"PreFlagger": {"freqrange": "[960.5..961.5 MHz]"}},
+               {"Demixer": {"skymodel": "sky", "subtractsources": ["bright_a"]}}, {"ApplyCal": {"parmdb": "diagonal"}},
+               {"Averager": {"timestep": 4, "freqstep": 4}}, {"MsOut": {"overwrite": True}}]
+
+
+def _demix_pipeline_sql() -> str:
+    re, im = O.comp_term_sql(*TV.SKY_COMPONENTS[1][3:6])
+    other = (f"mb AS (SELECT * REPLACE ({re} AS xx_re, {im} AS xx_im, 0e0 AS xy_re, 0e0 AS xy_im, 0e0 AS yx_re, 0e0 AS yx_im, "
+             f"{re} AS yy_re, {im} AS yy_im, false AS fxx, false AS fxy, false AS fyx, false AS fyy) FROM vis4)")
+    return O.with_vis(TV.solution_fixture_sql("diagonal"), other, O.flag_cte("pf", "mb", "freq BETWEEN 9.605e8 AND 9.615e8"),
+                      *O.applycal_sql("diagonal", src="pf"), O.average_sql("ac", 4, 4, "a")) + f"SELECT {O.out_cols()} FROM a"
+
+
+@register("preprocess_demix", _demix_pipeline_sql())
+def q_preprocess_demix(spark, sf_dir):
+    """From Parquet to Parquet: a predicted sky of two sources, one of them taken out."""
+    from ..plans import preprocess as PP
+    from ..session import scratch_path
+    from ..sources import visibilities as VI
+    vis = _vis(spark, sf_dir)
+    source, target = scratch_path(spark, "vis"), scratch_path(spark, "out")
+    VI.write_visibilities(PR.predict(FL.clear_flags(vis), TV.sky_components(spark)), source)
+    inputs = PP.Inputs(solutions={"diagonal": TV.solution_fixture(vis, "diagonal")}, sky_models={"sky": TV.sky_components(spark)},
+                       antenna=TV.antenna_table(vis))
+    PP.run_pipeline(spark, source, DEMIX_STEPS, target, inputs)
+    return TV.flatten(VI.scan_visibilities(spark, target))

@@ -26,10 +26,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
-def per_observation(df: DataFrame) -> DataFrame:
-    """Broadcast hint for tables keyed by observation only (one row per obs).
+#: Rows of a metadata table (antennas, observations, hit channels) that the driver may hold.
+DEFAULT_SMALL_ROWS = 100_000
 
-    Their size is bounded by the number of input observations of a run,
-    not by the number of visibilities.
+
+def per_observation(df: DataFrame, max_rows: int = DEFAULT_SMALL_ROWS) -> DataFrame:
+    """A metadata table, read once: broadcast when it has at most ``max_rows`` rows, else as it is.
+
+    The size check and the broadcast use the same rows, so whatever the table is derived from (a
+    scan of the visibilities, a fit) runs once. At most ``max_rows`` + 1 rows reach the driver.
     """
-    return F.broadcast(df)
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import applycal as AC
 from ..operators import averaging as A
@@ -21,6 +21,13 @@ from ..operators import demix as DX
 from ..operators import dynamic_flagging as DF
 from ..operators import flagging as FL
 from ..operators import predict as PR
+from ..operators import soltab as ST
+from ..session import ensure_checkpoint_dir, scratch_path
+from ..sources.visibilities import DATA_COLUMNS, scan_visibilities, write_visibilities
+
+
+#: Folder name of the Demixer's gains when the step names none.
+DEFAULT_GAINS = "demixer_gains"
 
 
 @dataclass
@@ -31,54 +38,74 @@ class Inputs:
     antenna: DataFrame | None = None
     obs_meta: DataFrame | None = None
     gains: dict[str, DataFrame] = field(default_factory=dict)
+    #: Folder under which the Demixer's gains are always written; a scratch folder when unset.
+    gains_dir: str | None = None
+
+
+def _named(tables: Mapping[str, DataFrame], key, what: str) -> DataFrame:
+    if not isinstance(key, str):
+        return key
+    if key not in tables:
+        raise ValueError(f"no {what} named {key!r}; there are {sorted(tables)}")
+    return tables[key]
+
+
+def _msin(vis, p, inp):
+    name = p.get("datacolumn", "DATA")
+    column = DATA_COLUMNS.get(name.upper(), name.lower())
+    if column not in vis.columns:
+        raise ValueError(f"the input has no data column {name!r}")
+    return vis if column == "data" else vis.withColumn("data", vis[column])
 
 
 def _preflagger(vis, p, inp):
-    p = dict(p or {})
-    return FL.preflag(vis, mode=p.pop("mode", "set"), chan=p.pop("chan", None), freqrange=p.pop("freqrange", None),
-                      timerange=p.pop("timerange", None), uvmrange=p.pop("uvmrange", None),
-                      amplmin=p.pop("amplmin", None), amplmax=p.pop("amplmax", None),
-                      autocorr=p.pop("autocorr", False), antennas=p.pop("antennas", ()))
+    return FL.preflag(vis, antenna_table=inp.antenna, **p)
 
 
 def _aoflagger(vis, p, inp):
-    p = dict(p or {})
-    p.pop("memorymax", None)  # Spark manages memory; accepted for compatibility
-    return DF.dynamic_flag(vis, **p)
+    return DF.dynamic_flag(vis, **{k: v for k, v in p.items() if k != "memorymax"})  # Spark manages memory
+
+
+def check_solutions(sol: DataFrame, antenna: DataFrame) -> None:
+    """Raise for a set that breaks a rule or lacks an antenna of the data."""
+    ST.raise_on_violations(ST.soltab_violations(sol).unionByName(ST.solset_violations(sol)))
+    lacking = AC.antenna_coverage(antenna, sol).select("name").distinct().limit(20).collect()
+    if lacking and "ant" in AC.solution_layout(sol)["axes"]:
+        raise ST.InvalidSolutions(f"no solutions for antennas {sorted(r['name'] for r in lacking)}")
 
 
 def _applycal(vis, p, inp):
-    key = p["parmdb"]
-    sol = inp.solutions[key] if isinstance(key, str) else key
+    sol = _named(inp.solutions, p["parmdb"], "solution set")
     if inp.antenna is None:
         raise ValueError("applycal needs an antenna table")
-    return AC.applycal(vis, sol, inp.antenna, mode=p.get("interpolation", "nearest"))
+    check_solutions(sol, inp.antenna)
+    return AC.applycal(vis, sol, inp.antenna, mode=p.get("interpolation", "nearest"), direction=p.get("direction"))
 
 
 def _averager(vis, p, inp):
-    return A.average(vis, timestep=int((p or {}).get("timestep", 1)), freqstep=int((p or {}).get("freqstep", 1)))
+    first = inp.obs_meta.select("obs_id", "first_slot") if inp.obs_meta is not None and "first_slot" in inp.obs_meta.columns else None
+    return A.average(vis, timestep=p.get("timestep", 1), freqstep=p.get("freqstep", 1), obs_first=first)
 
 
 def _predict(vis, p, inp):
-    key = p["sourcedb"]
-    sky = inp.sky_models[key] if isinstance(key, str) else key
-    return PR.predict(vis, sky, inp.obs_meta)
+    return PR.predict(vis, _named(inp.sky_models, p["sourcedb"], "sky model"), inp.obs_meta)
 
 
 def _demixer(vis, p, inp):
-    key = p["skymodel"]
-    sky = inp.sky_models[key] if isinstance(key, str) else key
-    out, gains = DX.demix(vis, sky, subtract=p.get("subtractsources"),
-                          timestep=int(p.get("demixtimestep", 1)), freqstep=int(p.get("demixfreqstep", 1)),
-                          solint_t=int(p.get("solint_t", 4)), solint_f=int(p.get("solint_f", 4)),
-                          obs_meta=inp.obs_meta, method=p.get("method", "als"),
-                          gains_path=p.get("instrumentmodel"))
+    """Fit and subtract. The rows up to here are needed twice (fit, then subtract), so they are
+    checkpointed; the gains are always written, one folder per observation."""
+    folder = inp.gains_dir or scratch_path(vis.sparkSession, "gains")
+    ensure_checkpoint_dir(vis.sparkSession)
+    out, gains = DX.demix(vis.checkpoint(), _named(inp.sky_models, p["skymodel"], "sky model"), subtract=p.get("subtractsources"),
+                          timestep=p.get("demixtimestep", 1), freqstep=p.get("demixfreqstep", 1),
+                          solint_t=p.get("solint_t", 4), solint_f=p.get("solint_f", 4), obs_meta=inp.obs_meta,
+                          method=p.get("method", "als"), gains_path=f"{folder.rstrip('/')}/{p.get('instrumentmodel', DEFAULT_GAINS)}")
     inp.gains["demixer"] = gains
     return out
 
 
 STEPS: dict[str, Callable[[DataFrame, Any, Inputs], DataFrame]] = {
-    "msin": lambda vis, p, inp: vis,
+    "msin": _msin,
     "msout": lambda vis, p, inp: vis,
     "preflagger": _preflagger,
     "aoflagger": _aoflagger,
@@ -88,6 +115,40 @@ STEPS: dict[str, Callable[[DataFrame, Any, Inputs], DataFrame]] = {
     "demixer": _demixer,
 }
 
+_TABLE = (str, DataFrame)
+_NUMBER = (int, float)
+#: Parameters of each step: name -> accepted types; ``required`` ones must be given.
+PARAMETERS: dict[str, dict[str, Any]] = {
+    "msin": {"datacolumn": str},
+    "msout": {"overwrite": bool},
+    "preflagger": {"mode": str, "chan": (str, list, tuple), "freqrange": (str, list, tuple), "timerange": (list, tuple),
+                   "uvmrange": (list, tuple), "amplmin": _NUMBER, "amplmax": _NUMBER, "autocorr": bool, "antennas": (list, tuple)},
+    "aoflagger": {"memorymax": _NUMBER, "sensitivity": _NUMBER, "half_width": "step", "sizes": (list, tuple), "eta": _NUMBER},
+    "applycal": {"parmdb": _TABLE, "interpolation": str, "direction": str},
+    "averager": {"timestep": "step", "freqstep": "step"},
+    "predict": {"sourcedb": _TABLE},
+    "demixer": {"skymodel": _TABLE, "subtractsources": (list, tuple), "demixtimestep": "step", "demixfreqstep": "step",
+                "solint_t": "step", "solint_f": "step", "method": str, "instrumentmodel": str},
+}
+REQUIRED = {"applycal": ("parmdb",), "predict": ("sourcedb",), "demixer": ("skymodel",)}
+
+
+def check_parameters(name: str, params: Mapping[str, Any]) -> None:
+    """Raise for an unknown or missing parameter, or one that isn't of its natural type."""
+    known = PARAMETERS[name]
+    if unknown := sorted(set(params) - set(known)):
+        raise ValueError(f"step {name!r} has no parameters {unknown}; it has {sorted(known)}")
+    if missing := [k for k in REQUIRED.get(name, ()) if k not in params]:
+        raise ValueError(f"step {name!r} needs {missing}")
+    for key, value in params.items():
+        kind = known[key]
+        if kind == "step":
+            good = isinstance(value, int) and not isinstance(value, bool) and value >= 1
+        else:
+            good = isinstance(value, kind) and (kind is bool or not isinstance(value, bool))
+        if not good:
+            raise ValueError(f"step {name!r}: {key} can't be {value!r}")
+
 
 def normalise_steps(steps: Iterable) -> list[tuple[str, dict]]:
     """Accept {name: params} or (name, params); check names and the once-only rules."""
@@ -102,7 +163,9 @@ def normalise_steps(steps: Iterable) -> list[tuple[str, dict]]:
         name = str(name).lower()
         if name not in STEPS:
             raise ValueError(f"unknown step {name!r}")
-        out.append((name, dict(params or {})))
+        params = {str(k).lower(): v for k, v in dict(params or {}).items()}
+        check_parameters(name, params)
+        out.append((name, params))
     names = [n for n, _ in out]
     for once in ("msin", "msout", "demixer"):
         if names.count(once) > 1:
@@ -122,6 +185,20 @@ def preprocess(vis: DataFrame, steps: Iterable, inputs: Inputs | None = None) ->
     return vis
 
 
+def run_pipeline(spark: SparkSession, paths, steps: Iterable, output_dir: str, inputs: Inputs | None = None,
+                 manifest: DataFrame | None = None) -> None:
+    """Read observations, apply the steps and write them: ``msin`` and ``msout`` are always there,
+    their parameters come from the list. Gains go to ``output_dir`` with ``_gains`` appended."""
+    inputs = inputs or Inputs()
+    listed = normalise_steps(steps)
+    params = dict(listed)
+    if inputs.gains_dir is None:
+        inputs.gains_dir = f"{output_dir.rstrip('/')}_gains"
+    vis = scan_visibilities(spark, paths, params.get("msin", {}).get("datacolumn", "DATA"), manifest)
+    out = preprocess(vis, [(n, p) for n, p in listed if n not in ("msin", "msout")], inputs)
+    write_visibilities(out, output_dir, overwrite=params.get("msout", {}).get("overwrite", False))
+
+
 def copy_through(vis: DataFrame) -> DataFrame:
     """An empty step list: the data unchanged."""
     return preprocess(vis, [])

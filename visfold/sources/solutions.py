@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..plans.joins import per_observation
 
 AXIS_VALUE_COL = {"time": "time", "freq": "freq", "ant": "ant", "pol": "pol", "dir": "dir"}
 
@@ -66,9 +67,13 @@ def default_names(sol: DataFrame, solset: str = "sol000") -> DataFrame:
 
 
 def write_solutions(sol: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Save cells partitioned by solset and soltab (one folder per table)."""
+    """Save cells partitioned by solset and soltab (one folder per table).
+
+    ``rebalance`` brings a table's cells together without one task per table: adaptive
+    execution splits a large one over several tasks, and files.
+    """
     (default_names(cast_solution_types(sol))
-     .repartition("solset", "soltab")
+     .hint("rebalance", "solset", "soltab")
      .write.mode(mode).partitionBy("solset", "soltab").parquet(path))
 
 
@@ -125,7 +130,7 @@ def pack_soltab(sol: DataFrame, soltab_axis: DataFrame | None = None, chunk_cell
     dims = (soltab_axis.groupBy("solset", "soltab", "axis_pos").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("solset", "soltab")
             .agg(F.array_sort(F.collect_list(F.struct("axis_pos", "n"))).alias("_d")))
-    c = sol.join(dims, ["solset", "soltab"])
+    c = sol.join(per_observation(dims), ["solset", "soltab"])  # one row per soltab
     dim_arr = F.transform("_d", lambda s: s.getField("n"))
     c = c.withColumn("_dims", dim_arr)
     flat = F.aggregate(F.arrays_zip(F.col("pos"), F.col("_dims")), F.lit(0).cast("bigint"),

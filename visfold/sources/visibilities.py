@@ -10,6 +10,7 @@ processed by one job; ``obs_id`` leads every key downstream.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -54,8 +55,9 @@ def order_output(df: DataFrame, partitions: int | None = None, with_chan: bool =
     one task per observation: ranges split inside observations.
     """
     keys = list(ROW_KEY) + (["chan"] if with_chan else [])
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # without a number, adaptive execution sizes the partitions by their bytes
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions(*keys)
 
 
 def write_visibilities(vis: DataFrame, output_dir: str, overwrite: bool = True,
@@ -88,15 +90,24 @@ def scan_visibilities(spark: SparkSession, paths, data_column: str = "DATA",
     ``paths``: a root with ``obs_id=<k>`` partitions, or observation folders
     listed in ``manifest`` (path, obs_id), whose ``obs_id`` is attached by an
     equi-join of each file's folder with the manifest (one row per
-    observation, broadcast). ``data_column`` selects DATA, CORRECTED_DATA or
-    MODEL_DATA as the ``data`` being processed.
+    observation, broadcast). A file whose folder the manifest lacks is an error.
+    ``data_column`` selects DATA, CORRECTED_DATA or MODEL_DATA as the ``data`` being processed.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     col = DATA_COLUMNS.get(data_column.upper(), data_column.lower())
     df = spark.read.parquet(*paths)
+    if col not in df.columns:
+        raise ValueError(f"the input has no data column {data_column!r}")
     if manifest is not None:
-        df = df.withColumn("_dir", _norm_path(F.regexp_replace(F.col("_metadata.file_path"), r"/[^/]*$", "")))
+        folder = F.regexp_replace(F.col("_metadata.file_path"), r"/[^/]*$", "")
+        decoded = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))  # the file path is percent-encoded
+        df = df.withColumn("_dir", _norm_path(decoded))
         m = manifest.select(_norm_path(F.col("path")).alias("_dir"), F.col("obs_id").cast("bigint").alias("_oid"))
+        # the folders of the files that the reader has listed anyway
+        folders = sorted({unquote(f.rsplit("/", 1)[0]) for f in df.inputFiles()})
+        listed = spark.createDataFrame([(f,) for f in folders], "folder string").select(_norm_path(F.col("folder")).alias("_dir"))
+        if lacking := [r["_dir"] for r in listed.join(m, "_dir", "left_anti").limit(20).collect()]:
+            raise ValueError(f"no manifest entry for {sorted(lacking)}")
         df = df.join(per_observation(m), "_dir").drop("_dir")
         df = df.drop("obs_id") if "obs_id" in df.columns else df
         df = df.withColumnRenamed("_oid", "obs_id")
@@ -152,7 +163,7 @@ def duplicate_inputs(manifest: DataFrame) -> DataFrame:
 def assert_no_duplicate_inputs(manifest: DataFrame, limit: int = 50) -> None:
     rows = duplicate_inputs(manifest).limit(limit).collect()
     if rows:
-        lines = ["There are duplicate input stems. Offending paths:"] + sorted(r["path"] for r in rows)
+        lines = ["these inputs would share an output name:"] + sorted(r["path"] for r in rows)
         raise ValueError("\n".join(lines))
 
 
