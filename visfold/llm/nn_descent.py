@@ -14,8 +14,9 @@ Search: all queries go at once, each with a pool of its ``POOL`` best nodes foun
 the pool's unexpanded nodes: their blocks look up their links, and the linked nodes' blocks score them. It
 ends when no pool has an unexpanded node. The best ones are scored again exactly, in double precision.
 
-Everything moves between blocks by Spark's shuffles, one row per node or per query and block;
-a task holds one block and what is addressed to it. Each step's result is checkpointed.
+Everything moves between blocks by Spark's shuffles, as messages: one row holds what a block
+has for another one, as arrays. A task holds one block and the messages to it, whose size is bounded
+by the links of a block's nodes and by the queries' pools. Each step's result is checkpointed.
 """
 
 from __future__ import annotations
@@ -49,32 +50,44 @@ _SHIFT = 16  # bits of a node's place in its block
 
 _STATE = "block bigint, node bigint, vec binary, near binary, sim binary, fresh binary, changed bigint"
 _LINKS = "block bigint, node bigint, other bigint, fresh bigint"
-_SENT = "block bigint, src bigint, vec binary, least float, dst binary, fresh binary"
-_TOLD = "block bigint, node bigint, near binary, sim binary"
-_ASKED = "block bigint, query bigint, vec binary, least float, places binary"
+_SENT = "block bigint, src binary, vec binary, least binary, sizes binary, dst binary, fresh binary"
+_TOLD = "block bigint, node binary, near binary, sim binary"
+_ASKED = "block bigint, query binary, vec binary, least binary, sizes binary, places binary"
 _FOUND = "block bigint, query bigint, near binary, sim binary"
 _POOL = "block bigint, query bigint, vec binary, near binary, sim binary, expanded binary, start binary"
 
 
 # --------------------------------------------------------------- arrays and rows
 
-def _join(column: pa.ChunkedArray, dtype, width: int | None = None) -> np.ndarray:
-    out = np.frombuffer(b"".join(column.to_pylist()), dtype)
-    return out if width is None else out.reshape(-1, width)
-
-
 def _longs(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy()
 
 
-def _table(fresh=None, **columns) -> pa.Table:
-    """A table of long columns, but for those that hold arrays as bytes; ``fresh``: flags, bytes or longs."""
-    kinds = {"vec": pa.binary(), "near": pa.binary(), "sim": pa.binary(), "dst": pa.binary(), "places": pa.binary(),
-             "expanded": pa.binary(), "start": pa.binary(), "least": pa.float32()}
-    made = {k: pa.array(v, kinds.get(k, pa.int64())) for k, v in columns.items()}
-    if fresh is not None:
-        made["fresh"] = pa.array(fresh, pa.int64() if isinstance(fresh, np.ndarray) else pa.binary())
-    return pa.table(made)
+def _table(**columns) -> pa.Table:
+    """A table whose columns are long, or hold arrays as bytes."""
+    return pa.table({k: pa.array(v, pa.int64() if isinstance(v, np.ndarray) or not len(v) or isinstance(v[0], int) else pa.binary())
+                     for k, v in columns.items()})
+
+
+def _message(schema: str, rows: list[tuple]) -> pa.Table:
+    """Rows of a DDL schema: longs, and arrays that become bytes."""
+    names = [c.split() for c in schema.split(", ")]
+    return pa.table({name: pa.array([r[i] if kind == "bigint" else r[i].tobytes() for r in rows], pa.int64() if kind == "bigint" else pa.binary())
+                     for i, (name, kind) in enumerate(names)})
+
+
+def _parts(keys: np.ndarray) -> list[tuple[int, int]]:
+    """(start, end) of each run of equal keys."""
+    if not len(keys):
+        return []
+    cut = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+    return list(zip([0, *cut.tolist()], [*cut.tolist(), len(keys)]))
+
+
+def _all(table: pa.Table, name: str, dtype, width: int | None = None) -> np.ndarray:
+    """The values of a column of arrays, one after another."""
+    out = np.frombuffer(b"".join(table.column(name).to_pylist()), dtype)
+    return out if width is None else out.reshape(-1, width)
 
 
 def _pack(vectors: np.ndarray) -> np.ndarray:
@@ -199,33 +212,34 @@ def _agree(table: pa.Table) -> pa.Table:
 
 
 def _send(key: tuple[pa.Scalar, ...], state: pa.Table, links: pa.Table) -> pa.Table:
-    """One row per node and block with linked nodes: its vector, its list's last sim, those nodes."""
+    """To each block with nodes that are linked with this one's: those of this block, their vectors, their
+    lists' last sims, and the linked nodes."""
     if not state.num_rows or not links.num_rows:
-        return _table(block=[], src=[], vec=[], least=[], dst=[], fresh=[])
-    nodes = _longs(state, "node")
-    packed = _pack(_join(state.column("vec"), np.float32, len(state.column("vec")[0].as_py()) // 4))
-    least = np.array([np.frombuffer(s, np.float32)[-1] if len(s) == 4 * NEIGHBOURS else -np.inf for s in state.column("sim").to_pylist()], np.float32)
-    place = {n: i for i, n in enumerate(nodes.tolist())}
+        return _message(_SENT, [])
+    order = np.argsort(_longs(state, "node"), kind="stable")
+    nodes = _longs(state, "node")[order]
+    packed = _pack(_all(state, "vec", np.float32, len(state.column("vec")[0].as_py()) // 4)[order])
+    least = np.array([np.frombuffer(s, np.float32)[-1] if len(s) == 4 * NEIGHBOURS else -np.inf for s in state.column("sim").to_pylist()], np.float32)[order]
     src, dst, fresh = _longs(links, "node"), _longs(links, "other"), _longs(links, "fresh")
-    order = np.lexsort((-fresh, dst, src))
+    order = np.lexsort((-fresh, dst, src, dst >> _SHIFT))
     src, dst, fresh = src[order], dst[order], fresh[order].astype(np.int8)
     first = np.concatenate([[True], (src[1:] != src[:-1]) | (dst[1:] != dst[:-1])])
     src, dst, fresh = src[first], dst[first], fresh[first]
-    target = dst >> _SHIFT
-    group = np.flatnonzero(np.concatenate([[True], (src[1:] != src[:-1]) | (target[1:] != target[:-1])]))
-    ends = np.append(group[1:], len(src))
-    at = [place[s] for s in src[group].tolist()]
-    vec = [r.tobytes() for r in packed]
-    return _table(block=target[group], src=src[group], vec=[vec[i] for i in at], least=least[at],
-                  dst=[dst[a:b].tobytes() for a, b in zip(group, ends)], fresh=[fresh[a:b].tobytes() for a, b in zip(group, ends)])
+    out = []
+    for a, b in _parts(dst >> _SHIFT):
+        own = _parts(src[a:b])
+        one = src[a:b][[x for x, _ in own]]
+        at = np.searchsorted(nodes, one)
+        out.append((int(dst[a] >> _SHIFT), one, packed[at], least[at], np.array([y - x for x, y in own], np.int32), dst[a:b], fresh[a:b]))
+    return _message(_SENT, out)
 
 
 def _local_join(table: pa.Table) -> pa.Table:
     """Compare the linked nodes of each node of a block pairwise; tell both ends of better pairs."""
-    x = _unpack(_join(table.column("vec"), np.uint8, len(table.column("vec")[0].as_py())))
-    src, least = _longs(table, "src"), _longs(table, "least")
-    row, dst = _spread(table, "dst", np.int64)
-    fresh = _spread(table, "fresh", np.int8)[1]
+    src, least = _all(table, "src", np.int64), _all(table, "least", np.float32)
+    packed = _all(table, "vec", np.uint8).reshape(len(src), -1)
+    row, dst = np.repeat(np.arange(len(src)), _all(table, "sizes", np.int32)), _all(table, "dst", np.int64)
+    fresh = _all(table, "fresh", np.int8)
     order = np.argsort(dst, kind="stable")
     row, dst, fresh = row[order], dst[order], fresh[order] > 0
     starts = np.flatnonzero(np.concatenate([[True], dst[1:] != dst[:-1]]))
@@ -243,7 +257,7 @@ def _local_join(table: pa.Table) -> pa.Table:
         if not some.any():
             continue
         inside, member, new = inside[some], member[some], new[some]
-        v = x[member]
+        v = _unpack(packed[member.ravel()]).reshape(*member.shape, -1)
         sim = v @ v.transpose(0, 2, 1)
         sim[~(inside[:, :, None] & inside[:, None, :] & (new[:, :, None] | new[:, None, :]))] = -np.inf
         sim[:, np.arange(width), np.arange(width)] = -np.inf
@@ -253,21 +267,24 @@ def _local_join(table: pa.Table) -> pa.Table:
         g, i, j = np.nonzero(value > least[member][:, :, None])
         told.append((member[g, i], member[g, best[g, i, j]], value[g, i, j]))
     if not told:
-        return _table(block=[], node=[], near=[], sim=[])
-    owner, other, sim = _best(*(np.concatenate([t[c] for t in told]) for c in range(3)), TOLD)
-    nodes, (near, sims) = _lists(src[owner], src[other], sim.astype(np.float32))
-    return _table(block=nodes >> _SHIFT, node=nodes, near=near, sim=sims)
+        return _message(_TOLD, [])
+    # places among the senders stand for nodes; the order of the senders is that of their numbers
+    rank = np.argsort(src, kind="stable")
+    place = np.empty(len(src), np.int64)
+    place[rank] = np.arange(len(src))
+    owner, other, sim = _best(*(place[np.concatenate([t[c] for t in told])] for c in range(2)), np.concatenate([t[2] for t in told]), TOLD)
+    owner, other = src[rank][owner], src[rank][other]
+    return _message(_TOLD, [(int(owner[a] >> _SHIFT), owner[a:b], other[a:b], sim[a:b].astype(np.float32)) for a, b in _parts(owner >> _SHIFT)])
 
 
 def _merge(key: tuple[pa.Scalar, ...], state: pa.Table, told: pa.Table) -> pa.Table:
     """The best of each node's list and what it was told."""
     if not state.num_rows:
-        return _table(block=[], node=[], vec=[], near=[], sim=[], fresh=[], changed=[])
+        return _message(_STATE, [])
     nodes = _longs(state, "node")
-    parts = []
-    for table in (state, told):
-        row, near = _spread(table, "near", np.int64)
-        parts.append((_longs(table, "node")[row], near, _spread(table, "sim", np.float32)[1]))
+    row, near = _spread(state, "near", np.int64)
+    parts = [(nodes[row], near, _all(state, "sim", np.float32)),
+             (_all(told, "node", np.int64), _all(told, "near", np.int64), _all(told, "sim", np.float32))]
     owner, other, sim = (np.concatenate([p[i] for p in parts]) for i in range(3))
     known = set(zip(parts[0][0].tolist(), parts[0][1].tolist()))
     owner, other, sim = _best(owner, other, sim, NEIGHBOURS)
@@ -302,15 +319,31 @@ def neighbour_graph(state: DataFrame, iterations: int = ITERATIONS) -> DataFrame
 
 # ------------------------------------------------------------------------ search
 
-def _asked(rows: list[tuple], nodes_of) -> pa.Table:
-    """Rows of ``_ASKED``: one per query and block, with the places there."""
-    out: dict[str, list] = {k: [] for k in ("block", "query", "vec", "least", "places")}
-    for query, vec, least, nodes in rows:
-        nodes = np.unique(nodes)
-        for part in np.split(nodes, np.flatnonzero(np.diff(nodes >> _SHIFT)) + 1) if len(nodes) else []:
-            for k, v in zip(out, (int(part[0] >> _SHIFT), query, vec, least, (part & ((1 << _SHIFT) - 1)).astype(np.uint16).tobytes())):
-                out[k].append(v)
-    return _table(**out)
+def _asked(rows: list[tuple]) -> pa.Table:
+    """Messages with the places in each block that queries ask for; rows: (query, vec, least, nodes)."""
+    if not rows:
+        return _message(_ASKED, [])
+    nodes = [np.unique(r[3]) for r in rows]
+    row, node = np.repeat(np.arange(len(rows)), [len(n) for n in nodes]), np.concatenate(nodes)
+    order = np.argsort(node >> _SHIFT, kind="stable")
+    row, node = row[order], node[order]
+    query, least = np.array([r[0] for r in rows], np.int64), np.array([r[2] for r in rows], np.float32)
+    vec = np.frombuffer(b"".join(r[1] for r in rows), np.uint8).reshape(len(rows), -1)
+    places, out = (node & ((1 << _SHIFT) - 1)).astype(np.uint16), []
+    for a, b in _parts(node >> _SHIFT):
+        own = _parts(row[a:b])
+        at = row[a:b][[x for x, _ in own]]
+        out.append((int(node[a] >> _SHIFT), query[at], vec[at], least[at], np.array([y - x for x, y in own], np.int32), places[a:b]))
+    return _message(_ASKED, out)
+
+
+def _items(asked: pa.Table):
+    """(queries, vectors, least sims, list of places) of the messages, by query."""
+    query, least, sizes = _all(asked, "query", np.int64), _all(asked, "least", np.float32), _all(asked, "sizes", np.int32)
+    vec, places = _all(asked, "vec", np.uint8).reshape(len(query), -1), _all(asked, "places", np.uint16)
+    ends = np.cumsum(sizes)
+    order = np.argsort(query, kind="stable")
+    return query[order], vec[order], least[order], [places[ends[i] - sizes[i]:ends[i]] for i in order]
 
 
 def _pool_rows(table: pa.Table):
@@ -323,7 +356,7 @@ def _pool_rows(table: pa.Table):
 def _ask_start(batches):
     for batch in batches:
         rows = [(q, vec, -np.inf, start) for q, vec, _, _, _, start in _pool_rows(pa.Table.from_batches([batch]))]
-        yield from _asked(rows, None).to_batches()
+        yield from _asked(rows).to_batches()
 
 
 def _ask_links(batches):
@@ -331,49 +364,43 @@ def _ask_links(batches):
     for batch in batches:
         rows = [(q, vec, sim[-1] if len(sim) == POOL else -np.inf, near[expanded == 0])
                 for q, vec, near, sim, expanded, _ in _pool_rows(pa.Table.from_batches([batch]))]
-        yield from _asked(rows, None).to_batches()
+        yield from _asked(rows).to_batches()
 
 
 def _expand(key: tuple[pa.Scalar, ...], adjacency: pa.Table, asked: pa.Table) -> pa.Table:
     """The nodes linked with the asked nodes of this block, by their blocks."""
     if not adjacency.num_rows or not asked.num_rows:
-        return _asked([], None)
+        return _message(_ASKED, [])
     order = np.argsort(_longs(adjacency, "node"), kind="stable")
     others = _longs(adjacency, "other")[order]
     place = (_longs(adjacency, "node") & ((1 << _SHIFT) - 1))[order]
     starts = np.searchsorted(place, np.arange((1 << _SHIFT) + 1))
     rows = []
-    for query, vec, least, places in zip(*(asked.column(n).to_pylist() for n in ("query", "vec", "least", "places"))):
-        at = np.frombuffer(places, np.uint16).astype(np.int64)
-        rows.append((query, vec, least, np.concatenate([others[starts[p]:starts[p + 1]] for p in at.tolist()])))
-    return _asked(rows, None)
+    for query, vec, least, places in zip(*_items(asked)):
+        rows.append((query, vec.tobytes(), least, np.concatenate([others[starts[p]:starts[p + 1]] for p in places.tolist()])))
+    return _asked(rows)
 
 
 def _score(key: tuple[pa.Scalar, ...], state: pa.Table, asked: pa.Table) -> pa.Table:
     """Inner products of the asked nodes of this block with each query, as far as they are of use."""
     if not state.num_rows or not asked.num_rows:
-        return _table(block=[], query=[], near=[], sim=[])
+        return _message(_FOUND, [])
     nodes = _longs(state, "node")
     x = np.zeros((int(nodes.max() & ((1 << _SHIFT) - 1)) + 1, len(state.column("vec")[0].as_py()) // 4), np.float32)
-    x[nodes & ((1 << _SHIFT) - 1)] = _join(state.column("vec"), np.float32, x.shape[1])
+    x[nodes & ((1 << _SHIFT) - 1)] = _all(state, "vec", np.float32, x.shape[1])
     block = int(nodes[0] >> _SHIFT)
-    asked = asked.take(pa.array(np.argsort(_longs(asked, "query"), kind="stable")))
-    query = _longs(asked, "query")
-    starts = np.flatnonzero(np.concatenate([[True], query[1:] != query[:-1]]))
-    vectors, least = asked.column("vec").to_pylist(), _longs(asked, "least")
-    places = asked.column("places").to_pylist()
-    out: dict[str, list] = {k: [] for k in ("block", "query", "near", "sim")}
-    for a, b in zip(starts, np.append(starts[1:], len(query))):
-        at = np.unique(np.frombuffer(b"".join(places[a:b]), np.uint16)).astype(np.int64)
-        q = _unpack(np.frombuffer(vectors[a], np.uint8)[None])[0]
+    query, vectors, least, places = _items(asked)
+    out = []
+    for a, b in _parts(query):
+        at = np.unique(np.concatenate(places[a:b])).astype(np.int64)
+        q = _unpack(vectors[a][None])[0]
         sim = x[at, :len(q)] @ q
         use = np.flatnonzero(sim > least[a])
         if len(use) > POOL:
             use = use[np.argpartition(-sim[use], POOL - 1)[:POOL]]
         if len(use):
-            for k, v in zip(out, (int(query[a] >> _SHIFT), int(query[a]), (at[use] + (block << _SHIFT)).tobytes(), sim[use].astype(np.float32).tobytes())):
-                out[k].append(v)
-    return _table(**out)
+            out.append((int(query[a] >> _SHIFT), int(query[a]), at[use] + (block << _SHIFT), sim[use].astype(np.float32)))
+    return _message(_FOUND, out)
 
 
 def _update(key: tuple[pa.Scalar, ...], pool: pa.Table, found: pa.Table) -> pa.Table:
@@ -381,16 +408,15 @@ def _update(key: tuple[pa.Scalar, ...], pool: pa.Table, found: pa.Table) -> pa.T
     extra: dict[int, list] = {}
     for q, near, sim in zip(*(found.column(n).to_pylist() for n in ("query", "near", "sim"))):
         extra.setdefault(q, []).append((np.frombuffer(near, np.int64), np.frombuffer(sim, np.float32)))
-    out: dict[str, list] = {k: [] for k in ("block", "query", "vec", "near", "sim", "expanded", "start")}
+    out = []
     for q, vec, near, sim, expanded, start in _pool_rows(pool):
         known = set(near.tolist())
         new_near = np.concatenate([near, *(n for n, _ in extra.get(q, []))])
         new_sim = np.concatenate([sim, *(s for _, s in extra.get(q, []))])
         _, n, s = _best(np.zeros(len(new_near), np.int64), new_near, new_sim, POOL)
         done = np.array([int(i in known) for i in n.tolist()], np.int8)
-        for k, v in zip(out, (q >> _SHIFT, q, vec, n.tobytes(), s.astype(np.float32).tobytes(), done.tobytes(), b"")):
-            out[k].append(v)
-    return _table(**out)
+        out.append((q >> _SHIFT, q, np.frombuffer(vec, np.uint8), n, s.astype(np.float32), done, np.zeros(0, np.int64)))
+    return _message(_POOL, out)
 
 
 def _open_pools(batches, entries: np.ndarray):
@@ -398,7 +424,9 @@ def _open_pools(batches, entries: np.ndarray):
     for batch in batches:
         table = pa.Table.from_batches([batch])
         nodes = table.column("node").to_pylist()
-        vec = _pack(_join(table.column("vec"), np.float32, len(table.column("vec")[0].as_py()) // 4)[:, :-1]) if nodes else []
+        if not nodes:
+            continue
+        vec = _pack(_all(table, "vec", np.float32, len(table.column("vec")[0].as_py()) // 4)[:, :-1])
         start = [np.concatenate([[n], np.frombuffer(near, np.int64), entries]).astype(np.int64).tobytes()
                  for n, near in zip(nodes, table.column("near").to_pylist())]
         n = len(nodes)
