@@ -12,8 +12,8 @@ Scale: exact copies collapse to one fingerprint first. Keys are dealt and sorted
 Spark; a task reads its sorted keys as a stream and holds one group at a time. Within a group
 only the links of a spanning forest are returned, never all pairs. A group of more than
 ``GROUP`` fingerprints is dealt anew by further equal bits (of the open bits cut into t + 1
-parts one must be equal), which ends after a few rounds, since so few open
-bits are left that a group is small by itself. No candidate is dropped.
+parts one must be equal), which ends after a few rounds: with 14 open bits a group can't be
+larger than that, and one with no more open bits than t is compared as it is. No candidate is dropped.
 """
 
 from __future__ import annotations
@@ -212,12 +212,12 @@ def _links(batches: Iterator[pa.RecordBatch], distance: int, group: int) -> Iter
         keys = rows[0][:tail]
         edge = np.flatnonzero(keys[1:] != keys[:-1]) + 1 if len(keys) else np.zeros(0, np.int64)
         sizes = np.diff(np.concatenate([[0], edge, [tail]])) if tail else np.zeros(0, np.int64)
-        over = np.repeat(sizes > group, sizes)
+        over = np.repeat(sizes > group, sizes) & (BITS - np.bitwise_count(rows[1][:tail]) > distance)
         if over.any():
             yield _batch(*(x[:tail][over] for x in rows))
         yield from links_of(keys[~over], rows[2][:tail][~over])
         held = tuple(x[tail:] for x in rows)
-        if len(held[0]) > group:
+        if len(held[0]) > group and BITS - int(held[1][0]).bit_count() > distance:
             yield _batch(*held)
             large, held = held[0][0], (none, none, none)
     yield from links_of(held[0], held[2])
