@@ -105,6 +105,17 @@ def q_applycal_unflagged(spark, sf_dir):
     return TV.flatten(out.filter(~F.col("flag.xx") & ~F.col("flag.yy")))
 
 
+@register("vis_allclose_differs", O.with_vis() + """SELECT obs_id, obs_id % 2 = 0 AS all_close,
+  CASE WHEN obs_id % 2 = 0 THEN 0e0 ELSE 5e-1 END AS max_abs_diff, count(*) AS n FROM vis4 GROUP BY obs_id""")
+def q_vis_allclose_differs(spark, sf_dir):
+    """Odd observations have one channel shifted by half a unit."""
+    vis = _vis(spark, sf_dir)
+    xx = F.col("data.xx")
+    shifted = F.when((F.col("obs_id") % 2 == 1) & (F.col("chan") == 1), xx.withField("im", xx["im"] + F.lit(0.5))).otherwise(xx)
+    r = A.vis_allclose(vis, vis.withColumn("data", F.col("data").withField("xx", shifted)))
+    return r.select("obs_id", "all_close", F.round("max_abs_diff", 9).alias("max_abs_diff"), "n")
+
+
 # -------------------------------------------------------------------- predict
 
 #: Phase centre of the sky-file query (degrees).
