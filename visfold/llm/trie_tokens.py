@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from .common import map_texts
 
 #: Nodes of a worker's trie before it starts anew.
-KEPT_NODES = 400_000
+KEPT_NODES = 1_200_000
 #: The mark that stands before each pre-token.
 SPACE = "▁"
 #: An unknown letter scores this much below the worst piece.
@@ -31,51 +31,58 @@ class PreTokenTrie:
     """Nodes are indices into lists: children, best score, tokens of the best path."""
 
     def __init__(self, scores: dict[str, float]):
+        """``scores``: log-probabilities, none above 0."""
         self.scores = scores
-        self.longest = max(map(len, scores), default=1)
+        #: Score of each piece, and None for what only ends longer pieces: a place to stop looking.
+        self.endings: dict[str, float | None] = {p[i:]: None for p in scores for i in range(1, len(p))}
+        self.endings.update(scores)
         self.unknown = min(scores.values(), default=0.0) - UNKNOWN_PENALTY
         self.byte_pieces = all(f"<0x{b:02X}>" in scores for b in range(256))
         self.clear()
 
     def clear(self) -> None:
-        self.children: list[dict[str, int]] = [{}]
+        self.children: list[dict[str, int] | None] = [None]
         self.best = [0.0]
         self.tokens = [0]
         #: Tokens at the node where a pre-token ends.
         self.terminal: dict[str, int] = {}
 
-    def _forward(self, path: list[int], word: str, end: int) -> tuple[float, int]:
-        """Best (score, tokens) of word[:end]; ``path``: the nodes of its shorter prefixes."""
-        letter = word[end - 1]
-        score, tokens = float("-inf"), 0
-        known = letter in self.scores
-        if not known:  # a letter without a piece: its bytes, or one unknown token
-            before = path[end - 1]
-            score = self.best[before] + self.unknown
-            tokens = self.tokens[before] + (len(letter.encode()) if self.byte_pieces else 1)
-        for start in range(max(0, end - self.longest), end):
-            piece = self.scores.get(word[start:end])
-            if piece is not None:
-                before = path[start]
-                if self.best[before] + piece > score:
-                    score, tokens = self.best[before] + piece, self.tokens[before] + 1
-        return score, tokens
-
     def insert(self, word: str) -> int:
-        """Walk or make the nodes of a pre-token; its number of tokens, kept at its last node."""
-        node, path = 0, [0]
-        for end, letter in enumerate(word, 1):
-            child = self.children[node].get(letter)
+        """Walk or make the nodes of a pre-token; its number of tokens, kept at its last node.
+
+        A new node gets the best (score, tokens) of its path: over the pieces that end there,
+        the best of the node where the piece starts plus the piece.
+        """
+        children, best, tokens, endings, scores = self.children, self.best, self.tokens, self.endings, self.scores
+        node, path, end = 0, [0], 0
+        for letter in word:
+            end += 1
+            below = children[node]
+            if below is None:
+                below = children[node] = {}
+            child = below.get(letter)
             if child is None:
-                score, tokens = self._forward(path, word, end)
-                child = self.children[node][letter] = len(self.best)
-                self.children.append({})
-                self.best.append(score)
-                self.tokens.append(tokens)
+                score, n = float("-inf"), 0
+                if letter not in scores:  # a letter without a piece: its bytes, or one unknown token
+                    score = best[node] + self.unknown
+                    n = tokens[node] + (len(letter.encode()) if self.byte_pieces else 1)
+                for start in range(end - 1, -1, -1):
+                    piece = endings.get(word[start:end], 1.0)
+                    if piece is None:
+                        continue
+                    if piece > 0:  # nothing ends like this, so nothing longer does
+                        break
+                    before = path[start]
+                    value = best[before] + piece
+                    if value > score:
+                        score, n = value, tokens[before] + 1
+                child = below[letter] = len(best)
+                children.append(None)
+                best.append(score)
+                tokens.append(n)
             path.append(child)
             node = child
-        self.terminal[word] = self.tokens[node]
-        return self.tokens[node]
+        return tokens[node]
 
     def count(self, text: str) -> tuple[int, int]:
         """(tokens, pre-tokens) of a whole text."""
@@ -85,9 +92,7 @@ class PreTokenTrie:
         terminal = self.terminal
         for word in set(words):
             if word not in terminal:
-                terminal[word] = 0
                 terminal[word] = self.insert(SPACE + word)
-                del terminal[SPACE + word]
         return sum([terminal[w] for w in words]), len(words)
 
 
