@@ -54,8 +54,8 @@ def test_bpe_equals_the_library(docs, empty):
     assert encode_documents(empty, path).count() == 0
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.text(max_size=80) | st.text(alphabet="abeiostn' 1!Σé́\n", max_size=60))
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=80) | st.text(alphabet=st.characters(max_codepoint=0x30F), max_size=40) | st.text(alphabet="abeiostn' 1!Σé́\n", max_size=60))
 def test_bpe_on_any_text(text):
     path = vocabulary("word_bpe_49k.json")
     global _bpe, _exact

@@ -32,7 +32,7 @@ from .common import map_texts
 #: Parts beyond which a word merges through a heap.
 LONG = 64
 #: Chunks that a worker keeps; when full, the table starts anew.
-KEPT_CHUNKS = 400_000
+KEPT_CHUNKS = 800_000
 NO_RANK = np.int32(2 ** 31 - 1)
 #: ASCII separators that ``str.split()`` cuts at although they are no Unicode white space.
 _NOT_SPACE = "\x1c\x1d\x1e\x1f"
@@ -162,8 +162,8 @@ class WordBpe:
         vocab: dict[str, int] = model["vocab"]
         self.end = model["end_of_word_suffix"]
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.ascii_words = regex.compile(split)
-        # beyond ASCII, which letters there are is a matter of the library's Unicode version
+        self.plain_words = regex.compile(split)
+        # beyond Latin, which letters there are is a matter of the library's Unicode version
         self.any_words = pre_tokenizers.Split(Regex(split), "removed", invert=True)
         self.any_normal = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -182,8 +182,8 @@ class WordBpe:
 
     def words_of(self, chunk: str) -> list[str]:
         """The normalised words of a chunk without white space."""
-        if chunk.isascii():
-            return self.ascii_words.findall(chunk.lower())
+        if max(chunk) < "\u0300":  # below the combining marks nothing composes and no letter is in doubt
+            return self.plain_words.findall(chunk.lower())
         return [w for w, _ in self.any_words.pre_tokenize_str(self.any_normal.normalize_str(chunk))]
 
     def encode_words(self, words: list[str]) -> dict[str, tuple[bytes, str]]:
