@@ -337,3 +337,17 @@ def test_recall_over_several_blocks(spark, monkeypatch):
     x /= np.linalg.norm(x, axis=1)[:, None]
     rows = [(k, floats(v)) for k, v in enumerate(x)]
     assert recall_of(search(spark, rows), brute_neighbours(rows, 20)) >= 0.9
+
+
+def third_close(r, n, dim, spread):
+    """Unit vectors, the first third of them distinct and within about ``spread`` of one another."""
+    x = r.normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[:n // 3] = x[0] + spread / dim ** 0.5 * r.normal(size=(n // 3, dim))
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def test_search_ranks_nearly_equal_vectors(spark):
+    """One block, so the graph is exact and only the search's own precision counts."""
+    rows = [(k, floats(v)) for k, v in enumerate(third_close(np.random.default_rng(7), 3000, 64, 0.005))]
+    assert recall_of(search(spark, rows), brute_neighbours(rows, 20)) >= 0.99

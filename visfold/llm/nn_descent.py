@@ -12,7 +12,8 @@ lists it stands in.
 
 Search: all queries go at once, each with a pool of its ``POOL`` best nodes found so far. Each round expands
 the pool's unexpanded nodes: their blocks look up their links, and the linked nodes' blocks score them. It
-ends when no pool has an unexpanded node. The best ones are scored again exactly, in double precision.
+ends when no pool has an unexpanded node. Queries go as float32 and are scored in double precision, so that pools
+rank distinct vectors that are nearly equal. The best ones are scored again on the vectors as given.
 
 Everything moves between blocks by Spark's shuffles, as messages: one row holds what a block
 has for another one, as arrays. A task holds one block and the messages to it, whose size is bounded
@@ -327,8 +328,8 @@ def _asked(rows: list[tuple]) -> pa.Table:
     row, node = np.repeat(np.arange(len(rows)), [len(n) for n in nodes]), np.concatenate(nodes)
     order = np.argsort(node >> _SHIFT, kind="stable")
     row, node = row[order], node[order]
-    query, least = np.array([r[0] for r in rows], np.int64), np.array([r[2] for r in rows], np.float32)
-    vec = np.frombuffer(b"".join(r[1] for r in rows), np.uint8).reshape(len(rows), -1)
+    query, least = np.array([r[0] for r in rows], np.int64), np.array([r[2] for r in rows], np.float64)
+    vec = np.frombuffer(b"".join(r[1] for r in rows), np.float32).reshape(len(rows), -1)
     places, out = (node & ((1 << _SHIFT) - 1)).astype(np.uint16), []
     for a, b in _parts(node >> _SHIFT):
         own = _parts(row[a:b])
@@ -339,8 +340,8 @@ def _asked(rows: list[tuple]) -> pa.Table:
 
 def _items(asked: pa.Table):
     """(queries, vectors, least sims, list of places) of the messages, by query."""
-    query, least, sizes = _all(asked, "query", np.int64), _all(asked, "least", np.float32), _all(asked, "sizes", np.int32)
-    vec, places = _all(asked, "vec", np.uint8).reshape(len(query), -1), _all(asked, "places", np.uint16)
+    query, least, sizes = _all(asked, "query", np.int64), _all(asked, "least", np.float64), _all(asked, "sizes", np.int32)
+    vec, places = _all(asked, "vec", np.float32).reshape(len(query), -1), _all(asked, "places", np.uint16)
     ends = np.cumsum(sizes)
     order = np.argsort(query, kind="stable")
     return query[order], vec[order], least[order], [places[ends[i] - sizes[i]:ends[i]] for i in order]
@@ -349,7 +350,7 @@ def _items(asked: pa.Table):
 def _pool_rows(table: pa.Table):
     names = ("query", "vec", "near", "sim", "expanded", "start")
     for query, vec, near, sim, expanded, start in zip(*(table.column(n).to_pylist() for n in names)):
-        yield (query, vec, np.frombuffer(near, np.int64), np.frombuffer(sim, np.float32), np.frombuffer(expanded, np.int8),
+        yield (query, vec, np.frombuffer(near, np.int64), np.frombuffer(sim, np.float64), np.frombuffer(expanded, np.int8),
                np.frombuffer(start, np.int64))
 
 
@@ -386,20 +387,20 @@ def _score(key: tuple[pa.Scalar, ...], state: pa.Table, asked: pa.Table) -> pa.T
     if not state.num_rows or not asked.num_rows:
         return _message(_FOUND, [])
     nodes = _longs(state, "node")
-    x = np.zeros((int(nodes.max() & ((1 << _SHIFT) - 1)) + 1, len(state.column("vec")[0].as_py()) // 4), np.float32)
+    x = np.zeros((int(nodes.max() & ((1 << _SHIFT) - 1)) + 1, len(state.column("vec")[0].as_py()) // 4))
     x[nodes & ((1 << _SHIFT) - 1)] = _all(state, "vec", np.float32, x.shape[1])
     block = int(nodes[0] >> _SHIFT)
     query, vectors, least, places = _items(asked)
     out = []
     for a, b in _parts(query):
         at = np.unique(np.concatenate(places[a:b])).astype(np.int64)
-        q = _unpack(vectors[a][None])[0]
+        q = vectors[a].astype(np.float64)
         sim = x[at, :len(q)] @ q
         use = np.flatnonzero(sim > least[a])
         if len(use) > POOL:
             use = use[np.argpartition(-sim[use], POOL - 1)[:POOL]]
         if len(use):
-            out.append((int(query[a] >> _SHIFT), int(query[a]), at[use] + (block << _SHIFT), sim[use].astype(np.float32)))
+            out.append((int(query[a] >> _SHIFT), int(query[a]), at[use] + (block << _SHIFT), sim[use]))
     return _message(_FOUND, out)
 
 
@@ -407,7 +408,7 @@ def _update(key: tuple[pa.Scalar, ...], pool: pa.Table, found: pa.Table) -> pa.T
     """Merge what was found into the pools; all nodes that stood there have been expanded."""
     extra: dict[int, list] = {}
     for q, near, sim in zip(*(found.column(n).to_pylist() for n in ("query", "near", "sim"))):
-        extra.setdefault(q, []).append((np.frombuffer(near, np.int64), np.frombuffer(sim, np.float32)))
+        extra.setdefault(q, []).append((np.frombuffer(near, np.int64), np.frombuffer(sim, np.float64)))
     out = []
     for q, vec, near, sim, expanded, start in _pool_rows(pool):
         known = set(near.tolist())
@@ -415,7 +416,7 @@ def _update(key: tuple[pa.Scalar, ...], pool: pa.Table, found: pa.Table) -> pa.T
         new_sim = np.concatenate([sim, *(s for _, s in extra.get(q, []))])
         _, n, s = _best(np.zeros(len(new_near), np.int64), new_near, new_sim, POOL)
         done = np.array([int(i in known) for i in n.tolist()], np.int8)
-        out.append((q >> _SHIFT, q, np.frombuffer(vec, np.uint8), n, s.astype(np.float32), done, np.zeros(0, np.int64)))
+        out.append((q >> _SHIFT, q, np.frombuffer(vec, np.uint8), n, s, done, np.zeros(0, np.int64)))
     return _message(_POOL, out)
 
 
@@ -426,7 +427,7 @@ def _open_pools(batches, entries: np.ndarray):
         nodes = table.column("node").to_pylist()
         if not nodes:
             continue
-        vec = _pack(_all(table, "vec", np.float32, len(table.column("vec")[0].as_py()) // 4)[:, :-1])
+        vec = _all(table, "vec", np.float32, len(table.column("vec")[0].as_py()) // 4)[:, :-1]
         start = [np.concatenate([[n], np.frombuffer(near, np.int64), entries]).astype(np.int64).tobytes()
                  for n, near in zip(nodes, table.column("near").to_pylist())]
         n = len(nodes)
