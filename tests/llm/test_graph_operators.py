@@ -351,3 +351,24 @@ def test_search_ranks_nearly_equal_vectors(spark):
     """One block, so the graph is exact and only the search's own precision counts."""
     rows = [(k, floats(v)) for k, v in enumerate(third_close(np.random.default_rng(7), 3000, 64, 0.005))]
     assert recall_of(search(spark, rows), brute_neighbours(rows, 20)) >= 0.99
+
+
+@pytest.mark.parametrize("spread, longest", [(0.02, 1), (0.005, 1), (2, 40), (0.02, 40)])
+def test_local_joins_tell_the_nearest(spread, longest):
+    """64 nodes linked with one: all are told their nearest among them, beside one long vector and in a tight group."""
+    x = third_close(np.random.default_rng(8), 900, 64, spread)[:300]
+    x[-1] *= longest
+    block = pa.table({"block": pa.array([0] * 300), "id": pa.array(range(300)), "embedding": pa.array(x.tolist())})
+    top = float(np.linalg.norm(x, axis=1).max())
+    state = NN._start_block(block, top, 1, 300)
+    none = pa.array([b""] * 300, pa.binary())
+    state = state.set_column(state.column_names.index("sim"), "sim", none)
+    links = pa.table({"block": [0] * 64, "node": list(range(1, 65)), "other": [0] * 64, "fresh": [1] * 64})
+    told = NN._local_join(NN._send((), state, links))
+    node, near, sim = NN._all(told, "node", np.int64), NN._all(told, "near", np.int64), NN._all(told, "sim", np.float32)
+    full = np.hstack([x, np.sqrt(np.maximum(0, top * top - (x * x).sum(axis=1)))[:, None]])[1:65]
+    apart = ((full[:, None] - full[None]) ** 2).sum(axis=2) / 2
+    np.fill_diagonal(apart, np.inf)
+    want = {(a + 1, int(b) + 1) for a in range(64) for b in np.argsort(apart[a])[:NN.TOLD_EACH]}
+    assert len(set(zip(node.tolist(), near.tolist())) & want) >= 0.98 * len(want)
+    assert np.allclose(-sim, apart[node - 1, near - 1], rtol=1e-3)

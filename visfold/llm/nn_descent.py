@@ -2,11 +2,13 @@
 
 Every distinct vector is a node. Nodes are dealt to blocks of about ``BLOCK`` by a hash; a node's number is
 its block and its place there. An extra coordinate that gives all vectors one
-length turns the largest inner product into the nearest neighbour, so the graph suits both.
+length turns the largest inner product into the nearest neighbour, so the graph suits both. It is kept less the
+largest length, which changes no distance and leaves it small for short vectors beside a long one; sims in the
+graph are minus half the squared distance, computed in double precision, so that those of a tight group differ.
 
 Graph: nodes start with the best of their own block and some random ones of others, and iterate: every
-node takes up to ``REVERSE`` of the nodes that list it, the links so agreed on send their ends' vectors (in
-8 bits) to one another, and each node compares its links pairwise, where one of them is new, and tells both
+node takes up to ``REVERSE`` of the nodes that list it, the links so agreed on send their ends' vectors (as
+float32) to one another, and each node compares its links pairwise, where one of them is new, and tells both
 ends of the pairs that beat their lists' last entries. A node has a bounded number of links, however many
 lists it stands in.
 
@@ -91,16 +93,9 @@ def _all(table: pa.Table, name: str, dtype, width: int | None = None) -> np.ndar
     return out if width is None else out.reshape(-1, width)
 
 
-def _pack(vectors: np.ndarray) -> np.ndarray:
-    """Rows of 8-bit components, with the scale as four bytes in front."""
-    top = np.abs(vectors).max(axis=1, initial=1e-30)
-    scale = (top / 127).astype(np.float32)
-    small = np.rint(vectors / scale[:, None]).astype(np.int8)
-    return np.hstack([scale.view(np.uint8).reshape(-1, 4), small.view(np.uint8)])
-
-
-def _unpack(rows: np.ndarray) -> np.ndarray:
-    return rows[:, 4:].view(np.int8).astype(np.float32) * rows[:, :4].copy().view(np.float32)
+def _halves(vectors: np.ndarray) -> np.ndarray:
+    """Half the squared lengths; an inner product less those of both its vectors is minus half their squared distance."""
+    return (vectors * vectors).sum(axis=-1) / 2
 
 
 def _first_per_key(keys: np.ndarray, most: int, seed: int) -> np.ndarray:
@@ -157,7 +152,11 @@ def _start_block(table: pa.Table, top: float, blocks: int, smallest: int) -> pa.
     """Number the nodes of one block and link each with the best others in it, and with random nodes."""
     order = np.argsort(_longs(table, "id"), kind="stable")
     x = np.array(table.column("embedding").to_pylist(), np.float64).reshape(table.num_rows, -1)[order]
-    x = np.hstack([x, np.sqrt(np.maximum(0, top * top - (x * x).sum(axis=1)))[:, None]]).astype(np.float32)
+    square = (x * x).sum(axis=1)
+    extra = -square / (top + np.sqrt(np.maximum(0, top * top - square)))  # sqrt(top^2 - |x|^2) - top
+    x = np.hstack([x, extra[:, None]]).astype(np.float32)
+    exact = x.astype(np.float64)
+    halves = _halves(exact)
     block = int(_longs(table, "block")[0])
     if len(x) >> _SHIFT:
         raise ValueError("a block holds too many nodes")
@@ -165,7 +164,7 @@ def _start_block(table: pa.Table, top: float, blocks: int, smallest: int) -> pa.
     k = min(NEIGHBOURS - (RANDOM if blocks > 1 else 0), len(x) - 1)
     draw = np.random.default_rng(block)
     for at in range(0, len(x), 512):
-        s = x[at:at + 512] @ x.T
+        s = exact[at:at + 512] @ exact.T - halves[at:at + 512, None] - halves
         s[np.arange(len(s)), np.arange(at, at + len(s))] = -np.inf
         best = np.argpartition(-s, k - 1, axis=1)[:, :k] if k else np.zeros((len(s), 0), int)
         value = np.take_along_axis(s, best, 1)
@@ -219,7 +218,7 @@ def _send(key: tuple[pa.Scalar, ...], state: pa.Table, links: pa.Table) -> pa.Ta
         return _message(_SENT, [])
     order = np.argsort(_longs(state, "node"), kind="stable")
     nodes = _longs(state, "node")[order]
-    packed = _pack(_all(state, "vec", np.float32, len(state.column("vec")[0].as_py()) // 4)[order])
+    vec = _all(state, "vec", np.float32, len(state.column("vec")[0].as_py()) // 4)[order]
     least = np.array([np.frombuffer(s, np.float32)[-1] if len(s) == 4 * NEIGHBOURS else -np.inf for s in state.column("sim").to_pylist()], np.float32)[order]
     src, dst, fresh = _longs(links, "node"), _longs(links, "other"), _longs(links, "fresh")
     order = np.lexsort((-fresh, dst, src, dst >> _SHIFT))
@@ -231,14 +230,14 @@ def _send(key: tuple[pa.Scalar, ...], state: pa.Table, links: pa.Table) -> pa.Ta
         own = _parts(src[a:b])
         one = src[a:b][[x for x, _ in own]]
         at = np.searchsorted(nodes, one)
-        out.append((int(dst[a] >> _SHIFT), one, packed[at], least[at], np.array([y - x for x, y in own], np.int32), dst[a:b], fresh[a:b]))
+        out.append((int(dst[a] >> _SHIFT), one, vec[at], least[at], np.array([y - x for x, y in own], np.int32), dst[a:b], fresh[a:b]))
     return _message(_SENT, out)
 
 
 def _local_join(table: pa.Table) -> pa.Table:
     """Compare the linked nodes of each node of a block pairwise; tell both ends of better pairs."""
     src, least = _all(table, "src", np.int64), _all(table, "least", np.float32)
-    packed = _all(table, "vec", np.uint8).reshape(len(src), -1)
+    vec = _all(table, "vec", np.float32).reshape(len(src), -1)
     row, dst = np.repeat(np.arange(len(src)), _all(table, "sizes", np.int32)), _all(table, "dst", np.int64)
     fresh = _all(table, "fresh", np.int8)
     order = np.argsort(dst, kind="stable")
@@ -258,8 +257,9 @@ def _local_join(table: pa.Table) -> pa.Table:
         if not some.any():
             continue
         inside, member, new = inside[some], member[some], new[some]
-        v = _unpack(packed[member.ravel()]).reshape(*member.shape, -1)
-        sim = v @ v.transpose(0, 2, 1)
+        v = vec[member].astype(np.float64)
+        halves = _halves(v)
+        sim = (v @ v.transpose(0, 2, 1) - halves[:, :, None] - halves[:, None, :]).astype(np.float32)
         sim[~(inside[:, :, None] & inside[:, None, :] & (new[:, :, None] | new[:, None, :]))] = -np.inf
         sim[:, np.arange(width), np.arange(width)] = -np.inf
         k = min(TOLD_EACH, width - 1)
