@@ -200,6 +200,32 @@ def test_bands_reject_repetition_and_noise():
     assert CB.band_verdict(b"", compressor)[2] == "empty"
 
 
+@pytest.mark.parametrize("size", [300, 450, 700, 1000, 1500, 3000, 6000, 20000, 90000])
+def test_bands_reject_encoded_text(size):
+    """Valid text: base64 in lines of 76 letters, and random printable words; prose of the same size stays."""
+    import base64
+    import random
+    import string
+
+    compressor, r = zstandard.ZstdCompressor(level=CB.LEVEL), random.Random(size)
+    lines = base64.encodebytes(r.randbytes(size))[:size]
+    letters = string.ascii_letters + string.digits + string.punctuation
+    words = " ".join("".join(r.choices(letters, k=r.randint(2, 10))) for _ in range(size))[:size].encode()
+    assert CB.band_verdict(lines, compressor)[2] == "incompressible"
+    assert CB.band_verdict(words, compressor)[2] == "incompressible"
+    assert CB.band_verdict(prose(1, size)[:size].encode(), compressor)[2] == "kept"
+
+
+def test_last_chunk_counts():
+    """Base64 in a last chunk that is not full, of more than the allowed share of the bytes."""
+    import base64
+    import random
+
+    compressor = zstandard.ZstdCompressor(level=CB.LEVEL)
+    data = prose(1, 4096)[:4096].encode() + base64.encodebytes(random.Random(3).randbytes(4000))[:4000]
+    assert CB.band_verdict(data, compressor)[1:] == (4000 / 8096, "incompressible chunks")
+
+
 def test_keep_quality_keeps_whole_rows(spark, docs):
     kept = CB.keep_quality(docs)
     assert kept.columns == docs.columns
