@@ -372,3 +372,15 @@ def test_local_joins_tell_the_nearest(spread, longest):
     want = {(a + 1, int(b) + 1) for a in range(64) for b in np.argsort(apart[a])[:NN.TOLD_EACH]}
     assert len(set(zip(node.tolist(), near.tolist())) & want) >= 0.98 * len(want)
     assert np.allclose(-sim, apart[node - 1, near - 1], rtol=1e-3)
+
+
+def test_bounds_are_told_and_not_reached(spark, monkeypatch):
+    import warnings
+
+    monkeypatch.setattr(NN, "BLOCK", 100)
+    rows = [(k, floats(v)) for k, v in enumerate(np.random.default_rng(9).normal(size=(400, 16)))]
+    with pytest.warns(RuntimeWarning, match="unfinished after 1 iterations"):
+        search(spark, rows, iterations=1)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", RuntimeWarning)
+        search(spark, rows)

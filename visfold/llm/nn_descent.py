@@ -24,6 +24,7 @@ by the links of a block's nodes and by the queries' pools. Each step's result is
 
 from __future__ import annotations
 
+import warnings
 from functools import partial
 
 import numpy as np
@@ -41,10 +42,11 @@ NEIGHBOURS, REVERSE = 32, 48
 RANDOM = 16
 #: Better pairs that a block tells a node of in one iteration, and per common neighbour.
 TOLD, TOLD_EACH = 24, 8
-ITERATIONS = 5
-#: Iterations end when fewer than this share of all list entries has changed.
+#: Iterations end when no more than this share of all list entries has changed.
 CHANGED = 0.01
-POOL, ROUNDS = 192, 12
+POOL = 192
+#: Safety bounds only: building and search warn if they end there instead of by themselves.
+ITERATIONS, ROUNDS = 60, 200
 #: Largest vectors that every query starts from besides its own neighbours.
 ENTRIES = 16
 #: Nodes per query that are scored exactly.
@@ -308,13 +310,17 @@ def agreed_links(state: DataFrame) -> DataFrame:
 def neighbour_graph(state: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
     """NN-descent from the start lists; rows of ``_STATE``."""
     entries = state.agg(F.count(F.lit(1))).first()[0] * NEIGHBOURS
+    changed = entries
     for _ in range(iterations):
         links = agreed_links(state)
         sent = state.groupBy("block").cogroup(links.groupBy("block")).applyInArrow(_send, _SENT)
         told = sent.groupBy("block").applyInArrow(_local_join, _TOLD)
         state = checkpointed(state.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_merge, _STATE))
-        if state.agg(F.sum("changed")).first()[0] <= CHANGED * entries:
+        changed = state.agg(F.sum("changed")).first()[0]
+        if changed <= CHANGED * entries:
             break
+    else:
+        warnings.warn(f"the graph is unfinished after {iterations} iterations: {changed} of {entries} entries changed in the last", RuntimeWarning)
     return state
 
 
@@ -451,6 +457,8 @@ def greedy_search(state: DataFrame, queries: DataFrame, entries: list[int], roun
         pool = checkpointed(pool.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_update, _POOL))
         if pool.filter(F.expr("position(X'00', expanded) > 0")).isEmpty():
             break
+    else:
+        warnings.warn(f"pools hold unexpanded nodes after {rounds} rounds of search", RuntimeWarning)
     return pool
 
 
