@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from .common import id_crc32, read
 from .compression_bands import compression_quality
 from .cost_packing import pack_documents
+from .gram_variants import spelling_variants
 from .kd_sharding import shard_documents
 from .nn_descent import nearest_neighbours
 from .pigeonring_simhash import near_duplicates
 from .rank_array_bpe import encode_documents
 from .rank_profiles import learn_profiles, predict_languages
 from .string_kernel_svm import score_toxicity, train_toxicity
+from .token_alignment import align_documents
 from .trie_tokens import count_tokens
 from .url_aliases import judge_urls
 
@@ -151,3 +153,40 @@ def op10_rank_profiles(spark, sf_dir):
 def op9_pigeonring_simhash(spark, sf_dir):
     found = near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register("op11_token_alignment")
+def op11_token_alignment(spark, sf_dir):
+    vocabularies = byte_vocabulary()
+    return align_documents(read(spark, sf_dir, "documents"), vocabularies["path"], vocabulary("piece_bpe_32k.model"),
+                           vocabularies["ranks"], vocabularies["pattern"])
+
+
+def _variants_oracle() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    named = "encode(coalesce(doc_id::VARCHAR, '') || ':' || run)"
+    # the checksum bit by bit: its polynomial is a fixed value
+    bits = "list_transform(range(0, 8 * octet_length(b)), lambda i: (('0x' || substr(hex(b), 2 * (i // 8) + 1, 2))::UBIGINT >> (i % 8)::UBIGINT) & 1)"
+    crc = f"list_reduce({bits}, lambda c, x: xor(c >> 1, 3988292384::UBIGINT * (xor(c, x) & 1)), 4294967295::UBIGINT)"
+    return f"""
+WITH RECURSIVE found AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), '{upper}', '{lower}') AS run FROM documents),
+runs AS (SELECT doc_id, run, count(*) AS n, {named} AS b FROM found WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (SELECT run, n, xor({crc}, 4294967295::UBIGINT) AS h FROM runs),
+cut AS (SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM cut WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+less AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM places),
+replaced AS (SELECT DISTINCT a.word AS a, b.word AS b, b.n AS nb FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word),
+deleted AS (SELECT DISTINCT l.word AS a, w.word AS b, w.n AS nb, l.n AS na FROM less l JOIN words w ON l.rest = w.word),
+near AS (SELECT a, b, nb FROM replaced UNION ALL SELECT a, b, nb FROM deleted UNION ALL SELECT b, a, na FROM deleted),
+best AS (SELECT a AS word, count(*) AS n_near, min(struct_pack(less := -nb, form := b)) AS f FROM near GROUP BY a),
+formed AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -f.less >= 5 * w.n THEN f.form END AS form,
+    CASE WHEN -f.less >= 5 * w.n THEN -f.less END AS form_n FROM words w LEFT JOIN best USING (word)),
+walk(word, place) AS (SELECT word, word FROM formed UNION ALL SELECT k.word, f.form FROM walk k JOIN formed f ON k.place = f.word WHERE f.form IS NOT NULL),
+last AS (SELECT k.word, k.place AS root FROM walk k JOIN formed f ON k.place = f.word WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN last USING (word)"""
+
+
+@register("op13_gram_variants", _variants_oracle())
+def op13_gram_variants(spark, sf_dir):
+    return spelling_variants(read(spark, sf_dir, "documents"))
