@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 
 import duckdb
+import pandas as pd
+from pyspark.sql.types import IntegralType
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -18,7 +20,7 @@ def duck(sf_dir: str):
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA:
         return (0, "")
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         v = v.item()
@@ -38,6 +40,9 @@ def rows(pdf, cols):
 def compare(sdf, con, sql) -> str | None:
     """None when equal, else a short description of the first difference."""
     a = sdf.toPandas()
+    for f in sdf.schema:  # a null among whole numbers is no NaN
+        if isinstance(f.dataType, IntegralType) and f.name in a and a[f.name].isna().any():
+            a[f.name] = a[f.name].astype("Int64")
     b = con.sql(sql).df()
     ca, cb = sorted(a.columns), sorted(b.columns)
     if ca != cb:
