@@ -238,7 +238,9 @@ def spelling_variants(docs: DataFrame, min_chars: int = MIN_CHARS, min_count: in
         raise ValueError(f"min_chars must be more than {QMAX}, the most grams that an edit changes")
     words = checkpointed(count_words(docs, min_chars, min_count))
     pairs = near_words(words, nodes, frequent, longest)
-    both = pairs.union(pairs.select("b", "nb", "a", "na"))
+    ends = F.array(F.struct(F.col("a").alias("a"), F.col("b").alias("b"), F.col("nb").alias("nb")),
+                   F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("na").alias("nb")))
+    both = pairs.select(F.explode(ends).alias("p")).select("p.*")
     best = both.groupBy(F.col("a").alias("word")).agg(F.count(F.lit(1)).alias("n_near"),
                                                       F.min(F.struct((-F.col("nb")).alias("less"), F.col("b").alias("form"))).alias("best"))
     found = checkpointed(words.join(best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"),
