@@ -14,6 +14,7 @@ from .gram_variants import spelling_variants
 from .kd_sharding import shard_documents
 from .nn_descent import nearest_neighbours
 from .pigeonring_simhash import near_duplicates
+from .randomness_secrets import BASE, scan_secrets
 from .rank_array_bpe import encode_documents
 from .rank_profiles import learn_profiles, predict_languages
 from .string_kernel_svm import score_toxicity, train_toxicity
@@ -190,3 +191,17 @@ SELECT word, form, root, n, n_near, form_n FROM formed JOIN last USING (word)"""
 @register("op13_gram_variants", _variants_oracle())
 def op13_gram_variants(spark, sf_dir):
     return spelling_variants(read(spark, sf_dir, "documents"))
+
+
+@register("op12_randomness_secrets")
+def op12_randomness_secrets(spark, sf_dir):
+    base = [name for name, *_ in BASE]
+    found = scan_secrets(read(spark, sf_dir, "documents"))
+
+    def spelled(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    def of(*kinds):
+        return F.filter("spans", lambda x: x["kind"].isin(*kinds))
+    return found.select("doc_id", *[F.size(of(k)).cast("bigint").alias(f"n_{k}") for k in base],
+                        F.sha2(spelled(of(*base)), 256).alias("base_sha256"), spelled(F.col("spans")).alias("spans"))

@@ -8,7 +8,7 @@ tokens of each side a group holds. All A-B pairs within a group are links.
 
 Ends of many documents are searched at once: their bytes are numbered through, so that both end lists
 stay sorted, and numpy takes each probing step for all ends together, starting where an earlier
-end of the same document (every ``STRIDE``-th, searched first) was found.
+end of the same document (every 64th first, then every 16th, ..) was found.
 
 Scale: a task turns documents into blocks of about ``BLOCK_BYTES`` of text and counts each block's
 distinct id pairs, so what Spark shuffles are pairs per block, not per token. Counts are summed per pair,
@@ -20,9 +20,11 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache, partial
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,12 +41,16 @@ from .common import doc_columns, map_texts
 
 #: Bytes of text whose documents form a block; a longer document is a block by itself.
 BLOCK_BYTES = 4_000_000
-#: One end in so many is searched from its document's start, the others from there.
-STRIDE = 32
+#: One end in so many is searched from its document's start; the next ones from there, ever closer.
+STRIDES = (64, 16, 4, 1)
+#: Letters of the words whose ids are kept.
+KEPT_LETTERS = 3_000_000
 #: Links that are spelled out at once.
 LINKS = 2_000_000
 #: Blocks of a partition start at its number times this.
 PER_PARTITION = 1 << 33
+#: A space between two letters or signs: neither vocabulary has a token across its left side.
+_SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: Letters that both regular expression libraries of the byte vocabulary surely class alike.
 _UNSURE = re.compile("[^\x00-˿‐-‧€]")
 
@@ -85,27 +91,55 @@ class Tokens:
                         for p in (self.pieces.id_to_piece(i) for i in range(self.pieces.get_piece_size()))]
         self.a_size = np.array([len(b) for b in self.a_bytes], np.int64)
         self.b_size = np.array([len(b) for b in self.b_bytes], np.int64)
+        self.split = self.fast is not None and not any(re.search("[^▁]▁", self.pieces.id_to_piece(i)) for i in range(len(self.b_bytes)))
+        self.forget()
         # decimal ids followed by each separator of the groups' spelling
         self.spelled = [str(i) + s for s in (",", "|", ";", "") for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
 
-    def encode_a(self, text: str) -> np.ndarray:
+    def encode_a(self, text: str) -> list[int]:
         if self.fast is not None and not _UNSURE.search(text):
             try:
-                return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), np.int64)
+                return self.fast.encode_ordinary(text)
             except ValueError:  # its pattern gives up on very long runs of white space
                 pass
-        return np.asarray(self.exact.encode(text, add_special_tokens=False).ids, np.int64)
-
-    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """ids of A and B; none if either does not spell the bytes of a space and the text."""
-        none = np.zeros(0, np.int64)
-        if not text:
-            return none, none
-        a, b = self.encode_a(" " + text), self.pieces.encode(text)
-        want = b" " + text.encode()
-        if b"".join(map(self.b_bytes.__getitem__, b)) != want or b"".join(map(self.a_bytes.__getitem__, a.tolist())) != want:
-            return none, none
-        return a, np.asarray(b, np.int64)
+        return self.exact.encode(text, add_special_tokens=False).ids
+
+    def forget(self) -> None:
+        """Of each known word: its number; ids of A and of B, one after another; how many; are they its bytes?"""
+        self.number: dict[str, int] = {}
+        self.ids, self.sizes, self.alike = (array("q"), array("q")), (array("q"), array("q")), array("b")
+        self.letters = 0
+
+    def learn(self, words: list[str]) -> None:
+        """Keep the ids of these words, with a space before each."""
+        for word, b in zip(words, self.pieces.encode(words, num_threads=1)):
+            a, want = self.encode_a(" " + word), b" " + word.encode()
+            self.number[word] = len(self.number)
+            self.alike.append(b"".join(map(self.b_bytes.__getitem__, b)) == want == b"".join(map(self.a_bytes.__getitem__, a)))
+            for side, found in enumerate((a, b)):
+                self.ids[side].extend(found)
+                self.sizes[side].append(len(found))
+            self.letters += len(word)
+
+    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For A and for B: ids of all texts, and how many each text has; none if the ids of either do
+        not spell the bytes of a space and the text."""
+        if self.letters > KEPT_LETTERS:
+            self.forget()
+        cut = [(_SPACE.split(t) if self.split else [t]) if t else [] for t in texts]
+        self.learn([w for w in set(chain.from_iterable(cut)) if w not in self.number])
+        words = np.fromiter(map(self.number.__getitem__, chain.from_iterable(cut)), np.int64)
+        doc = np.repeat(np.arange(len(texts)), [len(c) for c in cut])
+        strange = np.bincount(doc[np.array(self.alike, bool)[words] == 0], minlength=len(texts)) > 0
+        words, doc = words[~strange[doc]], doc[~strange[doc]]
+        out = []
+        for ids, sizes in zip(self.ids, self.sizes):
+            size = np.array(sizes, np.int64)
+            begin = np.cumsum(size) - size
+            here = size[words]
+            at = np.arange(int(here.sum())) + np.repeat(begin[words] - (np.cumsum(here) - here), here)
+            out.append((np.array(ids, np.int64)[at], _sums(here, doc, len(texts))))
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -144,10 +178,12 @@ def _found(shorter: np.ndarray, first: np.ndarray, count: np.ndarray, longer: np
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     rank = np.arange(total) - np.repeat(np.cumsum(count) - count, count)
     at, begin = np.repeat(first, count) + rank, np.repeat(start, count)
-    anchors = np.flatnonzero(rank % STRIDE == 0)
-    begin[anchors] = gallop(shorter[at[anchors]], longer, begin[anchors])
-    begin = begin[anchors[np.cumsum(rank % STRIDE == 0) - 1]]
-    place = gallop(shorter[at], longer, begin)
+    place = begin
+    for wide, stride in zip((None, *STRIDES), STRIDES):
+        now = np.flatnonzero(rank % stride == 0)
+        if wide:  # from where the last end of the wider stride was found
+            begin = place[now - rank[now] % wide]
+        place[now] = gallop(shorter[at[now]], longer, begin[now] if wide is None else begin)
     same = longer[place] == shorter[at]
     return at[same], place[same]
 
@@ -169,10 +205,8 @@ class Aligned:
     """Groups and links of some documents' tokens."""
 
     def __init__(self, tokens: Tokens, texts: list[str | None]):
-        pairs = [tokens.encode(t) for t in texts]
         self.tokens, self.width = tokens, len(tokens.b_bytes)
-        self.a, self.b = (np.concatenate([p[i] for p in pairs] or [np.zeros(0, np.int64)]) for i in (0, 1))
-        self.a_count, self.b_count = (np.array([len(p[i]) for p in pairs], np.int64) for i in (0, 1))
+        (self.a, self.a_count), (self.b, self.b_count) = tokens.encode(texts)
         ia, ib = common_ends(np.cumsum(tokens.a_size[self.a]), np.cumsum(tokens.b_size[self.b]), self.a_count, self.b_count)
         self.a_from, self.b_from = np.append(0, ia + 1), np.append(0, ib + 1)
         self.na, self.nb = np.diff(self.a_from), np.diff(self.b_from)  # tokens of each group
