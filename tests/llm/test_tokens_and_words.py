@@ -56,10 +56,10 @@ def plain_groups(text):
     if not b"".join(a_bytes) == b"".join(b_bytes) == (" " + text).encode():
         return []
     a_ends, b_ends = np.cumsum([len(x) for x in a_bytes]).tolist(), np.cumsum([len(x) for x in b_bytes]).tolist()
-    out, i, j = [], 0, 0
+    out, i, j, ids = [], 0, 0, a.ids
     for end in sorted(set(a_ends) & set(b_ends)):
         ni, nj = a_ends.index(end, i) + 1, b_ends.index(end, j) + 1
-        out.append((a.ids[i:ni], list(b[j:nj])))
+        out.append((ids[i:ni], list(b[j:nj])))
         i, j = ni, nj
     return out
 
