@@ -210,22 +210,6 @@ def _sir_brute(flags, eta):
     return out
 
 
-def _sumthreshold_brute(x, flags, chi1, sizes):
-    x, fl = list(x), list(flags)
-    n = len(x)
-    for m in sizes:
-        k = m.bit_length() - 1
-        chi = chi1 / 1.5 ** k
-        hit = [False] * n
-        for s in range(n - m + 1):
-            vals = [chi if fl[j] else x[j] for j in range(s, s + m)]
-            if sum(vals) > m * chi:
-                for j in range(s, s + m):
-                    hit[j] = True
-        fl = [a or b for a, b in zip(fl, hit)]
-    return fl
-
-
 def _series(spark, values, flags):
     rows = [(0, t, 0, 1, 0, float(v), bool(f)) for t, (v, f) in enumerate(zip(values, flags))]
     return spark.createDataFrame(rows, "obs_id long, slot long, ant1 int, ant2 int, chan int, resid double, fl boolean")
@@ -239,17 +223,6 @@ def test_sir_matches_brute_force(spark):
     assert got == _sir_brute(flags, 0.2)
 
 
-def test_sumthreshold_matches_brute_force(spark):
-    rng = np.random.default_rng(5)
-    values = list(np.abs(rng.standard_normal(60)))
-    values[20:26] = [2.5] * 6
-    flags = [False] * 60
-    flags[3] = True
-    df = _series(spark, values, flags).withColumn("noise", F.lit(0.5))
-    got = [r.fl for r in DF.sumthreshold(df, "time", 4.0, (1, 2, 4, 8)).orderBy("slot").collect()]
-    assert got == _sumthreshold_brute(values, flags, 2.0, (1, 2, 4, 8))
-
-
 def test_nearest_and_linear_lookup_match_brute_force(spark):
     axis_vals = [0.0, 1.0, 1.5, 4.0, 10.0]
     axis = spark.createDataFrame(list(enumerate(axis_vals)), "idx int, value double")

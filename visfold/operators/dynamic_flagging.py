@@ -1,34 +1,53 @@
-"""Dynamic interference flagging with window functions.
+"""Dynamic interference flagging: an iterated background fit, SumThreshold and SIR.
 
 One amplitude per sample, sqrt(mean over pols of |v|^2), so the four pol
-flags move together. Time-direction windows are partitioned by
-(obs, ant1, ant2, chan) and ordered by slot; frequency-direction windows by
-(obs, ant1, ant2, slot) ordered by chan. Every partition is one baseline's
-series, so a large observation never lands in one task, and windows with the
-same partitioning share one exchange (all SumThreshold sizes of a direction
-run over a single shuffle and sort).
-
-Decisions: residual = |amp - centred moving mean of unflagged amp|; noise =
-median of unflagged residuals per series; chi_1 = sensitivity x noise;
-SumThreshold runs M = 1, 2, 4, .. in time then in frequency, each size seeing
-the flags so far, flagged samples counting as chi_M; SIR (eta) extends flags
-in time then frequency; missing slots are skipped (frames count rows); the
-result is OR-ed into the input flags, never cleared.
+flags move together. A round smooths the amplitudes over the (slot, channel) plane of a baseline
+without the samples flagged so far, and thresholds what lies above that background; the first rounds use
+high thresholds, so that strong interference is out of the background before the last one.
+
+Decisions: background = separable Gaussian mean over -k..k rows in time, then in frequency, of
+unflagged samples (sigma k/2); residual = amplitude - background, signed, and only
+samples above it are interference (it adds power); noise = 1.4826 x median absolute deviation of the
+unflagged residuals of an (obs, baseline) plane, taken in the first round, and residuals
+are counted from the plane's median; chi_1 = sensitivity x noise, and 3 times that in the round before the last;
+chi_M = chi_1 / 1.5^log2(M). A window of M samples is hit if its unflagged ones
+exceed chi_M on average, M = 1, 2, 4, .. in time then in frequency, each size
+seeing the flags so far. SIR (eta) extends flags in time then frequency; missing slots are skipped (frames
+count rows); the result is OR-ed into the input flags, never cleared. Non-finite samples are
+flagged and play no part. A plane without spread (noise 0) has no threshold.
+
+Every window frame is an offset or grows by one row, so a row costs the same whatever the largest
+size: a window's sum is the difference of two running sums, and the marks of hit windows are a running
+count of their starts less that of M rows before. Time-direction series are
+(obs, ant1, ant2, chan) ordered by slot; frequency-direction ones (obs, ant1, ant2, slot) ordered by
+chan; both lie within a baseline, so one exchange serves all of them, and a large
+observation never lands in one task.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cplx as C
+from ..functions.robust import median_and_deviation
 
 POLS = C.POLS
 TIME_SERIES = ("obs_id", "ant1", "ant2", "chan")
 FREQ_SERIES = ("obs_id", "ant1", "ant2", "slot")
-# SumThreshold sizes and the per-doubling threshold divisor.
+PLANE = ("obs_id", "ant1", "ant2")
+# SumThreshold sizes, the per-doubling threshold divisor, and the standard deviation of
+# normal values with a median absolute deviation of one.
 DEFAULT_SIZES = (1, 2, 4, 8, 16, 32, 64)
 THRESHOLD_DIVISOR = 1.5
+MAD_TO_SIGMA = 1.4826
+#: Threshold in units of the noise, rounds, how much lower each round's threshold is than the one before, rows
+#: on each side that the background is taken from.
+SENSITIVITY, ROUNDS, FALL, HALF_WIDTH = 6.0, 2, 3.0, 3
+#: Sums closer to the threshold than this share of it are rounding errors.
+CLOSE = 1e-6
 
 
 def sample_amplitude(data: Column | None = None) -> Column:
@@ -56,39 +75,69 @@ def _series(direction: str, reverse: bool = False):
 
 
 def prepare(vis: DataFrame) -> DataFrame:
-    """Add working columns ``amp`` (sample amplitude) and ``fl`` (any pol flagged)."""
-    return vis.withColumn("amp", sample_amplitude()).withColumn("fl", any_flag())
+    """Add working columns ``amp`` (sample amplitude) and ``fl`` (any pol flagged, or not finite)."""
+    out = vis.withColumn("amp", sample_amplitude())
+    return out.withColumn("fl", F.coalesce(any_flag() | ~(F.col("amp") - F.col("amp") == 0), F.lit(True)))
 
 
-def background_residual(df: DataFrame, half_width: int = 2, direction: str = "time") -> DataFrame:
-    """``resid`` = |amp - centred moving mean (rows -k..k) of unflagged amp|."""
-    w = _series(direction).rowsBetween(-half_width, half_width)
-    mean = F.avg(F.when(~F.col("fl"), F.col("amp"))).over(w)
-    return df.withColumn("resid", F.abs(F.col("amp") - F.coalesce(mean, F.col("amp"))))
+def gaussian_weights(half_width: int) -> list[float]:
+    """Weights at distances 0 to ``half_width``; sigma is half of it."""
+    return [math.exp(-2.0 * j * j / (half_width * half_width)) if half_width else 1.0 for j in range(half_width + 1)]
 
 
-def noise_scale(df: DataFrame, direction: str = "time") -> DataFrame:
-    """``noise`` = median of unflagged residuals of the sample's series (window, no join)."""
-    w = Window.partitionBy(*(TIME_SERIES if direction == "time" else FREQ_SERIES))
-    return df.withColumn("noise", F.median(F.when(~F.col("fl"), F.col("resid"))).over(w))
+def _smoothed(column: str, series, weights: list[float]) -> Column:
+    out = F.lit(weights[0]) * F.col(column)
+    for j, g in enumerate(weights[1:], 1):
+        out = out + F.lit(g) * (F.lag(column, j, 0.0).over(series) + F.lead(column, j, 0.0).over(series))
+    return out
 
 
-def sumthreshold(df: DataFrame, direction: str = "time", sensitivity: float = 4.0,
-                 sizes=DEFAULT_SIZES) -> DataFrame:
-    """SumThreshold on ``resid`` with chi_1 = sensitivity x ``noise``; updates ``fl``."""
-    base = _series(direction)
+def background_residual(df: DataFrame, half_width: int = HALF_WIDTH) -> DataFrame:
+    """``resid`` = amp - Gaussian mean of the unflagged amplitudes around it; 0 where there are none."""
+    weights = gaussian_weights(half_width)
+    df = df.withColumns({"_v": F.when(F.col("fl"), 0.0).otherwise(F.col("amp")), "_w": F.when(F.col("fl"), 0.0).otherwise(1.0)})
+    for direction in ("time", "freq"):
+        series = _series(direction)
+        df = df.withColumns({c: _smoothed(c, series, weights) for c in ("_v", "_w")})
+    resid = F.when((F.col("_w") > 0) & (F.col("amp") - F.col("amp") == 0), F.col("amp") - F.col("_v") / F.col("_w"))
+    return df.withColumn("resid", F.coalesce(resid, F.lit(0.0))).drop("_v", "_w")
+
+
+def noise_scale(df: DataFrame) -> DataFrame:
+    """Add ``centre`` (median) and ``noise`` (1.4826 x median absolute deviation) of the unflagged residuals of
+    the sample's (obs, baseline) plane; null for a plane without any. No window: see ``functions.robust``."""
+    planes = median_and_deviation(df.filter("NOT fl"), PLANE, "resid")
+    planes = planes.select(*PLANE, F.col("median").alias("centre"), (F.lit(MAD_TO_SIGMA) * F.col("mad")).alias("noise"))
+    return df.join(planes, list(PLANE), "left")
+
+
+def sumthreshold(df: DataFrame, direction: str = "time", sensitivity: float = SENSITIVITY, sizes=DEFAULT_SIZES) -> DataFrame:
+    """SumThreshold on ``resid`` above ``centre`` with chi_1 = sensitivity x ``noise``; updates ``fl``.
+    Linear in the rows for any size."""
+    series = _series(direction)
     chi1 = F.lit(float(sensitivity)) * F.col("noise")
+
+    def upto(last: int):
+        return series.rowsBetween(Window.unboundedPreceding, last)
+
     for m in sizes:
         k = m.bit_length() - 1
         if 1 << k != m:
             raise ValueError(f"window sizes must be powers of two, got {m}")
         chi = chi1 / F.lit(THRESHOLD_DIVISOR ** k)
-        x = F.when(F.col("fl"), chi).otherwise(F.col("resid"))
-        fwd = base.rowsBetween(0, m - 1)
-        hit = (F.count(F.lit(1)).over(fwd) == m) & (F.sum(x).over(fwd) > F.lit(float(m)) * chi)
-        df = df.withColumn("_hit", F.coalesce(hit, F.lit(False)))
-        df = df.withColumn("fl", F.col("fl") | F.max("_hit").over(base.rowsBetween(-(m - 1), 0)))
-    return df.drop("_hit")
+        # a flagged sample counts as chi: it neither lifts nor lowers a window's excess
+        over = F.when(~F.col("fl") & (F.col("noise") > 0), F.col("resid") - F.col("centre") - chi).otherwise(0.0)
+        if m == 1:
+            df = df.withColumn("fl", F.col("fl") | F.coalesce(over > F.lit(CLOSE) * chi, F.lit(False)))
+            continue
+        df = df.withColumns({"_x": over, "_one": F.lit(1)})
+        # sums to the window's last row less those to the row before it; only whole windows count
+        excess = F.sum("_x").over(upto(m - 1)) - F.coalesce(F.sum("_x").over(upto(-1)), F.lit(0.0))
+        whole = F.sum("_one").over(upto(m - 1)) - F.coalesce(F.sum("_one").over(upto(-1)), F.lit(0)) == m
+        df = df.withColumn("_hit", F.coalesce(whole & (excess > F.lit(CLOSE) * chi), F.lit(False)).cast("int"))
+        marks = F.sum("_hit").over(upto(0)) - F.coalesce(F.sum("_hit").over(upto(-m)), F.lit(0))
+        df = df.withColumn("fl", F.col("fl") | (marks > 0))
+    return df.drop("_x", "_one", "_hit")
 
 
 def sir(df: DataFrame, direction: str = "time", eta: float = 0.2) -> DataFrame:
@@ -112,18 +161,21 @@ def merge_flags(df: DataFrame, columns) -> DataFrame:
     return df.withColumn("flag", flag).select(*columns)
 
 
-def dynamic_flag(vis: DataFrame, sensitivity: float = 4.0, half_width: int = 2, sizes=DEFAULT_SIZES,
-                 eta: float = 0.2) -> DataFrame:
-    """AOFlagger-like step: residual -> noise -> SumThreshold time, freq -> SIR time, freq.
+def dynamic_flag(vis: DataFrame, sensitivity: float = SENSITIVITY, half_width: int = HALF_WIDTH, sizes=DEFAULT_SIZES,
+                 eta: float = 0.2, rounds: int = ROUNDS) -> DataFrame:
+    """AOFlagger-like step: rounds of background -> SumThreshold time, freq with falling thresholds; then SIR time, freq.
 
     The rows are dealt by baseline once: series in time and in frequency both lie within a
-    baseline, so every window of every step works on that one exchange.
+    baseline, so every window of every step works on that one exchange. The noise of a plane is a small
+    table of its own, from two aggregations.
     """
-    df = prepare(vis.repartition("obs_id", "ant1", "ant2"))
-    df = background_residual(df, half_width, "time")
-    df = noise_scale(df, "time")
-    df = sumthreshold(df, "time", sensitivity, sizes)
-    df = sumthreshold(df, "freq", sensitivity, sizes)
+    df = prepare(vis.repartition(*PLANE))
+    for r in range(rounds):
+        df = background_residual(df, half_width)
+        if r == 0:
+            df = noise_scale(df)
+        for direction in ("time", "freq"):
+            df = sumthreshold(df, direction, sensitivity * FALL ** (rounds - 1 - r), sizes)
     df = sir(df, "time", eta)
     df = sir(df, "freq", eta)
     return merge_flags(df, vis.columns)

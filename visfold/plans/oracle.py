@@ -10,7 +10,7 @@ on both sides.
 from __future__ import annotations
 
 from ..functions.compare import qround_sql as qr
-from ..sources.testviews import ANTENNA_SQL, VIS_CTE
+from ..sources.testviews import ANTENNA_SQL, BURSTS_CTE, VIS_CTE
 
 POLS = ("xx", "xy", "yx", "yy")
 KEY = "obs_id, slot, ant1, ant2, chan"
@@ -29,6 +29,10 @@ def with_vis(*ctes: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
+def with_bursts(*ctes: str) -> str:
+    return "WITH " + ",\n".join([BURSTS_CTE, VIS4_CTE, *ctes]) + "\n"
+
+
 def with_vis_ant(*ctes: str) -> str:
     return with_vis(ANTENNA_SQL, *ctes)
 
@@ -209,30 +213,43 @@ FREQ_PART = "PARTITION BY obs_id, ant1, ant2, slot ORDER BY chan"
 
 def dyn_prepare(src: str = "vis4", name: str = "d0") -> str:
     pw = " + ".join(f"({p}_re*{p}_re + {p}_im*{p}_im)" for p in POLS)
-    return f"{name} AS (SELECT *, sqrt(({pw})/4e0) AS amp, (fxx OR fxy OR fyx OR fyy) AS fl FROM {src})"
+    return (f"{name} AS (SELECT * REPLACE (coalesce(fl OR NOT (amp - amp = 0e0), true) AS fl) FROM "
+            f"(SELECT *, sqrt(({pw})/4e0) AS amp, (fxx OR fxy OR fyx OR fyy) AS fl FROM {src}))")
 
 
-def dyn_residual(src: str, name: str, half_width: int = 2) -> str:
-    return (f"{name} AS (SELECT *, abs(amp - coalesce(avg(CASE WHEN NOT fl THEN amp END) OVER ({TIME_PART} "
-            f"ROWS BETWEEN {half_width} PRECEDING AND {half_width} FOLLOWING), amp)) AS resid FROM {src})")
+def dyn_residual(src: str, name: str, half_width: int = 3) -> str:
+    import math
+    g = [math.exp(-2.0 * j * j / (half_width * half_width)) for j in range(half_width + 1)]
+
+    def smooth(c: str, part: str) -> str:
+        near = " + ".join(f"{g[j]!r}*(lag({c}, {j}, 0e0) OVER ({part}) + lead({c}, {j}, 0e0) OVER ({part}))" for j in range(1, half_width + 1))
+        return f"{g[0]!r}*{c} + {near}"
+
+    return (f"{name}a AS (SELECT *, CASE WHEN fl THEN 0e0 ELSE amp END AS bv, CASE WHEN fl THEN 0e0 ELSE 1e0 END AS bw FROM {src}), "
+            f"{name}b AS (SELECT * REPLACE ({smooth('bv', TIME_PART)} AS bv, {smooth('bw', TIME_PART)} AS bw) FROM {name}a), "
+            f"{name}c AS (SELECT * REPLACE ({smooth('bv', FREQ_PART)} AS bv, {smooth('bw', FREQ_PART)} AS bw) FROM {name}b), "
+            f"{name} AS (SELECT * EXCLUDE (bv, bw), CASE WHEN bw > 0e0 AND amp - amp = 0e0 THEN amp - bv/bw ELSE 0e0 END AS resid FROM {name}c)")
 
 
 def dyn_noise(src: str, name: str) -> str:
-    return (f"{name} AS (SELECT *, median(CASE WHEN NOT fl THEN resid END) OVER "
-            f"(PARTITION BY obs_id, ant1, ant2, chan) AS noise FROM {src})")
+    return (f"{name}m AS (SELECT obs_id, ant1, ant2, median(resid) AS centre FROM {src} WHERE NOT fl GROUP BY ALL), "
+            f"{name}s AS (SELECT obs_id, ant1, ant2, m.centre, 1.4826e0*median(abs(d.resid - m.centre)) AS noise "
+            f"FROM {src} d JOIN {name}m m USING (obs_id, ant1, ant2) WHERE NOT fl GROUP BY ALL), "
+            f"{name} AS (SELECT d.*, s.centre, s.noise FROM {src} d LEFT JOIN {name}s s USING (obs_id, ant1, ant2))")
 
 
-def dyn_sumthreshold(src: str, prefix: str, direction: str, sensitivity: float = 4.0,
+def dyn_sumthreshold(src: str, prefix: str, direction: str, sensitivity: float = 6.0,
                      sizes=(1, 2, 4, 8, 16, 32, 64)) -> tuple[list[str], str]:
+    """Frames of M rows as such: the sum of each window, then the largest of the windows that hold a sample."""
     part = TIME_PART if direction == "time" else FREQ_PART
     ctes, prev = [], src
     for m in sizes:
         k = m.bit_length() - 1
         chi = f"(({dbl(sensitivity)}*noise)/{dbl(1.5 ** k)})"
-        x = f"CASE WHEN fl THEN {chi} ELSE resid END"
+        x = f"CASE WHEN NOT fl AND noise > 0e0 THEN resid - centre - {chi} ELSE 0e0 END"
         fwd = f"({part} ROWS BETWEEN CURRENT ROW AND {m - 1} FOLLOWING)"
         a, b = f"{prefix}{m}a", f"{prefix}{m}b"
-        ctes.append(f"{a} AS (SELECT *, coalesce(count(*) OVER {fwd} = {m} AND sum({x}) OVER {fwd} > {m}e0*{chi}, false) "
+        ctes.append(f"{a} AS (SELECT *, coalesce(count(*) OVER {fwd} = {m} AND sum({x}) OVER {fwd} > 1e-6*{chi}, false) "
                     f"AS hit FROM {prev})")
         ctes.append(f"{b} AS (SELECT * EXCLUDE (fl, hit), fl OR bool_or(hit) OVER ({part} ROWS BETWEEN {m - 1} PRECEDING "
                     f"AND CURRENT ROW) AS fl FROM {a})")
@@ -240,6 +257,23 @@ def dyn_sumthreshold(src: str, prefix: str, direction: str, sensitivity: float =
     return ctes, prev
 
 
+def dyn_rounds(src: str, rounds: int = 2, sensitivity: float = 6.0) -> tuple[list[str], str]:
+    ctes, last = [], src
+    for r in range(rounds):
+        ctes.append(dyn_residual(last, f"r{r}"))
+        last = f"r{r}"
+        if r == 0:
+            ctes.append(dyn_noise(last, "noisy"))
+            last = "noisy"
+        for d in ("time", "freq"):
+            more, last = dyn_sumthreshold(last, f"s{r}{d[0]}", d, sensitivity * 3.0 ** (rounds - 1 - r))
+            ctes += more
+        if r < rounds - 1:
+            ctes.append(f"n{r} AS (SELECT * EXCLUDE (resid) FROM {last})")
+            last = f"n{r}"
+    return ctes, last
+
+
 def dyn_sir(src: str, prefix: str, direction: str, eta: float = 0.2) -> tuple[list[str], str]:
     part = TIME_PART if direction == "time" else FREQ_PART
     a, b = f"{prefix}a", f"{prefix}b"
@@ -251,7 +285,7 @@ def dyn_sir(src: str, prefix: str, direction: str, eta: float = 0.2) -> tuple[li
 
 
 def dyn_merge(src: str, name: str) -> str:
-    return (f"{name} AS (SELECT * EXCLUDE (fxx, fxy, fyx, fyy, amp, fl, resid, noise), fxx OR fl AS fxx, "
+    return (f"{name} AS (SELECT * EXCLUDE (fxx, fxy, fyx, fyy, amp, fl, resid, centre, noise), fxx OR fl AS fxx, "
             f"fxy OR fl AS fxy, fyx OR fl AS fyx, fyy OR fl AS fyy FROM {src})")
 
 

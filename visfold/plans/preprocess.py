@@ -123,7 +123,7 @@ PARAMETERS: dict[str, dict[str, Any]] = {
     "msout": {"overwrite": bool},
     "preflagger": {"mode": str, "chan": (str, list, tuple), "freqrange": (str, list, tuple), "timerange": (list, tuple),
                    "uvmrange": (list, tuple), "amplmin": _NUMBER, "amplmax": _NUMBER, "autocorr": bool, "antennas": (list, tuple)},
-    "aoflagger": {"memorymax": _NUMBER, "sensitivity": _NUMBER, "half_width": "step", "sizes": (list, tuple), "eta": _NUMBER},
+    "aoflagger": {"memorymax": _NUMBER, "sensitivity": _NUMBER, "half_width": "step", "sizes": (list, tuple), "eta": _NUMBER, "rounds": "step"},
     "applycal": {"parmdb": _TABLE, "interpolation": str, "direction": str},
     "averager": {"timestep": "step", "freqstep": "step"},
     "predict": {"sourcedb": _TABLE},

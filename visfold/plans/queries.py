@@ -315,25 +315,24 @@ _DYN_BASE = [O.dyn_prepare(), O.dyn_residual("d0", "d1"), O.dyn_noise("d1", "d2"
 
 
 def _dyn_base(spark, sf_dir):
-    df = DF.prepare(_vis(spark, sf_dir))
-    df = DF.background_residual(df)
-    return DF.noise_scale(df)
+    return DF.noise_scale(DF.background_residual(DF.prepare(TV.load_bursts(spark, sf_dir))))
 
 
-@register("background_residual", O.with_vis(*_DYN_BASE[:2]) + f"SELECT {O.KEY}, {O.qr('resid')} AS resid FROM d1")
+@register("background_residual", O.with_bursts(*_DYN_BASE[:2]) + f"SELECT {O.KEY}, {O.qr('resid')} AS resid FROM d1")
 def q_background_residual(spark, sf_dir):
-    df = DF.background_residual(DF.prepare(_vis(spark, sf_dir)))
+    df = DF.background_residual(DF.prepare(TV.load_bursts(spark, sf_dir)))
     return df.select(*_KEYS, qround(F.col("resid")).alias("resid"))
 
 
-@register("noise_scale", O.with_vis(*_DYN_BASE) + f"SELECT DISTINCT obs_id, ant1, ant2, chan, {O.qr('noise')} AS noise FROM d2")
+@register("noise_scale", O.with_bursts(*_DYN_BASE) + f"SELECT DISTINCT obs_id, ant1, ant2, {O.qr('centre')} AS centre, {O.qr('noise')} AS noise FROM d2")
 def q_noise_scale(spark, sf_dir):
-    return _dyn_base(spark, sf_dir).select("obs_id", "ant1", "ant2", "chan", qround(F.col("noise")).alias("noise")).distinct()
+    return _dyn_base(spark, sf_dir).select("obs_id", "ant1", "ant2", qround(F.col("centre")).alias("centre"),
+                                           qround(F.col("noise")).alias("noise")).distinct()
 
 
 def _st_sql(direction):
     ctes, last = O.dyn_sumthreshold("d2", f"st{direction[0]}", direction)
-    return O.with_vis(*_DYN_BASE, *ctes) + f"SELECT {O.KEY}, fl AS flag FROM {last}"
+    return O.with_bursts(*_DYN_BASE, *ctes) + f"SELECT {O.KEY}, fl AS flag FROM {last}"
 
 
 @register("sumthreshold_time", _st_sql("time"))
@@ -362,17 +361,15 @@ def q_sir_freq(spark, sf_dir):
 
 
 def _dyn_full_sql(src="vis4", out="dyn"):
-    c1, l1 = O.dyn_sumthreshold("d2", "stt", "time")
-    c2, l2 = O.dyn_sumthreshold(l1, "stf", "freq")
-    c3, l3 = O.dyn_sir(l2, "sit", "time")
+    rounds, last = O.dyn_rounds("d0")
+    c3, l3 = O.dyn_sir(last, "sit", "time")
     c4, l4 = O.dyn_sir(l3, "sif", "freq")
-    base = [O.dyn_prepare(src), O.dyn_residual("d0", "d1"), O.dyn_noise("d1", "d2")]
-    return [*base, *c1, *c2, *c3, *c4, O.dyn_merge(l4, out)]
+    return [O.dyn_prepare(src), *rounds, *c3, *c4, O.dyn_merge(l4, out)]
 
 
-@register("dynamic_flag", O.with_vis(*_dyn_full_sql()) + f"SELECT {O.out_cols()} FROM dyn")
+@register("dynamic_flag", O.with_bursts(*_dyn_full_sql()) + f"SELECT {O.out_cols()} FROM dyn")
 def q_dynamic_flag(spark, sf_dir):
-    return TV.flatten(DF.dynamic_flag(_vis(spark, sf_dir)))
+    return TV.flatten(DF.dynamic_flag(TV.load_bursts(spark, sf_dir)))
 
 
 # -------------------------------------------------------- sky model, predict
@@ -1071,13 +1068,13 @@ def _pipeline_sql():
     pre = O.flag_cte("pf", "vis4", "freq BETWEEN 9.605e8 AND 9.615e8")
     dyn = _dyn_full_sql(src="pf", out="dyn")
     ac = O.applycal_sql("diagonal", src="dyn")
-    return O.with_vis(TV.solution_fixture_sql("diagonal"), pre, *dyn, *ac, O.average_sql("ac", 4, 4, "a")) \
+    return O.with_bursts(TV.solution_fixture_sql("diagonal"), pre, *dyn, *ac, O.average_sql("ac", 4, 4, "a")) \
         + f"SELECT {O.out_cols()} FROM a"
 
 
 @register("preprocess", _pipeline_sql())
 def q_preprocess(spark, sf_dir):
-    vis = _vis(spark, sf_dir)
+    vis = TV.load_bursts(spark, sf_dir)
     inputs = PP.Inputs(solutions={"diagonal": TV.solution_fixture(vis, "diagonal")}, antenna=TV.antenna_table(vis))
     return TV.flatten(PP.preprocess(vis, PIPELINE_STEPS, inputs))
 

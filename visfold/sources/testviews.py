@@ -37,6 +37,17 @@ vis AS (SELECT g.obs_id, g.slot, 17e8 + 8e0*g.slot AS time, b.ant1, b.ant2, g.ch
   FROM g JOIN bl b ON g.bl = b.bl)"""
 
 
+#: A quiet background with interference: amplitudes of 10 and noise (two digits-of-the-value numbers, about
+#: triangular) by event, and bursts of one sample, a few slots, a channel of a baseline, and a slot of all channels.
+BURSTS_SQL = """(1e1 + (value*129.898e0 - floor(value*129.898e0)) + (value*782.33e0 - floor(value*782.33e0))
+  + CASE WHEN (event_id % 40) BETWEEN 4 AND 7 AND event_id % 4 = 2 THEN 8e0 ELSE 0e0 END
+  + CASE WHEN (event_id % 40) BETWEEN 8 AND 15 AND CAST(floor(event_id/4e1) AS BIGINT) % 100 = 50 THEN 8e0 ELSE 0e0 END
+  + CASE WHEN (event_id % 40) = 17 AND CAST(floor(event_id/4e1) AS BIGINT) % 100 BETWEEN 20 AND 23 THEN 6e0 ELSE 0e0 END
+  + CASE WHEN (event_id % 40) = 23 AND CAST(floor(event_id/4e1) AS BIGINT) % 100 BETWEEN 60 AND 75 THEN 4e0 ELSE 0e0 END
+  + CASE WHEN event_id % 97 = 0 THEN 1.2e1 ELSE 0e0 END)"""
+BURSTS_CTE = VIS_CTE.replace("SELECT *, CAST(floor(event_id/4e3)", f"SELECT * REPLACE ({BURSTS_SQL} AS value), CAST(floor(event_id/4e3)", 1)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -88,6 +99,11 @@ def load_vis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_struct_vis(vis_flat_from_events(read_table(spark, sf_dir, "events")))
 
 
+def load_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``vis`` with a quiet background and interference, derived from ``events``."""
+    return to_struct_vis(vis_flat_from_events(read_table(spark, sf_dir, "events").withColumn("value", F.expr(BURSTS_SQL))))
+
+
 def flatten(vis: DataFrame, digits: int | None = 6, keep=("obs_id", "slot", "ant1", "ant2", "chan"),
             extra=("time", "freq", "u", "v", "w", "weight")) -> DataFrame:
     """Flatten ``data``/``flag`` structs to scalar columns for comparison."""
