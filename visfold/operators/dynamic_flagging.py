@@ -130,14 +130,13 @@ def sumthreshold(df: DataFrame, direction: str = "time", sensitivity: float = SE
         if m == 1:
             df = df.withColumn("fl", F.col("fl") | F.coalesce(over > F.lit(CLOSE) * chi, F.lit(False)))
             continue
-        df = df.withColumns({"_x": over, "_one": F.lit(1)})
         # sums to the window's last row less those to the row before it; only whole windows count
-        excess = F.sum("_x").over(upto(m - 1)) - F.coalesce(F.sum("_x").over(upto(-1)), F.lit(0.0))
-        whole = F.sum("_one").over(upto(m - 1)) - F.coalesce(F.sum("_one").over(upto(-1)), F.lit(0)) == m
+        excess = F.sum(over).over(upto(m - 1)) - F.coalesce(F.sum(over).over(upto(-1)), F.lit(0.0))
+        whole = F.lead(F.lit(1), m - 1).over(series).isNotNull()
         df = df.withColumn("_hit", F.coalesce(whole & (excess > F.lit(CLOSE) * chi), F.lit(False)).cast("int"))
         marks = F.sum("_hit").over(upto(0)) - F.coalesce(F.sum("_hit").over(upto(-m)), F.lit(0))
         df = df.withColumn("fl", F.col("fl") | (marks > 0))
-    return df.drop("_x", "_one", "_hit")
+    return df.drop("_hit")
 
 
 def sir(df: DataFrame, direction: str = "time", eta: float = 0.2) -> DataFrame:
