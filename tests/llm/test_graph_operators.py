@@ -180,13 +180,40 @@ def test_one_per_group(docs, empty):
     assert kept.columns == docs.columns
     sketch = [(d, brute_fingerprint(t or "")) for d, t, *_ in ODD]
     component = brute_components(sketch)
-    want = sorted({d for d, f in sketch if d is not None and component[f] == d})
     rows = kept.collect()
-    assert sorted(r["doc_id"] for r in rows if r["doc_id"] is not None) == want
-    assert sum(r["doc_id"] is None for r in rows) == 2
+    # one row of every component, with the smallest doc_id in it
+    label = {f: min(g for g in component if PS_linked(sketch, f, g)) for f in component}
+    of_row = [label[brute_fingerprint(r["text"] or "")] for r in rows]
+    assert sorted(of_row) == sorted(set(label.values()))
+    for r, c in zip(rows, of_row):
+        ids = [d for d, f in sketch if label[f] == c and d is not None]
+        assert r["doc_id"] == min(ids, default=None)
     assert PS.one_per_group(empty).count() == 0
 
 
+def PS_linked(sketch, f, g):
+    """Are two fingerprints in one class?"""
+    c = Classes()
+    fps = sorted({x for _, x in sketch})
+    for i, a in enumerate(fps):
+        c.root(a)
+        for b in fps[:i]:
+            if (a ^ b).bit_count() <= 3:
+                c.link(a, b)
+    return c.root(f) == c.root(g)
+
+
+def test_one_per_group_loses_no_text(spark):
+    """Ids that repeat with other texts, rows without an id, and copies of either."""
+    from tests.llm.fixtures import DOC_SCHEMA, prose
+
+    a, b, c, d, e, f = (prose(900 + k) for k in range(6))
+    rows = [(1, a), (1, b), (2, b), (3, c), (3, d), (4, d), (None, e), (None, e), (None, f), (9, f), (1, a), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", k) for k, (i, t) in enumerate(rows)], DOC_SCHEMA).repartition(4)
+    kept = [(r["doc_id"], r["text"] or "") for r in PS.one_per_group(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(1, a), (1, b), (3, c), (3, d), (None, e), (9, f), (None, "")], key=str)
+
+
 # --------------------------------------------------------------------------- urls
 
 PAGES = [

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import checkpointed, map_texts
+from .common import checkpointed, fresh_name, map_texts
 from .components import connected_components
 
 SHINGLE_WORDS, MAX_DISTANCE, SEED = 3, 3, 42
@@ -240,6 +240,14 @@ def fingerprint_links(fps: DataFrame, distance: int = MAX_DISTANCE, group: int =
         rows = rest.mapInArrow(partial(_finer_keys, distance=distance), _ROWS)
 
 
+def _members(sketch: DataFrame, distance: int) -> DataFrame:
+    """fp, component (one of its fingerprints) of every distinct fingerprint."""
+    fps = sketch.select(F.col("fingerprint").alias("fp")).distinct()
+    labels = connected_components(fingerprint_links(fps, distance))
+    found = fps.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
+    return found.select("fp", F.coalesce("component", "fp").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
     """doc_id, fingerprint (signed 64-bit), component_id (smallest doc_id reachable) per document.
 
@@ -249,21 +257,35 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, dis
     """
     sketch = checkpointed(map_texts(docs, partial(_make, words_per_shingle), "fingerprint bigint"))
     fps = sketch.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("first_id"))
-    labels = connected_components(fingerprint_links(fps, distance))
-    members = fps.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
-    members = members.withColumn("component", F.coalesce("component", "fp"))
+    members = fps.join(_members(sketch, distance), "fp")
     ids = members.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_fp = members.join(ids, "component").select(F.col("fp").alias("fingerprint"), "component_id")
     return sketch.join(by_fp, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def _make_named(words_per_shingle: int):
+    sketch = _make(words_per_shingle)
+
+    def rows(texts: list[str | None]):
+        # as Spark's xxhash64 of the text
+        digests = np.array([SEED if t is None else xxhash.xxh64_intdigest(t, SEED) for t in texts], np.uint64)
+        return [*sketch(texts), pa.array(digests.view(np.int64))]
+    return rows
+
+
 def one_per_group(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
-    """The document with the smallest doc_id of every group of near duplicates, with all its columns.
+    """One document of every group of near duplicates, with all its columns: that with the smallest
+    doc_id, ties to the smaller hash of the text; a row without a doc_id only where none has one.
 
-    Rows that repeat a doc_id are one document, of which one row stays. A row without a doc_id can't
-    be named as another's copy and stays.
+    Every row belongs to its own text's group, whatever other rows share its doc_id. Rows that repeat
+    both doc_id and text are one document, of which one row stays. An empty table gives no rows.
     """
-    groups = near_duplicates(docs, words_per_shingle, distance)
-    first = checkpointed(groups.filter("doc_id = component_id").select("doc_id").distinct())
-    named = docs.filter("doc_id IS NOT NULL").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).union(docs.filter("doc_id IS NULL"))
+    sketch = checkpointed(map_texts(docs, partial(_make_named, words_per_shingle), "fingerprint bigint, digest bigint"))
+    unnamed, number = F.col("doc_id").isNull(), F.coalesce(F.col("doc_id"), F.lit(0)).cast("bigint")
+    first = F.min(F.struct(unnamed.alias("unnamed"), number.alias("number"), F.col("digest").alias("digest")))
+    grouped = sketch.join(_members(sketch, distance).withColumnRenamed("fp", "fingerprint"), "fingerprint")
+    chosen = grouped.groupBy("component").agg(first.alias("first")).select("first.*").distinct()
+    names = [fresh_name(docs, n) for n in ("unnamed", "number", "digest")]
+    keyed = docs.withColumns(dict(zip(names, [unnamed, number, F.xxhash64(F.col("text").cast("string"))])))
+    kept = keyed.join(checkpointed(chosen.toDF(*names)), names, "left_semi")
+    return kept.dropDuplicates(names).select(*docs.columns)

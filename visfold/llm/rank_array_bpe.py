@@ -11,7 +11,7 @@ instead, with the same order (lowest rank first, leftmost on ties).
 
 Documents are split at white space; each distinct chunk is normalised, split
 into words and encoded once per worker, and its ids and decoded text are kept in
-a bounded table. Row-local: no shuffle.
+a bounded table; so are those of each word, which many chunks share. Row-local: no shuffle.
 """
 
 from __future__ import annotations
@@ -19,8 +19,10 @@ from __future__ import annotations
 import heapq
 import json
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache, partial
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import regex
@@ -33,7 +35,12 @@ from .common import map_texts
 LONG = 64
 #: Chunks that a worker keeps; when full, the table starts anew.
 KEPT_CHUNKS = 800_000
+#: Words that a worker keeps, as many chunks hold the same word; bytes and texts that are encoded together.
+KEPT_WORDS = 400_000
+TOGETHER = 4_000_000, 4096
 NO_RANK = np.int32(2 ** 31 - 1)
+#: A part that has merged into the one before it. (No id is so low: a letter without one is -1.)
+_GONE = -2
 #: ASCII separators that ``str.split()`` cuts at although they are no Unicode white space.
 _NOT_SPACE = "\x1c\x1d\x1e\x1f"
 
@@ -130,25 +137,24 @@ def merge_rows(parts: np.ndarray, table: PairRanks) -> tuple[np.ndarray, np.ndar
 
 
 def merge_long(parts: list[int], pairs: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """The same merges for one long word: a heap of (rank, place) over a linked list."""
+    """The same merges for one long word: a heap of (rank, place), as one number, over a list linked by arrays."""
     n = len(parts)
-    parts, before, after = list(parts), list(range(-1, n - 1)), list(range(1, n + 1))
-    heap = [(*pairs[p], i, p) for i in range(n - 1) if (p := (parts[i], parts[i + 1])) in pairs]
-    heap = [(rank, i, merged, p) for rank, merged, i, p in heap]
+    parts, before, after = array("i", parts), array("i", range(-1, n - 1)), array("i", range(1, n + 1))
+    heap = [pairs[p][0] << 32 | i for i in range(n - 1) if (p := (parts[i], parts[i + 1])) in pairs]
     heapq.heapify(heap)
     while heap:
-        _, i, merged, pair = heapq.heappop(heap)
-        j = after[i] if parts[i] is not None else n
-        if j >= n or (parts[i], parts[j]) != pair:
+        at = heapq.heappop(heap)
+        rank, i = at >> 32, at & 0xFFFFFFFF
+        j = after[i]
+        if j >= n or (found := pairs.get((parts[i], parts[j]))) is None or found[0] != rank:
             continue  # one of the two has merged since
-        parts[i], parts[j], after[i] = merged, None, after[j]
-        if after[j] < n:
-            before[after[j]] = i
+        parts[i], parts[j], after[i] = found[1], _GONE, after[j]
+        if after[i] < n:
+            before[after[i]] = i
         for a, b in ((before[i], i), (i, after[i])):
             if a >= 0 and b < n and (p := (parts[a], parts[b])) in pairs:
-                rank, m = pairs[p]
-                heapq.heappush(heap, (rank, a, m, p))
-    return [p for p in parts if p is not None]
+                heapq.heappush(heap, pairs[p][0] << 32 | a)
+    return [p for p in parts if p != _GONE]
 
 
 class WordBpe:
@@ -178,7 +184,10 @@ class WordBpe:
             if a in vocab and b in vocab and a + b in vocab:
                 self.pairs[vocab[a], vocab[b]] = (rank, vocab[a + b])
         self.table = PairRanks(self.pairs)
-        self.kept: dict[str, tuple[bytes, str]] = {}
+        self.words: dict[str, tuple[bytes, str]] = {}
+        # of each chunk: its ids, and their decoding with a space after each token
+        self.chunk_ids: dict[str, bytes] = {}
+        self.chunk_text: dict[str, str] = {}
 
     def words_of(self, chunk: str) -> list[str]:
         """The normalised words of a chunk without white space."""
@@ -204,23 +213,19 @@ class WordBpe:
                 rows = [row[:n] for row, n in zip(merged.tolist(), lengths.tolist())]
             for (word, _), row in zip(group, rows):
                 ids = [i for i in row if i >= 0]
-                out[word] = (array("I", ids).tobytes(), self.text_of(ids))
+                out[word] = (array("I", ids).tobytes(), "".join([self.tokens[i] + " " for i in ids]))
         return out
 
-    def text_of(self, ids: list[int]) -> str:
-        """The decoding of a file without a decoder: the tokens, a space between them."""
-        return " ".join([self.tokens[i] for i in ids])
-
     def learn(self, chunks: list[str]) -> None:
-        """Encode chunks that the table lacks: chunk -> (ids as bytes, decoded text)."""
+        """Encode chunks that the tables lack."""
+        if len(self.words) > KEPT_WORDS:
+            self.words.clear()
         split = {c: self.words_of(c) for c in chunks}
-        known = self.encode_words(list({w for words in split.values() for w in words}))
+        self.words.update(self.encode_words(list(set(chain.from_iterable(split.values())) - self.words.keys())))
         for chunk, words in split.items():
-            if len(words) == 1:
-                self.kept[chunk] = known[words[0]]
-            else:
-                found = [known[w] for w in words]
-                self.kept[chunk] = (b"".join(f[0] for f in found), " ".join(f[1] for f in found if f[0]))
+            found = [self.words[w] for w in words]
+            self.chunk_ids[chunk] = b"".join([f[0] for f in found])
+            self.chunk_text[chunk] = "".join([f[1] for f in found])
 
     def chunks(self, text: str) -> list[str]:
         if any(c in text for c in _NOT_SPACE):
@@ -228,25 +233,33 @@ class WordBpe:
         return text.split()
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
-        """(ids as little-endian unsigned 32-bit integers, decoded text) of each whole text."""
-        plain: list[list[list[str] | str]] = []
-        for text in texts:
-            cut = self.at_special.split(text) if self.at_special else [text]
-            plain.append([piece if i % 2 else self.chunks(piece) for i, piece in enumerate(cut)])
-        if len(self.kept) > KEPT_CHUNKS:
-            self.kept.clear()
-        new = {c for pieces in plain for piece in pieces if not isinstance(piece, str) for c in piece if c not in self.kept}
-        if new:
-            self.learn(list(new))
+        """(ids as little-endian unsigned 32-bit integers, decoded text) of each whole text. The decoding of a
+        file without a decoder: the tokens, a space between them."""
+        cut: list[list[str]] = []
+        special: dict[int, list[str]] = {}  # texts with special strings: every second piece is one
+        for n, text in enumerate(texts):
+            if any(t in text for t in self.special):
+                special[n] = self.at_special.split(text)
+                cut.append([c for piece in special[n][::2] for c in self.chunks(piece)])
+            else:
+                cut.append(self.chunks(text))
+        if len(self.chunk_ids) > KEPT_CHUNKS:
+            self.chunk_ids.clear()
+            self.chunk_text.clear()
+        self.learn(list(set(chain.from_iterable(cut)) - self.chunk_ids.keys()))
         out = []
-        for pieces in plain:
-            found = []
-            for piece in pieces:
-                if isinstance(piece, str):
-                    found.append((array("I", [self.special[piece]]).tobytes(), piece))
+        for n, chunks in enumerate(cut):
+            if n not in special:
+                out.append((b"".join(map(self.chunk_ids.__getitem__, chunks)), "".join(map(self.chunk_text.__getitem__, chunks))[:-1]))
+                continue
+            ids, text = b"", ""
+            for i, piece in enumerate(special[n]):
+                if i % 2:
+                    ids, text = ids + array("I", [self.special[piece]]).tobytes(), text + piece + " "
                 else:
-                    found += [self.kept[c] for c in piece]
-            out.append((b"".join([f[0] for f in found]), " ".join([f[1] for f in found if f[0]])))
+                    own = self.chunks(piece)
+                    ids, text = ids + b"".join(map(self.chunk_ids.__getitem__, own)), text + "".join(map(self.chunk_text.__getitem__, own))
+            out.append((ids, text[:-1]))
         return out
 
 
@@ -255,13 +268,26 @@ def word_bpe(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+def parts_of(texts: list[str | None]) -> Iterator[list[str]]:
+    """Bounded parts of a batch; a longer text is one by itself."""
+    held, size = [], 0
+    for text in texts:
+        if held and (size + len(text or "") > TOGETHER[0] or len(held) >= TOGETHER[1]):
+            yield held
+            held, size = [], 0
+        held.append(text or "")
+        size += len(text or "")
+    if held:
+        yield held
+
+
 def _make(path: str):
     bpe = word_bpe(path)
 
     def rows(texts: list[str | None]):
         n_tokens, ids_hash, text_hash = [], [], []
-        for i in range(0, len(texts), 256):  # a bounded part of a batch at a time
-            for ids, text in bpe.encode([t or "" for t in texts[i:i + 256]]):
+        for part in parts_of(texts):
+            for ids, text in bpe.encode(part):
                 n_tokens.append(len(ids) // 4)
                 ids_hash.append(sha256(ids).hexdigest())
                 text_hash.append(sha256(text.encode()).hexdigest())
