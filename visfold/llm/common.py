@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from ..session import ensure_checkpoint_dir, ship_package
+from ..session import ensure_checkpoint_dir, scratch_path, ship_package
 
 
 def doc_columns(docs: DataFrame) -> DataFrame:
@@ -72,6 +72,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a table written into the shared folder.
+
+    For rounds that join a result with itself: the planner knows a table's size from its files, whereas a
+    checkpoint keeps the plan's estimate, and products of estimates get twice as many digits every round.
+    """
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -13,13 +13,13 @@ ends of the pairs that beat their lists' last entries. A node has a bounded numb
 lists it stands in.
 
 Search: all queries go at once, each with a pool of its ``POOL`` best nodes found so far. Each round expands
-the pool's unexpanded nodes: their blocks look up their links, and the linked nodes' blocks score them. It
-ends when no pool has an unexpanded node. Queries go as float32 and are scored in double precision, so that pools
-rank distinct vectors that are nearly equal. The best ones are scored again on the vectors as given.
+those of the pool's best ``SETTLED`` that aren't yet: their blocks look up their links, and the linked nodes' blocks
+score them. It ends when no pool has one left. Queries go as float32 and are scored in double precision, so that pools
+rank distinct vectors that are nearly equal. Whole pools are scored again on the vectors as given.
 
 Everything moves between blocks by Spark's shuffles, as messages: one row holds what a block
 has for another one, as arrays. A task holds one block and the messages to it, whose size is bounded
-by the links of a block's nodes and by the queries' pools. Each step's result is checkpointed.
+by the links of a block's nodes and by the queries' pools. Each step's result is written to the shared folder.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import ship_package
-from .common import checkpointed
+from .common import stored
 
 BLOCK = 4096
 NEIGHBOURS, REVERSE = 32, 48
@@ -43,14 +43,14 @@ RANDOM = 16
 #: Better pairs that a block tells a node of in one iteration, and per common neighbour.
 TOLD, TOLD_EACH = 24, 8
 #: Iterations end when no more than this share of all list entries has changed.
-CHANGED = 0.01
+CHANGED = 0.05
 POOL = 192
+#: Only a pool's best so many nodes are expanded; the search ends when all of them are.
+SETTLED = 160
 #: Safety bounds only: building and search warn if they end there instead of by themselves.
 ITERATIONS, ROUNDS = 60, 200
 #: Largest vectors that every query starts from besides its own neighbours.
 ENTRIES = 16
-#: Nodes per query that are scored exactly.
-EXACT = 96
 _SHIFT = 16  # bits of a node's place in its block
 
 _STATE = "block bigint, node bigint, vec binary, near binary, sim binary, fresh binary, changed bigint"
@@ -163,7 +163,8 @@ def _start_block(table: pa.Table, top: float, blocks: int, smallest: int) -> pa.
     if len(x) >> _SHIFT:
         raise ValueError("a block holds too many nodes")
     near, sim = [], []
-    k = min(NEIGHBOURS - (RANDOM if blocks > 1 else 0), len(x) - 1)
+    k = min(NEIGHBOURS - RANDOM, len(x) - 1)
+    some = RANDOM if blocks > 1 or len(x) > 1 else 0
     draw = np.random.default_rng(block)
     for at in range(0, len(x), 512):
         s = exact[at:at + 512] @ exact.T - halves[at:at + 512, None] - halves
@@ -172,14 +173,16 @@ def _start_block(table: pa.Table, top: float, blocks: int, smallest: int) -> pa.
         value = np.take_along_axis(s, best, 1)
         by = np.argsort(-value, axis=1, kind="stable")
         nodes, value = np.take_along_axis(best, by, 1).astype(np.int64) + (block << _SHIFT), np.take_along_axis(value, by, 1)
-        if blocks > 1:  # no sim is known of the random ones, so anything beats them
-            far = (block + draw.integers(1, blocks, (len(s), RANDOM))) % blocks
-            nodes = np.hstack([nodes, (far << _SHIFT) + draw.integers(0, smallest, far.shape)])
+        if some:  # no sim is known of the random ones, so anything beats them
+            far = draw.integers(0 if len(x) > 1 else 1, blocks, (len(s), some))
+            here = (np.arange(at, at + len(s))[:, None] + draw.integers(1, max(2, len(x)), far.shape)) % len(x)  # not itself
+            place = np.where(far == 0, here, draw.integers(0, smallest, far.shape))
+            nodes = np.hstack([nodes, ((block + far) % blocks << _SHIFT) + place])
             value = np.hstack([value, np.full(far.shape, -np.inf)])
         near += [r.tobytes() for r in nodes]
         sim += [r.tobytes() for r in value.astype(np.float32)]
     n = len(x)
-    fresh = np.concatenate([np.zeros(k, np.int8), np.ones(RANDOM if blocks > 1 else 0, np.int8)]).tobytes()
+    fresh = np.concatenate([np.zeros(k, np.int8), np.ones(some, np.int8)]).tobytes()
     return _table(block=[block] * n, node=np.arange(n) + (block << _SHIFT), vec=[r.tobytes() for r in x], near=near, sim=sim,
                   fresh=[fresh] * n, changed=[len(r) // 8 for r in near]).append_column("id", pa.array(_longs(table, "id")[order], pa.int64()))
 
@@ -315,7 +318,7 @@ def neighbour_graph(state: DataFrame, iterations: int = ITERATIONS) -> DataFrame
         links = agreed_links(state)
         sent = state.groupBy("block").cogroup(links.groupBy("block")).applyInArrow(_send, _SENT)
         told = sent.groupBy("block").applyInArrow(_local_join, _TOLD)
-        state = checkpointed(state.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_merge, _STATE))
+        state = stored(state.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_merge, _STATE))
         changed = state.agg(F.sum("changed")).first()[0]
         if changed <= CHANGED * entries:
             break
@@ -367,9 +370,9 @@ def _ask_start(batches):
 
 
 def _ask_links(batches):
-    """The unexpanded nodes of each pool, by their blocks."""
+    """The unexpanded nodes among each pool's best ``SETTLED``, by their blocks."""
     for batch in batches:
-        rows = [(q, vec, sim[-1] if len(sim) == POOL else -np.inf, near[expanded == 0])
+        rows = [(q, vec, sim[-1] if len(sim) == POOL else -np.inf, near[:SETTLED][expanded[:SETTLED] == 0])
                 for q, vec, near, sim, expanded, _ in _pool_rows(pa.Table.from_batches([batch]))]
         yield from _asked(rows).to_batches()
 
@@ -411,13 +414,13 @@ def _score(key: tuple[pa.Scalar, ...], state: pa.Table, asked: pa.Table) -> pa.T
 
 
 def _update(key: tuple[pa.Scalar, ...], pool: pa.Table, found: pa.Table) -> pa.Table:
-    """Merge what was found into the pools; all nodes that stood there have been expanded."""
+    """Merge what was found into the pools; the best ``SETTLED`` that stood there have been expanded."""
     extra: dict[int, list] = {}
     for q, near, sim in zip(*(found.column(n).to_pylist() for n in ("query", "near", "sim"))):
         extra.setdefault(q, []).append((np.frombuffer(near, np.int64), np.frombuffer(sim, np.float64)))
     out = []
     for q, vec, near, sim, expanded, start in _pool_rows(pool):
-        known = set(near.tolist())
+        known = set(near[:SETTLED].tolist()) | set(near[expanded > 0].tolist())
         new_near = np.concatenate([near, *(n for n, _ in extra.get(q, []))])
         new_sim = np.concatenate([sim, *(s for _, s in extra.get(q, []))])
         _, n, s = _best(np.zeros(len(new_near), np.int64), new_near, new_sim, POOL)
@@ -444,9 +447,9 @@ def _open_pools(batches, entries: np.ndarray):
 def greedy_search(state: DataFrame, queries: DataFrame, entries: list[int], rounds: int = ROUNDS) -> DataFrame:
     """Pools (rows of ``_POOL``) of the nodes in ``queries`` (column node)."""
     own = state.select("node", "near").mapInArrow(_own_lists, _LINKS)
-    adjacency = checkpointed(own.union(agreed_links(state)))
+    adjacency = stored(own.union(agreed_links(state)))
     chosen = state.join(queries.select("node").distinct(), "node", "left_semi").select("node", "vec", "near")
-    pool = checkpointed(chosen.mapInArrow(partial(_open_pools, entries=np.array(entries, np.int64)), _POOL))
+    pool = stored(chosen.mapInArrow(partial(_open_pools, entries=np.array(entries, np.int64)), _POOL))
     vectors = state.select("block", "vec", "node")
     for turn in range(rounds + 1):
         if turn == 0:
@@ -454,8 +457,8 @@ def greedy_search(state: DataFrame, queries: DataFrame, entries: list[int], roun
         else:
             asked = adjacency.groupBy("block").cogroup(pool.mapInArrow(_ask_links, _ASKED).groupBy("block")).applyInArrow(_expand, _ASKED)
         found = vectors.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(_score, _FOUND)
-        pool = checkpointed(pool.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_update, _POOL))
-        if pool.filter(F.expr("position(X'00', expanded) > 0")).isEmpty():
+        pool = stored(pool.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_update, _POOL))
+        if pool.filter(F.expr(f"position(X'00', substring(expanded, 1, {SETTLED})) > 0")).isEmpty():
             break
     else:
         warnings.warn(f"pools hold unexpanded nodes after {rounds} rounds of search", RuntimeWarning)
@@ -463,9 +466,9 @@ def greedy_search(state: DataFrame, queries: DataFrame, entries: list[int], roun
 
 
 def _exact_asked(batches):
-    """(query, candidate) of the best ``EXACT`` nodes of each pool."""
+    """(query, candidate) of each pool."""
     for batch in batches:
-        rows = [(q, near[:EXACT]) for q, _, near, _, _, _ in _pool_rows(pa.Table.from_batches([batch]))]
+        rows = [(q, near) for q, _, near, _, _, _ in _pool_rows(pa.Table.from_batches([batch]))]
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array([r[0] for r in rows], np.int64), [len(r[1]) for r in rows])),
                                           pa.array(np.concatenate([r[1] for r in rows]) if rows else np.zeros(0, np.int64))],
                                          names=["query", "candidate"])
@@ -487,7 +490,7 @@ def inner_product(a: Column, b: Column) -> Column:
 
 
 def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id",
-                       embedding: str = "embedding", iterations: int = ITERATIONS) -> DataFrame:
+                       embedding: str = "embedding", iterations: int = ITERATIONS, block_size: int | None = None) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` nearest found of every row where ``is_query`` holds
     (a condition on column ``id``), without itself; ties to the smaller vec_id.
 
@@ -496,23 +499,24 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, vec_id
     without others to find gives no rows; other columns are not read. Repeated ids count as one row each.
     """
     ship_package(vectors.sparkSession)
+    block_size = block_size or BLOCK
     schema = "query_id bigint, rank int, vec_id bigint, score double"
-    rows = checkpointed(usable_vectors(vectors, vec_id, embedding))
+    rows = stored(usable_vectors(vectors, vec_id, embedding))
     nodes = rows.groupBy("embedding").agg(F.min("id").alias("id"))
     size = nodes.agg(F.count(F.lit(1)).alias("n"), F.max(F.sqrt(inner_product(F.col("embedding"), F.col("embedding")))).alias("top")).first()
     if not size["n"]:
         return vectors.sparkSession.createDataFrame([], schema)
-    blocks = -(-size["n"] // BLOCK)
+    blocks = -(-size["n"] // block_size)
     dealt = nodes.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
     smallest = dealt.groupBy("block").count().agg(F.min("count")).first()[0]
-    started = checkpointed(dealt.groupBy("block").applyInArrow(_starter(size["top"], blocks, smallest), f"{_STATE}, id bigint"))
+    started = stored(dealt.groupBy("block").applyInArrow(_starter(size["top"], blocks, smallest), f"{_STATE}, id bigint"))
     numbers = started.select("id", "node")
-    state = neighbour_graph(started.drop("id"), iterations) if blocks > 1 else started.drop("id")
+    state = neighbour_graph(started.drop("id"), iterations)
     exact = nodes.join(numbers, "id").select("node", "embedding")
     # members: which rows share a node; of each node the smallest ids are all that can ever be returned
     members = rows.join(nodes.withColumnRenamed("id", "first"), "embedding").select("first", "id").join(
         numbers.withColumnRenamed("id", "first"), "first").select("node", "id")
-    queries = checkpointed(members.filter(is_query))
+    queries = stored(members.filter(is_query))
     longest = exact.orderBy(F.desc(inner_product(F.col("embedding"), F.col("embedding"))), "node").limit(ENTRIES)
     pool = greedy_search(state, queries, [r["node"] for r in longest.select("node").collect()])
     pairs = pool.mapInArrow(_exact_asked, "query bigint, candidate bigint")
