@@ -184,7 +184,7 @@ def test_solver_recovers_gains_on_synthetic_problem():
                     r[f"m{d}_re"], r[f"m{d}_im"] = m[d].real, m[d].imag
                 rows.append(r)
     pdf = pd.DataFrame(rows)
-    out = DX.solve_group(pdf, D, max_iter=500)
+    out = DX.solve_group(pdf, D)
     g = np.zeros((na, D), complex)
     for r in out.itertuples():
         g[r.ant, r.patch_idx] = r.g_re + 1j * r.g_im

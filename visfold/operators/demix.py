@@ -5,8 +5,8 @@ Plan:
 2. data and models are averaged together by (timestep, freqstep) with the
    averaging aggregation (one shuffle, partial aggregation first);
 3. gains per (obs, solution interval, patch, antenna) are solved by a grouped
-   map (``applyInPandas``) over solution intervals: each group holds at most
-   baselines x averaged bins of one interval, independent of the data size;
+   map (``applyInPandas``, Levenberg-Marquardt in ``gain_solver``) over solution intervals: each group holds
+   at most baselines x averaged bins of one interval, independent of the data size;
    the solved gains are checkpointed (small, reused twice);
 4. the chosen patches are subtracted at full resolution after two joins
    (ant1, ant2) with the gain table, broadcast behind a size check.
@@ -14,10 +14,11 @@ Plan:
 ``fit_direction_scalar`` is the native alternative: one complex factor per
 (obs, interval, patch), sum(conj(m) v w) / sum(|m|^2 w), no Python.
 
-Decisions: all patches are fitted, only the chosen ones subtracted; flagged
-samples and auto-correlations are left out of the fit; a group without
+Decisions: all patches are fitted, only the chosen ones subtracted; flagged and non-finite
+samples and auto-correlations are left out of the fit, and non-finite ones are flagged; a group without
 enough samples gets null gains and its data is flagged, not subtracted.
-Gains are scalar per antenna and direction (both XX and YY constrain them).
+Gains per antenna and direction are ``scalar`` (both XX and YY constrain them), ``diagonal`` (XX and YY
+apart) or ``jones`` (2x2, from all four polarisations).
 """
 
 from __future__ import annotations
@@ -32,10 +33,14 @@ from ..functions import cplx as C
 from ..session import ship_package
 from ..plans.joins import per_observation
 from .averaging import with_relative_slot
+from .gain_solver import fit_gains
 from .predict import patch_models
 
 POLS = C.POLS
 DIAG = ("xx", "yy")
+#: Kinds of gains: the polarisations that constrain them, and those that have a gain of their own.
+GAINS = {"scalar": (DIAG, ()), "diagonal": (DIAG, DIAG), "jones": (POLS, POLS)}
+
 
 def _bins(v: DataFrame, timestep: int, freqstep: int, solint_t: int, solint_f: int) -> DataFrame:
     v = with_relative_slot(v)
@@ -46,17 +51,20 @@ def _bins(v: DataFrame, timestep: int, freqstep: int, solint_t: int, solint_f: i
 
 
 def demix_average(vis: DataFrame, n_patches: int, timestep: int = 1, freqstep: int = 1,
-                  solint_t: int = 4, solint_f: int = 4) -> DataFrame:
-    """Average data (XX, YY) and every patch model over (timestep, freqstep) bins,
-    weighting unflagged, cross-correlation samples only. One row per bin with
+                  solint_t: int = 4, solint_f: int = 4, pols=DIAG) -> DataFrame:
+    """Average data (XX, YY unless told otherwise) and every patch model over (timestep, freqstep) bins,
+    weighting unflagged, finite cross-correlation samples only. One row per bin with
     sum of weights ``w`` (bins without usable samples are dropped)."""
     v = _bins(vis, timestep, freqstep, solint_t, solint_f)
     use = (F.col("ant1") != F.col("ant2"))
-    for p in DIAG:
-        use = use & ~F.col("flag").getField(p)
-    wv = F.when(use, F.col("weight")).otherwise(F.lit(0.0))
+    for p in pols:
+        use = use & ~F.col("flag").getField(p) & C.c_is_finite(F.col("data").getField(p))
+    for k in range(n_patches):
+        use = use & C.c_is_finite(F.col(f"model_{k}"))
+    v = v.filter(use & (F.col("weight") > 0) & (F.col("weight") < float("inf")))
+    wv = F.col("weight")
     aggs = [F.sum(wv).alias("w")]
-    for p in DIAG:
+    for p in pols:
         d = F.col("data").getField(p)
         aggs += [F.sum(wv * d.getField("re")).alias(f"v{p}_re"), F.sum(wv * d.getField("im")).alias(f"v{p}_im")]
     for k in range(n_patches):
@@ -65,7 +73,7 @@ def demix_average(vis: DataFrame, n_patches: int, timestep: int = 1, freqstep: i
     keys = ["obs_id", "tsol", "fsol", "tbin", "fbin", "ant1", "ant2"]
     a = v.groupBy(*keys).agg(*aggs).filter(F.col("w") > 0)
     cols = [*keys, "w"]
-    for name in [f"v{p}" for p in DIAG] + [f"m{k}" for k in range(n_patches)]:
+    for name in [f"v{p}" for p in pols] + [f"m{k}" for k in range(n_patches)]:
         cols += [F.try_divide(F.col(f"{name}_re"), F.col("w")).alias(f"{name}_re"),
                  F.try_divide(F.col(f"{name}_im"), F.col("w")).alias(f"{name}_im")]
     return a.select(*cols)
@@ -96,92 +104,50 @@ def fit_direction_scalar(avg: DataFrame, n_patches: int) -> DataFrame:
 
 # ------------------------------------------------------------ grouped solver
 
-GAIN_SCHEMA = "obs_id long, tsol long, fsol int, patch_idx int, ant int, g_re double, g_im double, iterations int, converged boolean"
-
-
-def _per_antenna(ant: np.ndarray, vals: np.ndarray, na: int) -> np.ndarray:
-    """Sum complex ``vals`` per antenna index (bincount is far cheaper than ufunc.at)."""
-    return (np.bincount(ant, weights=vals.real, minlength=na)
-            + 1j * np.bincount(ant, weights=vals.imag, minlength=na))
-
-
-def _settled(V, M, W, P, Q, before, after, tol: float = 1e-6) -> bool:
-    """Has the weighted misfit stopped to fall between two iterations?"""
-    def misfit(g):
-        return float((W * np.abs(V - (g[P] * M * np.conj(g[Q])).sum(axis=1)) ** 2).sum())
-    total = float((W * np.abs(V) ** 2).sum())
-    return abs(misfit(before) - misfit(after)) <= tol * max(total, 1e-300)
+GAIN_SCHEMA = "obs_id long, tsol long, fsol int, patch_idx int, ant int, pol string, g_re double, g_im double, iterations int, converged boolean"
 
 
-def solve_group(pdf: pd.DataFrame, n_patches: int, max_iter: int = 300, tol: float = 1e-10) -> pd.DataFrame:
-    """Least squares for V_pq = sum_d g_p,d M_pq,d conj(g_q,d) on one solution interval.
+def solve_group(pdf: pd.DataFrame, n_patches: int, max_iter: int = 100, gain: str = "scalar") -> pd.DataFrame:
+    """Least squares for V_pq = sum_d G_p,d M_pq,d G_q,d^H on one solution interval; rows of ``GAIN_SCHEMA``.
 
-    Each iteration solves, for every antenna p and all directions at once,
-    the D x D normal equations of its samples (both baseline orientations)
-    with the other antennas' gains from the previous iteration; new and old
-    gains are averaged on every second iteration (damped fixed point, as in
-    StEFCal). Non-finite or unconstrained results give null gains.
+    ``pol`` names a gain's own polarisation, and is null for scalar gains. An interval with fewer samples than
+    gains has null gains.
     """
     keys = pdf.iloc[0]
     ants = np.union1d(pdf["ant1"].to_numpy(), pdf["ant2"].to_numpy())
     p = np.searchsorted(ants, pdf["ant1"].to_numpy())
     q = np.searchsorted(ants, pdf["ant2"].to_numpy())
     w = pdf["w"].to_numpy(dtype=float)
-    vs = [pdf[f"v{x}_re"].to_numpy() + 1j * pdf[f"v{x}_im"].to_numpy() for x in DIAG]
-    ms = np.stack([pdf[f"m{k}_re"].to_numpy() + 1j * pdf[f"m{k}_im"].to_numpy() for k in range(n_patches)], axis=1)
-    # both polarisations are independent samples of the same scalar model
-    P, Q, W = np.concatenate([p, p]), np.concatenate([q, q]), np.concatenate([w, w])
-    V = np.concatenate(vs)
-    M = np.concatenate([ms, ms])                       # (samples, directions)
-    na, D = len(ants), n_patches
-    ant = np.concatenate([P, Q])                       # antenna solved for, per equation row
-    y = np.concatenate([V, np.conj(V)])
-    wt = np.concatenate([W, W])
-    g = np.ones((na, D), dtype=complex)
-    enough = len(V) >= na * D
-    it, converged = 0, False
-    eye = np.eye(D) * 1e-12
-    while enough and it < max_iter:
-        it += 1
-        old = g
-        z = np.concatenate([M * np.conj(g[Q]), np.conj(M) * np.conj(g[P])])   # row ~ g_ant . z
-        wzc = wt[:, None] * np.conj(z)
-        A = np.empty((na, D, D), dtype=complex)
-        b = np.empty((na, D), dtype=complex)
-        for i in range(D):
-            b[:, i] = _per_antenna(ant, wzc[:, i] * y, na)
-            for j in range(D):
-                A[:, i, j] = _per_antenna(ant, wzc[:, i] * z[:, j], na)
-        scale = np.maximum(np.abs(np.einsum("aii->a", A)).real, 1e-300)[:, None, None]
-        g = np.linalg.solve(A + eye * scale, b[:, :, None])[:, :, 0]
-        if it % 2 == 0:
-            g = 0.5 * (g + old)
-        if not np.all(np.isfinite(g)):
-            enough = False
-            break
-        if np.max(np.abs(g - old)) <= tol * max(1.0, float(np.max(np.abs(g)))):
-            converged = True
-            break
-    if enough and not converged:
-        # directions that the samples hardly tell apart leave gains that drift along the valley of
-        # equal fits: what counts is that the model fits the data as well as it can
-        converged = _settled(V, M, W, P, Q, old, g)
+    used, own = GAINS[gain]
+    v = {x: pdf[f"v{x}_re"].to_numpy() + 1j * pdf[f"v{x}_im"].to_numpy() for x in used}
+    m = np.stack([pdf[f"m{k}_re"].to_numpy() + 1j * pdf[f"m{k}_im"].to_numpy() for k in range(n_patches)], axis=1)
+    if gain == "scalar":  # both polarisations are independent samples of the same model
+        fits = [((None,), np.concatenate([v[x] for x in used])[:, None, None], np.concatenate([m, m]), *(np.concatenate([x, x]) for x in (p, q, w)))]
+    elif gain == "diagonal":
+        fits = [((x,), v[x][:, None, None], m, p, q, w) for x in used]
+    else:
+        fits = [(POLS, np.stack([v[x] for x in POLS], axis=1).reshape(-1, 2, 2), m, p, q, w)]
     rows = []
-    for i, a in enumerate(ants):
-        for d in range(D):
-            gv = g[i, d]
-            rows.append((int(keys["obs_id"]), int(keys["tsol"]), int(keys["fsol"]), d, int(a),
-                         float(gv.real) if enough else None, float(gv.imag) if enough else None, it, bool(enough and converged)))
-    return pd.DataFrame(rows, columns=["obs_id", "tsol", "fsol", "patch_idx", "ant", "g_re", "g_im", "iterations", "converged"])
-
-
-def fit_direction_gains(avg: DataFrame, n_patches: int, max_iter: int = 300, tol: float = 1e-10) -> DataFrame:
-    """Grouped map over (obs_id, tsol, fsol): gains per patch and antenna."""
-    cols = ["obs_id", "tsol", "fsol", "ant1", "ant2", "w"] + [f"v{p}_{x}" for p in DIAG for x in ("re", "im")] \
+    for pols, V, *given in fits:
+        enough = len(V) >= len(ants) * n_patches
+        G, turns, settled = fit_gains(V, *given, len(ants), max_iter) if enough else (None, 0, False)
+        for i, ant in enumerate(ants):
+            for d in range(n_patches):
+                for c, pol in enumerate(pols):
+                    g = G[i, d].ravel()[c] if enough else None
+                    rows.append((int(keys["obs_id"]), int(keys["tsol"]), int(keys["fsol"]), d, int(ant), pol,
+                                 None if g is None else float(g.real), None if g is None else float(g.imag), turns, settled))
+    return pd.DataFrame(rows, columns=[c.split()[0] for c in GAIN_SCHEMA.split(", ")])
+
+
+def fit_direction_gains(avg: DataFrame, n_patches: int, max_iter: int = 100, gain: str = "scalar") -> DataFrame:
+    """Grouped map over (obs_id, tsol, fsol): gains per patch and antenna (and polarisation). ``avg`` holds the
+    polarisations that the kind of gain needs (``GAINS``)."""
+    cols = ["obs_id", "tsol", "fsol", "ant1", "ant2", "w"] + [f"v{p}_{x}" for p in GAINS[gain][0] for x in ("re", "im")] \
         + [f"m{k}_{x}" for k in range(n_patches) for x in ("re", "im")]
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        return solve_group(pdf, n_patches, max_iter, tol)
+        return solve_group(pdf, n_patches, max_iter, gain)
     # The averaged input is small in bytes but costly to solve: an explicit
     # repartition on the group key keeps AQE from coalescing every interval into
     # one task (the group-by reuses this partitioning, no extra exchange).
@@ -195,49 +161,66 @@ def fit_direction_gains(avg: DataFrame, n_patches: int, max_iter: int = 300, tol
 
 
 def subtract_sources(vis_models: DataFrame, gains: DataFrame, subtract_idx, solint_t: int, solint_f: int,
-                     timestep: int, freqstep: int, scalar: bool = False) -> DataFrame:
-    """V - sum_d g_p,d M_d conj(g_q,d) over the chosen patches (XX, YY; models are unpolarised).
+                     timestep: int, freqstep: int, scalar: bool = False, gain: str = "scalar") -> DataFrame:
+    """V - sum_d G_p,d M_d G_q,d^H over the chosen patches (models are unpolarised; all four polarisations
+    change with ``gain='jones'``, else XX and YY).
 
     ``scalar``: gains have no antenna (one factor per patch), V - sum_d g_d M_d.
-    A sample whose interval has no gain for a chosen patch is flagged, not changed.
+    A sample whose interval has no gain for a chosen patch is flagged, not changed; so is a non-finite one.
     """
     v = _bins(vis_models, timestep, freqstep, solint_t, solint_f)
     wide_keys = ["obs_id", "tsol", "fsol"] + ([] if scalar else ["ant"])
+    own = GAINS[gain][1]
+
+    def value(k: int, pol: str | None) -> Column:
+        here = F.col("patch_idx") == k
+        here = here if pol is None else here & (F.col("pol") == pol)
+        return F.first(F.when(here, C.cpx(F.col("g_re"), F.col("g_im"))), ignorenulls=True)
     piv = gains.groupBy(*wide_keys).agg(*[
-        F.first(F.when(F.col("patch_idx") == k, C.cpx(F.col("g_re"), F.col("g_im"))), ignorenulls=True).alias(f"g{k}")
-        for k in subtract_idx])
+        value(k, None).alias(f"g{k}") if not own else F.struct(*[value(k, p).alias(p) for p in own]).alias(f"g{k}") for k in subtract_idx])
     piv = per_observation(piv)
+    ok = F.lit(True)
+    changed = POLS if gain == "jones" else DIAG
+    total = {p: C.c_zero() for p in changed}
     if scalar:
         v = v.join(piv, ["obs_id", "tsol", "fsol"], "left")
-        terms = [C.c_mul(F.col(f"g{k}"), F.col(f"model_{k}")) for k in subtract_idx]
-        ok = F.lit(True)
-        for k in subtract_idx:
-            ok = ok & C.c_is_finite(F.col(f"g{k}"))
     else:
         a = piv.select("obs_id", "tsol", "fsol", F.col("ant").alias("ant1"), *[F.col(f"g{k}").alias(f"a{k}") for k in subtract_idx])
         b = piv.select("obs_id", "tsol", "fsol", F.col("ant").alias("ant2"), *[F.col(f"g{k}").alias(f"b{k}") for k in subtract_idx])
         v = v.join(a, ["obs_id", "tsol", "fsol", "ant1"], "left").join(b, ["obs_id", "tsol", "fsol", "ant2"], "left")
-        terms = [C.c_mul(C.c_mul(F.col(f"a{k}"), F.col(f"model_{k}")), C.c_conj(F.col(f"b{k}"))) for k in subtract_idx]
-        ok = F.lit(True)
-        for k in subtract_idx:
-            ok = ok & C.c_is_finite(F.col(f"a{k}")) & C.c_is_finite(F.col(f"b{k}"))
-    total = C.c_zero()
-    for t in terms:
-        total = C.c_add(total, t)
-    v = v.withColumn("_sub", total).withColumn("_ok", F.coalesce(ok, F.lit(False)))
+    for k in subtract_idx:
+        m = F.col(f"model_{k}")
+        for side in ("g",) if scalar else ("a", "b"):
+            g = F.col(f"{side}{k}")
+            for one in ([g.getField(p) for p in own] if own else [g]):
+                ok = ok & C.c_is_finite(one)
+        for p in changed:
+            if scalar:
+                term = C.c_mul(F.col(f"g{k}"), m)
+            elif gain == "jones":
+                row, col = divmod(POLS.index(p), 2)
+                parts = [C.c_mul(F.col(f"a{k}").getField(POLS[2 * row + i]), C.c_conj(F.col(f"b{k}").getField(POLS[2 * col + i]))) for i in (0, 1)]
+                term = C.c_mul(C.c_add(*parts), m)
+            else:
+                ga, gb = (F.col(f"{side}{k}").getField(p) if own else F.col(f"{side}{k}") for side in ("a", "b"))
+                term = C.c_mul(C.c_mul(ga, m), C.c_conj(gb))
+            total[p] = C.c_add(total[p], term)
+    if not own:  # one sum for both polarisations
+        v, total = v.withColumn("_sub", total["xx"]), {p: F.col("_sub") for p in changed}
+    v = v.withColumn("_ok", F.coalesce(ok, F.lit(False)))
     data = F.struct(*[
-        (F.when(F.col("_ok"), C.c_sub(F.col("data").getField(p), F.col("_sub"))).otherwise(F.col("data").getField(p))
-         if p in DIAG else F.col("data").getField(p)).alias(p) for p in POLS])
-    flag = F.struct(*[(F.col("flag").getField(p) | ~F.col("_ok")).alias(p) for p in POLS])
-    return v.withColumn("data", data).withColumn("flag", flag)
+        (F.when(F.col("_ok"), C.c_sub(F.col("data").getField(p), total[p])).otherwise(F.col("data").getField(p))
+         if p in changed else F.col("data").getField(p)).alias(p) for p in POLS])
+    flag = F.struct(*[(F.col("flag").getField(p) | ~F.col("_ok") | ~C.c_is_finite(F.col("data").getField(p))).alias(p) for p in POLS])
+    return v.withColumns({"data": data, "flag": flag})
 
 
 def demix(vis: DataFrame, components: DataFrame, subtract=None, timestep: int = 1, freqstep: int = 1,
-          solint_t: int = 4, solint_f: int = 4, obs_meta: DataFrame | None = None, method: str = "als",
-          gains_path: str | None = None):
+          solint_t: int = 4, solint_f: int = 4, obs_meta: DataFrame | None = None, method: str = "lm",
+          gains_path: str | None = None, gain: str = "scalar"):
     """Demixer step. Returns (demixed vis, gains). ``subtract``: patch names (default all).
 
-    ``method='als'``: grouped-map station solver; ``'scalar'``: native per-patch factor.
+    ``method='lm'``: station solver, with gains of the kind ``gain``; ``'scalar'``: native per-patch factor.
     With ``gains_path`` the gains are written there, partitioned by ``obs_id``.
     """
     vm, patches = patch_models(vis, components, obs_meta)
@@ -246,17 +229,20 @@ def demix(vis: DataFrame, components: DataFrame, subtract=None, timestep: int =
     if unknown:
         raise ValueError(f"unknown patches to subtract: {unknown}")
     idx = [patches.index(p) for p in subtract]
-    avg = demix_average(vm, len(patches), timestep, freqstep, solint_t, solint_f)
-    if method == "als":
-        gains = fit_direction_gains(avg, len(patches))
+    if gain not in GAINS:
+        raise ValueError(f"gain must be one of {sorted(GAINS)}, got {gain!r}")
+    avg = demix_average(vm, len(patches), timestep, freqstep, solint_t, solint_f, GAINS[gain][0])
+    if method == "lm":
+        gains = fit_direction_gains(avg, len(patches), gain=gain)
     elif method == "scalar":
         gains = fit_direction_scalar(avg, len(patches))
     else:
-        raise ValueError(f"method must be 'als' or 'scalar', got {method!r}")
+        raise ValueError(f"method must be 'lm' or 'scalar', got {method!r}")
     gains = gains.checkpoint()  # small, reused by the size check, the join and the sink
     if gains_path is not None:
         write_demix_gains(gains, patches, gains_path)
-    out = subtract_sources(vm, gains, idx, solint_t, solint_f, timestep, freqstep, scalar=(method == "scalar"))
+    out = subtract_sources(vm, gains, idx, solint_t, solint_f, timestep, freqstep, scalar=(method == "scalar"),
+                           gain=gain if method == "lm" else "scalar")
     named = gains.withColumn("patch", F.element_at(F.array(*[F.lit(p) for p in patches]), F.col("patch_idx") + 1))
     return out.select(vis.columns), named
 

@@ -99,7 +99,7 @@ def _demixer(vis, p, inp):
     out, gains = DX.demix(vis.checkpoint(), _named(inp.sky_models, p["skymodel"], "sky model"), subtract=p.get("subtractsources"),
                           timestep=p.get("demixtimestep", 1), freqstep=p.get("demixfreqstep", 1),
                           solint_t=p.get("solint_t", 4), solint_f=p.get("solint_f", 4), obs_meta=inp.obs_meta,
-                          method=p.get("method", "als"), gains_path=f"{folder.rstrip('/')}/{p.get('instrumentmodel', DEFAULT_GAINS)}")
+                          method=p.get("method", "lm"), gain=p.get("gain", "scalar"), gains_path=f"{folder.rstrip('/')}/{p.get('instrumentmodel', DEFAULT_GAINS)}")
     inp.gains["demixer"] = gains
     return out
 
@@ -127,7 +127,7 @@ PARAMETERS: dict[str, dict[str, Any]] = {
     "applycal": {"parmdb": _TABLE, "interpolation": str, "direction": str},
     "averager": {"timestep": "step", "freqstep": "step"},
     "predict": {"sourcedb": _TABLE},
-    "demixer": {"skymodel": _TABLE, "subtractsources": (list, tuple), "demixtimestep": "step", "demixfreqstep": "step",
+    "demixer": {"gain": str, "skymodel": _TABLE, "subtractsources": (list, tuple), "demixtimestep": "step", "demixfreqstep": "step",
                 "solint_t": "step", "solint_f": "step", "method": str, "instrumentmodel": str},
 }
 REQUIRED = {"applycal": ("parmdb",), "predict": ("sourcedb",), "demixer": ("skymodel",)}
