@@ -50,6 +50,11 @@ def _bins(v: DataFrame, timestep: int, freqstep: int, solint_t: int, solint_f: i
     return v.withColumn("fsol", F.floor(F.col("fbin") / F.lit(float(solint_f))).cast("int"))
 
 
+def _finite(z: Column) -> Column:
+    """Are both parts finite? Names each part once, as they may be long expressions."""
+    return F.coalesce(z.getField("re") * 0.0 + z.getField("im") * 0.0 == 0.0, F.lit(False))
+
+
 def demix_average(vis: DataFrame, n_patches: int, timestep: int = 1, freqstep: int = 1,
                   solint_t: int = 4, solint_f: int = 4, pols=DIAG) -> DataFrame:
     """Average data (XX, YY unless told otherwise) and every patch model over (timestep, freqstep) bins,
@@ -58,18 +63,18 @@ def demix_average(vis: DataFrame, n_patches: int, timestep: int = 1, freqstep: i
     v = _bins(vis, timestep, freqstep, solint_t, solint_f)
     use = (F.col("ant1") != F.col("ant2"))
     for p in pols:
-        use = use & ~F.col("flag").getField(p) & C.c_is_finite(F.col("data").getField(p))
-    for k in range(n_patches):
-        use = use & C.c_is_finite(F.col(f"model_{k}"))
-    v = v.filter(use & (F.col("weight") > 0) & (F.col("weight") < float("inf")))
-    wv = F.col("weight")
-    aggs = [F.sum(wv).alias("w")]
+        use = use & ~F.col("flag").getField(p) & _finite(F.col("data").getField(p))
+    use = use & (F.col("weight") > 0) & (F.col("weight") < float("inf"))
+    aggs = [F.sum(F.when(use, F.col("weight"))).alias("w")]
+
+    def weighted(x: Column) -> Column:
+        return F.sum(F.when(use, F.col("weight") * x))
     for p in pols:
         d = F.col("data").getField(p)
-        aggs += [F.sum(wv * d.getField("re")).alias(f"v{p}_re"), F.sum(wv * d.getField("im")).alias(f"v{p}_im")]
+        aggs += [weighted(d.getField("re")).alias(f"v{p}_re"), weighted(d.getField("im")).alias(f"v{p}_im")]
     for k in range(n_patches):
         m = F.col(f"model_{k}")
-        aggs += [F.sum(wv * m.getField("re")).alias(f"m{k}_re"), F.sum(wv * m.getField("im")).alias(f"m{k}_im")]
+        aggs += [weighted(m.getField("re")).alias(f"m{k}_re"), weighted(m.getField("im")).alias(f"m{k}_im")]
     keys = ["obs_id", "tsol", "fsol", "tbin", "fbin", "ant1", "ant2"]
     a = v.groupBy(*keys).agg(*aggs).filter(F.col("w") > 0)
     cols = [*keys, "w"]
@@ -211,7 +216,7 @@ def subtract_sources(vis_models: DataFrame, gains: DataFrame, subtract_idx, soli
     data = F.struct(*[
         (F.when(F.col("_ok"), C.c_sub(F.col("data").getField(p), total[p])).otherwise(F.col("data").getField(p))
          if p in changed else F.col("data").getField(p)).alias(p) for p in POLS])
-    flag = F.struct(*[(F.col("flag").getField(p) | ~F.col("_ok") | ~C.c_is_finite(F.col("data").getField(p))).alias(p) for p in POLS])
+    flag = F.struct(*[(F.col("flag").getField(p) | ~F.col("_ok") | ~_finite(F.col("data").getField(p))).alias(p) for p in POLS])
     return v.withColumns({"data": data, "flag": flag})
 
 
