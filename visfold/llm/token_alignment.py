@@ -40,7 +40,7 @@ from ..session import scratch_path, ship_package
 from .common import doc_columns, map_texts
 
 #: Bytes of text whose documents form a block; a longer document is a block by itself.
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 2_500_000
 #: One end in so many is searched from its document's start; the next ones from there, ever closer.
 STRIDES = (64, 16, 4, 1)
 #: Letters of the words whose ids are kept.
