@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import cplx as C
 from ..plans.joins import per_observation
-from .lookup import lookup_axis, solution_axis
+from .lookup import between, lookup_axis, phase_between, solution_axis
 
 POLS = C.POLS
 # Fixed value: TEC phase coefficient, phase = TEC_COEFF * tec / freq (radians, Hz, TECU).
@@ -119,6 +119,13 @@ def _gain(cell: Column, freq: Column) -> Column:
     return C.c_from_polar(cell.getField("amp"), ph)
 
 
+def polar_between(lo: Column, hi: Column, frac: Column) -> Column:
+    """The cell (amp, phase, tec) at a fraction of the way between two neighbours of a solution axis."""
+    parts = {x: (lo.getField(x), hi.getField(x)) for x in ("amp", "phase", "tec")}
+    return F.struct(between(*parts["amp"], frac).alias("amp"), phase_between(*parts["phase"], frac).alias("phase"),
+                    between(*parts["tec"], frac).alias("tec"))
+
+
 def _jones_at(prefix: str, kind: str, freq: Column) -> Column:
     g = {p: _gain(F.col(f"{prefix}{p}"), freq) for p in POLS}
     if kind == "fulljones":
@@ -163,7 +170,8 @@ def applycal(vis: DataFrame, sol: DataFrame, antenna: DataFrame, mode: str = "ne
              layout: dict | None = None, direction: str | None = None) -> DataFrame:
     """Apply one solution set in the form that ``solution_layout`` finds; one row out per row in.
 
-    Linear mode interpolates each soltab group's complex gains in time.
+    Linear mode interpolates amplitude, phase (by the shorter way round) and TEC apart in time, so a gain
+    whose amplitude stays keeps it between two phases.
     """
     layout = layout or solution_layout(sol, direction)
     kind = layout["kind"]
@@ -192,11 +200,11 @@ def applycal(vis: DataFrame, sol: DataFrame, antenna: DataFrame, mode: str = "ne
                 on = [name] + ([f"_sf{k}"] if has_f else []) + ([t] if t else [])
                 v = v.join(table.select(*keys, *[F.col(p).alias(f"{tag}{p}") for p in POLS], F.col("ok").alias(f"{tag}ok")), on, "left")
                 ok = ok & F.coalesce(F.col(f"{tag}ok"), F.lit(False))
-                found.append({p: _gain(F.col(f"{tag}{p}"), F.col("freq")) for p in POLS})
+                found.append({p: F.col(f"{tag}{p}") for p in POLS})
             if len(found) == 2:
                 frac = F.coalesce(F.col(f"_st{k}_frac"), F.lit(0.0))
-                found = [{p: C.c_add(C.c_scale(found[0][p], F.lit(1.0) - frac), C.c_scale(found[1][p], frac)) for p in POLS}]
-            gains[side].append(found[0])
+                found = [{p: polar_between(found[0][p], found[1][p], frac) for p in POLS}]
+            gains[side].append({p: _gain(found[0][p], F.col("freq")) for p in POLS})
 
     def jones(parts: list[dict]) -> Column:
         g = {p: parts[0][p] for p in POLS}

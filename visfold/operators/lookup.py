@@ -16,6 +16,8 @@ joins with the whole condition in them, and a null coordinate gives null.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,6 +31,30 @@ def axis_stats(axis: DataFrame, value: str = "value") -> tuple[float | None, flo
     return r["a"], r["b"], int(r["n"])
 
 
+#: Axis values in one range part (one window partition), and the most parts.
+PART_VALUES, MAX_PARTS = 10_000, 1024
+
+
+def _next_values(values: DataFrame, n: int) -> DataFrame:
+    """(lo, hi): each distinct value with the one after it, without a window over the whole axis.
+
+    Parts start at values of the axis, approximate quantiles that an aggregate returns (at most ``MAX_PARTS``
+    numbers). So the value that follows a part's last one is where the next part starts.
+    """
+    parts = min(MAX_PARTS, -(-n // PART_VALUES))
+    starts = []
+    if parts > 1:
+        cuts = [k / parts for k in range(1, parts)]
+        starts = sorted(set(values.agg(F.percentile_approx("lo", cuts, 100 * parts).alias("q")).first()["q"]))
+    bounds = F.array(*[F.lit(x) for x in starts]).cast("array<double>")
+    steps = [1 << k for k in reversed(range(len(starts).bit_length()))] or [1]
+    # how many parts start at or below the value, by halving
+    part = F.aggregate(F.array(*[F.lit(k) for k in steps]), F.lit(0),
+                       lambda at, k: F.when(F.get(bounds, at + k - 1) <= F.col("lo"), at + k).otherwise(at))
+    inside = F.lead("lo").over(Window.partitionBy("_part").orderBy("lo"))
+    return values.withColumn("_part", part).select("lo", F.coalesce(inside, F.get(bounds, F.col("_part"))).alias("hi"))
+
+
 def _coarse(x: Column, first: float, width: float) -> Column:
     return F.floor((x - F.lit(first)) / F.lit(width)).cast("bigint")
 
@@ -43,8 +69,7 @@ def interval_tables(axis: DataFrame, value: str, first: float, last: float, n: i
     """(bucket, cuts), (bucket, part, lo, hi) and the bucket width of an axis with two values or more."""
     width = (last - first) / (n - 1)
     values = axis.filter(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("lo")).distinct()
-    ordered = values.withColumn("hi", F.lead("lo").over(Window.orderBy("lo")))  # as long as one solution axis
-    iv = ordered.filter(F.col("hi").isNotNull())
+    iv = _next_values(values, n).filter(F.col("hi").isNotNull())
     iv = iv.withColumn("_a", _coarse(F.col("lo"), first, width)).withColumn("_b", _coarse(F.col("hi"), first, width))
     spread = iv.withColumn("_bucket", F.explode(F.sequence("_a", "_b")))
     cuts = spread.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cuts"))
@@ -91,6 +116,24 @@ def lookup_axis(points: DataFrame, x: str, axis: DataFrame, out: str, mode: str
     return j.select(*points.columns, F.col("_lo").alias(f"{out}_lo"), F.col("_hi").alias(f"{out}_hi"), frac.alias(f"{out}_frac"))
 
 
+def phase_step(lo: Column, hi: Column) -> Column:
+    """The shorter way from one phase to the next, in [-pi, pi]; from exactly opposite ones, the way as it stands.
+
+    What unwrapping a series gives between neighbours: sums of whole turns that it adds to both don't change a gain.
+    """
+    turn = F.lit(2 * math.pi)
+    way = F.pmod(hi - lo + F.lit(math.pi), turn) - F.lit(math.pi)
+    return F.when(F.abs(hi - lo) <= F.lit(math.pi), hi - lo).otherwise(way)
+
+
+def between(lo: Column, hi: Column, frac: Column) -> Column:
+    return lo + (hi - lo) * frac
+
+
+def phase_between(lo: Column, hi: Column, frac: Column) -> Column:
+    return lo + phase_step(lo, hi) * frac
+
+
 def solution_axis(sol: DataFrame, axis: str) -> DataFrame:
     """(idx, value) of a numeric solution axis, taken from the cells' positions."""
     pos_idx = F.array_position("axes", axis).cast("int")

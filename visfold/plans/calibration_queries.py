@@ -73,22 +73,26 @@ for _type in ("amplitude", "phase"):
              + f"SELECT {O.out_cols()} FROM ac")(_single(_type))
 
 
-def _linear_sql() -> str:
+def _linear_sql(*turned: str) -> str:
+    """Linear mode: phases unwrapped along the whole series by a running sum of turns; ``turned``: a CTE for ``sol``."""
     span = """tt AS (SELECT DISTINCT time FROM sol), bb AS (SELECT min(time) AS first, max(time) AS last FROM tt),
 pc AS (SELECT DISTINCT time, least(greatest(time, first), last) AS xc, first, last FROM vis4, bb),
 ll AS (SELECT time, xc, CASE WHEN first = last THEN first WHEN xc = last THEN (SELECT max(time) FROM tt WHERE time < xc)
     ELSE (SELECT max(time) FROM tt WHERE time <= xc) END AS lo,
   CASE WHEN first = last OR xc = last THEN xc ELSE (SELECT min(time) FROM tt WHERE time > xc) END AS hi FROM pc),
 lf AS (SELECT *, CASE WHEN hi = lo THEN 0e0 ELSE (xc - lo)/(hi - lo) END AS frac FROM ll),
-gc AS (SELECT time, ant, max(CASE WHEN soltype='amplitude' THEN val END) AS amp, max(CASE WHEN soltype='phase' THEN val END) AS ph FROM sol GROUP BY time, ant)"""
+gr AS (SELECT time, ant, max(CASE WHEN soltype='amplitude' THEN val END) AS amp, max(CASE WHEN soltype='phase' THEN val END) AS raw FROM sol GROUP BY time, ant),
+gd AS (SELECT *, round((raw - lag(raw) OVER (PARTITION BY ant ORDER BY time)) / (2*pi())) AS turns FROM gr),
+gc AS (SELECT time, ant, amp, raw - 2*pi()*coalesce(sum(turns) OVER (PARTITION BY ant ORDER BY time), 0) AS ph FROM gd)"""
 
     def g(side, part, fn):
-        return f"({side}0.amp*{fn}({side}0.ph)*(1e0 - frac) + {side}1.amp*{fn}({side}1.ph)*frac) AS {side}_{part}"
+        return (f"({side}0.amp + ({side}1.amp - {side}0.amp)*frac) * {fn}({side}0.ph + ({side}1.ph - {side}0.ph)*frac) AS {side}_{part}")
     joins = " ".join(f"LEFT JOIN gc {s}{i} ON {s}{i}.ant = 'ant' || CAST(v.{ant} AS VARCHAR) AND {s}{i}.time = lf.{t}"
                      for s, ant in (("a", "ant1"), ("b", "ant2")) for i, t in ((0, "lo"), (1, "hi")))
     cols = ", ".join(g(s, x, fn) for s in "ab" for x, fn in (("re", "cos"), ("im", "sin")))
     gains = f"gg AS (SELECT v.*, {cols}, a0.amp IS NOT NULL AND a1.amp IS NOT NULL AND b0.amp IS NOT NULL AND b1.amp IS NOT NULL AS gok FROM vis4 v JOIN lf USING (time) {joins})"
-    return O.with_vis(TV.solution_fixture_sql("scalar"), span, _scalar_result_sql(gains)) + f"SELECT {O.out_cols()} FROM ac"
+    source = [TV.solution_fixture_sql("scalar", name="flat"), *turned] if turned else [TV.solution_fixture_sql("scalar")]
+    return O.with_vis(*source, span, _scalar_result_sql(gains)) + f"SELECT {O.out_cols()} FROM ac"
 
 
 @register("applycal_linear", _linear_sql())
@@ -97,6 +101,25 @@ def q_applycal_linear(spark, sf_dir):
     return TV.flatten(AC.applycal(vis, TV.solution_fixture(vis, "scalar"), TV.antenna_table(vis), mode="linear"))
 
 
+_TURNED_SQL = """sol AS (SELECT * REPLACE (CASE WHEN soltype = 'phase' THEN raw - 2*pi()*floor((raw + pi())/(2*pi())) ELSE val END AS val)
+  FROM (SELECT *, (time - 17e8)/8e0 * (3e-2 + val/5e0) AS raw FROM flat))"""
+
+
+def turning_solutions(vis):
+    """The scalar fixture with phases that turn with time, each antenna's at its own rate, folded into [-pi, pi)."""
+    sol = TV.solution_fixture(vis, "scalar")
+    raw = (F.col("time") - F.lit(17e8)) / F.lit(8e0) * (F.lit(3e-2) + F.col("val") / F.lit(5e0))
+    folded = raw - F.lit(2e0) * F.pi() * F.floor((raw + F.pi()) / (F.lit(2e0) * F.pi()))
+    return sol.withColumn("val", F.when(F.col("soltype") == "phase", folded).otherwise(F.col("val")))
+
+
+@register("applycal_linear_phase", _linear_sql(_TURNED_SQL))
+def q_applycal_linear_phase(spark, sf_dir):
+    """Linear mode across the fold of the phases: Spark goes the shorter way per interval, the SQL unwraps whole series."""
+    vis = _vis(spark, sf_dir)
+    return TV.flatten(AC.applycal(vis, turning_solutions(vis), TV.antenna_table(vis), mode="linear"))
+
+
 @register("applycal_unflagged", O.with_vis(TV.solution_fixture_sql("fulljones"), *O.applycal_sql("fulljones"))
           + f"SELECT {O.out_cols()} FROM ac WHERE NOT fxx AND NOT fyy")
 def q_applycal_unflagged(spark, sf_dir):
