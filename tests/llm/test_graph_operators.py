@@ -253,6 +253,49 @@ def test_url_query_equals_its_sql_with_aliases(spark, tmp_path):
     assert compare(Q.QUERIES["op1_url_aliases"](spark, str(tmp_path)), con, Q.ORACLE["op1_url_aliases"]) is None
 
 
+RELATIVE = [("http://a.net/x/y/p.html", t) for t in
+            ["q.html", "../q.html", "../../../q.html", "./q.html?k=1", "?id=2", "/r/../s/./t.html", "..", ".", "z/../", "/", "//b.net/c", "http://c.net/../d", "u/v#w"]]
+RELATIVE += [("http://a.net", "q.html"), ("http://a.net/x?y=1#z", "?y=2"), ("http://a.net/x/", "q.html")]
+
+
+def test_relative_targets_resolve_as_in_urllib(spark):
+    from urllib.parse import urljoin
+
+    from pyspark.sql import functions as F
+
+    from visfold.llm.url_aliases import resolved
+
+    odd = [("http://a.net/x", t) for t in ("#top", "mailto:me@a.net", "javascript:go()")] + [("no scheme", "q.html"), ("", "?id=1")]
+    df = spark.createDataFrame(RELATIVE + odd, "url string, target string")
+    got = {(r["url"], r["target"]): r["full"] for r in df.select("url", "target", resolved(F.col("target"), F.col("url")).alias("full")).collect()}
+    assert {k: got[k] for k in odd} == dict.fromkeys(odd)
+    for url, target in RELATIVE:
+        assert got[url, target] == ("http://c.net/../d" if target == "http://c.net/../d" else urljoin(url, target)), (url, target)
+
+
+def linked_pages():
+    def link(target, rel='rel="canonical"'):
+        return f'<html><head><link {rel} href="{target}"></head></html>'
+
+    return [(1, "http://k.net/a/one.html", link("../es/1.html")), (2, "http://k.example.org/es/../a", link("?p=1")),
+            (3, "http://m.com/a/2", link("../de/7", "class=x rel='alternate canonical'")), (4, "http://n.net/1", link("http://m.com/a/2", "rel=canonical")),
+            (5, "http://n.net/2", link("http://m.com/a/2", 'rel="non-canonical"')), (6, "http://n.net/3", link("http://m.com/de/1", 'data-rel="canonical"')),
+            (7, "http://w.de.com/a/b", '<meta http-equiv="refresh" content="0; URL=/de/x">'), (8, "http://w.de.com/a/c", '<meta content="3;url=b" http-equiv=Refresh>'),
+            (9, "http://n.net/4", link("mailto:a@b.com")), (10, "http://n.net/5", link("#here")), (11, "http://n.net/6", link("")), (12, None, link("q")),
+            (13, "plain", link("q")), (14, "http://n.net/7", None)]
+
+
+def test_relative_aliases_pass_on_decisions(spark, tmp_path):
+    import duckdb
+
+    spark.createDataFrame(linked_pages(), "page_id bigint, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    found = {r["page_id"]: r["verdict"] for r in Q.QUERIES["op1_url_aliases"](spark, str(tmp_path)).collect()}
+    assert {k for k, v in found.items() if v == "block"} == {2, 3, 4, 7, 8}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    assert compare(Q.QUERIES["op1_url_aliases"](spark, str(tmp_path)), con, Q.ORACLE["op1_url_aliases"]) is None
+
+
 def test_aliases_given_as_a_table(spark):
     pages = spark.createDataFrame([(1, "http://q.net/1", None), (2, "http://r.net/1", None)], "page_id bigint, url string, html string")
     aliases = spark.createDataFrame([("http://q.net/1", "http://example.org/es/4"), ("http://r.net/1", "http://q.net/1"), (None, "x")], "url string, target string")

@@ -96,6 +96,34 @@ def test_token_counts_equal_a_unigram_model(docs, empty):
     assert TT.count_tokens(empty, file).count() == 0
 
 
+def test_long_words_need_no_nodes(monkeypatch):
+    import random
+    import tracemalloc
+
+    scores = {"▁": -3.0, "a": -2.0, "b": -2.5, "ab": -3.1, "aba": -3.3, "▁ab": -2.9, "bbbb": -4.0}
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abc", [5, 4, 1], k=n)) for n in (1, 2, 7, 8, 9, 40, 300, 3000)]
+    plain = TT.PreTokenTrie(scores)
+    want = [plain.insert(TT.SPACE + w) for w in words]
+    monkeypatch.setattr(TT, "LONG_WORD", 7)
+    assert [TT.PreTokenTrie(scores).count(w)[0] for w in words] == want
+    assert TT.PreTokenTrie(scores).count(" ".join(words * 2)) == (2 * sum(want), 2 * len(words))
+    trie, text = TT.PreTokenTrie(scores), "ab" * 300_000
+    tracemalloc.start()
+    assert trie.count(text)[1] == 1
+    assert tracemalloc.get_traced_memory()[1] < 5_000_000 and len(trie.best) == 1
+    tracemalloc.stop()
+
+
+def test_the_trie_is_bounded_within_a_text(monkeypatch):
+    monkeypatch.setattr(TT, "KEPT_NODES", 50)
+    scores = {"▁": -3.0, **{c: -2.0 for c in "abcdefghij"}}
+    trie = TT.PreTokenTrie(scores)
+    text = " ".join(f"{k}".translate(str.maketrans("0123456789", "abcdefghij")) for k in range(1000))
+    assert trie.count(text) == (sum(len(str(k)) + 1 for k in range(1000)), 1000)
+    assert len(trie.best) <= 50 + 4
+
+
 def test_a_full_trie_starts_anew(monkeypatch):
     scores = TT.vocabulary_scores(vocabulary("piece_bpe_32k.model"))
     one, small = TT.PreTokenTrie(scores), TT.PreTokenTrie(scores)

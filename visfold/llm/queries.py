@@ -20,7 +20,7 @@ from .rank_profiles import learn_profiles, predict_languages
 from .string_kernel_svm import score_toxicity, train_toxicity
 from .token_alignment import align_documents
 from .trie_tokens import count_tokens
-from .url_aliases import judge_urls
+from .url_aliases import CANONICAL, HREF, REFRESH, REFRESH_URL, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -81,18 +81,27 @@ def _url_oracle() -> str:
         return (f"CASE WHEN regexp_replace({host(u)}, '^www[.]', '') <> '' THEN regexp_replace({host(u)}, '^www[.]', '') || "
                 f"regexp_replace({path(u)}, '/+$', '') || CASE WHEN {query} <> '' THEN '?' || {query} ELSE '' END END")
 
+    def text(pattern):
+        return "'" + pattern.replace("'", "''") + "'"
+
     def targets(tag, kind, value):
-        return (f"list_transform(list_filter(regexp_extract_all(html, '(?i)<{tag}\\b[^>]*>'), lambda t: regexp_matches(t, '{kind}')), "
-                f"lambda t: regexp_extract(t, '{value}', 1))")
-    quoted = """\\s*=\\s*["'']?([^"''\\s>]+)"""
-    found = (f"list_concat({targets('link', '(?i)\\brel\\s*=\\s*["\'\']?canonical\\b', '(?i)\\bhref' + quoted)}, "
-             f"{targets('meta', '(?i)\\bhttp-equiv\\s*=\\s*["\'\']?refresh\\b', '(?i)\\burl' + quoted)})")
+        return (f"list_transform(list_filter(regexp_extract_all(html, {text(f'(?i)<{tag}{chr(92)}b[^>]*>')}), lambda t: regexp_matches(t, {text(kind)})), "
+                f"lambda t: regexp_extract(t, {text(value)}, 1))")
+    found = f"list_concat({targets('link', CANONICAL, HREF)}, {targets('meta', REFRESH, REFRESH_URL)})"
     return f"""
 WITH RECURSIVE rules(rhost, rpath, ok) AS (VALUES {rules}),
 named AS (SELECT url, replace(unnest({found}), '&amp;', '&') AS t FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
-edges AS (SELECT DISTINCT url, CASE WHEN strpos(t, '://') > 0 THEN t WHEN starts_with(t, '//') THEN 'http:' || t
-    WHEN starts_with(t, '/') THEN 'http://' || {host('url')} || t END AS target FROM named),
-urls AS (SELECT DISTINCT url FROM (SELECT url FROM pages UNION ALL SELECT url FROM edges UNION ALL SELECT target FROM edges) WHERE url IS NOT NULL),
+based AS (SELECT DISTINCT url, t, {host('url')} AS host, {path('url')} AS path, regexp_extract(t, '^([^?#]*)', 1) AS file,
+    regexp_extract(t, '^[^?#]*(.*)$', 1) AS rest FROM named WHERE t <> ''),
+placed_at AS (SELECT *, CASE WHEN starts_with(t, '/') THEN file
+    WHEN file <> '' THEN CASE WHEN regexp_replace(path, '[^/]*$', '') = '' THEN '/' ELSE regexp_replace(path, '[^/]*$', '') END || file END AS place FROM based),
+steps AS (SELECT *, list_reduce(list_transform(string_split(place, '/'), lambda x: [x]), lambda done, part:
+    CASE WHEN part[1] = '.' THEN done WHEN part[1] = '..' THEN done[1:greatest(len(done) - 1, 1)] ELSE list_concat(done, part) END) AS kept FROM placed_at),
+edges AS (SELECT DISTINCT url, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t WHEN starts_with(t, '//') THEN 'http:' || t
+    WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') OR host = '' THEN NULL
+    WHEN file <> '' THEN 'http://' || host || array_to_string(kept, '/') || CASE WHEN regexp_matches(place, '/[.][.]?$') THEN '/' ELSE '' END || rest
+    WHEN starts_with(rest, '?') THEN 'http://' || host || CASE WHEN path = '' THEN '/' ELSE path END || rest END AS target FROM steps),
+urls AS (SELECT DISTINCT url FROM (SELECT url FROM pages UNION ALL SELECT url FROM edges WHERE target IS NOT NULL UNION ALL SELECT target FROM edges) WHERE url IS NOT NULL),
 parsed AS (SELECT url, {host('url')} AS host, {path('url')} AS path, {key('url')} AS key FROM urls),
 best AS (SELECT url, max(struct_pack(n := length(rhost || rpath), h := length(rhost), ok := ok, rule := rhost || rpath)) AS b
     FROM parsed, rules WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY url),

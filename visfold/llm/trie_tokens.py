@@ -7,8 +7,9 @@ above it, so words with a common prefix share that work. A node at which a pre-t
 keeps the number of tokens, and a document's count is the sum over its pre-tokens.
 
 Row-local over whole texts with no shuffle: the counts of a document need nothing of another
-one. The trie starts anew when it has ``KEPT_NODES`` nodes, which bounds a worker's memory and
-changes no result.
+one. The trie starts anew when it has ``KEPT_NODES`` nodes, also within a text, and a pre-token longer than
+``LONG_WORD`` letters gets the same forward scores in a window as wide as the longest piece instead of nodes.
+Both bound a worker's memory and change no result.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from .common import map_texts
 
 #: Nodes of a worker's trie before it starts anew.
 KEPT_NODES = 1_200_000
+#: Letters of a pre-token from which on it gets no nodes: others seldom share so long a prefix.
+LONG_WORD = 256
 #: The mark that stands before each pre-token.
 SPACE = "▁"
 #: An unknown letter scores this much below the worst piece.
@@ -37,6 +40,7 @@ class PreTokenTrie:
         self.endings: dict[str, float | None] = {p[i:]: None for p in scores for i in range(1, len(p))}
         self.endings.update(scores)
         self.unknown = min(scores.values(), default=0.0) - UNKNOWN_PENALTY
+        self.longest = max(map(len, scores), default=1)
         self.byte_pieces = all(f"<0x{b:02X}>" in scores for b in range(256))
         self.clear()
 
@@ -84,16 +88,44 @@ class PreTokenTrie:
             node = child
         return tokens[node]
 
+    def unshared(self, word: str) -> int:
+        """Tokens of a long pre-token: forward scores of its last letters only, in a ring."""
+        ring = self.longest + 1
+        best, tokens = [0.0] * ring, [0] * ring
+        endings, scores = self.endings, self.scores
+        for end in range(1, len(word) + 1):
+            letter, last = word[end - 1], (end - 1) % ring
+            score, n = float("-inf"), 0
+            if letter not in scores:
+                score = best[last] + self.unknown
+                n = tokens[last] + (len(letter.encode()) if self.byte_pieces else 1)
+            for start in range(end - 1, -1, -1):
+                piece = endings.get(word[start:end], 1.0)
+                if piece is None:
+                    continue
+                if piece > 0:
+                    break
+                value = best[start % ring] + piece
+                if value > score:
+                    score, n = value, tokens[start % ring] + 1
+            best[end % ring], tokens[end % ring] = score, n
+        return tokens[len(word) % ring]
+
     def count(self, text: str) -> tuple[int, int]:
         """(tokens, pre-tokens) of a whole text."""
-        if len(self.best) > KEPT_NODES:
-            self.clear()
         words = text.split()
-        terminal = self.terminal
+        counts: dict[str, int] = {}
         for word in set(words):
-            if word not in terminal:
-                terminal[word] = self.insert(SPACE + word)
-        return sum([terminal[w] for w in words]), len(words)
+            if len(word) > LONG_WORD:
+                counts[word] = self.unshared(SPACE + word)
+                continue
+            n = self.terminal.get(word)
+            if n is None:
+                if len(self.best) > KEPT_NODES:
+                    self.clear()
+                n = self.terminal[word] = self.insert(SPACE + word)
+            counts[word] = n
+        return sum([counts[w] for w in words]), len(words)
 
 
 @lru_cache(maxsize=2)

@@ -3,7 +3,7 @@
 A url is judged by the longest rule that fits it. Urls that lead to the same page
 share decisions: each url stands for its canonical form (host without ``www.``, no scheme,
 fragment, trailing slash or ``utm_`` parameters), and pages name further aliases by canonical
-links and refresh redirects in their HTML. The connected components of these edges are the
+links and refresh redirects in their HTML, in full or relative to their own url. The connected components of these edges are the
 equivalence classes. A url without a rule of its own is allowed if any url of its class is
 allowed explicitly, else blocked if any is blocked, else allowed.
 
@@ -47,21 +47,50 @@ def canonical_form(url: Column) -> Column:
     return F.when(host != "", key)
 
 
+#: A ``rel`` value that holds the word canonical, a refresh, and the values of attributes.
+CANONICAL = r"""(?i)[\s"']rel\s*=\s*("([^"]*\s)?canonical(\s[^"]*)?"|'([^']*\s)?canonical(\s[^']*)?'|canonical[\s/>])"""
+REFRESH = r"""(?i)[\s"']http-equiv\s*=\s*["']?\s*refresh\b"""
+HREF = r"""(?i)[\s"']href\s*=\s*["']?\s*([^"'\s>]+)"""
+REFRESH_URL = r"""(?i)[\s"';,]url\s*=\s*["']?\s*([^"'\s>]+)"""
+
+
+def without_dots(path: Column) -> Column:
+    """A path that starts with ``/`` without its ``.`` and ``..`` segments."""
+    parts = F.split(path, "/")
+    kept = F.aggregate(F.slice(parts, 2, F.size(parts)), F.array(F.lit("")), lambda done, part:
+                       F.when(part == ".", done).when(part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1))))
+                       .otherwise(F.array_append(done, part)))
+    # a dot segment at the end names the folder
+    return F.concat(F.array_join(kept, "/"), F.when(path.rlike(r"/[.][.]?$"), F.lit("/")).otherwise(F.lit("")))
+
+
+def resolved(target: Column, url: Column) -> Column:
+    """The url that a target on the page ``url`` names; null for other schemes, and for places on the page itself."""
+    host, path = host_of(url), path_of(url)
+    file, rest = F.regexp_extract(target, r"^([^?#]*)", 1), F.regexp_extract(target, r"^[^?#]*(.*)$", 1)
+    folder = F.regexp_replace(path, "[^/]*$", "")
+    folder = F.when(folder == "", "/").otherwise(folder)
+    place = (F.when(target.startswith("/"), without_dots(file)).when(file != "", without_dots(F.concat(folder, file)))
+             .when(rest.startswith("?"), F.when(path == "", "/").otherwise(path)))
+    return (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+            .when(target.startswith("//"), F.concat(F.lit("http:"), target))
+            .when(~target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") & (host != ""), F.concat(F.lit("http://"), host, place, rest)))
+
+
 def declared_aliases(pages: DataFrame) -> DataFrame:
-    """(url, target): the canonical links and refresh redirects that pages declare."""
+    """(url, target): the canonical links and refresh redirects that pages declare.
+
+    Relative targets are resolved against the page's url; ``<base>`` is not read.
+    """
     def targets(tag: str, kind: str, value: str) -> Column:
         tags = F.filter(F.regexp_extract_all(F.col("html"), F.lit(rf"(?i)<{tag}\b[^>]*>"), F.lit(0)), lambda t: t.rlike(kind))
         return F.transform(tags, lambda t: F.regexp_extract(t, value, 1))
 
-    quoted = r"""\s*=\s*["']?([^"'\s>]+)"""
-    found = F.concat(targets("link", r"""(?i)\brel\s*=\s*["']?canonical\b""", r"(?i)\bhref" + quoted),
-                     targets("meta", r"""(?i)\bhttp-equiv\s*=\s*["']?refresh\b""", r"(?i)\burl" + quoted))
+    found = F.concat(targets("link", CANONICAL, HREF), targets("meta", REFRESH, REFRESH_URL))
     rows = pages.filter(F.col("url").isNotNull() & F.col("html").isNotNull()).select("url", F.explode(found).alias("target"))
     target = F.replace("target", F.lit("&amp;"), F.lit("&"))
-    full = (F.when(target.contains("://"), target)
-            .when(target.startswith("//"), F.concat(F.lit("http:"), target))
-            .when(target.startswith("/"), F.concat(F.lit("http://"), host_of(F.col("url")), target)))
-    return rows.select("url", full.alias("target")).filter("target is not null").distinct()
+    rows = rows.select("url", target.alias("target")).filter("target <> ''").distinct()
+    return rows.select("url", resolved(F.col("target"), F.col("url")).alias("target")).filter("target is not null").distinct()
 
 
 def fitting_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
