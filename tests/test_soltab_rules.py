@@ -136,3 +136,31 @@ def test_dimensions_in_axis_order(spark):
     a = tab(spark, axes=("time", "ant", "pol"), n_time=3, pols=("XX", "YY"))
     d = ST.soltab_dimensions(SO.axes_of(a)).orderBy("axis_pos").collect()
     assert [(r.axis, r.length) for r in d] == [("time", 3), ("ant", 2), ("pol", 2)]
+
+
+def grid_cells(spark, cells):
+    rows = [("s", "t", "amplitude", ["time", "ant"], list(p), float(p[0]), None, f"ant{p[1]}", None, None, 1.0, 1.0) for p in cells]
+    return spark.createDataFrame(rows, S.SOLUTION)
+
+
+def test_grids_with_the_same_sums_differ(spark):
+    """Repeated cells that keep the number of cells, and first and second moments of a packed cell number."""
+    import random
+
+    full = [(a, b) for a in range(5) for b in range(7)]
+    assert ST.soltab_violations(grid_cells(spark, full)).count() == 0
+    rng = random.Random(2)
+    for _ in range(3):
+        cells = list(full)
+        i, j = rng.sample(range(len(full)), 2)
+        cells[i] = cells[j]
+        assert [r["rule"] for r in ST.soltab_violations(grid_cells(spark, cells)).collect()] == ["axes_shape"]
+    swapped = [c for c in full if c not in {(0, 0), (0, 4), (0, 5)}] + [(0, 1), (0, 2), (0, 6)]
+    assert [r["rule"] for r in ST.soltab_violations(grid_cells(spark, swapped)).collect()] == ["axes_shape"]
+
+
+def test_violations_shuffle_no_cells(spark):
+    sol = grid_cells(spark, [(a, b) for a in range(5) for b in range(7)])
+    ST.soltab_violations(sol).collect()
+    plan = ST.soltab_violations(sol)._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hash" in line for line in plan.split("Initial Plan")[0].splitlines()) <= 6

@@ -7,6 +7,9 @@ non-empty result into an error for callers that need one.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,29 +61,72 @@ def axis_subset_check(sol: DataFrame) -> DataFrame:
                     F.array_join(F.array_sort(F.array_except("axes", _valid_axes())), ",").alias("unknown_axes")))
 
 
+#: Modulus of the cells' marks (a prime below 2^31, so products fit a long) and their two seeds.
+MODULUS = (1 << 31) - 1
+MARKS = (0, 1)
+
+
+def _place_mark(axis: Column, pos: Column, seed: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(seed), axis.cast("int"), pos.cast("int")), F.lit(MODULUS - 1)) + 1
+
+
+def _product_mod(marks: Column) -> Column:
+    return F.aggregate(marks, F.lit(1).cast("bigint"), lambda a, x: F.pmod(a * x, F.lit(MODULUS).cast("bigint")))
+
+
+def _cell_mark(seed: int) -> Column:
+    """A cell's mark: the product of its places' marks, one per axis."""
+    return _product_mod(F.transform("pos", lambda p, axis: _place_mark(axis, p, seed)))
+
+
+def _sum_mod(mark: Column) -> Column:
+    """Sum of marks below 2^31, by halves, so that it overflows for no number of cells there could be."""
+    high, low = F.sum(F.shiftright(mark, 16)), F.sum(mark.bitwiseAND(F.lit(0xFFFF)))
+    return F.pmod(F.pmod(high, F.lit(MODULUS)) * 65536 + F.pmod(low, F.lit(MODULUS)), F.lit(MODULUS))
+
+
+def _axis_summary(soltab_axis: DataFrame) -> DataFrame:
+    """Per soltab: the grid's cells, shape and marks, axes that repeat a place, and the polarisations.
+
+    The marks of all cells of a full grid sum up to the product of the axes' sums, so a table whose cells are its grid, each
+    once, is told by sums over cells and over axis values; no cell is shuffled. Any other table passes with a probability
+    below (axes / 2^31)^2.
+    """
+    tab = ["solset", "soltab"]
+    places = soltab_axis.groupBy(*tab, "axis_pos", "axis", "pos").agg(
+        F.count(F.lit(1)).alias("n"), F.collect_list(F.when(F.col("axis") == "pol", F.struct("pos", "str_value"))).alias("_p"))
+    axes = places.groupBy(*tab, "axis_pos", "axis").agg(
+        F.sum("n").alias("length"), F.max("n").alias("most"), F.flatten(F.collect_list("_p")).alias("_p"),
+        *[_sum_mod(_place_mark(F.col("axis_pos"), F.col("pos"), k)).alias(f"s{k}") for k in MARKS])
+    one = axes.groupBy(*tab).agg(F.array_sort(F.collect_list(F.struct("axis_pos", "length", *[f"s{k}" for k in MARKS]))).alias("_a"),
+                                 F.array_sort(F.collect_set(F.when(F.col("most") > 1, F.col("axis")))).alias("_dup"),
+                                 F.array_sort(F.flatten(F.collect_list("_p"))).alias("_p"), F.bool_or(F.col("axis") == "pol").alias("_has_pol"))
+    lengths = F.transform("_a", lambda s: s.getField("length"))
+    return one.select(*tab, F.aggregate(lengths, F.lit(1).cast("bigint"), lambda a, x: a * x).alias("_prod"),
+                      F.array_join(F.transform("_a", lambda s: s.getField("length").cast("string")), ",").alias("_shape"),
+                      F.when(F.size("_dup") > 0, F.array_join("_dup", ",")).alias("_dup_axes"),
+                      F.when(F.col("_has_pol"), F.array_join(F.transform("_p", lambda s: s.getField("str_value")), ",")).alias("pols"),
+                      *[_product_mod(F.transform("_a", _field(f"s{k}"))).alias(f"_grid{k}") for k in MARKS])
+
+
+def _field(name: str):
+    return lambda s: s.getField(name)
+
+
 def soltab_violations(sol: DataFrame, soltab_axis: DataFrame | None = None) -> DataFrame:
     """Per-soltab rules: soltype, axis names, 1-d axes, pol tuple, val/weight shape, axes shape."""
     if soltab_axis is None:
         soltab_axis = axes_of(sol)
-    per_tab = sol.groupBy("solset", "soltab").agg(
+    per_tab = sol.withColumns({f"_m{k}": _cell_mark(k) for k in MARKS}).groupBy("solset", "soltab").agg(
         F.collect_set("soltype").alias("_types"),
         F.first("axes").alias("axes"),
         F.count(F.lit(1)).alias("_cells"),
         F.count("val").alias("_nval"),
         F.count("weight").alias("_nweight"),
         F.sum(F.when(F.size("pos") != F.size("axes"), 1).otherwise(0)).alias("_badpos"),
-        F.count_distinct("pos").alias("_npos"),
-    )
-    dims = soltab_dimensions(soltab_axis).groupBy("solset", "soltab").agg(
-        F.aggregate(F.collect_list("length"), F.lit(1).cast("bigint"), lambda a, x: a * x).alias("_prod"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("axis_pos", "length"))),
-                                 lambda s: s.getField("length").cast("string")), ",").alias("_shape"))
-    dup = (soltab_axis.groupBy("solset", "soltab", "axis", "pos").agg(F.count(F.lit(1)).alias("n"))
-           .filter(F.col("n") > 1).groupBy("solset", "soltab")
-           .agg(F.array_join(F.array_sort(F.collect_set("axis")), ",").alias("_dup_axes")))
-    pols = pol_tuples(soltab_axis)
-    t = (per_tab.join(dims, ["solset", "soltab"], "left").join(dup, ["solset", "soltab"], "left")
-         .join(pols, ["solset", "soltab"], "left"))
+        F.count("_m0").alias("_npos"),
+        *[_sum_mod(F.col(f"_m{k}")).alias(f"_found{k}") for k in MARKS])
+    t = per_tab.join(_axis_summary(soltab_axis), ["solset", "soltab"], "left")
     unknown = F.array_except("axes", _valid_axes())
     soltype = F.array_join(F.array_sort("_types"), ",")
     checks = [
@@ -92,7 +138,8 @@ def soltab_violations(sol: DataFrame, soltab_axis: DataFrame | None = None) -> D
         ("val_weight_shape", F.col("_nval") != F.col("_nweight"),
          F.concat_ws("/", F.col("_nval").cast("string"), F.col("_nweight").cast("string"))),
         ("axes_shape", (F.col("_badpos") > 0) | (F.col("_npos") != F.col("_cells"))
-         | (F.coalesce(F.col("_prod"), F.lit(1)) != F.col("_cells")),
+         | (F.coalesce(F.col("_prod"), F.lit(1)) != F.col("_cells"))
+         | reduce(or_, [F.col(f"_found{k}") != F.coalesce(F.col(f"_grid{k}"), F.lit(1)) for k in MARKS]),
          F.concat_ws("/", F.col("_cells").cast("string"), F.coalesce(F.col("_shape"), F.lit("")))),
     ]
     arr = F.array(*[F.when(cond, F.struct(F.lit(rule).alias("rule"), det.cast("string").alias("detail")))

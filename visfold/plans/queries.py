@@ -1080,3 +1080,4 @@ def q_preprocess(spark, sf_dir):
 
 
 from . import calibration_queries  # noqa: E402, F401  (registers its queries)
+from . import ledger_queries  # noqa: E402, F401  (registers its queries)
