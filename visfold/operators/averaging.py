@@ -23,27 +23,36 @@ def _check_step(name: str, value) -> int:
     return value
 
 
-def with_relative_slot(vis: DataFrame, obs_first: DataFrame | None = None) -> DataFrame:
+def with_relative_slot(vis: DataFrame, obs_first: DataFrame | int | None = None) -> DataFrame:
     """Add ``rel_slot`` = slot - first slot of the observation.
 
-    ``obs_first`` (obs_id, first_slot) may come from observation metadata;
+    ``obs_first`` (obs_id, first_slot) may come from observation metadata, or be one number for all;
     otherwise it is a one-row-per-observation aggregate over a scan of its own.
     """
+    if isinstance(obs_first, int):
+        return vis.withColumn("rel_slot", F.col("slot") - F.lit(obs_first))
     if obs_first is None:
         obs_first = vis.groupBy("obs_id").agg(F.min("slot").alias("first_slot"))
     return (vis.join(per_observation(obs_first.select("obs_id", "first_slot")), "obs_id")
             .withColumn("rel_slot", F.col("slot") - F.col("first_slot")).drop("first_slot"))
 
 
+def usable(p: str) -> Column:
+    """Is a sample of polarisation ``p`` unflagged, and are its value and weight finite?"""
+    d = F.col("data").getField(p)
+    finite = d.getField("re") * 0.0 + d.getField("im") * 0.0 + F.col("weight") * 0.0 == 0.0
+    return ~F.col("flag").getField(p) & F.coalesce(finite, F.lit(False))
+
+
 def _bin_aggs(key_cols: list[str]) -> list[Column]:
     aggs = []
     for p in POLS:
-        ok = ~F.col("flag").getField(p)
+        ok = usable(p)
         wp = F.when(ok, F.col("weight")).otherwise(F.lit(0.0))
         d = F.col("data").getField(p)
         aggs += [
-            F.sum(wp * d.getField("re")).alias(f"_swr_{p}"),
-            F.sum(wp * d.getField("im")).alias(f"_swi_{p}"),
+            F.sum(F.when(ok, wp * d.getField("re")).otherwise(F.lit(0.0))).alias(f"_swr_{p}"),
+            F.sum(F.when(ok, wp * d.getField("im")).otherwise(F.lit(0.0))).alias(f"_swi_{p}"),
             F.sum(wp).alias(f"_sw_{p}"),
             F.count_if(ok).alias(f"_n_{p}"),
             F.avg(d.getField("re")).alias(f"_ar_{p}"),
@@ -51,7 +60,7 @@ def _bin_aggs(key_cols: list[str]) -> list[Column]:
         ]
     any_ok = None
     for p in POLS:
-        ok = ~F.col("flag").getField(p)
+        ok = usable(p)
         any_ok = ok if any_ok is None else (any_ok | ok)
     aggs += [
         F.sum(F.when(any_ok, F.col("weight")).otherwise(F.lit(0.0))).alias("weight"),
@@ -74,12 +83,12 @@ def _finish(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def average(vis: DataFrame, timestep: int = 1, freqstep: int = 1,
-            obs_first: DataFrame | None = None) -> DataFrame:
+            obs_first: DataFrame | int | None = None) -> DataFrame:
     """Average ``timestep`` consecutive slots and ``freqstep`` consecutive channels.
 
-    Only unflagged samples contribute, weighted by ``weight``; the output
-    weight is the sum of contributing weights. A bin whose inputs are all
-    flagged (per polarisation) is flagged and carries the plain mean.
+    Only unflagged samples with a finite value and weight contribute, weighted by ``weight``; the output
+    weight is the sum of contributing weights. A bin without such an input
+    (per polarisation) is flagged and carries the plain mean.
     time/freq/u/v/w are plain means; the last partial bin is kept. Output
     ``slot`` and ``chan`` are the bin numbers.
     """

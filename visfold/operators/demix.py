@@ -42,8 +42,8 @@ DIAG = ("xx", "yy")
 GAINS = {"scalar": (DIAG, ()), "diagonal": (DIAG, DIAG), "jones": (POLS, POLS)}
 
 
-def _bins(v: DataFrame, timestep: int, freqstep: int, solint_t: int, solint_f: int) -> DataFrame:
-    v = with_relative_slot(v)
+def _bins(v: DataFrame, timestep: int, freqstep: int, solint_t: int, solint_f: int, obs_first=None) -> DataFrame:
+    v = with_relative_slot(v, obs_first)
     v = v.withColumn("tbin", F.floor(F.col("rel_slot") / F.lit(float(timestep))).cast("bigint"))
     v = v.withColumn("fbin", F.floor(F.col("chan") / F.lit(float(freqstep))).cast("int"))
     v = v.withColumn("tsol", F.floor(F.col("tbin") / F.lit(float(solint_t))).cast("bigint"))
@@ -56,11 +56,11 @@ def _finite(z: Column) -> Column:
 
 
 def demix_average(vis: DataFrame, n_patches: int, timestep: int = 1, freqstep: int = 1,
-                  solint_t: int = 4, solint_f: int = 4, pols=DIAG) -> DataFrame:
+                  solint_t: int = 4, solint_f: int = 4, pols=DIAG, obs_first=None) -> DataFrame:
     """Average data (XX, YY unless told otherwise) and every patch model over (timestep, freqstep) bins,
     weighting unflagged, finite cross-correlation samples only. One row per bin with
     sum of weights ``w`` (bins without usable samples are dropped)."""
-    v = _bins(vis, timestep, freqstep, solint_t, solint_f)
+    v = _bins(vis, timestep, freqstep, solint_t, solint_f, obs_first)
     use = (F.col("ant1") != F.col("ant2"))
     for p in pols:
         use = use & ~F.col("flag").getField(p) & _finite(F.col("data").getField(p))
@@ -166,14 +166,14 @@ def fit_direction_gains(avg: DataFrame, n_patches: int, max_iter: int = 100, gai
 
 
 def subtract_sources(vis_models: DataFrame, gains: DataFrame, subtract_idx, solint_t: int, solint_f: int,
-                     timestep: int, freqstep: int, scalar: bool = False, gain: str = "scalar") -> DataFrame:
+                     timestep: int, freqstep: int, scalar: bool = False, gain: str = "scalar", obs_first=None) -> DataFrame:
     """V - sum_d G_p,d M_d G_q,d^H over the chosen patches (models are unpolarised; all four polarisations
     change with ``gain='jones'``, else XX and YY).
 
     ``scalar``: gains have no antenna (one factor per patch), V - sum_d g_d M_d.
     A sample whose interval has no gain for a chosen patch is flagged, not changed; so is a non-finite one.
     """
-    v = _bins(vis_models, timestep, freqstep, solint_t, solint_f)
+    v = _bins(vis_models, timestep, freqstep, solint_t, solint_f, obs_first)
     wide_keys = ["obs_id", "tsol", "fsol"] + ([] if scalar else ["ant"])
     own = GAINS[gain][1]
 
@@ -222,12 +222,14 @@ def subtract_sources(vis_models: DataFrame, gains: DataFrame, subtract_idx, soli
 
 def demix(vis: DataFrame, components: DataFrame, subtract=None, timestep: int = 1, freqstep: int = 1,
           solint_t: int = 4, solint_f: int = 4, obs_meta: DataFrame | None = None, method: str = "lm",
-          gains_path: str | None = None, gain: str = "scalar"):
+          gains_path: str | None = None, gain: str = "scalar", obs_first: DataFrame | int | None = None):
     """Demixer step. Returns (demixed vis, gains). ``subtract``: patch names (default all).
 
     ``method='lm'``: station solver, with gains of the kind ``gain``; ``'scalar'``: native per-patch factor.
-    With ``gains_path`` the gains are written there, partitioned by ``obs_id``.
+    ``obs_first``: as in ``with_relative_slot``. With ``gains_path`` the gains are written there, partitioned by ``obs_id``.
     """
+    if obs_first is None:  # read once for the fit and the subtraction
+        obs_first = per_observation(vis.groupBy("obs_id").agg(F.min("slot").alias("first_slot")))
     vm, patches = patch_models(vis, components, obs_meta)
     subtract = list(patches) if subtract is None else list(subtract)
     unknown = sorted(set(subtract) - set(patches))
@@ -236,7 +238,7 @@ def demix(vis: DataFrame, components: DataFrame, subtract=None, timestep: int =
     idx = [patches.index(p) for p in subtract]
     if gain not in GAINS:
         raise ValueError(f"gain must be one of {sorted(GAINS)}, got {gain!r}")
-    avg = demix_average(vm, len(patches), timestep, freqstep, solint_t, solint_f, GAINS[gain][0])
+    avg = demix_average(vm, len(patches), timestep, freqstep, solint_t, solint_f, GAINS[gain][0], obs_first)
     if method == "lm":
         gains = fit_direction_gains(avg, len(patches), gain=gain)
     elif method == "scalar":
@@ -247,7 +249,7 @@ def demix(vis: DataFrame, components: DataFrame, subtract=None, timestep: int =
     if gains_path is not None:
         write_demix_gains(gains, patches, gains_path)
     out = subtract_sources(vm, gains, idx, solint_t, solint_f, timestep, freqstep, scalar=(method == "scalar"),
-                           gain=gain if method == "lm" else "scalar")
+                           gain=gain if method == "lm" else "scalar", obs_first=obs_first)
     named = gains.withColumn("patch", F.element_at(F.array(*[F.lit(p) for p in patches]), F.col("patch_idx") + 1))
     return out.select(vis.columns), named
 

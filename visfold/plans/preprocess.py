@@ -10,7 +10,7 @@ except ``msin`` / ``msout`` (at most one each, first / last) and ``demixer``
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +23,7 @@ from ..operators import flagging as FL
 from ..operators import predict as PR
 from ..operators import soltab as ST
 from ..session import ensure_checkpoint_dir, scratch_path
-from ..sources.visibilities import DATA_COLUMNS, scan_visibilities, write_visibilities
+from ..sources.visibilities import DATA_COLUMNS, first_slots, rows_to_channels, scan_rows, write_visibilities
 
 
 #: Folder name of the Demixer's gains when the step names none.
@@ -40,6 +40,18 @@ class Inputs:
     gains: dict[str, DataFrame] = field(default_factory=dict)
     #: Folder under which the Demixer's gains are always written; a scratch folder when unset.
     gains_dir: str | None = None
+    #: (obs_id, first_slot) of the input's own slots; ``run_pipeline`` takes it from the scan.
+    first_slots: DataFrame | None = None
+    #: Whether a step has numbered the slots anew from 0.
+    slots_restart: bool = False
+
+    def first(self) -> DataFrame | int | None:
+        """First slot per observation at the current step, where it is known."""
+        if self.slots_restart:
+            return 0
+        if self.obs_meta is not None and "first_slot" in self.obs_meta.columns:
+            return self.obs_meta.select("obs_id", "first_slot")
+        return self.first_slots
 
 
 def _named(tables: Mapping[str, DataFrame], key, what: str) -> DataFrame:
@@ -83,8 +95,9 @@ def _applycal(vis, p, inp):
 
 
 def _averager(vis, p, inp):
-    first = inp.obs_meta.select("obs_id", "first_slot") if inp.obs_meta is not None and "first_slot" in inp.obs_meta.columns else None
-    return A.average(vis, timestep=p.get("timestep", 1), freqstep=p.get("freqstep", 1), obs_first=first)
+    first, step = inp.first(), p.get("timestep", 1)
+    inp.slots_restart |= step > 1
+    return A.average(vis, timestep=step, freqstep=p.get("freqstep", 1), obs_first=first)
 
 
 def _predict(vis, p, inp):
@@ -98,7 +111,7 @@ def _demixer(vis, p, inp):
     ensure_checkpoint_dir(vis.sparkSession)
     out, gains = DX.demix(vis.checkpoint(), _named(inp.sky_models, p["skymodel"], "sky model"), subtract=p.get("subtractsources"),
                           timestep=p.get("demixtimestep", 1), freqstep=p.get("demixfreqstep", 1),
-                          solint_t=p.get("solint_t", 4), solint_f=p.get("solint_f", 4), obs_meta=inp.obs_meta,
+                          solint_t=p.get("solint_t", 4), solint_f=p.get("solint_f", 4), obs_meta=inp.obs_meta, obs_first=inp.first(),
                           method=p.get("method", "lm"), gain=p.get("gain", "scalar"), gains_path=f"{folder.rstrip('/')}/{p.get('instrumentmodel', DEFAULT_GAINS)}")
     inp.gains["demixer"] = gains
     return out
@@ -180,6 +193,7 @@ def normalise_steps(steps: Iterable) -> list[tuple[str, dict]]:
 def preprocess(vis: DataFrame, steps: Iterable, inputs: Inputs | None = None) -> DataFrame:
     """Fold the steps over ``vis`` (``DataFrame.transform`` chain), lazily."""
     inputs = inputs or Inputs()
+    inputs.slots_restart = False
     for name, params in normalise_steps(steps):
         vis = vis.transform(lambda df, n=name, p=params: STEPS[n](df, p, inputs))
     return vis
@@ -189,12 +203,14 @@ def run_pipeline(spark: SparkSession, paths, steps: Iterable, output_dir: str, i
                  manifest: DataFrame | None = None) -> None:
     """Read observations, apply the steps and write them: ``msin`` and ``msout`` are always there,
     their parameters come from the list. Gains go to ``output_dir`` with ``_gains`` appended."""
-    inputs = inputs or Inputs()
     listed = normalise_steps(steps)
     params = dict(listed)
-    if inputs.gains_dir is None:
-        inputs.gains_dir = f"{output_dir.rstrip('/')}_gains"
-    vis = scan_visibilities(spark, paths, params.get("msin", {}).get("datacolumn", "DATA"), manifest)
+    column = params.get("msin", {}).get("datacolumn", "DATA")
+    rows = scan_rows(spark, paths, column, manifest)
+    inputs = inputs or Inputs()
+    # a copy: folder and slots are this run's own
+    inputs = replace(inputs, gains_dir=inputs.gains_dir or f"{output_dir.rstrip('/')}_gains", first_slots=first_slots(rows))
+    vis = rows_to_channels(rows, DATA_COLUMNS.get(column.upper(), column.lower()))
     out = preprocess(vis, [(n, p) for n, p in listed if n not in ("msin", "msout")], inputs)
     write_visibilities(out, output_dir, overwrite=params.get("msout", {}).get("overwrite", False))
 

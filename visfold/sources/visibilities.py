@@ -83,9 +83,19 @@ def _norm_path(c):
     return F.regexp_replace(c, r"/+$", "")
 
 
+def first_slots(rows: DataFrame) -> DataFrame:
+    """(obs_id, first_slot), from two columns of the rows as stored."""
+    return rows.groupBy("obs_id").agg(F.min("slot").alias("first_slot"))
+
+
 def scan_visibilities(spark: SparkSession, paths, data_column: str = "DATA",
                       manifest: DataFrame | None = None) -> DataFrame:
-    """MsIn: read one or many observations as one set and return channel rows.
+    """MsIn: read one or many observations as one set and return channel rows (see ``scan_rows``)."""
+    return rows_to_channels(scan_rows(spark, paths, data_column, manifest), DATA_COLUMNS.get(data_column.upper(), data_column.lower()))
+
+
+def scan_rows(spark: SparkSession, paths, data_column: str = "DATA", manifest: DataFrame | None = None) -> DataFrame:
+    """Read one or many observations as one set of rows as stored.
 
     ``paths``: a root with ``obs_id=<k>`` partitions, or observation folders
     listed in ``manifest`` (path, obs_id), whose ``obs_id`` is attached by an
@@ -111,8 +121,7 @@ def scan_visibilities(spark: SparkSession, paths, data_column: str = "DATA",
         df = df.join(per_observation(m), "_dir").drop("_dir")
         df = df.drop("obs_id") if "obs_id" in df.columns else df
         df = df.withColumnRenamed("_oid", "obs_id")
-    df = df.withColumn("obs_id", F.col("obs_id").cast("bigint"))
-    return rows_to_channels(df, col)
+    return df.withColumn("obs_id", F.col("obs_id").cast("bigint"))
 
 
 def select_data_column(rows: DataFrame, data_column: str) -> DataFrame:
