@@ -55,16 +55,21 @@ def _finite(z: Column) -> Column:
     return F.coalesce(z.getField("re") * 0.0 + z.getField("im") * 0.0 == 0.0, F.lit(False))
 
 
+def usable_for_fit(pols) -> Column:
+    """Cross-correlations, unflagged and finite in these polarisations, with a positive finite weight."""
+    use = F.col("ant1") != F.col("ant2")
+    for p in pols:
+        use = use & ~F.col("flag").getField(p) & _finite(F.col("data").getField(p))
+    return use & (F.col("weight") > 0) & (F.col("weight") < float("inf"))
+
+
 def demix_average(vis: DataFrame, n_patches: int, timestep: int = 1, freqstep: int = 1,
                   solint_t: int = 4, solint_f: int = 4, pols=DIAG, obs_first=None) -> DataFrame:
     """Average data (XX, YY unless told otherwise) and every patch model over (timestep, freqstep) bins,
     weighting unflagged, finite cross-correlation samples only. One row per bin with
     sum of weights ``w`` (bins without usable samples are dropped)."""
     v = _bins(vis, timestep, freqstep, solint_t, solint_f, obs_first)
-    use = (F.col("ant1") != F.col("ant2"))
-    for p in pols:
-        use = use & ~F.col("flag").getField(p) & _finite(F.col("data").getField(p))
-    use = use & (F.col("weight") > 0) & (F.col("weight") < float("inf"))
+    use = usable_for_fit(pols)
     aggs = [F.sum(F.when(use, F.col("weight"))).alias("w")]
 
     def weighted(x: Column) -> Column:
@@ -153,14 +158,18 @@ def fit_direction_gains(avg: DataFrame, n_patches: int, max_iter: int = 100, gai
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         return solve_group(pdf, n_patches, max_iter, gain)
+    return solvable(avg.select(*cols), ["obs_id", "tsol", "fsol"], solve, GAIN_SCHEMA)
+
+
+def solvable(avg: DataFrame, keys: list[str], solve, schema: str) -> DataFrame:
+    """Apply a solver to the groups of ``keys``."""
     # The averaged input is small in bytes but costly to solve: an explicit
     # repartition on the group key keeps AQE from coalescing every interval into
     # one task (the group-by reuses this partitioning, no extra exchange).
     spark = avg.sparkSession
     n = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    keyed = avg.select(*cols).repartition(n, "obs_id", "tsol", "fsol")
     ship_package(spark)
-    gains = keyed.groupBy("obs_id", "tsol", "fsol").applyInPandas(solve, GAIN_SCHEMA)
+    gains = avg.repartition(n, *keys).groupBy(*keys).applyInPandas(solve, schema)
     # gains of an interval that didn't converge are null, so its data is flagged, not changed
     return gains.withColumns({g: F.when(F.col("converged"), F.col(g)) for g in ("g_re", "g_im")})
 
@@ -225,7 +234,8 @@ def demix(vis: DataFrame, components: DataFrame, subtract=None, timestep: int =
           gains_path: str | None = None, gain: str = "scalar", obs_first: DataFrame | int | None = None):
     """Demixer step. Returns (demixed vis, gains). ``subtract``: patch names (default all).
 
-    ``method='lm'``: station solver, with gains of the kind ``gain``; ``'scalar'``: native per-patch factor.
+    ``method='lm'``: station solver for all patches together, with gains of the kind ``gain``; ``'unmix'``: the same solver patch by
+    patch, after the mixing of averaged patches is undone (``unmix``); ``'scalar'``: native per-patch factor.
     ``obs_first``: as in ``with_relative_slot``. With ``gains_path`` the gains are written there, partitioned by ``obs_id``.
     """
     if obs_first is None:  # read once for the fit and the subtraction
@@ -238,18 +248,20 @@ def demix(vis: DataFrame, components: DataFrame, subtract=None, timestep: int =
     idx = [patches.index(p) for p in subtract]
     if gain not in GAINS:
         raise ValueError(f"gain must be one of {sorted(GAINS)}, got {gain!r}")
-    avg = demix_average(vm, len(patches), timestep, freqstep, solint_t, solint_f, GAINS[gain][0], obs_first)
-    if method == "lm":
-        gains = fit_direction_gains(avg, len(patches), gain=gain)
-    elif method == "scalar":
-        gains = fit_direction_scalar(avg, len(patches))
+    if method == "unmix":
+        from .unmix import fit_unmixed_gains, patch_centres, unmix_average
+        avg = unmix_average(vm, patch_centres(components), timestep, freqstep, solint_t, solint_f, GAINS[gain][0], obs_meta, obs_first)
+        gains = fit_unmixed_gains(avg, gain=gain)
+    elif method in ("lm", "scalar"):
+        avg = demix_average(vm, len(patches), timestep, freqstep, solint_t, solint_f, GAINS[gain][0], obs_first)
+        gains = fit_direction_gains(avg, len(patches), gain=gain) if method == "lm" else fit_direction_scalar(avg, len(patches))
     else:
-        raise ValueError(f"method must be 'lm' or 'scalar', got {method!r}")
+        raise ValueError(f"method must be 'lm', 'unmix' or 'scalar', got {method!r}")
     gains = gains.checkpoint()  # small, reused by the size check, the join and the sink
     if gains_path is not None:
         write_demix_gains(gains, patches, gains_path)
     out = subtract_sources(vm, gains, idx, solint_t, solint_f, timestep, freqstep, scalar=(method == "scalar"),
-                           gain=gain if method == "lm" else "scalar", obs_first=obs_first)
+                           gain="scalar" if method == "scalar" else gain, obs_first=obs_first)
     named = gains.withColumn("patch", F.element_at(F.array(*[F.lit(p) for p in patches]), F.col("patch_idx") + 1))
     return out.select(vis.columns), named
 

@@ -12,6 +12,7 @@ from ..operators import averaging as A
 from ..operators import demix as DX
 from ..operators import flagging as FL
 from ..operators import predict as PR
+from ..operators import unmix as UM
 from ..sources import testviews as TV
 from . import oracle as O
 from .queries import _DX, _flux_sql, _predict_sql, _shape_of_sql, _vis, register
@@ -193,10 +194,21 @@ def _sim_gain(ant, d: int):
     return F.lit(1.0) + F.lit(0.05 * (d + 1)) * ant, F.lit(0.1 * (d + 1)) * ant
 
 
-def _simulated_sql() -> str:
+def _simulated(spark, sf_dir, components):
+    """Cross-correlations of the patches' models times known gains, with the models' columns."""
+    vm, patches = PR.patch_models(FL.clear_flags(_vis(spark, sf_dir)).filter("ant1 <> ant2"), components)
+    total = C.c_zero()
+    for d in range(len(patches)):
+        (a1, p1), (a2, p2) = _sim_gain(F.col("ant1"), d), _sim_gain(F.col("ant2"), d)
+        total = C.c_add(total, C.c_mul(F.col(f"model_{d}"), C.c_from_polar(a1 * a2, p1 - p2)))
+    return vm.withColumn("_s", total).withColumn("data", PR.unpolarised(F.col("_s"))).drop("_s")
+
+
+def _simulated_sql(sources=tuple(c[1:] for c in TV.SKY_COMPONENTS)) -> str:
+    """``sources``: tuples that end in l, m and flux."""
     parts = []
-    for d, comp in enumerate(TV.SKY_COMPONENTS):
-        re, im = O.comp_term_sql(*comp[3:6])
+    for d, comp in enumerate(sources):
+        re, im = O.comp_term_sql(*comp[-3:])
         a = f"((1e0 + {0.05 * (d + 1)!r}e0*ant1)*(1e0 + {0.05 * (d + 1)!r}e0*ant2))"
         ph = f"({0.1 * (d + 1)!r}e0*ant1 - {0.1 * (d + 1)!r}e0*ant2)"
         parts.append((f"({a}*(({re})*cos({ph}) - ({im})*sin({ph})))", f"({a}*(({re})*sin({ph}) + ({im})*cos({ph})))"))
@@ -207,7 +219,10 @@ def _taken_out(sim, patches, gain: str):
     """Fit gains of this kind to simulated data and subtract: per observation, is less than 1e-7 of the input's rms left?"""
     avg = DX.demix_average(sim, len(patches), 1, 1, 4, 4, DX.GAINS[gain][0])
     gains = DX.fit_direction_gains(avg, len(patches), gain=gain).checkpoint()
-    out = DX.subtract_sources(sim, gains, range(len(patches)), 4, 4, 1, 1, gain=gain)
+    return _rms_left(sim, DX.subtract_sources(sim, gains, range(len(patches)), 4, 4, 1, 1, gain=gain))
+
+
+def _rms_left(sim, out):
     left = A.rms_power(FL.clear_flags(out)).withColumnRenamed("rms", "after")
     counts = sim.groupBy("obs_id").agg(F.count(F.lit(1)).alias("n"))
     return (counts.join(A.rms_power(sim), "obs_id").join(left, "obs_id")
@@ -218,13 +233,74 @@ def _taken_out(sim, patches, gain: str):
   {O.qr('sqrt(sum(2e0*(re*re + im*im))/(count(*)*4e0))')} AS rms_in, true AS fits FROM sim GROUP BY obs_id""")
 def q_fit_direction_gains(spark, sf_dir):
     """Simulated with known gains per antenna and direction: the fitted model takes the data out again."""
-    vm, patches = PR.patch_models(FL.clear_flags(_vis(spark, sf_dir)).filter("ant1 <> ant2"), TV.sky_components(spark))
-    total = C.c_zero()
-    for d in range(len(patches)):
-        (a1, p1), (a2, p2) = _sim_gain(F.col("ant1"), d), _sim_gain(F.col("ant2"), d)
-        total = C.c_add(total, C.c_mul(F.col(f"model_{d}"), C.c_from_polar(a1 * a2, p1 - p2)))
-    sim = vm.withColumn("_s", total).withColumn("data", PR.unpolarised(F.col("_s"))).drop("_s")
-    return _taken_out(sim, patches, "scalar")
+    return _taken_out(_simulated(spark, sf_dir, TV.sky_components(spark)), [c[2] for c in TV.SKY_COMPONENTS], "scalar")
+
+
+# ------------------------------------------------- demix, the mixing undone
+
+#: Two patches within one fringe of each other in every bin.
+CLOSE_PATCHES = (("close_a", "near_a", 1e-2, 2e-2, 1e0), ("close_b", "near_b", -2e-2, 1e-2, 5e-1))
+_UNMIX = dict(timestep=4, freqstep=4, solint_t=5, solint_f=1)
+#: Bins that tell the patches apart less well would compare rounding errors.
+_UNMIX_CONDITION = 1e4
+
+
+def _close_sky(spark):
+    return spark.createDataFrame(list(CLOSE_PATCHES), "name string, patch string, l double, m double, flux_i double")
+
+
+def _unmix_sql() -> str:
+    """Sums per bin, then the 2x2 inverse written out: s_a = (v_a - A v_b) / (1 - |A|^2), s_b = (v_b - conj(A) v_a) / (1 - |A|^2)."""
+    sums = ["sum(weight) AS w"]
+    phases, models = [], []
+    for d, (_, _, l_, m_, flux) in enumerate(CLOSE_PATCHES):
+        n_ = f"(sqrt(1e0 - {O.dbl(l_ * l_)} - {O.dbl(m_ * m_)}) - 1e0)"
+        phases.append(f"2e0*pi()*freq/{O.C_LIGHT}*(u*{O.dbl(l_)} + v*{O.dbl(m_)} + w*{n_}) AS p{d}")
+        models.append(f"{O.dbl(flux)}*sum(weight)/sum(weight) AS m{d}")  # phased to its own centre, a point is constant
+        for p in ("xx", "yy"):
+            sums.append(f"sum(weight*({p}_re*cos(p{d}) - {p}_im*sin(p{d})))/sum(weight) AS {p}{d}_re")
+            sums.append(f"sum(weight*({p}_re*sin(p{d}) + {p}_im*cos(p{d})))/sum(weight) AS {p}{d}_im")
+    sums += ["sum(weight*cos(p0 - p1))/sum(weight) AS a_re", "sum(weight*sin(p0 - p1))/sum(weight) AS a_im"]
+    clear = []
+    for d, other, sign in ((0, 1, ""), (1, 0, "-")):  # the matrix entry of the second row is the conjugate
+        cols = [f"{d} AS patch_idx", "w*q AS w", f"m{d} AS m_re", "0e0 AS m_im"]
+        for p in ("xx", "yy"):
+            cols.append(f"({p}{d}_re - (a_re*{p}{other}_re - ({sign}a_im)*{p}{other}_im))/q AS v{p}_re")
+            cols.append(f"({p}{d}_im - (a_re*{p}{other}_im + ({sign}a_im)*{p}{other}_re))/q AS v{p}_im")
+        clear.append(f"SELECT obs_id, tsol, fsol, tbin, fbin, ant1, ant2, {', '.join(cols)} FROM apart")
+    keys = "obs_id, tsol, fsol, tbin, fbin, ant1, ant2"
+    return O.with_vis(
+        "fs AS (SELECT obs_id, min(slot) AS first_slot FROM vis4 GROUP BY obs_id)",
+        f"ph AS (SELECT vis4.*, {', '.join(phases)}, CAST(floor((slot - first_slot)/4e0) AS BIGINT) AS tbin, CAST(floor(chan/4e0) AS INT) AS fbin "
+        "FROM vis4 JOIN fs USING (obs_id) WHERE ant1 <> ant2 AND NOT fxx AND NOT fyy)",
+        f"bins AS (SELECT obs_id, CAST(floor(tbin/5e0) AS BIGINT) AS tsol, fbin AS fsol, tbin, fbin, ant1, ant2, {', '.join(sums + models)} "
+        "FROM ph GROUP BY obs_id, tbin, fbin, ant1, ant2)",
+        f"apart AS (SELECT *, 1e0 - a_re*a_re - a_im*a_im AS q FROM bins "
+        f"WHERE 1e0 + sqrt(a_re*a_re + a_im*a_im) <= {O.dbl(_UNMIX_CONDITION)}*(1e0 - sqrt(a_re*a_re + a_im*a_im)))",
+        f"s AS ({' UNION ALL '.join(clear)})",
+    ) + f"SELECT {keys}, patch_idx, " + ", ".join(f"{O.qr(c, 3)} AS {c}" for c in _UNMIX_VALUES) + " FROM s"
+
+
+_UNMIX_VALUES = ("w", "vxx_re", "vxx_im", "vyy_re", "vyy_im", "m_re", "m_im")
+
+
+@register("unmix_average", _unmix_sql())
+def q_unmix_average(spark, sf_dir):
+    """Each patch's own averaged data, the mixing with the other one undone."""
+    comps = _close_sky(spark)
+    vm, _ = PR.patch_models(_vis(spark, sf_dir), comps)
+    out = UM.unmix_average(vm, UM.patch_centres(comps), **_UNMIX, max_condition=_UNMIX_CONDITION)
+    return out.select(*UM.BIN, "patch_idx", *[qround(F.col(c), 3).alias(c) for c in _UNMIX_VALUES])
+
+
+@register("demix_unmixed", O.with_vis(_simulated_sql(CLOSE_PATCHES)) + f"""SELECT obs_id, count(*) AS n,
+  {O.qr('sqrt(sum(2e0*(re*re + im*im))/(count(*)*4e0))')} AS rms_in, true AS fits FROM sim GROUP BY obs_id""")
+def q_demix_unmixed(spark, sf_dir):
+    """Close patches, simulated with known gains per antenna and direction, fitted one by one and taken out again."""
+    comps = _close_sky(spark)
+    sim = _simulated(spark, sf_dir, comps)
+    out, _ = DX.demix(sim.drop("model_0", "model_1"), comps, method="unmix", **_UNMIX)
+    return _rms_left(sim, out)
 
 
 #: Known 2x2 gains of the simulation: real parts of (xx, xy, yx, yy) as (constant, per antenna) by direction.
