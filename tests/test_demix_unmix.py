@@ -124,3 +124,19 @@ def test_a_sky_in_blocks_equals_one_constant(spark, vis, radec):
     for k in range(3):
         x, y = (p.agg(F.sum(f"model_{k}.re").alias("s"), F.sum(F.abs(f"model_{k}.im")).alias("t")).first() for p in (pa, pb))
         assert x.s == pytest.approx(y.s, rel=1e-9, abs=1e-6) and x.t == pytest.approx(y.t, rel=1e-9)
+
+
+@pytest.mark.parametrize("before,copies", [([{"PreFlagger": {"chan": "[3]"}}], 0), ([{"AOFlagger": {}}], 1), ([{"Averager": {"timestep": 2}}], 1)])
+def test_demixer_copies_only_what_a_shuffle_made(spark, vis, monkeypatch, before, copies):
+    from visfold.plans import preprocess as PP
+    comps, made, written = sky(spark, 2), [], PP._written
+    model = PR.predict(FL.clear_flags(vis).filter("slot < 8").withColumn("weight", F.lit(1.0)), comps)
+    monkeypatch.setattr(PP, "_written", lambda df: made.append(1) or written(df))
+    demixer = {"Demixer": {"skymodel": "sky", "method": "unmix", "demixtimestep": 4, "demixfreqstep": 4, "solint_t": 2}}
+    out = PP.preprocess(model, [*before, demixer], PP.Inputs(sky_models={"sky": comps}))
+    known = PP.preprocess(model, before)
+    assert len(made) == copies
+    assert out.columns == known.columns and out.count() == known.count()
+    good = out.filter("NOT flag.xx").agg(F.max(C.c_abs(F.col("data.xx"))).alias("left"), F.count(F.lit(1)).alias("n")).first()
+    # two slots averaged: the phases turn by at most 0.06 between them, and a mean loses their square by 8
+    assert good.n > 0 and good.left < (1e-7 if "Averager" not in before[0] else 1e-3)

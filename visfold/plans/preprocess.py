@@ -44,6 +44,8 @@ class Inputs:
     first_slots: DataFrame | None = None
     #: Whether a step has numbered the slots anew from 0.
     slots_restart: bool = False
+    #: Whether a step so far shuffles the visibilities.
+    shuffled: bool = False
 
     def first(self) -> DataFrame | int | None:
         """First slot per observation at the current step, where it is known."""
@@ -75,6 +77,7 @@ def _preflagger(vis, p, inp):
 
 
 def _aoflagger(vis, p, inp):
+    inp.shuffled = True
     return DF.dynamic_flag(vis, **{k: v for k, v in p.items() if k != "memorymax"})  # Spark manages memory
 
 
@@ -97,6 +100,7 @@ def _applycal(vis, p, inp):
 def _averager(vis, p, inp):
     first, step = inp.first(), p.get("timestep", 1)
     inp.slots_restart |= step > 1
+    inp.shuffled = True
     return A.average(vis, timestep=step, freqstep=p.get("freqstep", 1), obs_first=first)
 
 
@@ -104,12 +108,21 @@ def _predict(vis, p, inp):
     return PR.predict(vis, _named(inp.sky_models, p["sourcedb"], "sky model"), inp.obs_meta)
 
 
+def _written(vis: DataFrame) -> DataFrame:
+    """The visibilities as a table in the shared folder: columnar, so a later scan reads only what it needs."""
+    path = scratch_path(vis.sparkSession, "before-demixing")
+    vis.write.parquet(path)
+    return vis.sparkSession.read.schema(vis.schema).parquet(path)
+
+
 def _demixer(vis, p, inp):
-    """Fit and subtract. The rows up to here are needed twice (fit, then subtract), so they are
-    checkpointed; the gains are always written, one folder per observation."""
+    """Fit and subtract. The rows up to here are needed twice: the fit reads them and leaves small sums, the subtraction
+    reads them again. Row-local steps are simply run twice, without a copy of the visibilities; what a shuffling step
+    made is written once. The gains are always written, one folder per observation."""
     folder = inp.gains_dir or scratch_path(vis.sparkSession, "gains")
     ensure_checkpoint_dir(vis.sparkSession)
-    out, gains = DX.demix(vis.checkpoint(), _named(inp.sky_models, p["skymodel"], "sky model"), subtract=p.get("subtractsources"),
+    vis = _written(vis) if inp.shuffled else vis
+    out, gains = DX.demix(vis, _named(inp.sky_models, p["skymodel"], "sky model"), subtract=p.get("subtractsources"),
                           timestep=p.get("demixtimestep", 1), freqstep=p.get("demixfreqstep", 1),
                           solint_t=p.get("solint_t", 4), solint_f=p.get("solint_f", 4), obs_meta=inp.obs_meta, obs_first=inp.first(),
                           method=p.get("method", "lm"), gain=p.get("gain", "scalar"), gains_path=f"{folder.rstrip('/')}/{p.get('instrumentmodel', DEFAULT_GAINS)}")
@@ -193,7 +206,7 @@ def normalise_steps(steps: Iterable) -> list[tuple[str, dict]]:
 def preprocess(vis: DataFrame, steps: Iterable, inputs: Inputs | None = None) -> DataFrame:
     """Fold the steps over ``vis`` (``DataFrame.transform`` chain), lazily."""
     inputs = inputs or Inputs()
-    inputs.slots_restart = False
+    inputs.slots_restart = inputs.shuffled = False
     for name, params in normalise_steps(steps):
         vis = vis.transform(lambda df, n=name, p=params: STEPS[n](df, p, inputs))
     return vis
