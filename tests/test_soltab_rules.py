@@ -127,6 +127,16 @@ def test_pack_unpack_roundtrip_and_equality(spark):
     assert not r2.equal and r2.cell_diffs == 4
 
 
+def test_unpacked_cells_do_not_carry_their_axes(spark):
+    """A cell beside its table's whole time axis is memory that grows with the square of the axis."""
+    dense = SO.pack_soltab(tab(spark, axes=("time", "ant", "pol"), n_time=7, pols=("XX", "YY")), chunk_cells=5)
+    cells = SO.unpack_soltab(dense)
+    assert cells.select("time", "ant", "pol").distinct().count() == cells.count() == 28
+    plan = cells._jdf.queryExecution().sparkPlan().toString()
+    exploded, = [line for line in plan.splitlines() if "Generate posexplode" in line and "_axis" in line]
+    assert "_axis" not in exploded.rsplit("), [", 1)[1].split("]")[0], exploded  # what a cell keeps of its chunk
+
+
 def test_nan_differs_from_nan(spark):
     a = tab(spark).withColumn("val", F.lit(float("nan")))
     assert not ST.solutions_equal(a, a).collect()[0].equal

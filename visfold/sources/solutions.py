@@ -94,23 +94,26 @@ def unpack_soltab(dense: DataFrame) -> DataFrame:
     d = d.withColumn("_strides", F.transform("_dims", lambda x, k: F.aggregate(
         F.slice(F.col("_dims"), k + 2, F.greatest(F.size("_dims") - k - 1, F.lit(0))),
         F.lit(1).cast("bigint"), lambda acc, y: acc * y)))
-    e = d.select("solset", "soltab", "soltype", "axes", "_dims", "_strides",
-                 *[f"{a}_axis" for a in S.VALID_AXIS_NAMES],
-                 F.col("offset"), F.posexplode(F.arrays_zip("val", "weight")).alias("k", "cell"))
-    e = e.withColumn("_i", F.col("offset") + F.col("k"))
-    pos = F.transform("_dims", lambda dim, k: F.pmod(
-        F.floor(F.col("_i") / F.element_at("_strides", k + 1)), dim).cast("int"))
-    e = e.withColumn("pos", pos)
-
-    def value(a: str, kind: str) -> Column:
-        idx = F.array_position("axes", a)
-        return F.when(idx > 0, F.element_at(ax[a], F.element_at("pos", idx.cast("int")) + 1)).cast(kind)
-
+    # The axis values are read where the arrays are: a cell must not carry its table's axes.
+    where = {a: F.array_position("axes", a).cast("int") for a in S.VALID_AXIS_NAMES}
+    d = d.withColumns({f"_{k}_{a}": F.when(where[a] > 0, F.element_at(f"_{k}", where[a]))
+                       for a in S.VALID_AXIS_NAMES for k in ("strides", "dims")})
+
+    def index_on(k: Column, stride: Column, dim: Column) -> Column:
+        return F.pmod(F.floor((F.col("offset") + k) / stride), dim).cast("int")
+
+    def cell(z: Column, k: Column) -> Column:
+        at = {a: F.element_at(ax[a], index_on(k, F.col(f"_strides_{a}"), F.col(f"_dims_{a}")) + 1) for a in S.VALID_AXIS_NAMES}
+        return F.struct(*[F.when(where[a] > 0, at[a]).alias(a) for a in S.VALID_AXIS_NAMES],
+                        z["val"].alias("val"), z["weight"].alias("weight"))
+
+    e = d.select("solset", "soltab", "soltype", "axes", "_dims", "_strides", "offset",
+                 F.posexplode(F.transform(F.arrays_zip("val", "weight"), cell)).alias("k", "cell"))
+    pos = F.transform("_dims", lambda dim, j: index_on(F.col("k"), F.element_at("_strides", j + 1), dim))
+    kinds = {"time": "double", "freq": "double", "ant": "string", "pol": "string", "dir": "string"}
     return e.select(
-        "solset", "soltab", "soltype", "axes", "pos",
-        value("time", "double").alias("time"), value("freq", "double").alias("freq"),
-        value("ant", "string").alias("ant"), value("pol", "string").alias("pol"),
-        value("dir", "string").alias("dir"),
+        "solset", "soltab", "soltype", "axes", pos.alias("pos"),
+        *[F.col(f"cell.{a}").cast(kind).alias(a) for a, kind in kinds.items()],
         F.col("cell.val").cast("double").alias("val"), F.col("cell.weight").cast("float").alias("weight"))
 
 
