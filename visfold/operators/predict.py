@@ -6,7 +6,8 @@ to its visibilities (a broadcast while the arrays are small, else a join on obs_
 The sum over components is then one ``aggregate`` over the row's own array: every
 visibility row is computed where it is read, with no shuffle and no pairs. The same path
 serves every model, from one flat point source to a sky file with spectra and
-Gaussians, given by (ra, dec) or by (l, m).
+Gaussians, given by (ra, dec) or by (l, m). Beyond ``FEW_COMPONENTS`` the same sum is taken by numpy in an Arrow function
+(``sky_sums``), for a batch of rows and a tile of components at a time, still where the row is read.
 
 A larger sky stays a table: its components are dealt into rows of at most ``BLOCK``, every distinct (observation, u, v, w, freq)
 meets each block through a salted equi-join, and partial sums per block are added up. What is shuffled is narrow beside the
@@ -26,8 +27,11 @@ from pyspark.sql import functions as F
 from ..functions import cplx as C
 from ..functions import sky as SK
 from ..plans.joins import per_observation, row_count_at_most
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, ship_package
+from .sky_sums import SkyArrays, model_function
 
+#: Components up to which a row's sum is one expression.
+FEW_COMPONENTS = 64
 #: Components that a plan holds as one constant (about 100 bytes each); beyond, the sky is joined in blocks.
 MAX_COMPONENTS = 50_000
 #: Components in a row of a larger sky, a power of two (about 130 bytes each).
@@ -110,14 +114,46 @@ def unpolarised(m: Column) -> Column:
     return C.jones(m, C.c_zero(), C.c_zero(), m)
 
 
+_POINT = ["obs_id", "u", "v", "w", "freq"]
+
+
+def _models_of(vis: DataFrame, components: DataFrame, obs_meta: DataFrame | None, per_patch: bool):
+    """Add ``_m0 ..``: the model of all components or of each patch, for a sky that a plan may hold; returns (df, patches)."""
+    sky = Sky(components)
+    patches = sky.patches if per_patch else [None]
+    if sky.size <= FEW_COMPONENTS:
+        v = _with_sky(vis, sky, obs_meta)
+        for k, p in enumerate(patches):
+            own = F.filter("_sky", lambda c, p=p: c["patch"] == F.lit(p)) if per_patch else F.col("_sky")
+            v = v.withColumn(f"_m{k}", model_sum(own))
+        return v.drop("_sky"), patches
+    args = [F.col(c) for c in ("u", "v", "w", "freq")]
+    v = vis
+    if sky.needs_phase_centre:
+        if obs_meta is None:
+            raise ValueError("components given by (ra, dec) need obs_meta (obs_id, ra0, dec0)")
+        centres = obs_meta.select("obs_id", F.col("ra0").cast("double").alias("_ra0"), F.col("dec0").cast("double").alias("_dec0"),
+                                  F.lit(True).alias("_placed")).distinct()
+        v = v.join(per_observation(centres), "obs_id", "left")
+        args += [F.col("_ra0"), F.col("_dec0")]
+    ship_package(vis.sparkSession)
+    held = components.select(_cells(components).alias("c")).select("c.*", (F.lit(1.0) / F.col("c.ref_freq")).alias("per_ref"))
+    arrays = SkyArrays.of(held.collect())  # as many as the plan may hold
+    # little input, much work: as many tasks as keep all cores busy, however few the input has
+    spark = vis.sparkSession
+    n = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    v = v.repartition(n, *_POINT).withColumn("_models", model_function(arrays, patches)(*args))
+    for k in range(len(patches)):
+        m = F.col("_models").getField(f"m{k}")
+        v = v.withColumn(f"_m{k}", F.when(F.col("_placed"), m) if sky.needs_phase_centre else m)
+    return v.drop("_models", "_ra0", "_dec0", "_placed"), patches
+
+
 def _held(components: DataFrame, max_components: int) -> bool:
     """May the plan hold this sky as one constant?"""
     return row_count_at_most(components, max_components)
 
 
-_POINT = ["obs_id", "u", "v", "w", "freq"]
-
-
 def _block_sums(vis: DataFrame, components: DataFrame, obs_meta: DataFrame | None, per_patch: bool, block: int = BLOCK):
     """Add ``_m0 ..``: the model of all components or of each patch, for a sky joined in blocks; returns (df, patches).
 
@@ -163,7 +199,7 @@ def predict(vis: DataFrame, components: DataFrame, obs_meta: DataFrame | None =
             block: int = BLOCK) -> DataFrame:
     """Replace ``data`` by the model visibilities of the whole sky model, of any size."""
     if _held(components, max_components):
-        v = _with_sky(vis, Sky(components), obs_meta).withColumn("_m0", model_sum(F.col("_sky")))
+        v, _ = _models_of(vis, components, obs_meta, False)
     else:
         v, _ = _block_sums(vis, components, obs_meta, False, block)
     return v.withColumn("data", unpolarised(F.col("_m0"))).select(vis.columns)
@@ -172,17 +208,11 @@ def predict(vis: DataFrame, components: DataFrame, obs_meta: DataFrame | None =
 def patch_models(vis: DataFrame, components: DataFrame, obs_meta: DataFrame | None = None, max_components: int = MAX_COMPONENTS,
                  block: int = BLOCK):
     """Add one model column per patch (``model_<k>``, struct<re,im>); returns (df, patches)."""
-    if not _held(components, max_components):
+    if _held(components, max_components):
+        v, patches = _models_of(vis, components, obs_meta, True)
+    else:
         v, patches = _block_sums(vis, components, obs_meta, True, block)
-        return v.withColumnsRenamed({f"_m{k}": f"model_{k}" for k in range(len(patches))}), patches
-    sky = Sky(components)
-    v = _with_sky(vis, sky, obs_meta)
-
-    def of(patch: str) -> Column:
-        return F.filter("_sky", lambda c: c["patch"] == F.lit(patch))
-    for k, p in enumerate(sky.patches):
-        v = v.withColumn(f"model_{k}", model_sum(of(p)))
-    return v.drop("_sky"), sky.patches
+    return v.withColumnsRenamed({f"_m{k}": f"model_{k}" for k in range(len(patches))}), patches
 
 
 def predict_per_patch(vis: DataFrame, components: DataFrame, obs_meta: DataFrame | None = None) -> DataFrame:
