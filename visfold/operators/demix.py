@@ -270,4 +270,6 @@ def write_demix_gains(gains: DataFrame, patches, path: str, mode: str = "overwri
     """Gains sink: one partition folder per observation (unique per input); the folders of other
     observations stay as they are."""
     named = gains.withColumn("patch", F.element_at(F.array(*[F.lit(p) for p in patches]), F.col("patch_idx") + 1))
+    # ranges of intervals: a task meets few observations and opens few files, and a large observation is several tasks' work
+    named = named.repartitionByRange("obs_id", "tsol", "fsol")
     named.write.mode(mode).partitionBy("obs_id").option("partitionOverwriteMode", "dynamic").parquet(path)
