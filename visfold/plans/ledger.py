@@ -13,7 +13,9 @@ takes what isn't committed: failed inputs are tried again, committed ones aren't
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,8 @@ from .preprocess import Inputs, normalise_steps, run_pipeline
 LEDGER = "run int, seq bigint, obs_id bigint, path string, state string, n_rows bigint, error string"
 #: Columns that an input must have besides its data column.
 NEEDED = {"slot", "time", "ant1", "ant2", "u", "v", "w", "chan", "freq", "weight", "flag"}
+#: Inputs whose columns are read at a time.
+CHECKS_AT_ONCE = 16
 #: Letters of an error that the ledger keeps.
 ERROR_CHARS = 2000
 
@@ -66,6 +70,29 @@ def _check_input(spark: SparkSession, path: str, column: str) -> None:
         raise ValueError(f"the input lacks the columns {lacking}")
 
 
+def _input_error(spark: SparkSession, path: str, column: str) -> Exception | None:
+    """What ``_check_input`` raises."""
+    try:
+        _check_input(spark, path, column)
+    except Exception as error:
+        return error
+    return None
+
+
+def _rows_written(spark: SparkSession, output_dir: str, ids: list) -> dict:
+    """Rows in the output folders of these observations. Only they are listed: the output holds every batch before."""
+    root = output_dir.rstrip("/")
+    folders = ",".join(f"obs_id={o}" for o in ids if o is not None)
+    there = spark.read.option("basePath", root)
+    try:
+        done = there.parquet(f"{root}/{{{folders}}}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}  # observations without rows have no folder
+    return {r["obs_id"]: r["count"] for r in done.groupBy(F.col("obs_id").cast("bigint").alias("obs_id")).count().collect()}
+
+
 def run_observations(spark: SparkSession, manifest: DataFrame, steps: Iterable, output_dir: str, ledger_dir: str,
                      inputs: Inputs | None = None, batch: int = 64) -> DataFrame:
     """Process every input of ``manifest`` (path, obs_id) that the ledger doesn't call committed; the latest states.
@@ -96,8 +123,7 @@ def run_observations(spark: SparkSession, manifest: DataFrame, steps: Iterable,
         try:
             run_pipeline(spark, [p for _, p in group], listed, output_dir, inputs, pairs)
             written = dict.fromkeys((o for o, _ in group), 0)
-            done = spark.read.parquet(output_dir).filter(F.col("obs_id").isin(list(written))).groupBy("obs_id").count()
-            written.update((r["obs_id"], r["count"]) for r in done.collect())
+            written.update(_rows_written(spark, output_dir, [o for o, _ in group]))
         except Exception as error:  # any failure is the group's, until it is one observation's
             if len(group) == 1:
                 fail(group[0], error)
@@ -111,11 +137,10 @@ def run_observations(spark: SparkSession, manifest: DataFrame, steps: Iterable,
     def start(group: list[tuple]) -> None:
         ledger.record((o, p, "staged", None, None) for o, p in group)
         readable = []
-        for obs in group:
-            try:
-                _check_input(spark, obs[1], column)
+        for obs, error in zip(group, pool.map(lambda obs: _input_error(spark, obs[1], column), group)):
+            if error is None:
                 readable.append(obs)
-            except Exception as error:  # recorded, the others go on
+            else:  # recorded, the others go on
                 fail(obs, error)
         if readable:
             attempt(readable)
@@ -123,11 +148,12 @@ def run_observations(spark: SparkSession, manifest: DataFrame, steps: Iterable,
     committed = latest_states(read_ledger(spark, ledger_dir)).filter("state = 'committed'").select("obs_id", "path")
     todo = manifest.join(committed, ["obs_id", "path"], "left_anti").select("obs_id", "path").orderBy("obs_id")
     group: list[tuple] = []
-    for r in todo.toLocalIterator():
-        group.append((r["obs_id"], r["path"]))
-        if len(group) == batch:
+    with ThreadPoolExecutor(CHECKS_AT_ONCE) as pool:
+        for r in todo.toLocalIterator():
+            group.append((r["obs_id"], r["path"]))
+            if len(group) == batch:
+                start(group)
+                group = []
+        if group:
             start(group)
-            group = []
-    if group:
-        start(group)
     return latest_states(read_ledger(spark, ledger_dir))
