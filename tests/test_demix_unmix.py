@@ -140,3 +140,26 @@ def test_demixer_copies_only_what_a_shuffle_made(spark, vis, monkeypatch, before
     good = out.filter("NOT flag.xx").agg(F.max(C.c_abs(F.col("data.xx"))).alias("left"), F.count(F.lit(1)).alias("n")).first()
     # two slots averaged: the phases turn by at most 0.06 between them, and a mean loses their square by 8
     assert good.n > 0 and good.left < (1e-7 if "Averager" not in before[0] else 1e-3)
+
+
+def test_gains_are_few_files(spark, tmp_path):
+    """Not a file per task and observation: ranges of intervals meet few observations."""
+    import glob
+    rows = [(o, t, 0, 0, a, None, 1.0, 0.0, 1, True) for o in range(6) for t in range(8) for a in range(2)]
+    gains = spark.createDataFrame(rows, DX.GAIN_SCHEMA).repartition(16, "obs_id", "tsol")
+    DX.write_demix_gains(gains, ["p"], f"{tmp_path}/g")
+    assert len(glob.glob(f"{tmp_path}/g/obs_id=*/*.parquet")) <= 6 + int(spark.conf.get("spark.sql.shuffle.partitions"))
+    back = spark.read.parquet(f"{tmp_path}/g")
+    assert back.count() == len(rows) and back.filter("patch = 'p'").select("obs_id", "tsol", "ant").distinct().count() == len(rows)
+
+
+def test_a_large_sky_is_summed_by_all_cores_without_arrays_per_row(spark, vis):
+    comps = spark.createDataFrame([(f"c{k}", f"p{k % 2}", 1e-4 * k, 2e-3, 1.0) for k in range(100)],
+                                  "name string, patch string, l double, m double, flux_i double")
+    out = PR.predict(vis.filter("slot < 3").coalesce(1), comps)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "_sky" not in plan
+    assert out.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+    few, _ = PR.patch_models(vis.filter("slot < 3"), comps)
+    m, d = (df.agg(F.sum(c).alias("s")).first().s for df, c in ((few, F.col("model_0.re") + F.col("model_1.re")), (out, "data.xx.re")))
+    assert abs(m - d) < 1e-6

@@ -82,6 +82,17 @@ def test_work_without_a_ledger_entry_is_done_again(spark, inputs):
     assert got.first()["n_rows"] == spark.read.parquet(f"{root}/out").count()
 
 
+def test_a_batch_reads_only_its_own_output(spark, inputs):
+    """Another observation's spoilt output is nothing to this batch, and folders that aren't there count no rows."""
+    manifest, root = inputs
+    L.run_observations(spark, manifest.filter("obs_id < 12"), STEPS, f"{root}/out", f"{root}/ledger")
+    n = spark.read.parquet(f"{root}/out").filter("obs_id = 11").count()
+    for file in glob.glob(f"{root}/out/obs_id=10/*.parquet"):
+        open(file, "wb").write(b"spoilt")
+    assert L._rows_written(spark, f"{root}/out", [11, 99]) == {11: n}
+    assert L._rows_written(spark, f"{root}/out", [99]) == {}
+
+
 def test_errors_of_the_run(spark, inputs):
     manifest, root = inputs
     with pytest.raises(ValueError, match="same obs_id"):

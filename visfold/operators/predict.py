@@ -123,9 +123,11 @@ def _models_of(vis: DataFrame, components: DataFrame, obs_meta: DataFrame | None
     patches = sky.patches if per_patch else [None]
     if sky.size <= FEW_COMPONENTS:
         v = _with_sky(vis, sky, obs_meta)
+
+        def of(patch: str) -> Column:
+            return F.filter("_sky", lambda c: c["patch"] == F.lit(patch))
         for k, p in enumerate(patches):
-            own = F.filter("_sky", lambda c, p=p: c["patch"] == F.lit(p)) if per_patch else F.col("_sky")
-            v = v.withColumn(f"_m{k}", model_sum(own))
+            v = v.withColumn(f"_m{k}", model_sum(of(p) if per_patch else F.col("_sky")))
         return v.drop("_sky"), patches
     args = [F.col(c) for c in ("u", "v", "w", "freq")]
     v = vis
