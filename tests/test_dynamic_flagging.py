@@ -145,3 +145,12 @@ def test_noise_is_exact_without_windows(spark):
         m = np.median(values)
         np.testing.assert_allclose(got[g], (len(values), m, np.median(np.abs(values - m))), rtol=1e-12)
     assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tasks_grow_with_the_rows(spark, vis, monkeypatch):
+    few = DF.dynamic_flag(vis.filter("slot < 5")).select("obs_id", "slot", "ant1", "ant2", "chan", "flag")
+    monkeypatch.setattr(DF, "ROWS_PER_TASK", 20)
+    some = vis.filter("slot < 5")
+    assert DF._tasks(some) == -(-some.count() // 20) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    many = DF.dynamic_flag(some).select(few.columns)
+    assert sorted(map(str, many.collect())) == sorted(map(str, few.collect()))

@@ -46,6 +46,8 @@ MAD_TO_SIGMA = 1.4826
 #: Threshold in units of the noise, rounds, how much lower each round's threshold is than the one before, rows
 #: on each side that the background is taken from.
 SENSITIVITY, ROUNDS, FALL, HALF_WIDTH = 6.0, 2, 3.0, 3
+#: Rows that a task sorts at a time, about 60 MB of them.
+ROWS_PER_TASK = 200_000
 #: Sums closer to the threshold than this share of it are rounding errors.
 CLOSE = 1e-6
 
@@ -160,15 +162,21 @@ def merge_flags(df: DataFrame, columns) -> DataFrame:
     return df.withColumn("flag", flag).select(*columns)
 
 
+def _tasks(vis: DataFrame) -> int:
+    """Partitions of about ``ROWS_PER_TASK`` rows, at least the session's number."""
+    return max(int(vis.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-vis.count() // ROWS_PER_TASK))
+
+
 def dynamic_flag(vis: DataFrame, sensitivity: float = SENSITIVITY, half_width: int = HALF_WIDTH, sizes=DEFAULT_SIZES,
                  eta: float = 0.2, rounds: int = ROUNDS) -> DataFrame:
     """AOFlagger-like step: rounds of background -> SumThreshold time, freq with falling thresholds; then SIR time, freq.
 
     The rows are dealt by baseline once: series in time and in frequency both lie within a
-    baseline, so every window of every step works on that one exchange. The noise of a plane is a small
+    baseline, so every window of every step works on that one exchange. It goes to as many tasks as the rows ask for, so that
+    a task's sorts stay of one size whatever the input's (a baseline is never split). The noise of a plane is a small
     table of its own, from two aggregations.
     """
-    df = prepare(vis.repartition(*PLANE))
+    df = prepare(vis.repartition(_tasks(vis), *PLANE))
     for r in range(rounds):
         df = background_residual(df, half_width)
         if r == 0:
