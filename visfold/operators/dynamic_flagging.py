@@ -176,7 +176,9 @@ def dynamic_flag(vis: DataFrame, sensitivity: float = SENSITIVITY, half_width: i
     a task's sorts stay of one size whatever the input's (a baseline is never split). The noise of a plane is a small
     table of its own, from two aggregations.
     """
-    df = prepare(vis.repartition(_tasks(vis), *PLANE))
+    tasks = _tasks(vis)
+    own = tasks == int(vis.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = prepare(vis.repartition(*PLANE) if own else vis.repartition(tasks, *PLANE))
     for r in range(rounds):
         df = background_residual(df, half_width)
         if r == 0:
