@@ -163,3 +163,29 @@ def test_a_large_sky_is_summed_by_all_cores_without_arrays_per_row(spark, vis):
     few, _ = PR.patch_models(vis.filter("slot < 3"), comps)
     m, d = (df.agg(F.sum(c).alias("s")).first().s for df, c in ((few, F.col("model_0.re") + F.col("model_1.re")), (out, "data.xx.re")))
     assert abs(m - d) < 1e-6
+
+
+@pytest.mark.parametrize("track,by_term", [("line", False), ("ellipse", False), ("still", True), ("scattered", True), ("two lines", False)])
+def test_sums_along_a_track_are_those_term_by_term(monkeypatch, track, by_term):
+    """Points and Gaussians over a wide sky, summed by series along smooth tracks only."""
+    from visfold.operators import sky_sums as SS
+
+    r, t = np.random.default_rng(3), np.arange(120.0)
+    names = ("patch", "l", "m", "ra", "dec", "flux_i", "ref_freq", "per_ref", "si", "log_si", "type", "major", "minor", "orientation")
+    sky = SS.SkyArrays.of([dict(zip(names, (f"p{k % 2}", None, None, 0.9 + 0.1 * r.random(), -0.5 + 0.1 * r.random(), 1 + r.random(), 1.4e8, 1 / 1.4e8,
+                                            [-0.7, 0.1 * (k % 3)], k % 2 == 0, "GAUSSIAN" if k % 7 == 0 else "POINT", 60.0, 30.0, 10.0 * k))) for k in range(3000)])
+    line = np.stack([100 + 0.1 * t, 40 - 0.1 * t, 5 + 0 * t], axis=1)
+    turn = 0.3 + 8 * 7.3e-5 * t
+    uvw = {"line": line, "ellipse": np.stack([150 * np.cos(turn), 90 * np.sin(turn) - 30, 40 * np.cos(turn) + 2], axis=1), "still": 0 * line + 7,
+           "scattered": r.normal(size=(120, 3)) * 300, "two lines": np.where(t[:, None] % 2, line, line + 50)}[track][r.permutation(120)]
+    centre, flux, freq = sky.directions((0.9, -0.5)), sky.fluxes(9.6e8), 9.6e8
+    sets, cells, each = [sky.patch == "p0", sky.patch == "p1"], [], SS.SkyArrays._each
+    want = [each(sky, uvw * (freq / SS.SPEED_OF_LIGHT), centre[0][:, s], flux[0][s], np.flatnonzero(s)) for s in sets]
+    monkeypatch.setattr(SS.SkyArrays, "_each", lambda self, x, *more: cells.append(len(x) * len(more[1])) or each(self, x, *more))
+    found = sky.sums(uvw, freq, centre, flux, sets)
+    for a, b in zip(found, want):
+        assert np.abs(a - b).max() < 1e-12 * flux[0].sum()
+    assert (sum(cells) >= 0.9 * 120 * 3000) == by_term and (by_term or not cells)
+    direct = -2j * np.pi * ((uvw[:5] * (freq / SS.SPEED_OF_LIGHT)) @ centre[0][:, :sky.n_points])
+    points = sky.sums(uvw[:5], freq, centre, flux, [np.arange(3000) < sky.n_points])[0]
+    assert np.abs(np.exp(direct) @ flux[0][:sky.n_points] - points).max() < 1e-9

@@ -7,7 +7,8 @@ The sum over components is then one ``aggregate`` over the row's own array: ever
 visibility row is computed where it is read, with no shuffle and no pairs. The same path
 serves every model, from one flat point source to a sky file with spectra and
 Gaussians, given by (ra, dec) or by (l, m). Beyond ``FEW_COMPONENTS`` the same sum is taken by numpy in an Arrow function
-(``sky_sums``), for a batch of rows and a tile of components at a time, still where the row is read.
+(``sky_sums``), for a batch of rows and a tile of components at a time. The rows of a baseline are dealt and sorted side by side for it, as
+the sum over a smooth track of points costs little more than that at a few of them.
 
 A larger sky stays a table: its components are dealt into rows of at most ``BLOCK``, every distinct (observation, u, v, w, freq)
 meets each block through a salted equi-join, and partial sums per block are added up. What is shuffled is narrow beside the
@@ -33,7 +34,7 @@ from .sky_sums import SkyArrays, model_function
 #: Components up to which a row's sum is one expression.
 FEW_COMPONENTS = 64
 #: Components that a plan holds as one constant (about 100 bytes each); beyond, the sky is joined in blocks.
-MAX_COMPONENTS = 50_000
+MAX_COMPONENTS = 1 << 18
 #: Components in a row of a larger sky, a power of two (about 130 bytes each).
 BLOCK = 1 << 14
 #: Components x observations up to which the arrays are broadcast.
@@ -144,7 +145,12 @@ def _models_of(vis: DataFrame, components: DataFrame, obs_meta: DataFrame | None
     # little input, much work: as many tasks as keep all cores busy, however few the input has
     spark = vis.sparkSession
     n = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    v = v.repartition(n, *_POINT).withColumn("_models", model_function(arrays, patches)(*args))
+    track = [c for c in ("obs_id", "ant1", "ant2") if c in v.columns]
+    if "slot" in v.columns:  # a track's points side by side, in pieces of 256 slots
+        v = v.repartition(n, *track, "freq", F.floor(F.col("slot") / 256)).sortWithinPartitions(*track, "freq", "slot")
+    else:
+        v = v.repartition(n, *_POINT)
+    v = v.withColumn("_models", model_function(arrays, patches)(F.xxhash64(*track), *args))
     for k in range(len(patches)):
         m = F.col("_models").getField(f"m{k}")
         v = v.withColumn(f"_m{k}", F.when(F.col("_placed"), m) if sky.needs_phase_centre else m)
